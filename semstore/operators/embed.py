@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 from semstore.errors import EmbeddingError
 from semstore.functions import vectors
 from semstore.operators.quality import text_reason
+from semstore.plans import workspace
 
 
 class Provider:
@@ -103,6 +104,7 @@ class PythonProvider(Provider):
         self._batch_size = batch_size
 
     def apply(self, df: DataFrame, text_col: str) -> DataFrame:
+        workspace.ship_package(df.sparkSession)
         load, batch_size = self._load, self._batch_size
         names = [c for c in df.columns if c != "error"]
         schema = T.StructType(

@@ -23,7 +23,7 @@ from semstore.errors import EmbeddingError, RecordError
 from semstore.functions import vectors
 from semstore.operators import ranking
 from semstore.operators.filters import predicate
-from semstore.plans import arguments, sizing
+from semstore.plans import arguments, sizing, workspace
 
 _TILE = 4 * 1024 * 1024  # scores held at a time
 _BLOCK_BYTES = 32 * 1024 * 1024  # vectors per block of records, on the shuffled route
@@ -217,6 +217,7 @@ def _whole(column) -> pa.Array:
 
 def per_task(rows: DataFrame, queries: Queries, metric: str, flags: list[str], id_col: str, schema: str) -> DataFrame:
     """The winners of every task, the queries being broadcast. Columns of ``rows``: id, vector, flags or bucket."""
+    workspace.ship_package(rows.sparkSession)
     shared = rows.sparkSession.sparkContext.broadcast(queries)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -235,6 +236,7 @@ def _per_block(
     id_col: str, schema: str, block_bytes: int, query_block_bytes: int,
 ) -> DataFrame:
     """The winners of every pair of a block of records and a block of queries."""
+    workspace.ship_package(rows.sparkSession)
     row_blocks = max(1, math.ceil(rows.count() * dim * 8 / block_bytes))
     query_blocks = max(1, math.ceil(n_queries * dim * 8 / query_block_bytes))
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))

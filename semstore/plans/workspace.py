@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -24,3 +26,17 @@ def shared_folder(spark: SparkSession) -> str:
 def new_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that nothing has used before."""
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application, so that it need not be installed there."""
+    context = spark.sparkContext
+    if getattr(context, "_semstore_shipped", False):
+        return
+    package = Path(__file__).resolve().parent.parent
+    archive = Path(tempfile.mkdtemp(prefix="semstore-")) / f"{package.name}.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for source in sorted(package.rglob("*.py")):
+            out.write(source, source.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    context._semstore_shipped = True
