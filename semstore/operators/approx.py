@@ -31,12 +31,12 @@ def _with_unit(df: DataFrame, vector_col: str) -> DataFrame:
 
 def _buckets(df: DataFrame, model: BucketedRandomProjectionLSHModel, vector_col: str) -> DataFrame:
     hashed = model.transform(_with_unit(df, vector_col))
-    numbers = F.transform("_hashes", lambda h: vector_to_array_first(h))
+    numbers = F.transform("_hashes", lambda h: _only_number(h))
     keys = F.transform(numbers, lambda b, i: F.xxhash64(i, b))
     return hashed.withColumn("_buckets", keys).drop("_unit", "_hashes")
 
 
-def vector_to_array_first(h: Column) -> Column:
+def _only_number(h: Column) -> Column:
     """The single number in each table's hash."""
     return F.element_at(vector_to_array(h), 1).cast("bigint")
 
@@ -95,8 +95,7 @@ def approx_search(
         part = hashed.where(F.pmod(F.xxhash64("query_id"), F.lit(shares)) == share) if shares > 1 else hashed
         winners = _one_share(index, part, metric, k, id_col, vector_col, schema)
         found = winners if found is None else found.unionByName(winners)
-    once = found.groupBy("query_id", id_col).agg(F.max("score").alias("score"))
-    ranked = ranking.best_per_query(once, k, metric, id_col, sizing.scan_tasks(index))
+    ranked = ranking.best_per_query(found, k, metric, id_col, sizing.scan_tasks(index), repeated=True)
     if score_threshold is not None:
         ranked = ranked.where(ranking.beyond(metric, score_threshold))
     return ranked.select("query_id", id_col, "score", "rank")

@@ -7,15 +7,15 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from semstore.operators.filters import is_empty, predicate
 from semstore.errors import EmbeddingError, RecordError
+from semstore.operators.filters import is_empty, predicate
 from semstore.plans import arguments
 
 
 def count_records(coll: DataFrame, where: Mapping | None = None, *, exact: bool = True, id_col: str = "id") -> DataFrame:
     """One row ``count``. Inexact counting estimates the number of distinct ids, so it takes duplicates in its stride."""
     chosen = coll if is_empty(where) else coll.where(predicate(coll, where))
-    number = F.count(F.lit(1)) if exact else F.approx_count_distinct(id_col)
+    number = F.count(F.lit(1)) if exact else F.approx_count_distinct(id_col, 0.01)
     return chosen.agg(number.alias("count"))
 
 

@@ -175,8 +175,8 @@ def none_of(*filters: Mapping) -> dict:
 
 
 def is_empty(flt: Mapping | None) -> bool:
-    """True when a filter constrains nothing."""
-    return not flt or any(group in flt and not flt[group] for group in GROUPS)
+    """True when a filter constrains nothing: no conditions, or empty groups only."""
+    return not flt or not _conditions(flt)
 
 
 # --- checks that run while the plan is built ---------------------------------------------------------------------
@@ -225,8 +225,9 @@ def _conditions(flt: Mapping) -> list[tuple]:
     found: list[tuple] = []
     for name, body in flt.items():
         if name in GROUPS and isinstance(body, (list, tuple)):
-            if body:
-                found.append((name, None, [_conditions(part) for part in body]))
+            parts = [part for part in map(_conditions, body) if part]
+            if parts:
+                found.append((name, None, parts))
         elif name in LEAVES and isinstance(body, Mapping):
             found.append(_leaf(name, _key_of(name, body), body))
         elif not isinstance(name, str) or not name:

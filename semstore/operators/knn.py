@@ -10,7 +10,7 @@ is scored by one task. Both ways are exact.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -28,6 +28,7 @@ from semstore.plans import arguments, sizing, workspace
 _TILE = 4 * 1024 * 1024  # scores held at a time
 _BLOCK_BYTES = 32 * 1024 * 1024  # vectors per block of records, on the shuffled route
 _QUERY_BLOCK_BYTES = 8 * 1024 * 1024
+_WINNER_BYTES = 64  # one result row
 _FLAG = "filter:"
 
 
@@ -293,13 +294,14 @@ def search_batch(
     filters: Mapping[str, Mapping] | None = None,
     metric: str = "cosine",
     score_threshold: float | None = None,
+    payload: Sequence[str] = (),
     id_col: str = "id",
     vector_col: str = "vector",
     broadcast_bytes: int = sizing.QUERY_BROADCAST_BYTES,
     block_bytes: int = _BLOCK_BYTES,
     query_block_bytes: int = _QUERY_BLOCK_BYTES,
 ) -> DataFrame:
-    """The nearest records to every query: ``query_id, id, score, rank``.
+    """The nearest records to every query: ``query_id, id, score, rank`` and the payload columns asked for.
 
     ``queries`` has ``query_id`` and ``vector``, and may have ``top_k`` (its own number of results) and
     ``filter_name`` (its own filter, by name from ``filters``). ``where`` holds for all of them.
@@ -338,9 +340,13 @@ def search_batch(
     schema = f"query_id {types['query_id']}, `{id_col}` {types[id_col]}, score double"
 
     tasks = sizing.scan_tasks(coll)
+    few = n_queries * k * _WINNER_BYTES <= sizing.RESULT_BROADCAST_BYTES
     if n_queries == 0:
         found = coll.sparkSession.createDataFrame([], schema)
     elif n_queries * dim * 8 <= broadcast_bytes:
+        fewer = sizing.winner_tasks(coll.sparkSession, tasks, n_queries * k * _WINNER_BYTES)
+        if fewer < tasks:
+            tasks, rows = fewer, rows.coalesce(fewer)
         found = per_task(rows, _queries(asked.toArrow(), k), metric, flags, id_col, schema)
     else:
         found = _per_block(
@@ -353,8 +359,12 @@ def search_batch(
         # Every task has kept what each query asked for; the merged list is cut to the same number.
         own = F.coalesce(F.nullif(F.col("top_k"), F.lit(0)), F.lit(arguments.DEFAULT_TOP_K))
         own = asked.select("query_id", own.alias("_own"))
-        ranked = ranked.join(own, "query_id").where(F.col("rank") <= F.col("_own")).drop("_own")
-    return ranked.select("query_id", id_col, "score", "rank")
+        ranked = ranked.join(F.broadcast(own) if few else own, "query_id").where(F.col("rank") <= F.col("_own"))
+    ranked = ranked.select("query_id", id_col, "score", "rank")
+    if payload:
+        # The number of results is known beforehand: few of them go to the payload, which stays where it is.
+        ranked = coll.select(id_col, *payload).join(F.broadcast(ranked) if few else ranked, id_col)
+    return ranked.select("query_id", id_col, "score", "rank", *payload)
 
 
 def _either(tests: list):
@@ -362,8 +372,3 @@ def _either(tests: list):
     for test in tests[1:]:
         either = either | test
     return either
-
-
-def attach(found: DataFrame, coll: DataFrame, columns: list[str], id_col: str = "id") -> DataFrame:
-    """Add payload columns to search results, which carry ids only."""
-    return found.join(coll.select(id_col, *columns), id_col)

@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 from semstore.errors import RecordError
 from semstore.functions import vectors
 from semstore.operators import ranking
+from semstore.operators.filters import is_empty, predicate
 from semstore.operators.records import select_ids
 from semstore.operators.search import _query_columns, search, shape
 from semstore.plans import arguments, sizing
-from semstore.operators.filters import is_empty, predicate
 
 BINS = 65_536
 LEVELS = 255
@@ -34,16 +34,15 @@ def bounds(coll: DataFrame, quantile: float = 0.99, vector_col: str = "vector")
     elements = coll.select(F.explode(v).alias("x"), ends.alias("e"))
     width = (F.col("e")["b"] - F.col("e")["a"]) / BINS
     at = F.when(width > 0, F.least(F.floor((F.col("x") - F.col("e")["a"]) / width), F.lit(BINS - 1))).otherwise(0)
-    counts = elements.groupBy(at.alias("bin")).agg(F.count(F.lit(1)).alias("n"), F.first("e").alias("e"))
+    counts = elements.groupBy(at.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
     # At most BINS rows from here on.
     upto = F.sum("n").over(Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0))
-    tail = (1 - quantile) / 2
-    total = F.col("e")["n"]
-    ranked = counts.select("bin", "e", upto.alias("upto"))
-    return ranked.agg(
-        F.min(F.when(F.col("upto") >= F.greatest(total * tail, F.lit(1.0)), F.col("e")["a"] + F.col("bin") * width)).alias("low"),
-        F.min(F.when(F.col("upto") >= total * (1 - tail), F.col("e")["a"] + (F.col("bin") + 1) * width)).alias("high"),
-    )
+    ranked = counts.select("bin", upto.alias("upto"), ends.alias("e"))
+    tail, total = (1 - quantile) / 2, F.col("e")["n"]
+    edge = lambda bin_: F.col("e")["a"] + bin_ * width
+    first = F.when(F.col("upto") >= F.greatest(total * tail, F.lit(1.0)), edge(F.col("bin")))
+    last = F.when(F.col("upto") >= total * (1 - tail), edge(F.col("bin") + 1))
+    return ranked.agg(F.min(first).alias("low"), F.min(last).alias("high"))
 
 
 def encode(v: Column, low: Column, high: Column) -> Column:

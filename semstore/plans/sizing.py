@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: Most bytes of query vectors sent to every executor; more queries take the shuffled route.
 QUERY_BROADCAST_BYTES = 64 * 1024 * 1024
+#: Most bytes of search results, or of ids, sent to every executor; larger ones are joined by shuffling.
+RESULT_BROADCAST_BYTES = 64 * 1024 * 1024
 #: Most ids written into a plan as literals.
 LITERAL_IDS = 1_000
 #: Rows of per-task winners one task may merge; more of them are merged in two steps.
@@ -17,10 +19,18 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+def split_bytes(spark: SparkSession) -> int:
+    return max(1, _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes", "128m").lower()))
+
+
 def scan_tasks(df: DataFrame) -> int:
     """About how many tasks read a result, from the estimate and the split size."""
-    split = df.sparkSession.conf.get("spark.sql.files.maxPartitionBytes", "128m").lower()
-    return max(1, estimated_bytes(df) // max(1, _bytes(split)))
+    return max(1, estimated_bytes(df) // split_bytes(df.sparkSession))
+
+
+def winner_tasks(spark: SparkSession, tasks: int, winner_bytes: int) -> int:
+    """How many tasks should look for winners: each reads at least ten times what it sends on, but none idles."""
+    return min(tasks, max(4 * spark.sparkContext.defaultParallelism, tasks * split_bytes(spark) // (10 * winner_bytes)))
 
 
 def _bytes(text: str) -> int:
@@ -29,7 +39,3 @@ def _bytes(text: str) -> int:
     if number and number[-1] in units:
         return int(float(number[:-1]) * units[number[-1]])
     return int(number or 0)
-
-
-def shuffle_partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))

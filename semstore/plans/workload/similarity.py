@@ -164,8 +164,7 @@ def search_batch_own_filters(spark, folder):
 )
 def search_batch_with_payload(spark, folder):
     coll = _embeddings(spark, folder)
-    found = knn.search_batch(coll, _queries(coll), 3, **NAMES)
-    return _rounded(knn.attach(found, coll, ["label"], "vec_id"))
+    return _rounded(knn.search_batch(coll, _queries(coll), 3, payload=["label"], **NAMES))
 
 
 _MEANS = """

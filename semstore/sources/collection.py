@@ -23,7 +23,7 @@ from semstore.operators import counts, quality, recommend, records, search, stor
 from semstore.operators.embed import Provider
 from semstore.operators.knn import search_batch
 from semstore.operators.filters import is_empty, predicate
-from semstore.plans import arguments, workspace
+from semstore.plans import arguments, sizing, workspace
 
 _PROPERTY = "semstore."
 _NORM = "_norm"
@@ -112,27 +112,30 @@ class Collection:
 
     # --- reading
 
-    def _changes(self) -> DataFrame | None:
-        """Every committed change, or None."""
-        names = [n for n in self._properties()["changes"].split(",") if n]
-        if not names:
-            return None
+    def _change_names(self) -> list[str]:
+        """The changes that count, oldest first, as ``<number>-<bytes of ids>-<folder>``."""
+        return [n for n in self._properties()["changes"].split(",") if n]
+
+    def _change_path(self, folder: str) -> str:
+        return f"{self.root}/change-{folder}"
+
+    def _changes(self, names: Sequence[str]) -> DataFrame:
         extra = [T.StructField("_seq", T.LongType()), T.StructField("_deleted", T.BooleanType())]
         reader = self.spark.read.schema(T.StructType([*self.schema.fields, *extra]))
-        return reader.parquet(*[f"{self.root}/{n}" for n in names])
+        return reader.parquet(*[self._change_path(n.split("-")[2]) for n in names])
 
-    def _overlaid(self, base: DataFrame) -> DataFrame:
-        changes = self._changes()
-        if changes is None:
+    def _current(self) -> DataFrame:
+        base, names = self.spark.table(self._quoted), self._change_names()
+        if not names:
             return base
+        changes = self._changes(names)
         newest = records.latest(changes, [F.col("_seq").desc()])
-        # The changed ids are few beside the base: Spark sends them to the base when it sees they fit.
-        untouched = base.join(newest.select("id"), "id", "left_anti")
+        # The size of the changed ids was measured when they were written: up to a limit they go to the base.
+        ids = changes.select("id").distinct()
+        small = sum(int(n.split("-")[1]) for n in names) <= sizing.RESULT_BROADCAST_BYTES
+        untouched = base.join(F.broadcast(ids) if small else ids, "id", "left_anti")
         return untouched.unionByName(newest.where(~F.col("_deleted")).drop("_seq", "_deleted"))
 
-    def _current(self) -> DataFrame:
-        return self._overlaid(self.spark.table(self._quoted))
-
     def read(self) -> DataFrame:
         """The records as they are now."""
         return self._current().drop(_NORM)
@@ -141,15 +144,20 @@ class Collection:
 
     def _commit(self, change: DataFrame, **properties: Any) -> None:
         """Write a change (with ``_deleted``) to a directory of its own, then let it count."""
-        names = [n for n in self._properties()["changes"].split(",") if n]
-        last = int(names[-1].split("-")[1]) if names else 0
-        name = f"c-{last + 1}-{uuid.uuid4().hex[:8]}"
+        names = self._change_names()
+        last = int(names[-1].split("-")[0]) if names else 0
         aligned = [F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema.fields if f.name in change.columns]
         missing = [F.lit(None).cast(f.dataType).alias(f.name) for f in self.schema.fields if f.name not in change.columns]
         rows = change.select(*aligned, *missing, F.lit(last + 1).cast("bigint").alias("_seq"), "_deleted")
-        rows.select(*self.schema.names, "_seq", "_deleted").write.parquet(f"{self.root}/{name}")
-        self._set(changes=",".join([*names, name]), **properties)
-        if len(names) + 1 >= self.compact_after:
+        folder = uuid.uuid4().hex[:8]
+        rows.select(*self.schema.names, "_seq", "_deleted").write.parquet(self._change_path(folder))
+        ids = self.spark.read.schema("id string").parquet(self._change_path(folder))
+        size = ids.agg(F.coalesce(F.sum(F.octet_length("id") + 32), F.lit(0))).first()[0]
+        if size:
+            names = [*names, f"{last + 1}-{size}-{folder}"]
+        if size or properties:
+            self._set(changes=",".join(names), **properties)
+        if len(names) >= self.compact_after:
             self.compact()
 
     def compact(self) -> None:
@@ -268,8 +276,8 @@ class Collection:
         """The number of records. Without a filter, an inexact count needs no join of base and changes."""
         if not exact and is_empty(where):
             ids = self.spark.table(self._quoted).select("id")
-            changes = self._changes()
-            ids = ids if changes is None else ids.union(changes.where(~F.col("_deleted")).select("id"))
+            names = self._change_names()
+            ids = ids.union(self._changes(names).where(~F.col("_deleted")).select("id")) if names else ids
             return counts.count_records(ids, exact=False).first()["count"]
         return counts.count_records(self.read(), where, exact=exact).first()["count"]
 
