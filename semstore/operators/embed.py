@@ -20,11 +20,17 @@ from pyspark.sql import types as T
 from semstore.errors import EmbeddingError
 from semstore.functions import vectors
 from semstore.operators.quality import text_reason
-from semstore.plans import workspace
+from semstore.plans import sizing, workspace
 
 
 class Provider:
-    """Turns the text column of a DataFrame into ``vector``, and ``error`` where that failed."""
+    """Turns the text column of a DataFrame into ``vector``, and ``error`` where that failed.
+
+    ``sound`` says that every text gets a vector of finite numbers. It saves the check, which would put the whole
+    expression of a native vector into every later filter on ``error``.
+    """
+
+    sound = False
 
     def apply(self, df: DataFrame, text_col: str) -> DataFrame:
         """Add ``vector`` and ``error``; rows whose ``error`` is set already are passed on as they are."""
@@ -33,7 +39,7 @@ class Provider:
     def embed_one(self, spark: SparkSession, text: str) -> DataFrame:
         """The vector of a single text, as a one-row DataFrame."""
         one = spark.range(1).select(F.lit(text).alias("text"))
-        return embed(one, self, "text").select("vector")
+        return embed(one, self, "text", spread=False).select("vector")
 
 
 class ColumnProvider(Provider):
@@ -50,26 +56,37 @@ class ColumnProvider(Provider):
 class WaveProvider(ColumnProvider):
     """A reproducible vector from the characters of a text: ``sin((unit[i mod length] + i) * 0.1)``."""
 
+    sound = True
+
     def __init__(self, dim: int = 384) -> None:
         if dim < 1:
             raise EmbeddingError("dimensions must be a positive number")
         self.dim = dim
 
     def column(self, text: Column) -> Column:
-        # Element i looks at unit i, or wraps around in a shorter text; UTF-16 units are four hex digits each.
-        units = F.hex(F.encode(F.substring(text, 1, self.dim), "UTF-16BE"))
-        # A short-lived array hands the digits and their number to the elements, computed once per text.
-        given = F.array(F.struct(units.alias("hex"), (F.length(units) / 4).cast("int").alias("n")))
-        wave = lambda g, i: F.sin(
-            (F.conv(F.substring(g["hex"], (i % g["n"]) * 4 + 1, F.lit(4)), 16, 10).cast("double") + i) * 0.1
-        )
+        # Element i looks at unit i, or wraps around in a shorter text, so the first ``dim`` characters are enough.
+        points = F.transform(F.split(F.substring(text, 1, self.dim), ""), F.ascii)
+        # A one-element array hands the units to the elements, so that they are computed once per text.
         steps = F.sequence(F.lit(0), F.lit(self.dim - 1))
-        return F.element_at(F.transform(given, lambda g: F.transform(steps, lambda i: wave(g, i))), 1)
+        wave = lambda units, i: F.sin((F.element_at(units, i % F.size(units) + 1) + i) * 0.1)
+        made = F.transform(F.array(_utf16_units(points)), lambda units: F.transform(steps, lambda i: wave(units, i)))
+        return F.element_at(made, 1)
+
+
+def _utf16_units(points: Column) -> Column:
+    """Code points as UTF-16 units: those beyond 65,535 take two."""
+    pair = lambda c: F.array(
+        (F.lit(0xD800) + F.shiftright(c - 0x10000, 10)).cast("int"), (F.lit(0xDC00) + (c - 0x10000) % 1024).cast("int")
+    )
+    split = F.flatten(F.transform(points, lambda c: F.when(c > 0xFFFF, pair(c)).otherwise(F.array(c))))
+    return F.when(F.exists(points, lambda c: c > 0xFFFF), split).otherwise(points)
 
 
 class HashingProvider(Provider):
     """Hashed bag of words, weighted by inverse document frequency and normalised; needs no outside model."""
 
+    sound = True
+
     def __init__(self, model: PipelineModel) -> None:
         self._model = model
 
@@ -82,7 +99,7 @@ class HashingProvider(Provider):
             IDF(inputCol="_counts", outputCol="_weighted"),
             Normalizer(inputCol="_weighted", outputCol="_unit"),
         ]
-        return cls(Pipeline(stages=stages).fit(_text_only(df.select(text_col), text_col)))
+        return cls(Pipeline(stages=stages).fit(_text_only(sizing.spread(df.select(text_col)), text_col)))
 
     def apply(self, df: DataFrame, text_col: str) -> DataFrame:
         made = self._model.transform(_text_only(df, text_col))
@@ -144,9 +161,12 @@ def _attempt(model: Callable, texts: list[str]) -> list[tuple[list[float] | None
         return [_attempt(model, [text])[0] for text in texts]
 
 
-def embed(df: DataFrame, provider: Provider, text_col: str = "text") -> DataFrame:
+def embed(df: DataFrame, provider: Provider, text_col: str = "text", *, spread: bool = True) -> DataFrame:
     """Add ``vector`` (NULL on failure) and ``error`` (NULL on success) to every row."""
+    df = sizing.spread(df) if spread else df
     made = provider.apply(df.withColumn("error", text_reason(F.col(text_col))), text_col)
+    if provider.sound:
+        return made.select(*[c for c in made.columns if c not in ("vector", "error")], "vector", "error")
     v = F.col("vector")
     broken = (
         F.when(v.isNull() | (F.size(v) < 1), F.lit("no_vector"))

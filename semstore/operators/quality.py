@@ -41,7 +41,7 @@ def record_reason(
 
 def text_reason(text: Column) -> Column:
     """A text that can be embedded: not blank, not too long."""
-    too_long = texts.utf16_length(text) > MAX_EMBED_LENGTH
+    too_long = texts.longer_than(text, MAX_EMBED_LENGTH)
     return _first((texts.is_blank(text), "text_blank"), (too_long, "text_too_long_to_embed"))
 
 
@@ -50,12 +50,12 @@ def store_reason(id_: Column, text: Column, payload: Column | None = None) -> Co
     id_ = id_.cast("string")
     rules = [
         (texts.is_blank(id_), "id_blank"),
-        (texts.utf16_length(id_) > MAX_ID_LENGTH, "id_too_long"),
+        (texts.longer_than(id_, MAX_ID_LENGTH), "id_too_long"),
         (texts.is_blank(text), "text_blank"),
-        (texts.utf16_length(text) > MAX_STORE_LENGTH, "text_too_long"),
+        (texts.longer_than(text, MAX_STORE_LENGTH), "text_too_long"),
     ]
     if payload is not None:
-        rules.append((texts.utf16_length(F.to_json(payload)) > MAX_PAYLOAD_LENGTH, "payload_too_large"))
+        rules.append((texts.longer_than(F.to_json(payload), MAX_PAYLOAD_LENGTH), "payload_too_large"))
     return _first(*rules)
 
 

@@ -12,7 +12,7 @@ from semstore.functions import vectors
 from semstore.operators import ranking
 from semstore.operators.filters import is_empty, predicate
 from semstore.operators.records import select_ids
-from semstore.operators.search import _query_columns, search, shape
+from semstore.operators.search import query_vector, score_column, search, shape
 from semstore.plans import arguments, sizing
 
 BINS = 65_536
@@ -97,17 +97,15 @@ def quantized_search(
     if oversampling < 1:
         raise RecordError("oversampling must be at least 1")
     taken = max(k, int(k * oversampling)) if rescore else k
-    vector, norm = _query_columns(query)
+    query = query_vector(query)
     chosen = coll if is_empty(where) else coll.where(predicate(coll, where))
-    prepared = chosen.select("*", vector.alias("_query"), norm.alias("_query_norm"))
-    approximate = decode(F.col("code"), F.col("code_low"), F.col("code_high"))
-    value = vectors.score(metric, approximate, F.col("_query"), None, F.col("_query_norm"))
+    approximate = chosen.withColumn("_near", decode(F.col("code"), F.col("code_low"), F.col("code_high")))
     coarse = shape(
-        prepared.withColumn("score", value).drop("_query", "_query_norm"),
+        approximate.withColumn("score", score_column(query, metric, F.col("_near"))),
         id_col=id_col,
         vector_col=vector_col,
         with_payload=not rescore and options.get("with_payload", True),
-        hidden=hidden,
+        hidden=(*hidden, "_near"),
     )
     best = ranking.best(coarse, taken, metric, id_col, sizing.scan_tasks(coll))
     if not rescore:

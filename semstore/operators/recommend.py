@@ -42,14 +42,18 @@ def recommend(
     if negative is not None and not isinstance(negative, DataFrame) and not negative:
         negative = None
 
+    target = _mean(coll, positive, id_col, vector_col)
+    if target is None:
+        raise RecordError("none of the positive examples was found")
     others = select_ids(coll, positive, id_col=id_col, keep=False)
-    target = mean_vector(select_ids(coll, positive, id_col=id_col), vector_col)
     if negative is not None:
+        away = _mean(coll, negative, id_col, vector_col)
+        target = target if away is None else [p + (p - n) for p, n in zip(target, away, strict=True)]
         others = select_ids(others, negative, id_col=id_col, keep=False)
-        away = mean_vector(select_ids(coll, negative, id_col=id_col), vector_col).scalar()
-        both = target.select("vector", away.alias("away"))
-        pushed = F.zip_with("vector", "away", lambda p, n: p + (p - n))
-        target = both.select(F.when(F.col("away").isNull(), F.col("vector")).otherwise(pushed).alias("vector"))
     return search(
         others, target, top_k, where=where, metric=metric, id_col=id_col, vector_col=vector_col, **options
     )
+
+
+def _mean(coll: DataFrame, ids: Ids, id_col: str, vector_col: str) -> list[float] | None:
+    return mean_vector(select_ids(coll, ids, id_col=id_col), vector_col).first()["vector"]

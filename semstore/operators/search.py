@@ -18,17 +18,27 @@ from semstore.plans import arguments, sizing
 Query = Sequence[float] | DataFrame
 
 
-def _query_columns(query: Query) -> tuple[Column, Column]:
-    """A query vector and its norm. A one-row DataFrame becomes a scalar subquery: it stays in the plan."""
-    if not isinstance(query, DataFrame):
-        numbers = vectors.as_vector(query)
-        return vectors.literal(numbers), F.lit(vectors.py_norm(numbers))
-    if len(query.columns) != 1:
-        raise RecordError("a query DataFrame must have the vector as its only column")
-    vector = vectors.as_double(F.col(query.columns[0]))
-    one = query.select(F.struct(vector.alias("v"), vectors.norm(vector).alias("n"))).scalar()
-    one = F.coalesce(one, F.raise_error(F.lit("the query vector was not found")))
-    return one["v"], one["n"]
+def query_vector(query: Query) -> list[float]:
+    """The vector to search for; a one-row DataFrame is read here and now.
+
+    As a literal it is part of the scoring expression. As a subquery it would be copied into every row, because a
+    higher-order function takes none, and scoring would take half as long again.
+    """
+    if isinstance(query, DataFrame):
+        if len(query.columns) != 1:
+            raise RecordError("a query DataFrame must have the vector as its only column")
+        rows = query.limit(2).collect()
+        if not rows or rows[0][0] is None:
+            raise RecordError("the query vector was not found")
+        if len(rows) > 1:
+            raise RecordError("a query DataFrame must have one row")
+        query = rows[0][0]
+    return vectors.as_vector(query)
+
+
+def score_column(query: Query, metric: str, vector: Column, known_norm: Column | None = None) -> Column:
+    numbers = query_vector(query)
+    return vectors.score(metric, vector, vectors.literal(numbers), known_norm, F.lit(vectors.py_norm(numbers)))
 
 
 def scored(
@@ -41,14 +51,9 @@ def scored(
     norm_col: str | None = None,
 ) -> DataFrame:
     """The records that pass the filter, all columns kept, with their ``score``."""
-    metric = vectors.check_metric(metric)
-    vector, norm = _query_columns(query)
+    value = score_column(query, metric, F.col(vector_col), F.col(norm_col) if norm_col else None)
     chosen = coll if is_empty(where) else coll.where(predicate(coll, where))
-    # The subquery gets its own projection: it may not stand inside a higher-order function.
-    prepared = chosen.select("*", vector.alias("_query"), norm.alias("_query_norm"))
-    known_norm = F.col(norm_col) if norm_col else None
-    value = vectors.score(metric, F.col(vector_col), F.col("_query"), known_norm, F.col("_query_norm"))
-    return prepared.withColumn("score", value).drop("_query", "_query_norm")
+    return chosen.withColumn("score", value)
 
 
 def shape(

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from semstore.functions import text as texts
 from semstore.operators.embed import Provider, embed
 from semstore.operators.quality import REASON, store_reason
+from semstore.plans import sizing
 
 ADDED = ("_stored_at", "_text_length", "_word_count", "_analysis")
 
@@ -41,15 +42,21 @@ def enrich(
     own = [_truthy(F.col(c), types[c]) for c in ("text", "content") if c in payload]
     own_text = F.col("text") if "text" in payload else F.lit(None).cast("string")
     kept_text = F.when(reduce(lambda a, b: a | b, own), own_text).otherwise(t) if own else t
-    return docs.select(
+    analysed = docs.select(
         *[c for c in docs.columns if c not in (*ADDED, "text")],
-        *([] if text_col == "text" else [t.alias(text_col)] if text_col not in docs.columns else []),
         kept_text.alias("text"),
         (F.current_timestamp() if stored_at is None else stored_at).alias("_stored_at"),
-        texts.utf16_length(t).alias("_text_length"),
-        texts.word_count(t).alias("_word_count"),
+        texts.is_blank(t).alias("_blank"),
         texts.analysis(t).alias("_analysis"),
     )
+    # A blank text has one empty word in the analysis, and none in the count beside it.
+    words = F.when(F.col("_blank"), 0).otherwise(F.col("_analysis.word_count"))
+    return analysed.select(
+        *[c for c in analysed.columns if c not in ("_blank", "_analysis")],
+        F.col("_analysis.character_count").alias("_text_length"),
+        words.alias("_word_count"),
+        "_analysis",
+    )
 
 
 def payload_keys(df: DataFrame, names: Sequence[str]) -> Column:
@@ -84,6 +91,7 @@ def store_memories(
     stored_at: Column | None = None,
 ) -> DataFrame:
     """Enriched records ``id, vector, payload..., text, _stored_at ..., reject_reason``, one embedding per text."""
+    docs = sizing.spread(docs)
     given = F.struct(*payload) if payload else None
     # The text to embed goes under a name of its own: "text" may be a payload field as well.
     marked = docs.select(
@@ -92,7 +100,8 @@ def store_memories(
         *[c for c in payload if c != "id"],
         store_reason(F.col(id_col), F.col(text_col), given).alias(REASON),
     )
-    made = embed(enrich(marked, text_col="_source", payload=payload, stored_at=stored_at), provider, "_source")
+    enriched = enrich(marked, text_col="_source", payload=payload, stored_at=stored_at)
+    made = embed(enriched, provider, "_source", spread=False)
     names = [c for c in payload if c not in ("id", "text")]
     return made.select(
         texts.trim(F.col("id")).alias("id"),

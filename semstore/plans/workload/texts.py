@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from semstore.functions import models
 from semstore.functions import text as measures
 from semstore.operators import counts, embed, knn, search, store
+from semstore.plans import sizing
 from semstore.plans.workload.registry import register, table
 
 # ECMAScript white space as a regex class for RE2.
@@ -20,10 +21,15 @@ def _documents(spark, folder):
     return table(spark, folder, "documents")
 
 
+def _texts(spark, folder):
+    """The documents, dealt out to all cores for work on every character."""
+    return sizing.spread(_documents(spark, folder))
+
+
 @register(f"SELECT doc_id, length(text)::INTEGER AS length, {_WORDS} AS words FROM documents")
 def word_count(spark, folder):
     text = F.col("text")
-    return _documents(spark, folder).select(
+    return _texts(spark, folder).select(
         "doc_id", measures.utf16_length(text).alias("length"), measures.word_count(text).alias("words")
     )
 
@@ -36,7 +42,7 @@ def word_count(spark, folder):
     """
 )
 def language_hints(spark, folder):
-    return _documents(spark, folder).select("doc_id", measures.language_hints(F.col("text")).alias("h")).select(
+    return _texts(spark, folder).select("doc_id", measures.language_hints(F.col("text")).alias("h")).select(
         "doc_id", "h.*"
     )
 
@@ -55,7 +61,7 @@ def language_hints(spark, folder):
     """
 )
 def text_analysis(spark, folder):
-    found = _documents(spark, folder).select("doc_id", measures.analysis(F.col("text")).alias("a"))
+    found = _texts(spark, folder).select("doc_id", measures.analysis(F.col("text")).alias("a"))
     return found.select("doc_id", "a.*").drop("language_hints").withColumn(
         "avg_word_length", F.round("avg_word_length", 6)
     )
@@ -71,7 +77,7 @@ def text_analysis(spark, folder):
 def stored_payload(spark, folder):
     """The text is kept where the payload has neither a text nor a content of its own."""
     lang = F.col("lang")
-    docs = _documents(spark, folder).select(
+    docs = _texts(spark, folder).select(
         "doc_id",
         F.col("text").alias("source_text"),
         F.when(lang == "de", "own").otherwise("").alias("text"),

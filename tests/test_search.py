@@ -72,8 +72,12 @@ def test_search_refuses(coll, spark):
         search.search(coll, [1.0], -1)
     with pytest.raises(Exception, match="different dimensions"):
         search.search(coll, [1.0, 2.0], 3).collect()
-    with pytest.raises(Exception, match="not found"):
-        search.search(coll, coll.where("id = 'nobody'").select("vector"), 3).collect()
+    with pytest.raises(RecordError, match="not found"):
+        search.search(coll, coll.where("id = 'nobody'").select("vector"), 3)
+    with pytest.raises(RecordError, match="one row"):
+        search.search(coll, coll.select("vector"), 3)
+    with pytest.raises(RecordError):
+        recommend.recommend(coll, ["nobody"])
     with pytest.raises(RecordError):
         search.search(coll, coll, 3)
 

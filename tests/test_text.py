@@ -23,6 +23,9 @@ TEXTS = [
     "theory of éof",
     "étheé",
     "12",
+    "\u212athe",
+    "\u0130n The",
+    "\u0130n",
     "x" * 5000,
     "word " * 2000,
 ]
