@@ -11,7 +11,10 @@ from pyspark.sql import functions as F
 from semstore.errors import RecordError
 from semstore.functions import vectors
 from semstore.operators import knn, ranking
-from semstore.plans import arguments, sizing
+from semstore.plans import arguments, sizing, workspace
+
+ROWS_PER_BLOCK = 100_000
+QUERIES_PER_BLOCK = 20_000
 
 
 def fit_hashes(
@@ -83,25 +86,21 @@ def approx_search(
             raise RecordError("at least one hash table is needed")
         hashed = hashed.withColumn("_buckets", F.slice("_buckets", 1, tables))
     n, dim = hashed.agg(F.count(F.lit(1)), F.max(F.size("vector"))).first()
+    workspace.ship_package(index.sparkSession)
     types = {**dict(index.dtypes), "query_id": dict(queries.dtypes)["query_id"]}
     schema = f"query_id {types['query_id']}, `{id_col}` {types[id_col]}, score double"
     if n == 0:
         return index.sparkSession.createDataFrame([], schema + ", rank int")
 
-    # More queries than fit one broadcast are answered share by share, by a hash of their id.
-    shares = -(-n * dim * 8 // sizing.QUERY_BROADCAST_BYTES)
-    found = None
-    for share in range(shares):
-        part = hashed.where(F.pmod(F.xxhash64("query_id"), F.lit(shares)) == share) if shares > 1 else hashed
-        winners = _one_share(index, part, metric, k, id_col, vector_col, schema)
-        found = winners if found is None else found.unionByName(winners)
+    way = _broadcast_queries if n * dim * 8 <= sizing.QUERY_BROADCAST_BYTES else _meet_in_buckets
+    found = way(index, hashed, metric, k, id_col, vector_col, schema)
     ranked = ranking.best_per_query(found, k, metric, id_col, sizing.scan_tasks(index), repeated=True)
     if score_threshold is not None:
         ranked = ranked.where(ranking.beyond(metric, score_threshold))
     return ranked.select("query_id", id_col, "score", "rank")
 
 
-def _one_share(
+def _broadcast_queries(
     index: DataFrame, hashed: DataFrame, metric: str, k: int, id_col: str, vector_col: str, schema: str
 ) -> DataFrame:
     table = hashed.toArrow()
@@ -116,3 +115,35 @@ def _one_share(
     if len(asking) <= sizing.LITERAL_IDS:
         rows = rows.where(F.col("bucket").isin(list(asking)))
     return knn.per_task(rows, block, metric, [], id_col, schema)
+
+
+def _meet_in_buckets(
+    index: DataFrame, hashed: DataFrame, metric: str, k: int, id_col: str, vector_col: str, schema: str
+) -> DataFrame:
+    """For more queries than one broadcast holds: records and queries are shuffled to their buckets.
+
+    A bucket with many records, many queries or both is cut into blocks by a hash of the ids, every block of records
+    meeting every block of queries, so that no task gets more than about one block of each.
+    """
+    asked = hashed.select(F.explode(F.array_distinct("_buckets")).alias("bucket"), "query_id", "vector")
+    wanted = asked.select("bucket").distinct()
+    rows = index.select("bucket", id_col, vectors.as_double(F.col(vector_col)).alias("vector"))
+    rows = rows.join(wanted, "bucket", "left_semi")
+    pieces = lambda df, name, most: df.groupBy("bucket").agg(
+        F.ceil(F.count(F.lit(1)) / most).cast("int").alias(name)
+    )
+    sizes = pieces(rows, "_row_blocks", ROWS_PER_BLOCK).join(pieces(asked, "_query_blocks", QUERIES_PER_BLOCK), "bucket")
+    # Only the few buckets that are cut at all are looked up; all others are one block.
+    cut = sizes.where((F.col("_row_blocks") > 1) | (F.col("_query_blocks") > 1))
+
+    def dealt(df: DataFrame, own: str, own_block: str, key: str, other: str, other_block: str) -> DataFrame:
+        sized = df.join(cut, "bucket", "left").withColumns({c: F.coalesce(c, F.lit(1)) for c in (own, other)})
+        block = F.pmod(F.xxhash64(key), F.col(own)).cast("int")
+        every = F.explode(F.sequence(F.lit(0), F.col(other) - 1))
+        return sized.select("bucket", block.alias(own_block), every.alias(other_block), key, "vector")
+
+    left = dealt(rows, "_row_blocks", "_row_block", id_col, "_query_blocks", "_query_block")
+    right = dealt(asked, "_query_blocks", "_query_block", "query_id", "_row_blocks", "_row_block")
+    keys = ("bucket", "_row_block", "_query_block")
+    work = knn.block_worker(metric, k, [], id_col, keys)
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(work, schema)

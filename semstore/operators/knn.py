@@ -25,7 +25,7 @@ from semstore.operators import ranking
 from semstore.operators.filters import predicate
 from semstore.plans import arguments, sizing, workspace
 
-_TILE = 4 * 1024 * 1024  # scores held at a time
+_TILE = 2 * 1024 * 1024  # scores held at a time
 _BLOCK_BYTES = 32 * 1024 * 1024  # vectors per block of records, on the shuffled route
 _QUERY_BLOCK_BYTES = 8 * 1024 * 1024
 _WINNER_BYTES = 64  # one result row
@@ -58,17 +58,39 @@ class Queries:
         return int(self.limits.max())
 
 
+def _unit(x: np.ndarray, norms: np.ndarray) -> np.ndarray:
+    return x * np.divide(1.0, norms, out=np.zeros_like(norms), where=norms > 0)[:, None]
+
+
+def _norms(x: np.ndarray) -> np.ndarray:
+    return np.sqrt((x**2).sum(axis=1))
+
+
 class Winners:
-    """The k best records per query seen so far by one task."""
+    """The k best records per query seen so far by one task.
+
+    A matrix product with quick scores leaves out nearly all records; those that may be among the best, given how far
+    off a quick score can be, get exact scores. Both sides of the product are scaled to norms of at most one, where
+    the rounding error of a sum of ``d`` products is at most about ``d`` units in the last place.
+    """
 
     def __init__(self, queries: Queries, metric: str) -> None:
         self.queries = queries
         self.metric = metric
         self.sign = -1.0 if metric in vectors.ASCENDING else 1.0
-        self.norms = np.sqrt((queries.vectors**2).sum(axis=1))
+        self.norms = _norms(queries.vectors)
         self.kth = np.full(len(queries.keys), -np.inf)  # the score to beat, signed so that larger is better
         self.parts: list[tuple[np.ndarray, np.ndarray, pa.Array]] = []
         self.waiting = 0
+        # Distances are differences of large numbers, so they are not left to single precision.
+        self.type = np.float64 if metric == "euclidean" else np.float32
+        left = queries.vectors
+        if metric == "euclidean":
+            # |x - q|^2 <= r^2 says the same as (2q, -1).(x, |x|^2) >= |q|^2 - r^2: a product and a bound per query.
+            left = np.column_stack([2 * left, np.full(len(left), -1.0)])
+        self.left_norms = _norms(left)
+        self.left = _unit(left, self.left_norms).astype(self.type)
+        self.slack = (left.shape[1] + 8) * 2 * float(np.finfo(self.type).eps)
 
     def offer(self, ids: pa.Array, x: np.ndarray, chosen: np.ndarray | None = None) -> None:
         """Score records against the chosen queries and keep what may be among the best."""
@@ -81,54 +103,77 @@ class Winners:
         height = max(1, _TILE // max(1, width))
         for top in range(0, len(x), height):
             rows = x[top : top + height]
-            row_norms = np.sqrt((rows**2).sum(axis=1))
-            for left in range(0, len(chosen), width):
-                self._tile(ids, rows, row_norms, top, chosen[left : left + width])
-
-    def _tile(self, ids: pa.Array, x: np.ndarray, x_norms: np.ndarray, first: int, chosen: np.ndarray) -> None:
-        q, q_norms = self.queries.vectors[chosen], self.norms[chosen]
-        quick, slack, to_beat = self._quick(x, x_norms, q, q_norms, self.kth[chosen])
-        k = self.queries.k
-        likely = quick >= (to_beat - slack)[:, None]
+            norms = _norms(rows)
+            right, scale = self._right(rows, norms)
+            for start in range(0, len(chosen), width):
+                self._tile(ids, rows, norms, right, scale, top, chosen[start : start + width])
+
+    def _right(self, x: np.ndarray, norms: np.ndarray) -> tuple[np.ndarray, float]:
+        """The records' side of the product, and what it was divided by."""
+        if self.metric == "cosine":
+            return _unit(x, norms).astype(self.type), 1.0
+        if self.metric == "euclidean":
+            x = np.column_stack([x, norms**2])
+            norms = _norms(x)
+        scale = float(norms.max()) or 1.0
+        return (x / scale).astype(self.type), scale
+
+    def _bound(self, chosen: np.ndarray, scale: float, kth: np.ndarray) -> np.ndarray:
+        """The quick scores below which no record can reach the exact score ``kth``."""
+        if self.metric == "cosine":
+            return kth - self.slack
+        divisor = np.where(self.left_norms[chosen] > 0, self.left_norms[chosen], 1.0) * scale
+        if self.metric == "dot":
+            return kth / divisor - self.slack
+        # Distances close to each other on the scale of the query come out equal, and equal ones must all be seen.
+        own, reach = self.norms[chosen] ** 2, np.square(kth)
+        return (own - reach - self.slack * (own + reach)) / divisor - self.slack
+
+    def _kth_of(self, quick: np.ndarray, chosen: np.ndarray, scale: float) -> np.ndarray:
+        """A lower limit of the k-th best exact score in a tile, from its quick scores."""
+        at = quick.shape[1] - self.queries.k
+        kth = np.partition(quick, at, axis=1)[:, at].astype(np.float64) - self.slack
+        if self.metric == "cosine":
+            return kth
+        kth *= np.where(self.left_norms[chosen] > 0, self.left_norms[chosen], 1.0) * scale
+        if self.metric == "dot":
+            return kth
+        return -np.sqrt(np.maximum(self.norms[chosen] ** 2 - kth, 0)) * (1 + self.slack)
+
+    def _tile(self, ids, x, x_norms, right, scale, first: int, chosen: np.ndarray) -> None:
+        quick = self.left[chosen] @ right.T
+        k, kth = self.queries.k, self.kth[chosen]
+        likely = quick >= self._bound(chosen, scale, kth)[:, None].astype(self.type)
         if len(x) > k and np.count_nonzero(likely) > 4 * k * len(chosen):
-            # Not enough is known yet: the k-th best of these records is a bound as well.
-            to_beat = np.maximum(to_beat, np.partition(quick, len(x) - k, axis=1)[:, len(x) - k])
-            likely = quick >= (to_beat - slack)[:, None]
-        at_q, at_x = np.nonzero(likely)
+            # Not enough is known yet: these records alone give a score to beat.
+            kth = np.maximum(kth, self._kth_of(quick, chosen, scale))
+            likely = quick >= self._bound(chosen, scale, kth)[:, None].astype(self.type)
+        at_q, at_x = np.divmod(np.flatnonzero(likely), len(x))
+        if not len(at_q):
+            return
         if len(at_x) > 8 * k * len(chosen) + 1024:
             at_q, at_x = self._without_spare_copies(ids, x, first, at_q, at_x)
-        # The order of sums in a matrix product depends on the position; these do not, so equal vectors tie.
+        exact = self._exact(x, x_norms, at_x, chosen[at_q])
+        self.parts.append((chosen[at_q], exact, ids.take(pa.array(at_x + first))))
+        self.waiting += len(at_x)
+        if self.waiting > 4 * k * len(self.kth) + 100_000:
+            self._settle()
+
+    def _exact(self, x: np.ndarray, x_norms: np.ndarray, at_x: np.ndarray, at_q: np.ndarray) -> np.ndarray:
+        """Scores in double precision, whose sums do not depend on the place in a matrix: equal vectors tie."""
         exact = np.empty(len(at_x))
         for i in range(0, len(at_x), 16_384):
             part = slice(i, i + 16_384)
-            a, b = x[at_x[part]], q[at_q[part]]
+            a, b = x[at_x[part]], self.queries.vectors[at_q[part]]
             if self.metric == "euclidean":
-                exact[part] = np.sqrt(((a - b) ** 2).sum(axis=1))
+                exact[part] = _norms(a - b)
                 continue
             product = (a * b).sum(axis=1)
             if self.metric == "cosine":
-                scale = x_norms[at_x[part]] * q_norms[at_q[part]]
+                scale = x_norms[at_x[part]] * self.norms[at_q[part]]
                 product = np.divide(product, scale, out=np.zeros_like(product), where=scale > 0)
             exact[part] = product
-        self.parts.append((chosen[at_q], exact, ids.take(pa.array(at_x + first))))
-        self.waiting += len(at_x)
-        if self.waiting > 4 * k * len(self.kth) + 100_000:
-            self._settle()
-
-    def _quick(self, x, x_norms, q, q_norms, kth):
-        """Scores good enough to leave out most records, how far off they may be, and the scores to beat."""
-        quick = q @ x.T
-        if self.metric == "cosine":
-            quick *= np.divide(1.0, x_norms, out=np.zeros_like(x_norms), where=x_norms > 0)[None, :]
-            quick *= np.divide(1.0, q_norms, out=np.zeros_like(q_norms), where=q_norms > 0)[:, None]
-            return quick, np.full(len(q), 1e-9), kth
-        if self.metric == "dot":
-            return quick, 1e-9 * (x_norms.max() * q_norms + 1e-300), kth
-        # Squared distances, negated.
-        quick *= 2
-        quick -= (x_norms**2)[None, :]
-        quick -= (q_norms**2)[:, None]
-        return quick, 1e-9 * (x_norms.max() ** 2 + q_norms**2 + 1e-300), -np.square(np.minimum(kth, 0))
+        return exact
 
     def _without_spare_copies(self, ids, x, first, at_q, at_x):
         """Of records with equal vectors only the k smallest ids can win; the others are left out."""
@@ -252,14 +297,21 @@ def _per_block(
         *queries.columns,
     )
 
+    keys = ("_row_block", "_query_block")
+    work = block_worker(metric, k, flags, id_col, keys)
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(work, schema)
+
+
+def block_worker(metric: str, k: int, flags: list[str], id_col: str, keys: Sequence[str]):
+    """A function that finds the winners among one block of records, for one block of queries."""
+
     def work(records: pa.Table, asked: pa.Table) -> pa.Table:
-        block = _queries(asked.drop_columns(["_row_block", "_query_block"]), k)
-        records = records.drop_columns(["_row_block", "_query_block"])
         found = None
-        if len(block.keys) and len(records):
+        if len(asked) and len(records):
+            block = _queries(asked.drop_columns(list(keys)), k)
             winners = Winners(block, metric)
             used = [name for name in flags if name in block.groups]
-            for batch in records.select([*records.column_names[:2], *used]).to_batches(max_chunksize=16_384):
+            for batch in records.select([id_col, "vector", *used]).to_batches(max_chunksize=16_384):
                 _offer(winners, block, batch, used)
             found = winners.batch(id_col)
         if found is None:
@@ -268,8 +320,7 @@ def _per_block(
             return pa.table([pa.array([], t) for t in types], names=names)
         return found
 
-    keys = ("_row_block", "_query_block")
-    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(work, schema)
+    return work
 
 
 def _queries(table: pa.Table, k: int) -> Queries:

@@ -156,6 +156,40 @@ def test_winners_keep_the_smallest_ids_of_many_copies():
     assert table["id"] == ids[:3] * 2 and table["query_id"] == [1, 1, 1, 2, 2, 2]
 
 
+@pytest.mark.parametrize("seed", range(24))
+def test_winners_against_brute_force(seed):
+    """Odd sizes, magnitudes far apart, copies, zero vectors, and records close together far from the origin."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(seed)
+    d, n, m, k = (int(rng.integers(1, top)) for top in (70, 2_000, 40, 12))
+    size = 10.0 ** rng.integers(-8, 9)
+    x, q = rng.normal(size=(n, d)) * size, rng.normal(size=(m, d)) * 10.0 ** rng.integers(-8, 9)
+    if seed % 3 == 0:
+        x[rng.random(n) < 0.4] = x[0]
+        x[rng.random(n) < 0.05] = 0
+        q[0], q[-1] = 0, x[0]
+    if seed % 4 == 0:
+        x += 1000 * size
+        q = x[rng.integers(0, n, m)] + rng.normal(size=(m, d)) * size * 1e-3
+    for metric in ("cosine", "dot", "euclidean"):
+        winners = knn.Winners(knn.Queries(pa.array(np.arange(m)), q, np.full(m, k)), metric)
+        for part in np.array_split(rng.permutation(n), max(1, n // 500)):
+            winners.offer(pa.array(part), x[part])
+        got = {}
+        for row in winners.batch("id").to_pylist():
+            got.setdefault(row["query_id"], []).append(row["id"])
+        for i in range(m):
+            if metric == "euclidean":
+                value = -np.sqrt(((x - q[i]) ** 2).sum(axis=1))
+            else:
+                value = (x * q[i]).sum(axis=1)
+                if metric == "cosine":
+                    scale = np.sqrt((x**2).sum(axis=1)) * np.sqrt((q[i] ** 2).sum())
+                    value = np.divide(value, scale, out=np.zeros_like(value), where=scale > 0)
+            assert got[i] == np.lexsort((np.arange(n), -value))[:k].tolist()
+
+
 def test_rank_all_and_pairs(spark, coll, data):
     ranked = search.rank_all(coll, data[2].tolist()).collect()
     assert [r["id"] for r in ranked] == brute("cosine", data, data[2], 300)
@@ -194,14 +228,17 @@ def test_approximate_search(spark, coll, data, tmp_path):
     assert len({(r["query_id"], r["id"]) for r in few} & wanted) <= len(got & wanted)
 
 
-def test_approximate_search_in_shares(spark, coll, data, monkeypatch):
+def test_approximate_search_in_buckets(spark, coll, data, monkeypatch):
+    """The route for very many queries, with buckets cut into blocks: a third of the records share theirs."""
     model = approx.fit_hashes(coll)
     index = approx.build_index(coll, model)
     whole = approx.approx_search(index, asked(spark, data), model, 5).collect()
-    monkeypatch.setattr(sizing, "QUERY_BROADCAST_BYTES", 10 * DIM * 8)
-    shared = approx.approx_search(index, asked(spark, data), model, 5).collect()
+    monkeypatch.setattr(sizing, "QUERY_BROADCAST_BYTES", 0)
+    monkeypatch.setattr(approx, "ROWS_PER_BLOCK", 40)
+    monkeypatch.setattr(approx, "QUERIES_PER_BLOCK", 7)
+    shuffled = approx.approx_search(index, asked(spark, data), model, 5).collect()
     key = lambda rows: sorted((r["query_id"], r["rank"], r["id"]) for r in rows)
-    assert key(whole) == key(shared)
+    assert key(whole) == key(shuffled)
 
 
 def test_quantized_search(coll, data):
