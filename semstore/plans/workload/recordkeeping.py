@@ -232,7 +232,7 @@ def collection_search(spark, folder):
 _STORED = """
 SELECT doc_id::VARCHAR AS id, 16 AS vector_dimensions, {flag} AS was_update, length(text)::INTEGER AS text_length,
        'lang,source,text,_stored_at,_text_length,_word_count,_analysis' AS payload_keys
-FROM documents WHERE regexp_matches(text, '\\S')
+FROM documents WHERE regexp_matches(text, '\\S') AND length(text) <= 100000
 """
 
 
@@ -253,7 +253,7 @@ def store_pipeline(spark, folder):
     SELECT doc_id::VARCHAR AS id, lang, length(text)::INTEGER AS text_length,
            round(list_sum(list_transform(range(16), lambda i:
              sin((unicode(substr(text, (i % length(text) + 1)::INTEGER, 1)) + i) * 0.1))), 6) AS total
-    FROM documents WHERE regexp_matches(text, '\\S')
+    FROM documents WHERE regexp_matches(text, '\\S') AND length(text) <= 100000
     """
 )
 def stream_store(spark, folder):

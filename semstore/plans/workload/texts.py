@@ -14,6 +14,8 @@ from semstore.plans.workload.registry import register, table
 _WS = r"[\t\n\x0B\f\r \x{00A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x{FEFF}]"
 _TRIMMED = f"regexp_replace(text, '^{_WS}+|{_WS}+$', '', 'g')"
 _WORDS = f"len(list_filter(string_split_regex({_TRIMMED}, '{_WS}+'), lambda w: w <> ''))::INTEGER"
+# A text is embedded when it is neither blank nor longer than the limit.
+_EMBEDDABLE = r"(regexp_matches(text, '\S') AND length(text) <= 100000)"
 _ENGLISH = "|".join(measures.ENGLISH_WORDS)
 
 
@@ -79,13 +81,14 @@ def stored_payload(spark, folder):
     lang = F.col("lang")
     docs = _texts(spark, folder).select(
         "doc_id",
+        "lang",
         F.col("text").alias("source_text"),
         F.when(lang == "de", "own").otherwise("").alias("text"),
         F.when(lang == "en", "given").alias("content"),
     )
     clock = F.lit("2026-01-01T00:00:00Z")
     made = store.enrich(docs, text_col="source_text", payload=["text", "content"], stored_at=clock)
-    kept = F.when(F.length("text") > 3, F.md5("text")).otherwise(F.col("text"))
+    kept = F.when(lang.isin("de", "en"), F.col("text")).otherwise(F.md5("text"))
     return made.select(
         "doc_id",
         kept.alias("kept_text"),
@@ -185,7 +188,7 @@ def _wave(text: str, dim: int) -> str:
 
 @register(
     f"""
-    WITH w AS (SELECT doc_id, {_wave('text', 48)} AS v FROM documents WHERE regexp_matches(text, '\\S'))
+    WITH w AS (SELECT doc_id, {_wave('text', 48)} AS v FROM documents WHERE {_EMBEDDABLE})
     SELECT doc_id, round(list_sum(v), 6) AS total, round(v[1], 6) AS first_element, round(v[48], 6) AS last_element
     FROM w
     """
@@ -223,9 +226,9 @@ def _load_counter():
 
 
 _COUNTED = """
-SELECT doc_id, CASE WHEN NOT regexp_matches(text, '\\S') THEN 'text_blank'
+SELECT doc_id, CASE WHEN NOT regexp_matches(text, '\\S') THEN 'text_blank' WHEN length(text) > 100000 THEN 'text_too_long_to_embed'
                     WHEN contains(text, '@') THEN 'unsupported character' ELSE 'ok' END AS outcome,
-       CASE WHEN contains(text, '@') OR NOT regexp_matches(text, '\\S') THEN -1.0::DOUBLE
+       CASE WHEN contains(text, '@') OR length(text) > 100000 OR NOT regexp_matches(text, '\\S') THEN -1.0::DOUBLE
             ELSE (length(text) + 10 * (length(text) - length(replace(text, ' ', '')))
                   + 100 * (length(text) - length(replace(text, '.', ''))))::DOUBLE END AS total
 FROM documents
@@ -260,7 +263,7 @@ _TEXT_QUERY = "The art of the sentence"
 @register(
     f"""
     WITH q AS (SELECT {_wave(f"'{_TEXT_QUERY}'", 32)} AS v),
-    d AS (SELECT doc_id, lang, {_wave('text', 32)} AS v FROM documents WHERE lang = 'en' AND regexp_matches(text, '\\S'))
+    d AS (SELECT doc_id, lang, {_wave('text', 32)} AS v FROM documents WHERE lang = 'en' AND {_EMBEDDABLE})
     SELECT doc_id, lang, round(list_cosine_similarity(d.v, q.v), 6) AS score FROM d, q
     ORDER BY list_cosine_similarity(d.v, q.v) DESC, doc_id LIMIT 10
     """
@@ -276,7 +279,7 @@ def search_text(spark, folder):
 @register(
     f"""
     WITH q AS (SELECT {_wave(f"'{_TEXT_QUERY}'", 32)} AS v),
-    d AS (SELECT doc_id, text, lang, {_wave('text', 32)} AS v FROM documents WHERE regexp_matches(text, '\\S'))
+    d AS (SELECT doc_id, text, lang, {_wave('text', 32)} AS v FROM documents WHERE {_EMBEDDABLE})
     SELECT doc_id, round(list_cosine_similarity(d.v, q.v), 6) AS score, md5({_TRIMMED}) AS text, lang,
            5::BIGINT AS total_results, false AS has_filter FROM d, q
     ORDER BY list_cosine_similarity(d.v, q.v) DESC, doc_id LIMIT 5
@@ -300,7 +303,7 @@ def search_memory(spark, folder):
 @register(
     f"""
     WITH q AS (SELECT item_id, {_wave('text', 32)} AS v FROM benchmark),
-    d AS (SELECT doc_id, {_wave('text', 32)} AS v FROM documents WHERE regexp_matches(text, '\\S')),
+    d AS (SELECT doc_id, {_wave('text', 32)} AS v FROM documents WHERE {_EMBEDDABLE}),
     s AS (SELECT item_id AS query_id, doc_id, list_cosine_similarity(d.v, q.v) AS raw FROM q CROSS JOIN d),
     r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY raw DESC, doc_id) AS n FROM s)
     SELECT query_id, doc_id, round(raw, 6) AS score, n::INTEGER AS rank FROM r WHERE n <= 5
