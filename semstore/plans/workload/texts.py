@@ -12,6 +12,7 @@ from semstore.plans.workload.registry import register, table
 
 # ECMAScript white space as a regex class for RE2.
 _WS = r"[\t\n\x0B\f\r \x{00A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x{FEFF}]"
+_NON_WS = "[^" + _WS[1:]
 _TRIMMED = f"regexp_replace(text, '^{_WS}+|{_WS}+$', '', 'g')"
 _WORDS = f"len(list_filter(string_split_regex({_TRIMMED}, '{_WS}+'), lambda w: w <> ''))::INTEGER"
 # A text is embedded when it is neither blank nor longer than the limit.
@@ -54,7 +55,7 @@ def language_hints(spark, folder):
     SELECT doc_id, greatest({_WORDS}, 1) AS word_count, length(text)::INTEGER AS character_count,
            len(string_split(text, chr(10)))::INTEGER AS line_count,
            len(list_filter(string_split_regex(text, '[.!?]+'),
-               lambda s: regexp_matches(s, '[^\t\n\x0B\f\r \\x{{00A0}}\\x{{1680}}\\x{{2000}}-\\x{{200A}}\\x{{2028}}\\x{{2029}}\\x{{202F}}\\x{{205F}}\\x{{3000}}\\x{{FEFF}}]')))::INTEGER
+               lambda s: regexp_matches(s, '{_NON_WS}')))::INTEGER
              AS sentence_count,
            round(length(text) / greatest({_WORDS}, 1)::DOUBLE, 6) AS avg_word_length,
            regexp_matches(text, 'https?://') AS contains_urls, regexp_matches(text, '@\\w+\\.\\w+') AS contains_emails,
@@ -226,7 +227,8 @@ def _load_counter():
 
 
 _COUNTED = """
-SELECT doc_id, CASE WHEN NOT regexp_matches(text, '\\S') THEN 'text_blank' WHEN length(text) > 100000 THEN 'text_too_long_to_embed'
+SELECT doc_id, CASE WHEN NOT regexp_matches(text, '\\S') THEN 'text_blank'
+                    WHEN length(text) > 100000 THEN 'text_too_long_to_embed'
                     WHEN contains(text, '@') THEN 'unsupported character' ELSE 'ok' END AS outcome,
        CASE WHEN contains(text, '@') OR length(text) > 100000 OR NOT regexp_matches(text, '\\S') THEN -1.0::DOUBLE
             ELSE (length(text) + 10 * (length(text) - length(replace(text, ' ', '')))
