@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from semstore.llm.common import table
 from semstore.llm.decontaminate import contamination_report, find_contamination
+from semstore.llm.quality import quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -26,3 +27,8 @@ def query(name: str, sql: str | None = None):
 @query("op10_decontaminate")
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination_report(find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
+
+
+@query("op4_quality")
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
