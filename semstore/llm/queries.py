@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from semstore.llm.common import table
 from semstore.llm.decontaminate import contamination_report, find_contamination
+from semstore.llm.pieces import encode
 from semstore.llm.quality import quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,3 +33,10 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_quality")
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op3_sentencepiece")
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return encode(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), digest=True)
