@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from semstore.llm.common import table
 from semstore.llm.decontaminate import contamination_report, find_contamination
+from semstore.llm.language import identify
 from semstore.llm.pieces import encode
 from semstore.llm.quality import quality
 
@@ -40,3 +41,8 @@ def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     return encode(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), digest=True)
+
+
+@query("op5_language")
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(table(spark, sf_dir, "documents"))
