@@ -11,6 +11,7 @@ from semstore.llm.decontaminate import contamination_report, find_contamination
 from semstore.llm.language import identify
 from semstore.llm.pieces import encode
 from semstore.llm.quality import quality
+from semstore.llm.setsketch import near_duplicates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -46,3 +47,8 @@ def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_language")
 def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"))
+
+
+@query("op6_near_duplicates")
+def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), shingle=4, percent=80)
