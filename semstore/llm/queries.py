@@ -10,6 +10,7 @@ from semstore.llm.common import table
 from semstore.llm.decontaminate import contamination_report, find_contamination
 from semstore.llm.language import identify
 from semstore.llm.pieces import encode
+from semstore.llm.pii import find_personal_data
 from semstore.llm.quality import quality
 from semstore.llm.setsketch import near_duplicates
 
@@ -52,3 +53,8 @@ def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_near_duplicates")
 def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=4, percent=80)
+
+
+@query("op7_personal_data")
+def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_personal_data(table(spark, sf_dir, "documents"))
