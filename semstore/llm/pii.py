@@ -175,10 +175,11 @@ class Reliability:
     other: np.ndarray
 
     def posterior(self, votes: np.ndarray) -> np.ndarray:
+        """Probability that a candidate is personal data; 0 for one that no labeler supports."""
         places = np.arange(votes.shape[1])
         a = math.log(self.prior) + np.log(self.yes[places, votes]).sum(axis=1)
         b = math.log(1 - self.prior) + np.log(self.other[places, votes]).sum(axis=1)
-        return 1 / (1 + np.exp(np.clip(b - a, -50, 50)))
+        return np.where((votes == 1).any(axis=1), 1 / (1 + np.exp(np.clip(b - a, -50, 50))), 0.0)
 
 
 def votes_of(codes: np.ndarray) -> np.ndarray:

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from semstore.llm.common import table
 from semstore.llm.decontaminate import contamination_report, find_contamination
 from semstore.llm.language import identify
@@ -58,3 +59,8 @@ def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_personal_data")
 def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_personal_data(table(spark, sf_dir, "documents"))
+
+
+@query("pipeline", corpus_pipeline.ORACLE_SQL)
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
