@@ -11,10 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from semstore.llm.common import staged, table
-from semstore.llm.decontaminate import find_contamination, is_contaminated
+from semstore.llm.decontaminate import without_contaminated
 from semstore.llm.pieces import encode
 from semstore.llm.pii import redact
-from semstore.llm.quality import quality
+from semstore.llm.quality import keep_good
 from semstore.llm.setsketch import near_duplicates
 
 #: SQL cannot express the forests, the span classifier and the tokenizer: tests compare with a brute-force version.
@@ -23,19 +23,18 @@ ORACLE_SQL = None
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rule and no forest rejects; n_chars stays as it was."""
-    judged = quality(docs, table(spark, sf_dir, "labels"))
-    return only(docs, judged.where("kept"))
+    return keep_good(docs, table(spark, sf_dir, "labels"))
 
 
 def near_duplicates_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: that with the smallest id."""
-    return only(docs, near_duplicates(docs).where("kept"))
+    first = near_duplicates(docs).where("kept").select(F.col("doc_id").alias("_first")).distinct()
+    return docs.join(first, docs["doc_id"].eqNullSafe(first["_first"]), "left_semi")
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of whose words fewer than 5 % lie in benchmark windows."""
-    found = find_contamination(docs, table(spark, sf_dir, "benchmark"))
-    return only(docs, found.where(~is_contaminated(F.col("n_hit"), F.col("n_words"))))
+    return without_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def personal_data_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,11 +47,6 @@ def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return encode(docs, public_tokenizers.path("piece_bpe_32k.model"), digest=True)
 
 
-def only(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The rows of `docs` whose id is in `wanted`; ids of documents are unique."""
-    return docs.join(wanted.select("doc_id"), "doc_id", "left_semi").select(*docs.columns)
-
-
 STAGES = [
     ("quality rules", quality_rules),
     ("near duplicates", near_duplicates_out),

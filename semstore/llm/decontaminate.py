@@ -20,8 +20,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from semstore.llm.common import bytes_of, id_and_text, slices, window_hashes
+from semstore.llm.common import bytes_of, id_and_text, ship_package, slices, staged, window_hashes
 
 #: Benchmark text in one block: a block is what a task holds at once. More text makes more blocks.
 BLOCK_BYTES = 16 << 20
@@ -274,3 +275,42 @@ def contamination_report(found: DataFrame) -> DataFrame:
         F.sha2(F.array_join(items, ",").cast("binary"), 256).alias("items_sha256"),
         is_contaminated(F.col("n_hit"), F.col("n_words")).alias("contaminated"),
     )
+
+
+def without_contaminated(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "text", percent: int = 5, n: int = WINDOW, gram: int = GRAM, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """The rows of `docs` of whose words fewer than `percent` in a hundred are hit, with all their columns.
+
+    With a benchmark of one block, rows are judged where they are read. With more blocks each leaves its hit spans in a
+    list that travels with the row, which is judged at the end.
+    """
+    blocks = benchmark_blocks(benchmark, "item_id", "text", block_bytes)
+    ship_package(docs.sparkSession)
+    place = docs.columns.index(text_col)
+    schema = T.StructType([T.StructField(f"c{i}", f.dataType) for i, f in enumerate(docs.schema)] + [T.StructField("spans", T.ArrayType(T.IntegerType()))])
+    rows = docs.toDF(*schema.names[:-1]).withColumn("spans", F.array().cast("array<int>"))
+    for i, block in enumerate(blocks):
+        index = docs.sparkSession.sparkContext.broadcast(Index.build([tuple(r) for r in block.toLocalIterator()], n, min(gram, n)))
+        rows = rows.mapInArrow(_add_spans(index, f"c{place}", percent if i == len(blocks) - 1 else None), schema)
+        if i < len(blocks) - 1:
+            rows = staged(rows, "spans")  # one block in a task at a time
+    return rows.drop("spans").toDF(*docs.columns)
+
+
+def _add_spans(index, text: str, percent: int | None):
+    """Add the spans of this block; with `percent`, keep only the rows below it."""
+
+    def run(batches):
+        for batch in batches:
+            for part in slices(batch, text):
+                joined, kept = [], []
+                found = index.value.scan(bytes_of(part.column(text)))
+                for (n_words, spans, _), before in zip(found, part.column("spans").to_pylist(), strict=True):
+                    whole = np.concatenate([spans.reshape(-1, 2), np.array(before, dtype=np.int64).reshape(-1, 2)])
+                    whole = merged(whole[np.argsort(whole[:, 0], kind="stable")])
+                    hit = int((whole[:, 1] - whole[:, 0]).sum())
+                    joined.append(whole.reshape(-1).tolist())
+                    kept.append(percent is None or hit == 0 or 100 * hit < percent * n_words)
+                columns = [*part.columns[:-1], pa.array(joined, pa.list_(pa.int32()))]
+                yield pa.RecordBatch.from_arrays(columns, names=part.schema.names).filter(pa.array(kept, pa.bool_()))
+
+    return run

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
+from semstore.llm import sentences
 from semstore.llm.common import table
 from semstore.llm.decontaminate import contamination_report, find_contamination
 from semstore.llm.language import identify
@@ -64,3 +65,8 @@ def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
+
+
+@query("op9_sentence_spans")
+def op9_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentences.report(sentences.remove_repeated(table(spark, sf_dir, "documents")))
