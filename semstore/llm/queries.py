@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from semstore.llm import sentences
+from semstore.llm import bilinear, sentences
 from semstore.llm.common import table
 from semstore.llm.decontaminate import contamination_report, find_contamination
 from semstore.llm.language import identify
@@ -70,3 +70,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_sentence_spans")
 def op9_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentences.report(sentences.remove_repeated(table(spark, sf_dir, "documents")))
+
+
+@query("op1_bilinear_scores")
+def op1_bilinear_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bilinear.score(table(spark, sf_dir, "documents"))
