@@ -34,9 +34,11 @@ from semstore.llm.common import bytes_of, id_and_text, ship_package, slices, sta
 VOCABULARY, HEAD = 1_024, 1 << 17
 #: Words or triples that a task counts before it passes them on.
 HELD = 1 << 20
-SHARDS, ROUNDS, PASSES = 32, 3, 2
+#: Triples are dealt to one shard for so many of them, and to SHARDS at most.
+SHARD_TRIPLES, SHARDS = 1 << 16, 32
+ROUNDS, PASSES = 3, 3
 WIDTH, BATCH, NOISE = 24, 1_024, 64
-RATE = 0.15
+RATE = 0.5
 ADDED = 0.1
 
 
@@ -221,9 +223,10 @@ class LogBilinear:
             sums += gradient**2
             weights += RATE * gradient / np.sqrt(sums)
             return
-        kinds, which_kind = np.unique(places, return_inverse=True)
-        total = np.zeros((len(kinds), *gradient.shape[1:]))
-        np.add.at(total, which_kind, gradient / BATCH)
+        order = np.argsort(places, kind="stable")
+        ordered = places[order]
+        starts = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
+        kinds, total = ordered[starts], np.add.reduceat(gradient[order], starts, axis=0) / BATCH
         sums[kinds] += total**2
         weights[kinds] += RATE * total / np.sqrt(sums[kinds])
 
@@ -254,10 +257,16 @@ def fit(triples: DataFrame, counts: Counts, *, rounds: int = ROUNDS, passes: int
     model = LogBilinear(counts.vocabulary + 3, width, shares)
     size = len(model.pack())
     spark = triples.sparkSession
+    n_shards = min(SHARDS, max(1, math.ceil(triples.count() / SHARD_TRIPLES)))
+    # frequent triples are shared out to all shards in equal parts, so that all see about the same language
+    everywhere = F.col("n") >= n_shards
+    places = F.when(everywhere, F.sequence(F.lit(0), F.lit(n_shards - 1)))
+    own = F.array(F.pmod(F.xxhash64("code"), F.lit(n_shards)).cast("int"))
+    part = F.when(everywhere, F.col("n") / n_shards).otherwise(F.col("n").cast("double"))
+    shards = triples.select("code", part.alias("n"), F.explode(F.coalesce(places, own)).alias("shard"))
     for turn in range(rounds):
         shared = spark.sparkContext.broadcast(model.pack())
 
-        shards = triples.withColumn("shard", F.pmod(F.xxhash64("code"), F.lit(SHARDS)).cast("int"))
         made = shards.groupBy("shard").applyInPandas(_shard_work(shared, shares, width, passes, turn), "rows long, weights binary")
         total, rows = np.zeros(size), 0
         for n, weights in made.toLocalIterator():  # at most SHARDS rows of a fixed size
