@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from semstore.llm import bilinear, sentences
+from semstore.llm import bilinear, sentences, substrings
 from semstore.llm.common import table
 from semstore.llm.decontaminate import contamination_report, find_contamination
 from semstore.llm.language import identify
@@ -75,3 +75,8 @@ def op9_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op1_bilinear_scores")
 def op1_bilinear_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bilinear.score(table(spark, sf_dir, "documents"))
+
+
+@query("op8_suffix_arrays")
+def op8_suffix_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.report(substrings.remove_repeated(table(spark, sf_dir, "documents")))
