@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from semstore.llm import bilinear, sentences, substrings
+from semstore.llm import bilinear, licences, sentences, substrings
 from semstore.llm.common import table
 from semstore.llm.decontaminate import contamination_report, find_contamination
 from semstore.llm.language import identify
@@ -80,3 +80,8 @@ def op1_bilinear_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_suffix_arrays")
 def op8_suffix_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.report(substrings.remove_repeated(table(spark, sf_dir, "documents")))
+
+
+@query("op2_licences")
+def op2_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(table(spark, sf_dir, "documents"))
