@@ -37,6 +37,8 @@ HELD = 1 << 20
 #: Triples are dealt to one shard for so many of them, and to SHARDS at most.
 SHARD_TRIPLES, SHARDS = 1 << 16, 32
 ROUNDS, PASSES = 3, 3
+#: Least steps of a shard in a round.
+LEAST_STEPS = 150
 WIDTH, BATCH, NOISE = 24, 1_024, 64
 RATE = 0.5
 ADDED = 0.1
@@ -200,7 +202,7 @@ class LogBilinear:
         width = len(self.context)
         log_noise = np.log(NOISE * shares)
         chance, noise_chance = np.cumsum(n) / n.sum(), np.cumsum(shares)
-        for _ in range(max(1, math.ceil(passes * len(codes) / BATCH))):
+        for _ in range(max(LEAST_STEPS, math.ceil(passes * len(codes) / BATCH))):
             drawn = codes[np.minimum(np.searchsorted(chance, random.random(BATCH)), len(codes) - 1)]
             far, near, word = drawn // width // width, drawn // width % width, drawn % width
             noise = np.minimum(np.searchsorted(noise_chance, random.random(NOISE)), len(shares) - 1)

@@ -1,8 +1,8 @@
 """Substring deduplication by sliding sentence spans.
 
 A text is cut into sentences at end marks and line breaks; a sentence of many words is cut further after words chosen by
-their hash, so that the same passage is cut alike wherever it stands. From each sentence on, the shortest run of at
-least `run` sentences and `least_words` words is a span. Spans are hashed and counted over the whole corpus; a sentence
+their hash, so that the same passage is cut alike wherever it stands. The shortest run of at least `run`
+sentences and `least_words` words that begins at a sentence, and the shortest that ends there, are spans. They are hashed and counted over the whole corpus; a sentence
 is removed if it is covered by a repeated span that is not the first of its kind (by doc_id, then place).
 
 Defined cases: null and empty texts have no sentences; texts of any length are cut whole; sentences of punctuation only
@@ -51,17 +51,23 @@ def pieces(text: str) -> list[str]:
 
 
 def spans(parts: list[str], run: int = RUN, least_words: int = LEAST_WORDS) -> list[tuple[int, int, int]]:
-    """Hash, first sentence and end (exclusive) of the span that begins at each sentence, as far as there is one."""
+    """Hash, first sentence and end (exclusive) of the shortest spans that begin, and that end, at each sentence."""
     words = [p.lower().split() for p in parts]
     sizes = np.cumsum([0, *map(len, words)])
     own = np.array([zlib.crc32(b := " ".join(w).encode()) | zlib.adler32(b) << 32 for w in words], dtype=np.uint64)
-    ends = np.maximum(np.arange(len(parts)) + run, np.searchsorted(sizes, sizes[:-1] + least_words))
+    every = np.arange(len(parts))
+    ends = np.maximum(every + run, np.searchsorted(sizes, sizes[:-1] + least_words))
+    starts = np.minimum(every + 1 - run, np.searchsorted(sizes, sizes[1:] - least_words, side="right") - 1)
+    forward, backward = ends <= len(parts), starts >= 0
+    bounds = np.unique(
+        np.concatenate([np.column_stack([every, ends])[forward], np.column_stack([starts, every + 1])[backward]]), axis=0
+    )
     out = []
-    for length in np.unique(ends - np.arange(len(parts))):
-        hashes = window_hashes(own, int(length))
-        for i in np.flatnonzero(ends - np.arange(len(parts)) == length).tolist():
-            if ends[i] <= len(parts):
-                out.append((int(hashes[i].view(np.int64)), i, int(ends[i])))
+    length = bounds[:, 1] - bounds[:, 0]
+    for size in np.unique(length).tolist():
+        hashes = window_hashes(own, size).view(np.int64)
+        own_bounds = bounds[length == size]
+        out += zip(hashes[own_bounds[:, 0]].tolist(), *own_bounds.T.tolist(), strict=True)
     return out
 
 
