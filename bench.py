@@ -39,7 +39,6 @@ HEADLINE = (
     "upsert_latest_wins",
     "text_analysis",
     "embedding_cost",
-    "embed_charwave",
     "embed_udf",
     "embed_hashing",
     "search_texts_batch",

@@ -11,7 +11,7 @@ from collections.abc import Callable, Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import IDF, HashingTF, Normalizer, RegexTokenizer
+from pyspark.ml.feature import IDF, CountVectorizerModel, Normalizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,62 +53,50 @@ class ColumnProvider(Provider):
         return df.withColumn("vector", vector)
 
 
-class WaveProvider(ColumnProvider):
-    """A reproducible vector from the characters of a text: ``sin((unit[i mod length] + i) * 0.1)``."""
-
-    sound = True
-
-    def __init__(self, dim: int = 384) -> None:
-        if dim < 1:
-            raise EmbeddingError("dimensions must be a positive number")
-        self.dim = dim
-
-    def column(self, text: Column) -> Column:
-        # Element i looks at unit i, or wraps around in a shorter text, so the first ``dim`` characters are enough.
-        points = F.transform(F.split(F.substring(text, 1, self.dim), ""), F.ascii)
-        # A one-element array hands the units to the elements, so that they are computed once per text.
-        steps = F.sequence(F.lit(0), F.lit(self.dim - 1))
-        wave = lambda units, i: F.sin((F.element_at(units, i % F.size(units) + 1) + i) * 0.1)
-        made = F.transform(F.array(_utf16_units(points)), lambda units: F.transform(steps, lambda i: wave(units, i)))
-        return F.element_at(made, 1)
-
-
-def _utf16_units(points: Column) -> Column:
-    """Code points as UTF-16 units: those beyond 65,535 take two."""
-    pair = lambda c: F.array(
-        (F.lit(0xD800) + F.shiftright(c - 0x10000, 10)).cast("int"), (F.lit(0xDC00) + (c - 0x10000) % 1024).cast("int")
-    )
-    split = F.flatten(F.transform(points, lambda c: F.when(c > 0xFFFF, pair(c)).otherwise(F.array(c))))
-    return F.when(F.exists(points, lambda c: c > 0xFFFF), split).otherwise(points)
+#: What a word is made of, in the regular expressions of both Java and RE2.
+WORD_GAP = r"[^\p{L}\p{N}]+"
+NO_WORDS = "text_without_known_words"
 
 
 class HashingProvider(Provider):
-    """Hashed bag of words, weighted by inverse document frequency and normalised; needs no outside model."""
+    """Hashed bag of all words of a text, weighted by inverse document frequency and normalised; needs no outside model.
+
+    The place of a word is the number in the first eight hexadecimal digits of its MD5, modulo the dimension. A text
+    whose vector would be zero (no word, or only words that every document has) gets an error instead.
+    """
 
     sound = True
 
-    def __init__(self, model: PipelineModel) -> None:
+    def __init__(self, model: PipelineModel, dim: int) -> None:
         self._model = model
+        self.dim = dim
 
     @classmethod
     def fit(cls, df: DataFrame, text_col: str = "text", dim: int = 256) -> HashingProvider:
-        """Learn the word weights from a corpus, in one pass over it."""
+        """Learn the weights of the places from a corpus, in one pass over it."""
+        if dim < 1:
+            raise EmbeddingError("dimensions must be a positive number")
+        counted = CountVectorizerModel.from_vocabulary(list(map(str, range(dim))), inputCol="_places", outputCol="_counts")
         stages = [
-            RegexTokenizer(inputCol="_text", outputCol="_words", pattern=r"[^\p{L}\p{N}]+"),
-            HashingTF(inputCol="_words", outputCol="_counts", numFeatures=dim),
+            counted,
             IDF(inputCol="_counts", outputCol="_weighted"),
             Normalizer(inputCol="_weighted", outputCol="_unit"),
         ]
-        return cls(Pipeline(stages=stages).fit(_text_only(sizing.spread(df.select(text_col)), text_col)))
+        docs = sizing.spread(df.select(text_col))
+        return cls(Pipeline(stages=stages).fit(docs.select(_places(F.col(text_col), dim).alias("_places"))), dim)
 
     def apply(self, df: DataFrame, text_col: str) -> DataFrame:
-        made = self._model.transform(_text_only(df, text_col))
-        vector = F.when(F.col("error").isNull(), vector_to_array("_unit"))
-        return made.withColumn("vector", vector).drop("_text", "_words", "_counts", "_weighted", "_unit")
+        made = self._model.transform(df.withColumn("_places", _places(F.col(text_col), self.dim)))
+        vector = vector_to_array("_unit")
+        empty = F.when(~F.exists(vector, lambda x: x != 0), F.lit(NO_WORDS))
+        made = made.withColumn("error", F.coalesce("error", empty))
+        return made.withColumn("vector", F.when(F.col("error").isNull(), vector)).drop("_places", "_counts", "_weighted", "_unit")
 
 
-def _text_only(df: DataFrame, text_col: str) -> DataFrame:
-    return df.withColumn("_text", F.coalesce(text_col, F.lit("")))
+def _places(text: Column, dim: int) -> Column:
+    """The places of all words of a text, as text."""
+    words = F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), WORD_GAP), lambda w: w != "")
+    return F.transform(words, lambda w: (F.conv(F.substring(F.md5(w), 1, 8), 16, 10).cast("long") % dim).cast("string"))
 
 
 class PythonProvider(Provider):
@@ -149,7 +137,7 @@ class PythonProvider(Provider):
 
 
 def _attempt(model: Callable, texts: list[str]) -> list[tuple[list[float] | None, str | None]]:
-    """Embed together; when that fails, one by one, so that only the bad texts get an error."""
+    """Embed together; when that fails, half by half, so that only the bad texts get an error."""
     try:
         made = model(texts)
         if len(made) != len(texts):
@@ -158,13 +146,16 @@ def _attempt(model: Callable, texts: list[str]) -> list[tuple[list[float] | None
     except Exception as failure:  # noqa: BLE001 - whatever a model raises becomes the error of its text
         if len(texts) == 1:
             return [(None, str(failure) or type(failure).__name__)]
-        return [_attempt(model, [text])[0] for text in texts]
+        half = len(texts) // 2
+        return _attempt(model, texts[:half]) + _attempt(model, texts[half:])
 
 
-def embed(df: DataFrame, provider: Provider, text_col: str = "text", *, spread: bool = True) -> DataFrame:
-    """Add ``vector`` (NULL on failure) and ``error`` (NULL on success) to every row."""
+def embed(
+    df: DataFrame, provider: Provider, text_col: str = "text", *, spread: bool = True, max_length: int | None = None
+) -> DataFrame:
+    """Add ``vector`` (NULL on failure) and ``error`` (NULL on success) to every row; by default texts of any length."""
     df = sizing.spread(df) if spread else df
-    made = provider.apply(df.withColumn("error", text_reason(F.col(text_col))), text_col)
+    made = provider.apply(df.withColumn("error", text_reason(F.col(text_col), max_length)), text_col)
     if provider.sound:
         return made.select(*[c for c in made.columns if c not in ("vector", "error")], "vector", "error")
     v = F.col("vector")

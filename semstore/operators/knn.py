@@ -2,9 +2,8 @@
 
 The queries travel to the collection, never the collection to the queries. Each task multiplies Arrow batches of
 vectors with the query matrix and hands on its k best per query; no (query, record) pair is ever a row. Up to
-``sizing.QUERY_BROADCAST_BYTES`` of query vectors are broadcast. More of them are met block by block: the records
-are split by a hash of their id, the queries by a hash of theirs, and every pair of blocks, each of bounded size,
-is scored by one task. Both ways are exact.
+``sizing.QUERY_BROADCAST_BYTES`` of query vectors are broadcast. More of them, or queries that want more results than a
+task should hold, are worked off in blocks of that size, one pass over the records each. All ways are exact.
 """
 
 from __future__ import annotations
@@ -26,10 +25,10 @@ from semstore.operators.filters import predicate
 from semstore.plans import arguments, sizing, workspace
 
 _TILE = 2 * 1024 * 1024  # scores held at a time
-_BLOCK_BYTES = 32 * 1024 * 1024  # vectors per block of records, on the shuffled route
-_QUERY_BLOCK_BYTES = 8 * 1024 * 1024
 _WINNER_BYTES = 64  # one result row
+_BLOCK_WINNERS = 4_000_000  # results of one block of queries that a task may hold
 _FLAG = "filter:"
+_LARGE = 1e100  # norms below this have finite squares and products
 
 
 def matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
@@ -63,7 +62,8 @@ def _unit(x: np.ndarray, norms: np.ndarray) -> np.ndarray:
 
 
 def _norms(x: np.ndarray) -> np.ndarray:
-    return np.sqrt((x**2).sum(axis=1))
+    with np.errstate(over="ignore", invalid="ignore"):
+        return np.sqrt((x**2).sum(axis=1))
 
 
 class Winners:
@@ -99,6 +99,11 @@ class Winners:
         if x.shape[1] != self.queries.vectors.shape[1]:
             raise EmbeddingError("vectors of different dimensions cannot be compared")
         chosen = np.arange(len(self.kth)) if chosen is None else chosen
+        odd = ~(_norms(x) < _LARGE)
+        if odd.any():
+            # too large for the bounds of quick scores, or not finite: scored exactly
+            self._exactly(ids.take(pa.array(np.flatnonzero(odd))), x[odd], chosen)
+            ids, x = ids.take(pa.array(np.flatnonzero(~odd))), x[~odd]
         width = min(len(chosen), 2048)
         height = max(1, _TILE // max(1, width))
         for top in range(0, len(x), height):
@@ -108,6 +113,21 @@ class Winners:
             for start in range(0, len(chosen), width):
                 self._tile(ids, rows, norms, right, scale, top, chosen[start : start + width])
 
+    def _exactly(self, ids: pa.Array, x: np.ndarray, chosen: np.ndarray) -> None:
+        """Score records against the chosen queries without quick scores; scores that are no number are left out."""
+        norms = _norms(x)
+        step = max(1, _TILE // (8 * len(chosen)))
+        for start in range(0, len(x), step):
+            at_x = np.repeat(np.arange(start, min(start + step, len(x))), len(chosen))
+            at_q = np.tile(chosen, len(at_x) // len(chosen))
+            with np.errstate(over="ignore", invalid="ignore"):
+                exact = self._exact(x, norms, at_x, at_q)
+            number = ~np.isnan(exact)
+            self.parts.append((at_q[number], exact[number], ids.take(pa.array(at_x[number]))))
+            self.waiting += int(number.sum())
+            if self.waiting > 4 * self.queries.k * len(self.kth) + 100_000:
+                self._settle()
+
     def _right(self, x: np.ndarray, norms: np.ndarray) -> tuple[np.ndarray, float]:
         """The records' side of the product, and what it was divided by."""
         if self.metric == "cosine":
@@ -277,29 +297,20 @@ def per_task(rows: DataFrame, queries: Queries, metric: str, flags: list[str], i
     return rows.mapInArrow(work, schema)
 
 
-def _per_block(
-    rows: DataFrame, queries: DataFrame, dim: int, n_queries: int, metric: str, k: int, flags: list[str],
-    id_col: str, schema: str, block_bytes: int, query_block_bytes: int,
-) -> DataFrame:
-    """The winners of every pair of a block of records and a block of queries."""
-    workspace.ship_package(rows.sparkSession)
-    row_blocks = max(1, math.ceil(rows.count() * dim * 8 / block_bytes))
-    query_blocks = max(1, math.ceil(n_queries * dim * 8 / query_block_bytes))
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    left = rows.select(
-        (F.pmod(F.xxhash64(id_col), F.lit(row_blocks))).cast("int").alias("_row_block"),
-        every(query_blocks).alias("_query_block"),
-        *rows.columns,
-    )
-    right = queries.select(
-        every(row_blocks).alias("_row_block"),
-        (F.pmod(F.xxhash64("query_id"), F.lit(query_blocks))).cast("int").alias("_query_block"),
-        *queries.columns,
-    )
-
-    keys = ("_row_block", "_query_block")
-    work = block_worker(metric, k, flags, id_col, keys)
-    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(work, schema)
+def in_passes(
+    rows: DataFrame, queries: DataFrame, n_blocks: int, metric: str, k: int, flags: list[str], id_col: str, schema: str
+) -> DataFrame:
+    """The winners of every task, for one block of queries after the other: the records are scanned, never shuffled."""
+    block = F.pmod(F.xxhash64("query_id"), F.lit(n_blocks))
+    found = None
+    for i in range(n_blocks):
+        part = queries.where(block == i).toArrow()
+        if len(part):
+            made = _queries(part, k)
+            used = [name for name in flags if name in made.groups]
+            one = per_task(rows.select(id_col, "vector", *used), made, metric, used, id_col, schema)
+            found = one if found is None else found.unionByName(one)
+    return found
 
 
 def block_worker(metric: str, k: int, flags: list[str], id_col: str, keys: Sequence[str]):
@@ -349,8 +360,7 @@ def search_batch(
     id_col: str = "id",
     vector_col: str = "vector",
     broadcast_bytes: int = sizing.QUERY_BROADCAST_BYTES,
-    block_bytes: int = _BLOCK_BYTES,
-    query_block_bytes: int = _QUERY_BLOCK_BYTES,
+    block_winners: int = _BLOCK_WINNERS,
 ) -> DataFrame:
     """The nearest records to every query: ``query_id, id, score, rank`` and the payload columns asked for.
 
@@ -368,11 +378,12 @@ def search_batch(
         asked = asked.withColumn("filter_name", F.concat(F.lit(_FLAG), F.coalesce("filter_name", F.lit(""))))
     facts = [F.count(F.lit(1)), F.min(F.size("vector")), F.max(F.size("vector"))]
     facts.append(F.max("top_k") if "top_k" in wanted else F.lit(None))
-    facts.append(F.count_if(F.col("vector").isNull()))
+    large = F.exists("vector", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) > _LARGE / 1e10))
+    facts.append(F.count_if(F.col("vector").isNull() | large))
     facts.append(F.collect_set("filter_name") if own_filter else F.lit(None))
     n_queries, dim, longest, most, missing, names = asked.agg(*facts).first()
     if missing or (n_queries and (dim != longest or dim < 1)):
-        raise RecordError("the query vectors must not be empty and must have one dimension")
+        raise RecordError("the query vectors must not be empty, must have one dimension and finite elements of usual size")
     if "top_k" in wanted:
         k = max(arguments.top_k(most), arguments.DEFAULT_TOP_K)
     flags = sorted(names) if own_filter and names else []
@@ -394,15 +405,13 @@ def search_batch(
     few = n_queries * k * _WINNER_BYTES <= sizing.RESULT_BROADCAST_BYTES
     if n_queries == 0:
         found = coll.sparkSession.createDataFrame([], schema)
-    elif n_queries * dim * 8 <= broadcast_bytes:
+    elif (n_blocks := math.ceil(max(n_queries * dim * 8 / broadcast_bytes, n_queries * k / block_winners))) <= 1:
         fewer = sizing.winner_tasks(coll.sparkSession, tasks, n_queries * k * _WINNER_BYTES)
         if fewer < tasks:
             tasks, rows = fewer, rows.coalesce(fewer)
         found = per_task(rows, _queries(asked.toArrow(), k), metric, flags, id_col, schema)
     else:
-        found = _per_block(
-            rows, asked, dim, n_queries, metric, k, flags, id_col, schema, block_bytes, query_block_bytes
-        )
+        found = in_passes(rows, asked, n_blocks, metric, k, flags, id_col, schema)
     ranked = ranking.best_per_query(found, k, metric, id_col, tasks)
     if score_threshold is not None:
         ranked = ranked.where(ranking.beyond(metric, score_threshold))

@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from semstore.errors import RecordError
 from semstore.functions import text as texts
 from semstore.functions import vectors
-from semstore.plans.arguments import MAX_ID_LENGTH
 
-# Limits in UTF-16 units.
+# Limits in UTF-16 units, for callers that want them; none holds by default.
+MAX_ID_LENGTH = 512
 MAX_EMBED_LENGTH = 100_000
 MAX_STORE_LENGTH = 1_000_000
 MAX_PAYLOAD_LENGTH = 100_000
@@ -39,23 +39,34 @@ def record_reason(
     return _first(*rules)
 
 
-def text_reason(text: Column) -> Column:
-    """A text that can be embedded: not blank, not too long."""
-    too_long = texts.longer_than(text, MAX_EMBED_LENGTH)
-    return _first((texts.is_blank(text), "text_blank"), (too_long, "text_too_long_to_embed"))
+def text_reason(text: Column, max_length: int | None = None) -> Column:
+    """A text that can be embedded: not blank, and not longer than a limit if one is given."""
+    return _first((texts.is_blank(text), "text_blank"), *_longer(text, max_length, "text_too_long_to_embed"))
 
 
-def store_reason(id_: Column, text: Column, payload: Column | None = None) -> Column:
-    """Id, text and payload of a text to be stored. ``payload`` is a struct or a VARIANT."""
+def _longer(text: Column, limit: int | None, name: str) -> list[tuple[Column, str]]:
+    return [] if limit is None else [(texts.longer_than(text, limit), name)]
+
+
+def store_reason(
+    id_: Column,
+    text: Column,
+    payload: Column | None = None,
+    *,
+    max_id: int | None = None,
+    max_text: int | None = None,
+    max_payload: int | None = None,
+) -> Column:
+    """Id, text and payload of a text to be stored. ``payload`` is a struct or a VARIANT; limits hold where given."""
     id_ = id_.cast("string")
     rules = [
         (texts.is_blank(id_), "id_blank"),
-        (texts.longer_than(id_, MAX_ID_LENGTH), "id_too_long"),
+        *_longer(id_, max_id, "id_too_long"),
         (texts.is_blank(text), "text_blank"),
-        (texts.longer_than(text, MAX_STORE_LENGTH), "text_too_long"),
+        *_longer(text, max_text, "text_too_long"),
     ]
-    if payload is not None:
-        rules.append((texts.longer_than(F.to_json(payload), MAX_PAYLOAD_LENGTH), "payload_too_large"))
+    if payload is not None and max_payload is not None:
+        rules += _longer(F.to_json(payload), max_payload, "payload_too_large")
     return _first(*rules)
 
 

@@ -64,6 +64,18 @@ def payload_keys(df: DataFrame, names: Sequence[str]) -> Column:
     return F.array_compact(F.array(*[F.when(F.col(f"`{c}`").isNotNull(), F.lit(c)) for c in names]))
 
 
+#: The place of a row among those of its id; the greatest wins.
+ORDER = "_order"
+
+
+def _ordered(docs: DataFrame, order_by: Sequence[Column]) -> DataFrame:
+    return docs.withColumn(ORDER, F.struct(*order_by)) if order_by else docs
+
+
+def _order_column(order_by: Sequence[Column]) -> list[str]:
+    return [ORDER] if order_by else []
+
+
 def store_texts(
     docs: DataFrame,
     provider: Provider,
@@ -71,13 +83,14 @@ def store_texts(
     id_col: str = "id",
     text_col: str = "text",
     payload: Sequence[str] = (),
+    order_by: Sequence[Column] = (),
 ) -> DataFrame:
     """Plain records ``id, vector, payload..., error``; the untrimmed text is embedded, the id is trimmed."""
-    made = embed(docs, provider, text_col)
+    made = embed(_ordered(docs, order_by), provider, text_col)
     id_ = F.col(id_col).cast("string")
     reason = F.when(texts.is_blank(id_), F.lit("id_blank"))
     return made.select(
-        texts.trim(id_).alias("id"), "vector", *payload, F.coalesce(reason, F.col("error")).alias(REASON)
+        texts.trim(id_).alias("id"), "vector", *payload, *_order_column(order_by), F.coalesce(reason, F.col("error")).alias(REASON)
     )
 
 
@@ -89,15 +102,17 @@ def store_memories(
     text_col: str = "text",
     payload: Sequence[str] = (),
     stored_at: Column | None = None,
+    order_by: Sequence[Column] = (),
 ) -> DataFrame:
     """Enriched records ``id, vector, payload..., text, _stored_at ..., reject_reason``, one embedding per text."""
-    docs = sizing.spread(docs)
+    docs = _ordered(sizing.spread(docs), order_by)
     given = F.struct(*payload) if payload else None
     # The text to embed goes under a name of its own: "text" may be a payload field as well.
     marked = docs.select(
         F.col(id_col).cast("string").alias("id"),
         F.col(text_col).alias("_source"),
         *[c for c in payload if c != "id"],
+        *_order_column(order_by),
         store_reason(F.col(id_col), F.col(text_col), given).alias(REASON),
     )
     enriched = enrich(marked, text_col="_source", payload=payload, stored_at=stored_at)
@@ -109,13 +124,14 @@ def store_memories(
         *names,
         "text",
         *ADDED,
+        *_order_column(order_by),
         F.coalesce(REASON, "error").alias(REASON),
     )
 
 
 def store_report(records: DataFrame, flag: str = "was_update") -> DataFrame:
     """What is reported per stored text."""
-    inner = ("id", "vector", flag, REASON)
+    inner = ("id", "vector", flag, REASON, ORDER)
     keys = payload_keys(records, [c for c in records.columns if c not in inner])
     return records.select(
         "id",

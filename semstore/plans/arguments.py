@@ -14,7 +14,6 @@ DEFAULT_TOP_K = 10
 DEFAULT_TOOL_TOP_K = 5
 MAX_TOOL_TOP_K = 1_000
 MAX_QUERY_LENGTH = 10_000
-MAX_ID_LENGTH = 512
 
 
 def utf16_units(text: str) -> int:
@@ -50,12 +49,12 @@ def query_text(value: Any, limit: int | None = None) -> str:
     return value.strip(WHITE_SPACE)
 
 
-def record_id(value: Any) -> str:
-    """One id, trimmed."""
+def record_id(value: Any, limit: int | None = None) -> str:
+    """One id, trimmed; by default of any length."""
     if not isinstance(value, str) or not value.strip(WHITE_SPACE):
         raise RecordError("an id must not be blank")
-    if utf16_units(value) > MAX_ID_LENGTH:
-        raise RecordError(f"an id is longer than {MAX_ID_LENGTH} characters")
+    if limit is not None and utf16_units(value) > limit:
+        raise RecordError(f"an id is longer than {limit} characters")
     return value.strip(WHITE_SPACE)
 
 

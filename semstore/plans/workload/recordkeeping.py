@@ -7,9 +7,10 @@ import uuid
 from pyspark.sql import functions as F
 
 from semstore.operators import counts, filters, quality, records
-from semstore.operators.embed import WaveProvider
+from semstore.operators.embed import HashingProvider
 from semstore.plans import workspace
 from semstore.plans.workload.registry import register, table
+from semstore.plans.workload.texts import hashed
 from semstore.sources.collection import Collection
 from semstore.streaming import ingest
 
@@ -159,7 +160,14 @@ def validate_texts(spark, folder):
     made = _documents(spark, folder).select(
         "doc_id", id_.alias("id"), text.alias("text"), F.struct(note.alias("note")).alias("given")
     )
-    reason = quality.store_reason(F.col("id"), F.col("text"), F.col("given"))
+    reason = quality.store_reason(
+        F.col("id"),
+        F.col("text"),
+        F.col("given"),
+        max_id=quality.MAX_ID_LENGTH,
+        max_text=quality.MAX_STORE_LENGTH,
+        max_payload=quality.MAX_PAYLOAD_LENGTH,
+    )
     return made.select("doc_id", F.coalesce(reason, F.lit("ok")).alias("reason"))
 
 
@@ -185,6 +193,49 @@ def _new_collection(spark, name: str, dim: int, **options) -> Collection:
     return Collection.create(spark, f"{name}_{uuid.uuid4().hex}", dim, **options)
 
 
+@register(
+    """
+    SELECT label, label % 2 = 0 AS before, false AS after, count(*) FILTER (label % 2 = 0) AS records
+    FROM embeddings GROUP BY label
+    """
+)
+def collection_drop(spark, folder):
+    """A collection for every second label: which exist, what they hold, and that none is left after dropping."""
+    given = table(spark, folder, "embeddings")
+    rows = []
+    for (label,) in given.select("label").distinct().orderBy("label").collect():
+        name = f"dropped_{label}_{uuid.uuid4().hex}"
+        records_in = 0
+        if label % 2 == 0:
+            coll = Collection.create(spark, name, 64)
+            own = given.where(F.col("label") == label)
+            coll.upsert(own.select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector")))
+            records_in = coll.count()
+        before = Collection.exists(spark, name)
+        if before:
+            Collection.drop(spark, name)
+        rows.append((label, before, Collection.exists(spark, name), records_in))
+    return spark.createDataFrame(rows, "label int, before boolean, after boolean, records long")
+
+
+@register(
+    f"""
+    WITH {hashed(32)}, newest AS (SELECT doc_id::VARCHAR AS id, lang, v FROM vec JOIN documents USING (doc_id))
+    SELECT id, lang, round(list_sum(v), 6) AS total FROM newest
+    """
+)
+def store_texts(spark, folder):
+    """Plain texts embedded and upserted; of two versions of a document in one batch the later one stays."""
+    docs = _documents(spark, folder)
+    coll = _new_collection(spark, "texts", 32, payload="lang string")
+    older = docs.withColumn("text", F.lit("an older version")).withColumn("version", F.lit(1))
+    both = docs.withColumn("version", F.lit(2)).unionByName(older)
+    provider = HashingProvider.fit(docs, dim=32)
+    coll.store_texts(both, provider, id_col="doc_id", payload=["lang"], order_by=[F.col("version")], strict=False)
+    total = F.aggregate("vector", F.lit(0.0), lambda acc, x: acc + x)
+    return coll.read().select("id", "lang", F.round(total, 6).alias("total"))
+
+
 @register(
     """
     WITH e AS (SELECT vec_id::VARCHAR AS id, label, 'first' AS stage, embedding::DOUBLE[] AS v FROM embeddings
@@ -229,19 +280,18 @@ def collection_search(spark, folder):
     return found.select("id", "label", F.round("score", 6).alias("score"))
 
 
-_STORED = """
-SELECT doc_id::VARCHAR AS id, 16 AS vector_dimensions, {flag} AS was_update, length(text)::INTEGER AS text_length,
-       'lang,source,text,_stored_at,_text_length,_word_count,_analysis' AS payload_keys
-FROM documents WHERE regexp_matches(text, '\\S') AND length(text) <= 100000
-"""
-
-
-@register(_STORED.format(flag="lang <> 'en'"))
+@register(
+    r"""
+    SELECT doc_id::VARCHAR AS id, 16 AS vector_dimensions, lang <> 'en' AS was_update, length(text)::INTEGER AS text_length,
+           'lang,source,text,_stored_at,_text_length,_word_count,_analysis' AS payload_keys
+    FROM documents WHERE regexp_matches(text, '[\p{L}\p{N}]')
+    """
+)
 def store_pipeline(spark, folder):
     """Check, enrich, embed and upsert all documents into a collection that has some of them already."""
     docs = _documents(spark, folder)
     coll = _new_collection(spark, "stored", 16, payload="lang string, source string, text string")
-    provider = WaveProvider(16)
+    provider = HashingProvider.fit(docs, dim=16)
     names = {"id_col": "doc_id", "payload": ["lang", "source"]}
     coll.store_memories(docs.where(F.col("lang") != "en"), provider, strict=False, **names)
     report, _ = coll.store_memories(docs, provider, strict=False, **names)
@@ -249,21 +299,21 @@ def store_pipeline(spark, folder):
 
 
 @register(
-    """
-    SELECT doc_id::VARCHAR AS id, lang, length(text)::INTEGER AS text_length,
-           round(list_sum(list_transform(range(16), lambda i:
-             sin((unicode(substr(text, (i % length(text) + 1)::INTEGER, 1)) + i) * 0.1))), 6) AS total
-    FROM documents WHERE regexp_matches(text, '\\S') AND length(text) <= 100000
+    f"""
+    WITH {hashed(16)}
+    SELECT doc_id::VARCHAR AS id, lang, length(text)::INTEGER AS text_length, round(list_sum(v), 6) AS total
+    FROM vec JOIN documents USING (doc_id)
     """
 )
 def stream_store(spark, folder):
     """The documents as a stream of files, stored in a collection micro-batch by micro-batch."""
-    schema = _documents(spark, folder).schema
+    known = _documents(spark, folder)
     coll = _new_collection(spark, "streamed", 16, payload="lang string, _text_length int")
-    docs = ingest.text_stream(spark, folder, schema, pathGlobFilter="documents.parquet")
+    docs = ingest.text_stream(spark, f"{folder}/documents.parquet", known.schema)
     checkpoint = workspace.new_path(spark, "stream")
+    provider = HashingProvider.fit(known, dim=16)
     query = ingest.store_stream(
-        docs, coll, WaveProvider(16), checkpoint=checkpoint, id_col="doc_id", payload=["lang", "source"]
+        docs, coll, provider, checkpoint=checkpoint, id_col="doc_id", payload=["lang", "source"], order_by=[F.col("n_chars")]
     )
     query.awaitTermination()
     total = F.aggregate("vector", F.lit(0.0), lambda acc, x: acc + x)

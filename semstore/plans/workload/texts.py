@@ -15,8 +15,6 @@ _WS = r"[\t\n\x0B\f\r \x{00A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\
 _NON_WS = "[^" + _WS[1:]
 _TRIMMED = f"regexp_replace(text, '^{_WS}+|{_WS}+$', '', 'g')"
 _WORDS = f"len(list_filter(string_split_regex({_TRIMMED}, '{_WS}+'), lambda w: w <> ''))::INTEGER"
-# A text is embedded when it is neither blank nor longer than the limit.
-_EMBEDDABLE = r"(regexp_matches(text, '\S') AND length(text) <= 100000)"
 _ENGLISH = "|".join(measures.ENGLISH_WORDS)
 
 
@@ -182,39 +180,49 @@ def model_dims(spark, folder):
     )
 
 
-def _wave(text: str, dim: int) -> str:
-    return f"""list_transform(range({dim}), lambda i:
-      sin((unicode(substr({text}, (i % length({text}) + 1)::INTEGER, 1)) + i) * 0.1))"""
+def hashed(dim: int, **asked: str) -> str:
+    """Common table expressions: `vec` (doc_id, v) of all documents, and one like it for each query that is asked.
+
+    `asked` gives for each name a query of ids and texts, whose vectors use the documents' weights.
+    """
+    place = f"('0x' || substr(md5(w), 1, 8))::BIGINT % {dim}"
+
+    def vectors(name: str, source: str, id_: str) -> str:
+        return f"""
+        {name}_tok AS (SELECT {id_}, {place} AS b, count(*) AS c FROM
+          (SELECT {id_}, unnest(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+')) AS w FROM ({source})) GROUP BY ALL),
+        {name}_raw AS (SELECT {id_}, list(coalesce(c, 0) * coalesce(f, (SELECT ln(count(*) + 1) FROM documents)) ORDER BY b) AS raw
+          FROM (SELECT {id_}, b FROM (SELECT DISTINCT {id_} FROM {name}_tok) CROSS JOIN range({dim}) r(b))
+          LEFT JOIN {name}_tok USING ({id_}, b) LEFT JOIN idf USING (b) GROUP BY {id_}),
+        {name} AS (SELECT {id_}, list_transform(raw, lambda x: x / sqrt(list_dot_product(raw, raw))) AS v FROM {name}_raw
+          WHERE list_dot_product(raw, raw) > 0)"""
+
+    made = vectors("vec", "SELECT doc_id, text FROM documents", "doc_id")
+    first, rest = made.split("vec_raw AS", 1)
+    idf = "idf AS (SELECT b, ln(((SELECT count(*) FROM documents) + 1) / (count(*) + 1)) AS f FROM vec_tok GROUP BY b)"
+    others = [vectors(name, source, "query_id") for name, source in asked.items()]
+    return ",".join([first.rstrip().rstrip(","), idf, f"vec_raw AS{rest}", *others])
 
 
 @register(
     f"""
-    WITH w AS (SELECT doc_id, {_wave('text', 48)} AS v FROM documents WHERE {_EMBEDDABLE})
-    SELECT doc_id, round(list_sum(v), 6) AS total, round(v[1], 6) AS first_element, round(v[48], 6) AS last_element
-    FROM w
+    WITH {hashed(128)}
+    SELECT doc_id, round(list_sum(v), 6) AS total, round(v[1], 6) AS first_element, round(list_max(v), 6) AS largest FROM vec
     """
 )
-def embed_charwave(spark, folder):
-    made = embed.embed(_documents(spark, folder), embed.WaveProvider(48)).where(F.col("error").isNull())
+def embed_hashing(spark, folder):
+    """Hashed bags of all words, weighted over the whole corpus."""
+    docs = _documents(spark, folder)
+    made = embed.embed(docs, embed.HashingProvider.fit(docs, dim=128)).where(F.col("error").isNull())
     total = F.aggregate("vector", F.lit(0.0), lambda acc, x: acc + x)
     return made.select(
         "doc_id",
         F.round(total, 6).alias("total"),
         F.round(F.element_at("vector", 1), 6).alias("first_element"),
-        F.round(F.element_at("vector", -1), 6).alias("last_element"),
+        F.round(F.array_max("vector"), 6).alias("largest"),
     )
 
 
-@register()
-def embed_hashing(spark, folder):
-    """Hashed bags of words, weighted over the whole corpus."""
-    docs = _documents(spark, folder)
-    provider = embed.HashingProvider.fit(docs, dim=128)
-    made = embed.embed(docs, provider).where(F.col("error").isNull())
-    total = F.aggregate("vector", F.lit(0.0), lambda acc, x: acc + x * x)
-    return made.select("doc_id", F.size("vector").alias("dim"), F.round(total, 6).alias("squares"))
-
-
 def _load_counter():
     """A stand-in for a model: counts characters, spaces and stops, and refuses texts with an at sign."""
 
@@ -228,9 +236,8 @@ def _load_counter():
 
 _COUNTED = """
 SELECT doc_id, CASE WHEN NOT regexp_matches(text, '\\S') THEN 'text_blank'
-                    WHEN length(text) > 100000 THEN 'text_too_long_to_embed'
                     WHEN contains(text, '@') THEN 'unsupported character' ELSE 'ok' END AS outcome,
-       CASE WHEN contains(text, '@') OR length(text) > 100000 OR NOT regexp_matches(text, '\\S') THEN -1.0::DOUBLE
+       CASE WHEN contains(text, '@') OR NOT regexp_matches(text, '\\S') THEN -1.0::DOUBLE
             ELSE (length(text) + 10 * (length(text) - length(replace(text, ' ', '')))
                   + 100 * (length(text) - length(replace(text, '.', ''))))::DOUBLE END AS total
 FROM documents
@@ -259,39 +266,40 @@ def embed_totals(spark, folder):
     return counts.embedding_totals(made)
 
 
-_TEXT_QUERY = "The art of the sentence"
+_TEXT_QUERY = "the art of the and in that word with a la der"
+_ASKED = f"SELECT 0 AS query_id, '{_TEXT_QUERY}' AS text"
 
 
 @register(
     f"""
-    WITH q AS (SELECT {_wave(f"'{_TEXT_QUERY}'", 32)} AS v),
-    d AS (SELECT doc_id, lang, {_wave('text', 32)} AS v FROM documents WHERE lang = 'en' AND {_EMBEDDABLE})
-    SELECT doc_id, lang, round(list_cosine_similarity(d.v, q.v), 6) AS score FROM d, q
-    ORDER BY list_cosine_similarity(d.v, q.v) DESC, doc_id LIMIT 10
+    WITH {hashed(64, q=_ASKED)},
+    d AS (SELECT doc_id, lang, vec.v, q.v AS qv FROM vec JOIN documents USING (doc_id), q WHERE lang = 'en')
+    SELECT doc_id, lang, round(list_cosine_similarity(v, qv), 6) AS score FROM d
+    ORDER BY list_cosine_similarity(v, qv) DESC, doc_id LIMIT 10
     """
 )
 def search_text(spark, folder):
-    provider = embed.WaveProvider(32)
-    docs = embed.embed(_documents(spark, folder), provider).where(F.col("error").isNull())
-    coll = docs.select("doc_id", "lang", "vector")
+    docs = _documents(spark, folder)
+    provider = embed.HashingProvider.fit(docs, dim=64)
+    coll = embed.embed(docs, provider).where(F.col("error").isNull()).select("doc_id", "lang", "vector")
     found = search.search_text(coll, f"  {_TEXT_QUERY}\n", provider, where={"lang": "en"}, id_col="doc_id")
     return found.withColumn("score", F.round("score", 6))
 
 
 @register(
     f"""
-    WITH q AS (SELECT {_wave(f"'{_TEXT_QUERY}'", 32)} AS v),
-    d AS (SELECT doc_id, text, lang, {_wave('text', 32)} AS v FROM documents WHERE {_EMBEDDABLE})
-    SELECT doc_id, round(list_cosine_similarity(d.v, q.v), 6) AS score, md5({_TRIMMED}) AS text, lang,
-           5::BIGINT AS total_results, false AS has_filter FROM d, q
-    ORDER BY list_cosine_similarity(d.v, q.v) DESC, doc_id LIMIT 5
+    WITH {hashed(64, q=_ASKED)}, d AS (SELECT doc_id, text, lang, vec.v, q.v AS qv FROM vec JOIN documents USING (doc_id), q)
+    SELECT doc_id, round(list_cosine_similarity(v, qv), 6) AS score, md5({_TRIMMED}) AS text, lang,
+           5::BIGINT AS total_results, false AS has_filter FROM d
+    ORDER BY list_cosine_similarity(v, qv) DESC, doc_id LIMIT 5
     """
 )
 def search_memory(spark, folder):
     """Text search with the result text, the number of results and whether a filter was given."""
-    provider = embed.WaveProvider(32)
-    docs = embed.embed(_documents(spark, folder), provider).where(F.col("error").isNull()).drop("error")
-    found = search.search_memory(docs, _TEXT_QUERY, provider, id_col="doc_id")
+    docs = _documents(spark, folder)
+    provider = embed.HashingProvider.fit(docs, dim=64)
+    coll = embed.embed(docs, provider).where(F.col("error").isNull()).drop("error")
+    found = search.search_memory(coll, _TEXT_QUERY, provider, id_col="doc_id")
     return found.select(
         "doc_id",
         F.round("score", 6).alias("score"),
@@ -304,20 +312,20 @@ def search_memory(spark, folder):
 
 @register(
     f"""
-    WITH q AS (SELECT item_id, {_wave('text', 32)} AS v FROM benchmark),
-    d AS (SELECT doc_id, {_wave('text', 32)} AS v FROM documents WHERE {_EMBEDDABLE}),
-    s AS (SELECT item_id AS query_id, doc_id, list_cosine_similarity(d.v, q.v) AS raw FROM q CROSS JOIN d),
+    WITH {hashed(64, q="SELECT item_id AS query_id, text FROM benchmark")},
+    s AS (SELECT query_id, doc_id, list_cosine_similarity(vec.v, q.v) AS raw FROM q CROSS JOIN vec),
     r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY raw DESC, doc_id) AS n FROM s)
     SELECT query_id, doc_id, round(raw, 6) AS score, n::INTEGER AS rank FROM r WHERE n <= 5
     """
 )
 def search_texts_batch(spark, folder):
     """Every benchmark text as a query over all documents."""
-    provider = embed.WaveProvider(32)
-    docs = embed.embed(_documents(spark, folder), provider).where(F.col("error").isNull())
-    asked = embed.embed(table(spark, folder, "benchmark"), provider)
+    docs = _documents(spark, folder)
+    provider = embed.HashingProvider.fit(docs, dim=64)
+    coll = embed.embed(docs, provider).where(F.col("error").isNull())
+    asked = embed.embed(table(spark, folder, "benchmark"), provider).where(F.col("error").isNull())
     queries = asked.select(F.col("item_id").alias("query_id"), "vector")
-    found = knn.search_batch(docs, queries, 5, id_col="doc_id")
+    found = knn.search_batch(coll, queries, 5, id_col="doc_id")
     return found.withColumn("score", F.round("score", 6))
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 import zipfile
@@ -9,14 +10,18 @@ from pathlib import Path
 
 from pyspark.sql import SparkSession
 
+from semstore.errors import RecordError
+
 SETTING = "spark.checkpoint.dir"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names; where it names none (a single machine), a new temporary one is set."""
+    """The folder the cluster names; where it names none, a new temporary one on a single machine, else an error."""
     folder = spark.conf.get(SETTING, None)
     if not folder:
         folder = spark.sparkContext.getCheckpointDir()
+    if not folder and not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise RecordError(f"set {SETTING} to a folder that all executors share")
     if not folder:
         folder = tempfile.mkdtemp(prefix="semstore-")
         spark.sparkContext.setCheckpointDir(folder)
@@ -28,6 +33,12 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder through the file system that holds it; one that does not exist is passed over."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def ship_package(spark: SparkSession) -> None:
     """Send this package to the Python workers, once per application, so that it need not be installed there."""
     context = spark.sparkContext

@@ -3,7 +3,7 @@
 A change costs as much as the change: upserts and deletions are written next to the base, each into a directory of
 its own, and the table properties name the directories that count. Setting that one property is the commit, so a
 writer that dies leaves nothing half done. Reading puts the newest change of an id in place of its base record;
-``compact`` rewrites the base. One writer at a time is assumed.
+``compact`` rewrites the base; many changes are folded into one now and then. One writer at a time is assumed.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from semstore.functions import vectors
 from semstore.operators import counts, quality, recommend, records, search, store
 from semstore.operators.embed import Provider
 from semstore.operators.knn import search_batch
-from semstore.operators.filters import is_empty, predicate
+from semstore.operators.filters import predicate
 from semstore.plans import arguments, sizing, workspace
 
 _PROPERTY = "semstore."
@@ -75,7 +75,7 @@ class Collection:
         root = root or workspace.new_path(spark, name)
         base = f"{root}/base-{uuid.uuid4().hex[:8]}"
         spark.createDataFrame([], schema).write.parquet(base)
-        properties = {"dim": size, "metric": metric, "root": root, "changes": "", "compact_after": compact_after}
+        properties = {"dim": size, "metric": metric, "root": root, "base": base, "changes": "", "compact_after": compact_after}
         pairs = ", ".join(f"'{_PROPERTY}{k}' = '{_escaped(v)}'" for k, v in properties.items())
         fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
         spark.sql(
@@ -90,10 +90,12 @@ class Collection:
 
     @staticmethod
     def drop(spark: SparkSession, name: str) -> None:
-        """Forget a collection; one that does not exist is an error."""
-        if not Collection.exists(spark, name):
-            raise RecordError(f"there is no collection {name!r}")
+        """Forget a collection and delete its files; one that does not exist is an error."""
+        coll = Collection(spark, name)
+        paths = coll._files()
         spark.sql(f"DROP TABLE {_quote(name)}")
+        for path in paths:
+            workspace.remove(spark, path)
 
     def describe(self) -> DataFrame:
         return counts.describe(self.read(), self.name, self.dim, self.metric)
@@ -116,6 +118,9 @@ class Collection:
         """The changes that count, oldest first, as ``<number>-<bytes of ids>-<folder>``."""
         return [n for n in self._properties()["changes"].split(",") if n]
 
+    def _base_path(self) -> str:
+        return self._properties()["base"]
+
     def _change_path(self, folder: str) -> str:
         return f"{self.root}/change-{folder}"
 
@@ -158,15 +163,38 @@ class Collection:
         if size or properties:
             self._set(changes=",".join(names), **properties)
         if len(names) >= self.compact_after:
-            self.compact()
+            self._fold()
+
+    def _fold(self) -> None:
+        """Put the newest change of every id into one change; the base and what has been read stay as they are."""
+        names = self._change_names()
+        last, size = int(names[-1].split("-")[0]), sum(int(n.split("-")[1]) for n in names)
+        folder = uuid.uuid4().hex[:8]
+        records.latest(self._changes(names), [F.col("_seq").desc()]).write.parquet(self._change_path(folder))
+        old = [*self._old(), *(n.split("-")[2] for n in names)]
+        self._set(changes=f"{last}-{size}-{folder}", old=",".join(old))
+
+    def _old(self) -> list[str]:
+        """Changes that no longer count but still lie beside the base."""
+        return [n for n in self._properties().get("old", "").split(",") if n]
+
+    def _files(self) -> list[str]:
+        folders = [*self._old(), *(n.split("-")[2] for n in self._change_names())]
+        return [self._base_path(), *map(self._change_path, folders)]
 
     def compact(self) -> None:
-        """Write the current records as the new base, ordered by id. A crash half-way changes no result."""
+        """Write the current records as the new base, ordered by id, and delete what it replaces.
+
+        A crash half-way changes no result. Results read before are gone with their files.
+        """
+        replaced = self._files()
         base = f"{self.root}/base-{uuid.uuid4().hex[:8]}"
         self._current().repartitionByRange("id").sortWithinPartitions("id").write.parquet(base)
         self.spark.sql(f"ALTER TABLE {self._quoted} SET LOCATION '{_escaped(base)}'")
-        self._set(changes="")
+        self._set(changes="", old="", base=base)
         self.spark.catalog.refreshTable(self._quoted)
+        for path in replaced:
+            workspace.remove(self.spark, path)
 
     def _shaped(self, batch: DataFrame) -> DataFrame:
         """A batch in the columns of the collection; undeclared fields are packed into the VARIANT payload."""
@@ -201,8 +229,12 @@ class Collection:
         if strict:
             quality.require_valid(rejects)
         batch = self._shaped(valid).withColumn("id", texts.trim(F.col("id").cast("string")))
-        newest = [F.col("_order").desc()] if "_order" in batch.columns else [F.col("id").asc()]
-        batch = records.latest(batch, newest)
+        if "_order" in batch.columns:
+            batch = records.latest(batch, [F.col("_order").desc()])
+        else:
+            twice = batch.groupBy("id").count().where("count > 1").select("id").limit(1).collect()
+            if twice:
+                raise RecordError(f"id {twice[0][0]!r} occurs more than once in the batch: give order_by")
         vector = vectors.as_double(F.col("vector"))
         self._commit(
             batch.withColumn("vector", vector).withColumn(_NORM, vectors.norm(vector)).withColumn("_deleted", F.lit(False)),
@@ -230,8 +262,10 @@ class Collection:
         self, docs: DataFrame, provider: Provider, *, strict: bool = True, properties: Mapping | None = None, **columns
     ) -> tuple[DataFrame, DataFrame]:
         """Enrich, embed and upsert texts; returns the report of what was stored, and the rejects."""
-        staged = store.store_memories(docs, provider, **columns)
-        staged = self._staged(records.existing_flags(staged, self._current()))
+        # staged before the flags are added, which read it twice: each text is embedded once
+        staged = self._staged(store.store_memories(docs, provider, **columns))
+        staged = records.existing_flags(staged, self._current())
+        staged = self._staged(staged)
         accepted = staged.where(F.col(quality.REASON).isNull())
         rejects = self._apply_stored(staged.drop("was_update"), strict, properties or {})
         return store.store_report(accepted), rejects
@@ -273,14 +307,13 @@ class Collection:
         return records.scroll(self.read(), **options)
 
     def count(self, where: Mapping | None = None, *, exact: bool = True) -> int:
-        """The number of records. Without a filter, an inexact count needs no join of base and changes."""
-        if not exact and is_empty(where):
-            ids = self.spark.table(self._quoted).select("id")
-            names = self._change_names()
-            ids = ids.union(self._changes(names).where(~F.col("_deleted")).select("id")) if names else ids
-            return counts.count_records(ids, exact=False).first()["count"]
+        """The number of records; an inexact count estimates it from a sketch of the ids."""
         return counts.count_records(self.read(), where, exact=exact).first()["count"]
 
+    def count_memory(self, where: Mapping | None = None, *, exact: bool = False) -> DataFrame:
+        """The count with checked arguments and the name of this collection."""
+        return counts.count_memory(self.read(), where, exact=exact, collection=self.name)
+
     def _check_query(self, query: search.Query) -> None:
         if not isinstance(query, DataFrame):
             vectors.check_same_dim(self.dim, len(vectors.as_vector(query)))

@@ -10,9 +10,11 @@ from semstore.sources.collection import Collection
 
 
 def text_stream(spark: SparkSession, path: str, schema, *, files_per_batch: int = 1_000, **options) -> DataFrame:
-    """Parquet files as they appear in a folder."""
+    """Parquet files as they appear in a folder: that of a table, or one of many tables. A single file is a table too."""
     reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
-    return reader.options(**options).parquet(path)
+    # a pattern that only the path itself matches lets a single file be read as well
+    head, _, name = path.rstrip("/").rpartition("/")
+    return reader.options(**options).parquet(f"{head}/{name[:-1]}[{name[-1]}]")
 
 
 def store_stream(

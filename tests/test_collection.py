@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from semstore import Collection, RecordError
 from semstore.errors import EmbeddingError
-from semstore.operators.embed import PythonProvider, WaveProvider
+from semstore.operators.embed import PythonProvider
 from semstore.plans import sizing, workspace
 from semstore.streaming import ingest
+from stand_ins import WaveProvider
 
 WAVE = WaveProvider(32)
 
@@ -152,7 +153,7 @@ def test_changes_then_compaction(spark, new, monkeypatch, limit):
     expected = {f"k{i}": (i, "small" if i < 3 else "old") for i in range(15)} | {"k16": (16, "back")}
     assert state() == expected
     assert [r["id"] for r in coll.search([1.0, 0.0], 2).collect()] == ["k16", "k14"]
-    assert coll.count(exact=False) >= 15
+    assert coll.count(exact=False) == 16 and coll.count_memory().first()["collection"] == coll.name
     coll.compact()
     assert state() == expected and Collection(spark, coll.name).count() == 16
     assert [r["id"] for r in coll.scroll(limit=2, offset="k1").collect()] == ["k10", "k11"]
@@ -162,11 +163,67 @@ def test_changes_then_compaction(spark, new, monkeypatch, limit):
         coll.update_where({"n": 1}, {"unknown": 1})
 
 
-def test_compaction_by_itself(spark, new):
-    coll = new(1, compact_after=2)
-    for i in range(5):
+def test_many_changes_are_folded(spark, new):
+    coll = new(1, compact_after=3)
+    base = coll._base_path()
+    for i in range(7):
+        coll.upsert(spark.createDataFrame([(f"k{i % 5}", [float(i + 1)])], "id string, vector array<double>"))
+    assert coll.count() == 5 and len(coll._change_names()) <= 2 and coll._base_path() == base
+    assert {r["id"]: r["vector"] for r in coll.read().collect()}["k1"] == [7.0]
+
+
+def test_files_are_removed(spark, new, tmp_path):
+    coll = new(1, root=str(tmp_path / "own"), compact_after=3)
+    for i in range(4):
         coll.upsert(spark.createDataFrame([(f"k{i}", [1.0])], "id string, vector array<double>"))
-    assert coll.count() == 5 and len(coll._change_names()) == 1
+    coll.compact()
+    assert len(list((tmp_path / "own").iterdir())) == 1 and coll.count() == 4
+    Collection.drop(spark, coll.name)
+    assert not list((tmp_path / "own").iterdir())
+
+
+def test_the_latest_version_in_a_batch_wins(spark, new):
+    coll = new(payload="n int")
+    docs = texts(spark, [("a", "old text", 1), ("a", "new text", 3), ("a", "middle", 2), ("b", "one", 1)], "n int")
+    for store in (coll.store_texts, coll.store_memories):
+        with pytest.raises(RecordError, match="more than once"):
+            store(docs, WAVE, payload=["n"])
+        store(docs, WAVE, payload=["n"], order_by=[F.col("n")])
+        assert {r["id"]: r["n"] for r in coll.read().collect()} == {"a": 3, "b": 1}
+
+
+def test_each_text_is_embedded_once(spark, new):
+    calls = spark.sparkContext.accumulator(0)
+
+    def load():
+        def model(batch):
+            calls.add(len(batch))
+            return [[1.0, 2.0] for _ in batch]
+
+        return model
+
+    coll = new(2)
+    coll.store_memories(texts(spark, [(f"k{i}", "text", 1) for i in range(50)], "n int"), PythonProvider(load))
+    assert calls.value == 50
+
+
+def test_a_very_long_text_is_stored_and_found(spark, new):
+    coll = new()
+    long = "word " * 400_000 + "end"
+    report, rejects = coll.store_memories(texts(spark, [("a", long, 1), ("b", "short", 2)], "n int"), WAVE)
+    assert rejects.count() == 0 and {r["text_length"] for r in report.collect()} == {len(long), 5}
+    assert coll.search_text(long, WAVE, 1).first()["id"] == "a"
+
+
+@pytest.mark.parametrize("folder", [True, False])
+def test_stream_of_a_table(spark, new, tmp_path, folder):
+    path = str(tmp_path / "docs.parquet")
+    rows = spark.createDataFrame([("a", "one", "en"), ("b", "two", "fr")], "id string, text string, lang string")
+    rows.repartition(2).write.parquet(path) if folder else rows.toPandas().to_parquet(path)
+    coll = new(payload="lang string")
+    docs = ingest.text_stream(spark, path, rows.schema)
+    ingest.store_stream(docs, coll, WAVE, checkpoint=str(tmp_path / "checkpoint"), payload=["lang"]).awaitTermination()
+    assert ids(coll.read()) == ["a", "b"]
 
 
 def test_batch_search_and_recommend(spark, new):

@@ -1,3 +1,4 @@
+import hashlib
 import math
 import sys
 
@@ -11,6 +12,7 @@ from semstore.operators import counts, embed, search
 
 # The model below is not importable on the workers.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
+from stand_ins import WaveProvider
 
 
 def wave(text, dim):
@@ -25,7 +27,7 @@ def docs(spark):
 
 
 def test_wave_vectors(docs):
-    made = {r["id"]: r for r in embed.embed(docs, embed.WaveProvider(20)).collect()}
+    made = {r["id"]: r for r in embed.embed(docs, WaveProvider(20), max_length=100_000).collect()}
     for r in docs.where("id in (1, 2, 3, 7)").collect():
         assert made[r["id"]]["vector"] == pytest.approx(wave(r["text"], 20)) and made[r["id"]]["error"] is None
     assert made[4]["error"] == made[5]["error"] == "text_blank" and made[4]["vector"] is None
@@ -80,10 +82,21 @@ def test_hashing_provider_finds_related_texts(spark):
     assert {r["id"] for r in found} == {1, 2}
 
 
+def test_hashing_reads_whole_texts(spark):
+    head = "word " * 3_000
+    rows = [(1, head + "alpha"), (2, head + "beta"), (3, "..."), (4, "word"), (5, "t " * 1_000_000 + "gamma")]
+    df = spark.createDataFrame(rows, "id int, text string")
+    provider = embed.HashingProvider.fit(df, dim=64)
+    made = {r["id"]: r for r in embed.embed(df, provider).collect()}
+    assert made[1]["vector"] != made[2]["vector"] and made[3]["error"] == embed.NO_WORDS and made[3]["vector"] is None
+    place = int(hashlib.md5(b"gamma").hexdigest()[:8], 16) % 64
+    assert made[5]["vector"][place] > 0
+
+
 def test_search_memory(spark):
     rows = [(1, "alpha", "A", None), (2, "beta", "B", " kept "), (3, "alphabet", "A", None)]
     df = spark.createDataFrame(rows, "id int, title string, kind string, content string")
-    provider = embed.WaveProvider(16)
+    provider = WaveProvider(16)
     coll = embed.embed(df, provider, "title").drop("error")
     found = search.search_memory(coll, " alpha ", provider, where={"kind": "A"}).collect()
     assert [r["id"] for r in found] == [1, 3]
@@ -95,16 +108,16 @@ def test_search_memory(spark):
 @pytest.mark.parametrize("arguments", [("", 5), ("  ", 5), ("q" * 10_001, 5), ("q", 0), ("q", 1001), ("q", 2.5), (None, 5)])
 def test_search_memory_refuses(spark, docs, arguments):
     with pytest.raises(RecordError):
-        search.search_memory(docs, arguments[0], embed.WaveProvider(4), arguments[1])
+        search.search_memory(docs, arguments[0], WaveProvider(4), arguments[1])
 
 
 def test_search_memory_refuses_a_filter_that_is_no_dict(docs):
     with pytest.raises(RecordError):
-        search.search_memory(docs, "q", embed.WaveProvider(4), 5, [1])
+        search.search_memory(docs, "q", WaveProvider(4), 5, [1])
 
 
 def test_provider_arguments():
     with pytest.raises(EmbeddingError):
-        embed.WaveProvider(0)
+        WaveProvider(0)
     with pytest.raises(EmbeddingError):
         embed.PythonProvider(load, batch_size=0)

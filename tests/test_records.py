@@ -117,7 +117,11 @@ def test_store_rules(spark):
         ("\U0001f600" * 257, "t", "p", "id_too_long"),
     ]
     df = spark.createDataFrame(rows, "id string, text string, p string, expected string")
-    reason = quality.store_reason(F.col("id"), F.col("text"), F.struct(F.col("p").alias("payload")))
+    given = F.struct(F.col("p").alias("payload"))
+    limits = {"max_id": quality.MAX_ID_LENGTH, "max_text": quality.MAX_STORE_LENGTH, "max_payload": quality.MAX_PAYLOAD_LENGTH}
+    reason = quality.store_reason(F.col("id"), F.col("text"), given, **limits)
+    free = quality.store_reason(F.col("id"), F.col("text"), given)
+    assert df.where(free.isin("id_too_long", "text_too_long", "payload_too_large")).count() == 0
     for row in df.select("expected", reason.alias("got")).collect():
         assert row["got"] == row["expected"]
 
@@ -128,6 +132,6 @@ def test_arguments():
     assert arguments.query_text(" a ") == "a" and arguments.record_id(" a ") == "a"
     assert arguments.record_ids([" a", "a", 3]) == ["a", "3"]
     assert arguments.collection_name(None) == "default"
-    for bad in (lambda: arguments.record_id("i" * 513), lambda: arguments.record_id(3), lambda: arguments.top_k(True)):
+    for bad in (lambda: arguments.record_id("i" * 513, 512), lambda: arguments.record_id(3), lambda: arguments.top_k(True)):
         with pytest.raises(RecordError):
             bad()

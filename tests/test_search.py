@@ -90,7 +90,8 @@ def asked(spark, data, **columns):
 
 ROUTES = {
     "broadcast": {},
-    "blocks": {"broadcast_bytes": 0, "block_bytes": 50 * DIM * 8, "query_block_bytes": 7 * DIM * 8},
+    "blocks": {"broadcast_bytes": 7 * DIM * 8},
+    "few results": {"block_winners": 40},
 }
 
 
@@ -128,6 +129,24 @@ def test_batch_search_with_own_limits_and_filters(spark, coll, data, route):
     assert got == {q: brute("cosine", data, data[q], q % 5 or 10, keep[q % 3]) for q in range(40)}
 
 
+@pytest.mark.parametrize("metric", ["cosine", "dot", "euclidean"])
+def test_one_huge_vector_hides_no_other(spark, metric):
+    rows = [(f"k{i}", [float(i), 1.0]) for i in range(30)] + [("huge", [1e200, 1.0])]
+    coll = spark.createDataFrame(rows, "id string, vector array<double>")
+    queries = spark.createDataFrame([(1, [1.0, 0.5])], "query_id int, vector array<double>")
+    found = [r["id"] for r in knn.search_batch(coll, queries, 31, metric=metric).orderBy("rank").collect()]
+    assert found == [r["id"] for r in search.search(coll, [1.0, 0.5], 31, metric=metric).collect()]
+    bad = spark.createDataFrame([(1, [float("nan"), 0.5])], "query_id int, vector array<double>")
+    with pytest.raises(RecordError):
+        knn.search_batch(coll, bad, 3, metric=metric)
+
+
+def test_batch_search_shuffles_no_records(spark, coll, data):
+    found = knn.search_batch(coll, asked(spark, data), 6, **ROUTES["blocks"])
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert not [line for line in plan.splitlines() if "Exchange" in line and "vector" in line]
+
+
 def test_batch_search_of_nothing(spark, coll, data):
     assert knn.search_batch(coll, asked(spark, data).limit(0), 5).count() == 0
     assert knn.search_batch(coll.limit(0), asked(spark, data), 5).count() == 0
