@@ -396,16 +396,19 @@ def _variant_number(value: Column) -> Column:
     return F.when(is_number, F.try_variant_get(value, "$", "double"))
 
 
-def _variant_equals(value: Column, wanted: Any) -> Column:
-    family = _family_of_value(wanted)
-    if family == "number":
-        return _variant_number(value) == F.lit(float(wanted))
-    kind, spark_type = ("STRING", "string") if family == "string" else ("BOOLEAN", "boolean")
-    return (F.schema_of_variant(value) == kind) & (F.try_variant_get(value, "$", spark_type) == F.lit(wanted))
-
-
-def _is_equal_to(wanted: Any):
-    return lambda element: F.coalesce(_variant_equals(element, wanted), F.lit(False))
+def _variant_in(value: Column, wanted: Sequence[Any]) -> Column:
+    """Whether a value equals one of those wanted: one test per family of types, however many there are."""
+    families: dict[str, list] = {}
+    for one in wanted:
+        families.setdefault(_family_of_value(one), []).append(one)
+    hits = []
+    for family, values in families.items():
+        if family == "number":
+            hits.append(_variant_number(value).isin([float(v) for v in values]))
+            continue
+        kind, spark_type = ("STRING", "string") if family == "string" else ("BOOLEAN", "boolean")
+        hits.append((F.schema_of_variant(value) == kind) & F.try_variant_get(value, "$", spark_type).isin(values))
+    return _any_hit(hits)
 
 
 def _variant_leaf(value: Column, kind: str, argument: Any) -> Column:
@@ -414,10 +417,7 @@ def _variant_leaf(value: Column, kind: str, argument: Any) -> Column:
         elements = F.when(
             F.schema_of_variant(value).startswith("ARRAY<"), F.try_variant_get(value, "$", "array<variant>")
         )
-        hits = []
-        for wanted in values:
-            hits += [_variant_equals(value, wanted), F.exists(elements, _is_equal_to(wanted))]
-        return _any_hit(hits)
+        return _any_hit([_variant_in(value, values), F.exists(elements, lambda e: _variant_in(e, values))])
     if kind == "range":
         number = _variant_number(value)
         return F.coalesce(_all([_compare(number, name, bound) for name, bound in argument.items()]), F.lit(False))

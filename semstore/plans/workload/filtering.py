@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from semstore.operators import counts, filters
+from semstore.operators import counts, filters, records
 from semstore.operators.filters import new_filter
 from semstore.plans.workload.registry import register, table
 
@@ -291,6 +291,11 @@ def count_memory(spark, folder):
     return counts.count_memory(_documents(spark, folder), flt, exact=True, collection="news", id_col="doc_id")
 
 
-@register()
+@register("SELECT count(*) AS exact, true AS close FROM events WHERE event_id NOT IN (SELECT doc_id FROM labels)")
 def count_approx(spark, folder):
-    return counts.count_records(_events(spark, folder), exact=False, id_col="event_id")
+    """The exact count after deletions, and whether the inexact one lies within three per cent of it."""
+    events = _events(spark, folder)
+    left = records.delete_by_ids(events, table(spark, folder, "labels").select("doc_id"), "event_id")
+    about = counts.count_records(left, exact=False, id_col="event_id").first()["count"]
+    exact = counts.count_records(left)
+    return exact.select(F.col("count").alias("exact"), (F.abs(F.col("count") - about) <= 0.03 * F.col("count")).alias("close"))
