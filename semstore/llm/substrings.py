@@ -229,18 +229,19 @@ def remove_repeated(docs: DataFrame, *, length: int = LENGTH, id_col: str = "doc
     if length < GRAM + 2:
         raise ValueError(f"strings of fewer than {GRAM + 2} bytes have no minimizer")
     keyed = _keyed(docs, id_col, text_col)
-    shared = minimizer_counts(keyed, length)
+    # tables that are joined are written first: Spark can then split the large partitions of a frequent key
+    shared = staged(minimizer_counts(keyed, length), "minimizers")
     rows = staged(segments(keyed, length).join(shared, "minimizer", "left_semi"), "segments")
     covered = []
     first = staged(_first_of_equal(rows), "first-segments")
     covered.append(_copies(rows, first, length))
-    kinds = first.groupBy("minimizer").agg(F.count("*").alias("kinds")).where("kinds > 1")
+    kinds = staged(first.groupBy("minimizer").agg(F.count("*").alias("kinds")).where("kinds > 1"), "kinds")
     several = staged(first.join(kinds, "minimizer"), "different-segments")
     covered.append(repeated_in_shards(several.where(F.col("kinds") <= MANY), keyed, length))
     crowded = several.where(F.col("kinds") > MANY)
     if not crowded.isEmpty():
         strings = staged(single_strings(crowded, keyed, length), "single-strings")
-        covered.append(_copies(strings, _first_of_equal(strings), length))
+        covered.append(_copies(strings, staged(_first_of_equal(strings), "first-strings"), length))
     marks = covered[0]
     for more in covered[1:]:
         marks = marks.unionByName(more)
