@@ -36,7 +36,7 @@ VOCABULARY, HEAD = 1_024, 1 << 17
 HELD = 1 << 20
 #: Triples are dealt to one shard for so many of them, and to SHARDS at most.
 SHARD_TRIPLES, SHARDS = 1 << 16, 32
-ROUNDS, PASSES = 3, 3
+ROUNDS, PASSES = 3, 2
 #: Least steps of a shard in a round.
 LEAST_STEPS = 150
 WIDTH, BATCH, NOISE = 24, 1_024, 64
@@ -196,13 +196,13 @@ class LogBilinear:
             start += w.size
         return self
 
-    def train(self, codes: np.ndarray, n: np.ndarray, shares: np.ndarray, passes: int, seed: int) -> None:
+    def train(self, codes: np.ndarray, n: np.ndarray, shares: np.ndarray, steps: int, seed: int) -> None:
         """Noise-contrastive steps on triples drawn by their counts; a batch shares its noise words."""
         random = np.random.default_rng(seed)
         width = len(self.context)
         log_noise = np.log(NOISE * shares)
         chance, noise_chance = np.cumsum(n) / n.sum(), np.cumsum(shares)
-        for _ in range(max(LEAST_STEPS, math.ceil(passes * len(codes) / BATCH))):
+        for _ in range(steps):
             drawn = codes[np.minimum(np.searchsorted(chance, random.random(BATCH)), len(codes) - 1)]
             far, near, word = drawn // width // width, drawn // width % width, drawn % width
             noise = np.minimum(np.searchsorted(noise_chance, random.random(NOISE)), len(shares) - 1)
@@ -242,12 +242,12 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
 
-def _shard_work(shared, shares: np.ndarray, width: int, passes: int, turn: int):
+def _shard_work(shared, shares: np.ndarray, width: int, steps: int, turn: int):
     def run(frame):
         own = LogBilinear(len(shares) + 1, width, shares).unpack(shared.value)
         frame = frame.sort_values("code")
         seed = turn * SHARDS + int(frame["shard"].iloc[0])
-        own.train(frame["code"].to_numpy(), frame["n"].to_numpy(dtype=np.float64), shares, passes, seed)
+        own.train(frame["code"].to_numpy(), frame["n"].to_numpy(dtype=np.float64), shares, steps, seed)
         return type(frame)({"rows": [len(frame)], "weights": [own.pack().astype(np.float32).tobytes()]})
 
     return run
@@ -259,7 +259,9 @@ def fit(triples: DataFrame, counts: Counts, *, rounds: int = ROUNDS, passes: int
     model = LogBilinear(counts.vocabulary + 3, width, shares)
     size = len(model.pack())
     spark = triples.sparkSession
-    n_shards = min(SHARDS, max(1, math.ceil(triples.count() / SHARD_TRIPLES)))
+    n_triples = triples.count()
+    n_shards = min(SHARDS, max(1, math.ceil(n_triples / SHARD_TRIPLES)))
+    steps = max(LEAST_STEPS, math.ceil(passes * n_triples / n_shards / BATCH))
     # frequent triples are shared out to all shards in equal parts, so that all see about the same language
     everywhere = F.col("n") >= n_shards
     places = F.when(everywhere, F.sequence(F.lit(0), F.lit(n_shards - 1)))
@@ -269,7 +271,7 @@ def fit(triples: DataFrame, counts: Counts, *, rounds: int = ROUNDS, passes: int
     for turn in range(rounds):
         shared = spark.sparkContext.broadcast(model.pack())
 
-        made = shards.groupBy("shard").applyInPandas(_shard_work(shared, shares, width, passes, turn), "rows long, weights binary")
+        made = shards.groupBy("shard").applyInPandas(_shard_work(shared, shares, width, steps, turn), "rows long, weights binary")
         total, rows = np.zeros(size), 0
         for n, weights in made.toLocalIterator():  # at most SHARDS rows of a fixed size
             total += n * np.frombuffer(weights, dtype=np.float32)

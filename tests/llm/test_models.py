@@ -47,7 +47,7 @@ def test_model_learns_what_follows(spark):
 def test_probabilities_sum_to_one():
     counts = bilinear.Counts([b"a", b"b", b"c"], np.array([5, 3, 1]), 2, 12, 5, 2)
     model = bilinear.LogBilinear(5, 4, counts.shares(), seed=3)
-    model.train(np.array([(4 * 5 + 4) * 5 + 0, (4 * 5 + 0) * 5 + 1]), np.array([3.0, 1.0]), counts.shares(), 2, 0)
+    model.train(np.array([(4 * 5 + 4) * 5 + 0, (4 * 5 + 0) * 5 + 1]), np.array([3.0, 1.0]), counts.shares(), 150, 0)
     scorer = bilinear.Scorer(counts, *model.tables())
     contexts = np.arange(25)
     scorer.normalise(contexts)
