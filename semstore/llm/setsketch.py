@@ -23,6 +23,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -34,7 +35,7 @@ REGISTERS, BAND = 128, 4
 BASE, RATE, TOP = 1.001, 20.0, 65_535
 SHINGLE, PERCENT = 5, 80
 #: Rows of one bucket that are compared in one task with another such block.
-BLOCK = 2_000
+BLOCK = 16_000
 
 _STEP = np.arange(REGISTERS + 1)
 with np.errstate(divide="ignore"):
@@ -152,22 +153,24 @@ def sketches(docs: DataFrame, shingle: int) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, n long, class string, bands array<long>")
 
 
-def _sets_of(docs: DataFrame, shingle: int) -> DataFrame:
+def _sets_of(docs: DataFrame, shingle: int, short: bool = False) -> DataFrame:
+    """id and shingles: the hashes of each document's set, or 32 bits of them."""
+    kind = pa.int32() if short else pa.int64()
+
     def run(batches):
         for batch in batches:
             for part in slices(batch):
-                sets = [s.view(np.int64) for s in shingle_sets(bytes_of(part.column("text")), shingle)]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(sets, pa.list_(pa.int64()))], names=["id", "shingles"]
-                )
+                sets = shingle_sets(bytes_of(part.column("text")), shingle)
+                sets = [s.astype(np.uint32).view(np.int32) if short else s.view(np.int64) for s in sets]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(sets, pa.list_(kind))], names=["id", "shingles"])
 
-    return docs.mapInArrow(run, "id long, shingles array<long>")
+    return docs.mapInArrow(run, f"id long, shingles array<{'int' if short else 'long'}>")
 
 
 def buckets(classes: DataFrame) -> DataFrame:
-    """bucket and id for every class in a bucket with others."""
+    """bucket, id and band for every class in a bucket with others, and the first id there."""
     named = classes.select("id", F.posexplode("bands").alias("band", "value"))
-    named = named.select(F.xxhash64("band", "value").alias("bucket"), "id")
+    named = named.select(F.xxhash64("band", "value").alias("bucket"), "id", "band")
     shared = named.groupBy("bucket").agg(F.min("id").alias("first"), F.max("id").alias("last"))
     shared = shared.where(F.col("first") < F.col("last")).select("bucket", "first")
     return named.join(shared, "bucket")
@@ -206,14 +209,15 @@ def confirmed(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int) ->
     return counted.where(F.col("common") * 100 >= (F.col("total") - F.col("common")) * percent).select("a", "b").distinct()
 
 
-def pairs_between(members: DataFrame, linked: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Promising pairs of different components within a bucket.
+def links_between(members: DataFrame, linked: DataFrame, classes: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """Links between different components within a bucket, as many as it takes to join them.
 
-    Only rows outside the bucket's largest component are paired with all others, in blocks of a bounded size.
+    Only rows outside the bucket's largest component are paired with all others, in blocks of a bounded size. A pair
+    is looked at in the first band it has in common only. If its estimate is promising, it is tested on short hashes of
+    the shingles, unless links found before join its components already.
     """
-    lowest = cutoff(percent)
     known = linked.select(F.col("node").alias("id"), "component")
-    placed = members.select("bucket", "id").join(known, "id", "left")
+    placed = members.select("bucket", "id", "band").join(known, "id", "left")
     placed = placed.withColumn("component", F.coalesce("component", "id"))
     sizes = placed.groupBy("bucket", "component").agg(F.count("*").alias("n"))
     mixed = sizes.groupBy("bucket").agg(
@@ -226,33 +230,91 @@ def pairs_between(members: DataFrame, linked: DataFrame, classes: DataFrame, per
     mixed = mixed.select("bucket", "main", blocks(F.col("rows")).alias("n_all"), blocks(F.col("rows") - F.col("most")).alias("n_minor"))
     rows = staged(placed.join(mixed, "bucket"), "mixed-buckets")
     deal = lambda n: F.pmod(F.xxhash64("id"), n).cast("int")
+    own = ("bucket", "band", "id", "component")
     every = rows.select(
-        "bucket", "id", "component", F.lit(False).alias("minor"), deal(F.col("n_all")).alias("j"),
-        F.explode(F.sequence(F.lit(0), F.col("n_minor") - 1)).alias("i"),
-    )
+        *own, F.lit(False).alias("minor"), deal(F.col("n_all")).alias("j"), F.explode(F.sequence(F.lit(0), F.col("n_minor") - 1)).alias("i")
+    )
     minor = rows.where(F.col("component") != F.col("main")).select(
-        "bucket", "id", "component", F.lit(True).alias("minor"), F.explode(F.sequence(F.lit(0), F.col("n_all") - 1)).alias("j"),
-        deal(F.col("n_minor")).alias("i"),
-    )
-    dealt = every.unionByName(minor).join(classes.select("id", "n", "bands"), "id")
-
-    def compare(frame):
-        registers = np.array(frame["bands"].tolist(), dtype=np.int64).view(np.uint16)
-        ids, part, n = frame["id"].to_numpy(), frame["component"].to_numpy(), frame["n"].to_numpy(dtype=np.float64)
-        minor = frame["minor"].to_numpy()
-        others = np.flatnonzero(~minor)
-        found: list[tuple[np.ndarray, np.ndarray]] = []
-        for x in np.flatnonzero(minor):
-            fits = np.minimum(n[others], n[x]) * 100 >= np.maximum(n[others], n[x]) * percent
-            ys = others[(part[others] != part[x]) & fits]
-            if len(ys):
-                one = np.broadcast_to(registers[x], (len(ys), REGISTERS))
-                ys = ys[estimate(one, registers[ys], np.full(len(ys), n[x]), n[ys]) >= lowest]
-                found.append((np.minimum(ids[x], ids[ys]), np.maximum(ids[x], ids[ys])))
-        a, b = (np.concatenate(c) if found else np.empty(0, dtype=np.int64) for c in (zip(*found, strict=True) if found else ((), ())))
-        return type(frame)({"a": a, "b": b})
-
-    return dealt.groupBy("bucket", "i", "j").applyInPandas(compare, "a long, b long").distinct()
+        *own, F.lit(True).alias("minor"), F.explode(F.sequence(F.lit(0), F.col("n_all") - 1)).alias("j"), deal(F.col("n_minor")).alias("i")
+    )
+    wanted = rows.select(F.col("id").alias("doc_id")).distinct()
+    short = _sets_of(docs.join(wanted, "doc_id", "left_semi"), shingle, short=True).dropDuplicates(["id"])
+    shown = staged(classes.select("id", "n", "bands").join(short, "id"), "compared")
+    together = every.unionByName(minor).join(shown, "id").repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+
+    def run(batches):
+        held = None
+        for batch in batches:
+            rows = pa.Table.from_batches([batch] if held is None else [held, batch]).combine_chunks()
+            keys = np.column_stack([rows.column(c).to_numpy() for c in ("bucket", "i", "j")])
+            changes = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
+            last = int(changes[-1]) if len(changes) else 0
+            if last:  # whole blocks only; the last one may go on
+                yield from _compared(rows.slice(0, last), np.r_[0, changes], percent)
+            held = rows.slice(last).combine_chunks().to_batches()[0]
+        if held is not None:
+            yield from _compared(pa.Table.from_batches([held]), np.array([0, held.num_rows]), percent)
+
+    columns = ("bucket", "i", "j", "band", "id", "component", "minor", "n", "bands", "shingles")
+    return together.select(*columns).mapInArrow(run, "a long, b long").distinct()
+
+
+#: Pairs that are compared at once.
+PAIRS = 50_000
+
+
+def _compared(rows: pa.Table, bounds: np.ndarray, percent: int):
+    """Links of a minor and another row of one block; bounds are where the blocks begin, and the end."""
+    registers = _registers(rows.column("bands").combine_chunks())
+    bands = registers.view(np.int64)
+    ids, part, band = (rows.column(c).to_numpy() for c in ("id", "component", "band"))
+    n, minor = rows.column("n").to_numpy().astype(np.float64), rows.column("minor").to_numpy(zero_copy_only=False)
+    sets = rows.column("shingles").combine_chunks()
+    flat, cut = sets.flatten().to_numpy(zero_copy_only=False), np.r_[0, np.cumsum(pa.compute.list_value_length(sets).to_numpy(zero_copy_only=False))]
+    block = np.searchsorted(bounds, np.arange(len(ids)), side="right") - 1
+    others = np.flatnonzero(~minor)
+    first = np.searchsorted(block[others], np.arange(len(bounds)))
+    xs = np.flatnonzero(minor)
+    counts = first[block[xs] + 1] - first[block[xs]]
+    before = np.r_[0, np.cumsum(counts)]
+    joined: dict[int, int] = {}
+
+    def top(component: int) -> int:
+        while component in joined:
+            component = joined[component]
+        return component
+
+    at = 0
+    while at < len(xs):
+        end = max(at + 1, int(np.searchsorted(before, before[at] + PAIRS, side="right")) - 1)
+        own, size = xs[at:end], counts[at:end]
+        x = np.repeat(own, size)
+        y = others[np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size - first[block[own]], size)]
+        fits = (part[x] != part[y]) & (np.minimum(n[x], n[y]) * 100 >= np.maximum(n[x], n[y]) * percent)
+        x, y = x[fits], y[fits]
+        once = (bands[x] == bands[y]).argmax(axis=1) == band[x]
+        x, y = x[once], y[once]
+        # far from the threshold even for a rough estimate
+        close = (registers[x] == registers[y]).mean(axis=1) >= cutoff(percent) - 0.1
+        x, y = x[close], y[close]
+        share = estimate(registers[x], registers[y], n[x], n[y])
+        order = np.argsort(-share, kind="stable")
+        order = order[share[order] >= cutoff(percent)]
+        found = []
+        for a, b in zip(x[order].tolist(), y[order].tolist(), strict=True):
+            one, two = top(int(part[a])), top(int(part[b]))
+            if one == two:
+                continue
+            # equal short hashes of different shingles only add to what is common, but for two in one set
+            common = len(np.intersect1d(flat[cut[a] : cut[a + 1]], flat[cut[b] : cut[b + 1]])) + 2
+            if common * 100 >= (n[a] + n[b] - common) * percent:
+                found.append((ids[a], ids[b]))
+                least = common - 3 - n[a] * n[b] / 2**30  # without what short hashes may have added
+                if least * 100 >= (n[a] + n[b] - least) * percent:  # certain enough to build upon
+                    joined[max(one, two)] = min(one, two)
+        pairs = np.array(found, dtype=np.int64).reshape(-1, 2)
+        yield pa.RecordBatch.from_arrays([pa.array(pairs.min(axis=1)), pa.array(pairs.max(axis=1))], names=["a", "b"])
+        at = end
 
 
 def near_duplicates(
@@ -269,7 +331,7 @@ def near_duplicates(
     links = staged(confirmed(staged(promising(star_pairs(members), single, percent), "pairs"), source, shingle, percent), "links")
     # rows of one id with several sets are one document
     linked = components(links)
-    between = staged(pairs_between(members, linked, single, percent), "pairs")
+    between = staged(links_between(members, linked, single, source, shingle, percent), "pairs")
     if not between.isEmpty():
         more = confirmed(between, source, shingle, percent)
         linked = components(links.unionByName(more))
