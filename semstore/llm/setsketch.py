@@ -153,18 +153,17 @@ def sketches(docs: DataFrame, shingle: int) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, n long, class string, bands array<long>")
 
 
-def _sets_of(docs: DataFrame, shingle: int, short: bool = False) -> DataFrame:
-    """id and shingles: the hashes of each document's set, or 32 bits of them."""
-    kind = pa.int32() if short else pa.int64()
+def _sets_of(docs: DataFrame, shingle: int) -> DataFrame:
+    """id and shingles, the hashes of each document's set."""
 
     def run(batches):
         for batch in batches:
             for part in slices(batch):
                 sets = shingle_sets(bytes_of(part.column("text")), shingle)
-                sets = [s.astype(np.uint32).view(np.int32) if short else s.view(np.int64) for s in sets]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(sets, pa.list_(kind))], names=["id", "shingles"])
+                column = pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), column], names=["id", "shingles"])
 
-    return docs.mapInArrow(run, f"id long, shingles array<{'int' if short else 'long'}>")
+    return docs.mapInArrow(run, "id long, shingles array<long>")
 
 
 def buckets(classes: DataFrame) -> DataFrame:
@@ -172,7 +171,8 @@ def buckets(classes: DataFrame) -> DataFrame:
     named = classes.select("id", F.posexplode("bands").alias("band", "value"))
     named = named.select(F.xxhash64("band", "value").alias("bucket"), "id", "band")
     shared = named.groupBy("bucket").agg(F.min("id").alias("first"), F.max("id").alias("last"))
-    shared = shared.where(F.col("first") < F.col("last")).select("bucket", "first")
+    # written first: Spark can then split the large partitions of a frequent bucket
+    shared = staged(shared.where(F.col("first") < F.col("last")).select("bucket", "first"), "shared-buckets")
     return named.join(shared, "bucket")
 
 
@@ -198,10 +198,8 @@ def promising(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     return joined.select("a", "b", "na", "nb", "ra", "rb").mapInArrow(run, "a long, b long")
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """The pairs that are similar enough on their full sets; texts are read again for these documents only."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    sets = staged(_sets_of(docs.join(wanted, "doc_id", "left_semi"), shingle), "sets")
+def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs that are similar enough on their full sets."""
     of = lambda side: sets.select(F.col("id").alias(side), F.col("shingles").alias(f"s{side}"))
     both = pairs.join(of("b"), "b").join(of("a"), "a")
     common = F.size(F.array_intersect("sa", "sb"))
@@ -209,7 +207,7 @@ def confirmed(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int) ->
     return counted.where(F.col("common") * 100 >= (F.col("total") - F.col("common")) * percent).select("a", "b").distinct()
 
 
-def links_between(members: DataFrame, linked: DataFrame, classes: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
+def links_between(members: DataFrame, linked: DataFrame, classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links between different components within a bucket, as many as it takes to join them.
 
     Only rows outside the bucket's largest component are paired with all others, in blocks of a bounded size. A pair
@@ -237,8 +235,8 @@ def links_between(members: DataFrame, linked: DataFrame, classes: DataFrame, doc
     minor = rows.where(F.col("component") != F.col("main")).select(
         *own, F.lit(True).alias("minor"), F.explode(F.sequence(F.lit(0), F.col("n_all") - 1)).alias("j"), deal(F.col("n_minor")).alias("i")
     )
-    wanted = rows.select(F.col("id").alias("doc_id")).distinct()
-    short = _sets_of(docs.join(wanted, "doc_id", "left_semi"), shingle, short=True).dropDuplicates(["id"])
+    short = sets.select("id", F.transform("shingles", lambda x: (x % (1 << 31)).cast("int")).alias("shingles")).dropDuplicates(["id"])
+    short = short.join(rows.select("id").distinct(), "id", "left_semi")
     shown = staged(classes.select("id", "n", "bands").join(short, "id"), "compared")
     together = every.unionByName(minor).join(shown, "id").repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
 
@@ -298,18 +296,21 @@ def _compared(rows: pa.Table, bounds: np.ndarray, percent: int):
         close = (registers[x] == registers[y]).mean(axis=1) >= cutoff(percent) - 0.1
         x, y = x[close], y[close]
         share = estimate(registers[x], registers[y], n[x], n[y])
-        order = np.argsort(-share, kind="stable")
-        order = order[share[order] >= cutoff(percent)]
+        good = share >= cutoff(percent)
+        x, y = x[good], y[good]
         found = []
-        for a, b in zip(x[order].tolist(), y[order].tolist(), strict=True):
-            one, two = top(int(part[a])), top(int(part[b]))
-            if one == two:
-                continue
-            # equal short hashes of different shingles only add to what is common, but for two in one set
-            common = len(np.intersect1d(flat[cut[a] : cut[a + 1]], flat[cut[b] : cut[b + 1]])) + 2
-            if common * 100 >= (n[a] + n[b] - common) * percent:
+        edges = np.r_[0, np.flatnonzero(x[1:] != x[:-1]) + 1, len(x)] if len(x) else [0]
+        for low, high in zip(edges, edges[1:], strict=False):
+            a = int(x[low])
+            root = top(int(part[a]))
+            bs = [b for b in y[low:high].tolist() if top(int(part[b])) != root]
+            for b, common in zip(bs, _common(flat, cut, a, np.array(bs, dtype=np.int64)), strict=True):
+                one, two = top(int(part[a])), top(int(part[b]))
+                # equal short hashes of different shingles only add to what is common, but for two in one set
+                if one == two or (common + 2) * 100 < (n[a] + n[b] - common - 2) * percent:
+                    continue
                 found.append((ids[a], ids[b]))
-                least = common - 3 - n[a] * n[b] / 2**30  # without what short hashes may have added
+                least = common - 1 - n[a] * n[b] / 2**30  # without what short hashes may have added
                 if least * 100 >= (n[a] + n[b] - least) * percent:  # certain enough to build upon
                     joined[max(one, two)] = min(one, two)
         pairs = np.array(found, dtype=np.int64).reshape(-1, 2)
@@ -317,6 +318,18 @@ def _compared(rows: pa.Table, bounds: np.ndarray, percent: int):
         at = end
 
 
+def _common(flat: np.ndarray, cut: np.ndarray, a: int, others: np.ndarray) -> list[int]:
+    """How many values of each of the other sets are in set `a`."""
+    if not len(others):
+        return []
+    own = np.unique(flat[cut[a] : cut[a + 1]])
+    size = cut[others + 1] - cut[others]
+    first = np.cumsum(size) - size
+    values = flat[np.arange(int(size.sum())) + np.repeat(cut[others] - first, size)]
+    inside = own[np.minimum(np.searchsorted(own, values), len(own) - 1)] == values
+    return np.add.reduceat(inside.astype(np.int64), first).tolist()
+
+
 def near_duplicates(
     docs: DataFrame, *, shingle: int = SHINGLE, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -328,13 +341,14 @@ def near_duplicates(
     classes = staged(classes, "classes")
     single = classes.where(F.col("id").isNotNull()).select("id", "n", "bands")
     members = staged(buckets(single), "buckets")
-    links = staged(confirmed(staged(promising(star_pairs(members), single, percent), "pairs"), source, shingle, percent), "links")
-    # rows of one id with several sets are one document
+    # texts are read again once, for the documents that share a bucket with others
+    wanted = members.select(F.col("id").alias("doc_id")).distinct()
+    sets = staged(_sets_of(source.join(wanted, "doc_id", "left_semi"), shingle), "sets")
+    links = staged(confirmed(staged(promising(star_pairs(members), single, percent), "pairs"), sets, percent), "links")
     linked = components(links)
-    between = staged(links_between(members, linked, single, source, shingle, percent), "pairs")
+    between = staged(links_between(members, linked, single, sets, percent), "pairs")
     if not between.isEmpty():
-        more = confirmed(between, source, shingle, percent)
-        linked = components(links.unionByName(more))
+        linked = components(links.unionByName(confirmed(between, sets, percent)))
     names = classes.select("class", F.col("id").alias("node")).join(linked, "node", "left")
     names = names.select("class", F.coalesce("component", "node").alias("component"))
     found = drawn.join(names, "class", "left")
