@@ -101,9 +101,10 @@ def remove_repeated(
     keyed = _keyed(docs, id_col, text_col)
     found = staged(hashed_spans(keyed, run, least_words), "spans")
     place = F.struct("id", "content", "start")
-    often = found.groupBy("span").agg(F.count("*").alias("n")).where("n > 1").select("span")
+    # tables that are joined are written first: Spark can then split the large partitions of a frequent span
+    often = staged(found.groupBy("span").agg(F.count("*").alias("n")).where("n > 1").select("span"), "often")
     again = staged(found.join(often, "span", "left_semi"), "repeated-spans")
-    first = again.groupBy("span").agg(F.min(place).alias("first"))
+    first = staged(again.groupBy("span").agg(F.min(place).alias("first")), "first-spans")
     later = again.join(first, "span").where(place != F.col("first"))
     marks = later.groupBy("id", "content").agg(F.collect_set(F.struct("start", "end")).alias("marks"))
     marked = keyed.select("doc_id", "text", "key.id", "key.content").join(marks, ["id", "content"], "left")
