@@ -271,9 +271,9 @@ def fit(triples: DataFrame, counts: Counts, *, rounds: int = ROUNDS, passes: int
     for turn in range(rounds):
         shared = spark.sparkContext.broadcast(model.pack())
 
-        made = shards.groupBy("shard").applyInPandas(_shard_work(shared, shares, width, steps, turn), "rows long, weights binary")
+        made = shards.repartition(n_shards, "shard").groupBy("shard").applyInPandas(_shard_work(shared, shares, width, steps, turn), "rows long, weights binary")
         total, rows = np.zeros(size), 0
-        for n, weights in made.toLocalIterator():  # at most SHARDS rows of a fixed size
+        for n, weights in made.collect():  # at most SHARDS rows of a fixed size
             total += n * np.frombuffer(weights, dtype=np.float32)
             rows += n
         if rows:
