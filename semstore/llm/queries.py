@@ -30,7 +30,26 @@ def query(name: str, sql: str | None = None):
     return add
 
 
-@query("op10_decontaminate")
+_SMALL = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = rf"regexp_extract_all({_SMALL}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+_DECONTAMINATE = f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS ws FROM documents),
+b AS (SELECT item_id, {_WORDS} AS ws FROM benchmark),
+bw AS (SELECT DISTINCT item_id, least(13, len(ws)) AS n, array_to_string(ws[i : i + least(13, len(ws)) - 1], ' ') AS win
+       FROM (SELECT item_id, ws, unnest(range(1, len(ws) - least(13, len(ws)) + 2)) AS i FROM b WHERE len(ws) > 0)),
+dw AS (SELECT doc_id, n, i, array_to_string(ws[i : i + n - 1], ' ') AS win
+       FROM (SELECT doc_id, ws, n, unnest(range(1, len(ws) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM bw) WHERE len(ws) >= n)),
+h AS (SELECT doc_id, i, dw.n, item_id FROM dw JOIN bw USING (win)),
+p AS (SELECT doc_id, count(DISTINCT place) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS place FROM h) GROUP BY doc_id),
+t AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names
+      FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM h) GROUP BY doc_id)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated
+FROM d LEFT JOIN p USING (doc_id) LEFT JOIN t USING (doc_id)
+"""
+
+
+@query("op10_decontaminate", _DECONTAMINATE)
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination_report(find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 

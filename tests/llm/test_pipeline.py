@@ -1,5 +1,6 @@
 """The pipeline against a brute-force version, and the registered queries."""
 
+import duckdb
 import numpy as np
 import public_tokenizers
 import sentencepiece
@@ -8,7 +9,7 @@ import __spark_entry__
 import corpus_pipeline
 from semstore.llm import pii, quality
 from semstore.llm.common import table
-from semstore.llm.queries import QUERIES
+from semstore.llm.queries import ORACLES, QUERIES
 from tests.llm import brute
 
 
@@ -18,6 +19,18 @@ def test_registered():
     assert [len(s) for s in corpus_pipeline.STAGES] == [2] * 5
 
 
+def test_sql_gives_the_same_rows(spark, sf_dir):
+    connection = duckdb.connect()
+    for name in ("documents", "benchmark"):
+        connection.execute(f"CREATE VIEW {name} AS SELECT * FROM '{sf_dir}/{name}.parquet'")
+    for name, sql in ORACLES.items():
+        found = QUERIES[name](spark, sf_dir)
+        cursor = connection.execute(sql)
+        columns = [d[0] for d in cursor.description]
+        assert sorted(columns) == sorted(found.columns)
+        assert sorted(cursor.fetchall()) == sorted(map(tuple, found.select(*columns).collect()))
+
+
 def test_pipeline(spark, sf_dir, documents, pairs):
     texts = dict(pairs)
     judged = quality.quality(documents, table(spark, sf_dir, "labels")).collect()
