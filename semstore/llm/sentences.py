@@ -1,9 +1,15 @@
 """Substring deduplication by sliding sentence spans.
 
-A text is cut into sentences at end marks and line breaks; a sentence of many words is cut further after words chosen by
-their hash, so that the same passage is cut alike wherever it stands. The shortest run of at least `run`
-sentences and `least_words` words that begins at a sentence, and the shortest that ends there, are spans. They are hashed and counted over the whole corpus; a sentence
-is removed if it is covered by a repeated span that is not the first of its kind (by doc_id, then place).
+A text is cut into sentences at end marks and line breaks. Where WINDOW words in a row have no such end, the sentence is
+also cut after the one with the smallest hash (winnowing), so that a cut depends on the WINDOW - 1 words around it only,
+and the same passage is cut alike wherever it stands. The shortest run of at least `run` sentences and `least_words`
+words that begins at a sentence, and the shortest that ends there, are spans. They are hashed and counted over the whole
+corpus; a sentence is removed if it is covered by a repeated span that is not the first of its kind (by doc_id, then
+place).
+
+Any 50 words in a row hold a whole span: cuts are alike from the 8th word on, one is among the words 8 to 15, the span
+that begins there ends 20 to 27 words later, and cuts are alike up to the 43rd word. What is left of a repeated passage
+are the cut sentences at its edges, at most 2 * WINDOW - 1 words each. In scripts without spaces a character is a word.
 
 Defined cases: null and empty texts have no sentences; texts of any length are cut whole; sentences of punctuation only
 belong to the one before. Rows without an id come last in the order. Rows with the same id and the same text are one
@@ -17,58 +23,90 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from semstore.llm.common import id_and_text, slices, staged, texts_of, window_hashes
+from semstore.llm.common import id_and_text, mix, slices, staged, texts_of
 
 RUN, LEAST_WORDS = 3, 20
-#: A sentence is cut only after so many words; then after one word in CUT_EVERY.
-CUT_AFTER, CUT_EVERY = 6, 6
+#: Of so many words in a row, at least one ends a sentence or is cut after.
+WINDOW = 8
+#: Hashes of words that a worker remembers.
+REMEMBERED = 1 << 18
+
+#: Characters of scripts without spaces: Thai to Tibetan, Myanmar, Khmer, kana, Han, and their wide forms.
+_UNSPACED = "\u0e00-\u0fff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+_ENDS = ".!?\u3002\uff01\uff1f"
+#: A word, or a character without spaces, with the end marks and the white space after it.
+_WORD = re.compile(rf"\s*(?:[{_UNSPACED}][{_ENDS}]*|[^\s{_ENDS}{_UNSPACED}]+[{_ENDS}]*|[{_ENDS}]+)\s*")
+_END = re.compile(rf"[{_ENDS}]\s*$|\n")
+#: Odd multiplier of the hashes of spans, and its inverse modulo 2**64.
+_BASE = 0x9E3779B97F4A7C17
+_INVERSE = pow(_BASE, -1, 1 << 64)
+
+
+class _Hashes(dict):
+    """By word with what follows it: 0 for one that ends a sentence, else 1 and up."""
 
-_WORD = re.compile(r"\S+\s*")
+    def __missing__(self, word: str) -> int:
+        if len(self) >= REMEMBERED:
+            self.clear()
+        # of line breaks, only those after the word are ends
+        found = 0 if _END.search(word.lstrip()) else (zlib.crc32(word.strip().lower().encode(errors="replace")) >> 2) + 1
+        self[word] = found
+        return found
+
+
+_hashes = _Hashes()
 
 
 def pieces(text: str) -> list[str]:
     """Sentences, long ones cut further; together they are the text."""
-    out: list[str] = []
-    for match in re.finditer(r"\s*[^.!?\n]*(?:[.!?]+\s*|\n\s*|$)", text):
-        sentence = match[0]
-        if not sentence:
-            continue
-        if sentence.count(" ") <= 2 * CUT_AFTER:
-            out.append(sentence)
-            continue
-        start, words = 0, 0
-        for word in _WORD.finditer(sentence):
-            words += 1
-            if words >= CUT_AFTER and zlib.crc32(word[0].strip().lower().encode()) % CUT_EVERY == 0:
-                out.append(sentence[start : word.end()])
-                start, words = word.end(), 0
-        if start < len(sentence):
-            out.append(sentence[start:])
-    return out
-
-
-def spans(parts: list[str], run: int = RUN, least_words: int = LEAST_WORDS) -> list[tuple[int, int, int]]:
-    """Hash, first sentence and end (exclusive) of the shortest spans that begin, and that end, at each sentence."""
-    words = [p.lower().split() for p in parts]
+    words = _WORD.findall(text)
+    if not words:
+        return [text] if text else []
+    n = len(words)
+    value = np.fromiter(map(_hashes.__getitem__, words), dtype=np.uint64, count=n)
+    cut = value == 0
+    if n >= WINDOW:
+        # the last of equal words
+        least = (value << np.uint64(33)) | np.arange(n - 1, -1, -1, dtype=np.uint64)
+        have = 1
+        while have < WINDOW:
+            step = min(have, WINDOW - have)
+            least = np.minimum(least[:-step], least[step:])
+            have += step
+        cut[n - 1 - (least & np.uint64((1 << 33) - 1)).astype(np.int64)] = True
+    cut[-1] = True
+    ends = np.cumsum(np.fromiter(map(len, words), dtype=np.int64, count=n))[cut].tolist()
+    return [text[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+
+
+def words_of(piece: str) -> list[str]:
+    small = piece.lower()
+    return small.split() if small.isascii() else [w.strip() for w in _WORD.findall(small)]
+
+
+def spans(parts: list[str], run: int = RUN, least_words: int = LEAST_WORDS) -> np.ndarray:
+    """Rows (hash, first sentence, end) of the shortest spans that begin, and that end, at each sentence."""
+    words = [words_of(p) for p in parts]
     sizes = np.cumsum([0, *map(len, words)])
-    own = np.array([zlib.crc32(b := " ".join(w).encode()) | zlib.adler32(b) << 32 for w in words], dtype=np.uint64)
+    own = np.array([xxhash.xxh3_64_intdigest(" ".join(w).encode(errors="replace")) for w in words], dtype=np.uint64)
     every = np.arange(len(parts))
     ends = np.maximum(every + run, np.searchsorted(sizes, sizes[:-1] + least_words))
     starts = np.minimum(every + 1 - run, np.searchsorted(sizes, sizes[1:] - least_words, side="right") - 1)
     forward, backward = ends <= len(parts), starts >= 0
-    bounds = np.unique(
-        np.concatenate([np.column_stack([every, ends])[forward], np.column_stack([starts, every + 1])[backward]]), axis=0
-    )
-    out = []
-    length = bounds[:, 1] - bounds[:, 0]
-    for size in np.unique(length).tolist():
-        hashes = window_hashes(own, size).view(np.int64)
-        own_bounds = bounds[length == size]
-        out += zip(hashes[own_bounds[:, 0]].tolist(), *own_bounds.T.tolist(), strict=True)
-    return out
+    # as one number each, start first
+    both = np.unique(np.concatenate([(every << 32 | ends)[forward], (starts << 32 | every + 1)[backward]]))
+    start, end = both >> 32, both & 0xFFFFFFFF
+    # sums of the hashes times powers of a base; those before a span are taken off and the power of its start is divided out
+    with np.errstate(over="ignore"):
+        powers = np.cumprod(np.r_[np.uint64(1), np.full(len(parts), _BASE, dtype=np.uint64)])
+        back = np.cumprod(np.r_[np.uint64(1), np.full(len(parts), _INVERSE, dtype=np.uint64)])
+        before = np.cumsum(np.r_[np.uint64(0), own * powers[:-1]], dtype=np.uint64)
+        hashes = mix((before[end] - before[start]) * back[start])
+    return np.column_stack([hashes.view(np.int64), start, end])
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -83,11 +121,11 @@ def hashed_spans(keyed: DataFrame, run: int, least_words: int) -> DataFrame:
         for batch in batches:
             for part in slices(batch):
                 keys = part.column("key")
-                rows = [(i, *s) for i, t in enumerate(texts_of(part.column("text"))) for s in spans(pieces(t), run, least_words)]
-                table = np.array(rows, dtype=np.int64).reshape(-1, 4)
-                owner = keys.take(pa.array(table[:, 0]))
+                found = [spans(pieces(t), run, least_words) for t in texts_of(part.column("text"))]
+                owner = keys.take(pa.array(np.repeat(np.arange(len(found)), [len(f) for f in found])))
+                table = np.concatenate(found)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(table[:, 1]), owner.field("id"), owner.field("content"), pa.array(table[:, 2], pa.int32()), pa.array(table[:, 3], pa.int32())],
+                    [pa.array(table[:, 0]), owner.field("id"), owner.field("content"), pa.array(table[:, 1].astype(np.int32)), pa.array(table[:, 2].astype(np.int32))],
                     names=["span", "id", "content", "start", "end"],
                 )
 
@@ -117,7 +155,7 @@ def remove_repeated(
                     parts = pieces(text)
                     gone = {i for m in own or () for i in range(m["start"], m["end"])}
                     kept = "".join(p for i, p in enumerate(parts) if i not in gone)
-                    rows.append((len(parts), len(gone), sum(len(parts[i].split()) for i in gone), kept))
+                    rows.append((len(parts), len(gone), sum(len(words_of(parts[i])) for i in gone), kept))
                 columns = list(zip(*rows, strict=True))
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), *(pa.array(c, pa.int64()) for c in columns[:3]), pa.array(columns[3], pa.string())],

@@ -97,6 +97,21 @@ def test_passages_are_removed_wherever_they_stand(spark):
     assert all(25 <= rows[i].n_removed_words <= 80 for i in range(1, 6))
 
 
+@pytest.mark.parametrize("space, marks", [(" ", 0), (" ", 20), (" ", 32), ("", 0)])
+def test_any_51_words_hold_a_span(space, marks):
+    """A passage inside other words: never missed, and all but the cut sentences at its edges goes."""
+    for seed in range(400):
+        rng = random.Random(seed)
+        word = lambda: "".join(rng.choices("abcdefgh", k=5)) if space else chr(rng.randint(0x4E00, 0x9FFF))  # noqa: E731, B023
+        words = lambda n: [word() + ("." if marks and rng.random() < 1 / marks else "") for _ in range(n)]  # noqa: E731, B023
+        passage = words(51)
+        one, two = (sentences.pieces(space.join([*words(rng.randint(1, 40)), *passage, *words(rng.randint(1, 40))])) for _ in range(2))
+        known = set(sentences.spans(one)[:, 0].tolist())
+        gone = {i for h, a, b in sentences.spans(two).tolist() if h in known for i in range(a, b)}
+        assert sum(len(sentences.words_of(two[i])) for i in gone) >= 51 - 2 * (2 * sentences.WINDOW - 1)
+        assert set("".join(two[i] for i in gone)) <= set(space.join(["", *passage, ""]))
+
+
 def test_sentence_spans_of_odd_rows(odd, nothing):
     rows = sentences.remove_repeated(odd).collect()
     assert len(rows) == odd.count()
