@@ -160,9 +160,13 @@ def single_strings(rows: DataFrame, keyed: DataFrame, length: int) -> DataFrame:
 
 
 def _with_texts(rows: DataFrame, keyed: DataFrame) -> DataFrame:
-    """id, content, text and parts (start, last, minimizer) of the documents that hold the segments."""
+    """id, content, text and parts (start, last, minimizer) of the documents that hold the segments.
+
+    Rows with the same id and text are one document: it comes once.
+    """
     parts = rows.groupBy("id", "content").agg(F.collect_list(F.struct("start", "last", "minimizer")).alias("parts"))
-    return keyed.select("id", "content", "text").join(parts, ["id", "content"])
+    joined = keyed.select("id", "content", "text").join(parts, ["id", "content"])
+    return joined.dropDuplicates(["id", "content"])
 
 
 def repeated_in_shards(different: DataFrame, keyed: DataFrame, length: int) -> DataFrame:

@@ -144,6 +144,21 @@ def test_substrings_match_brute_force(documents, pairs, monkeypatch, many):
     assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in found} == brute.repeated_bytes(pairs)
 
 
+@pytest.mark.parametrize("many", [20_000, 1])
+def test_repeated_rows_are_one_document(spark, monkeypatch, many):
+    """A long repeated row that shares a passage, in other surroundings, with other documents."""
+    monkeypatch.setattr(substrings, "MANY", many)
+    random.seed(9)
+    letters = lambda n: "".join(random.choices("abcdefgh ", k=n))
+    passage = letters(150)
+    docs = [(i, letters(200) + passage + letters(200)) for i in range(4)]
+    want = brute.repeated_bytes(docs)
+    repeated = docs + [docs[0]] * 2 + [docs[2]]
+    found = substrings.report(substrings.remove_repeated(spark.createDataFrame(repeated, "doc_id long, text string"))).collect()
+    assert len(found) == 7
+    assert all((r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) == want[r.doc_id] for r in found)
+
+
 def test_short_strings_and_overlaps(spark):
     random.seed(6)
     docs = [(i, "".join(random.choices("ab", k=random.randint(0, 300))) + "abcabc" * random.randint(0, 20)) for i in range(40)]
