@@ -101,21 +101,24 @@ FIRST_NAMES = (
     "James Mary Robert Patricia John Jennifer Michael Linda David Elizabeth William Barbara Thomas Susan Anna Peter Maria "
     "Hans Klaus Sabine Pierre Marie Jean Sophie Carlos Carmen José Lucía Antonio Ana"
 ).split()
+_FIRST = frozenset(FIRST_NAMES)
 #: Prefixes that issuers give their keys.
 KEY_PREFIXES = ("AKIA", "ASIA", "ghp_", "gho_", "xoxb-", "xoxp-", "sk_live_", "sk_test_", "AIza", "eyJ")
 
 _CUE = "|".join((*SECRET_CUES, *IDENTITY_CUES))
+_TITLE = f"(?:{'|'.join(TITLES)})"
+_NAME = r"[A-ZÀ-ÖØ-Þ][\w-]+"
 CANDIDATE = re.compile(
-    r"(?P<key>(?<![\w-])(?=[\w-]{0,80}[0-9])[A-Za-z0-9_-]{16,}(?![\w-]))"
-    rf"|(?P<cued>(?<=[=:])\s?[\"']?(?P<value>[^\s\"'=:]{{6,200}}))"
+    r"(?P<key>(?<![\w-])(?=[\w-]*[0-9])[A-Za-z0-9_-]{16,}(?![\w-]))"
+    rf"|(?P<cued>(?<=[=:])\s?[\"']?(?P<value>[^\s\"'=:]{{6,}}))"
     r"|(?P<ssn>(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-]))"
     r"|(?P<iban>(?<!\w)[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){3,7}(?!\w))"
-    rf"|(?P<name>(?<=\b(?:{'|'.join(t for t in TITLES if len(t) == 2)})\s)[A-ZÄÖÜÉ][\w-]+(?:\s[A-ZÄÖÜÉ][\w-]+)?)"
-    rf"|(?P<known>\b(?:{'|'.join(FIRST_NAMES)})\s[A-ZÄÖÜÉ][\w-]+)"
+    rf"|\b(?:{_TITLE}(?:\.\s{{0,2}}|\s{{1,2}}))+(?P<name>(?!{_TITLE}\b){_NAME}(?:\s{_NAME})?)"
+    rf"|(?P<known>\b(?:{'|'.join(FIRST_NAMES)})\s{_NAME})"
 )
 _SECRET_BEFORE = re.compile(rf"(?:{'|'.join(SECRET_CUES)})[\"']?\s{{0,2}}[=:]?\s{{0,2}}[\"']?$", re.IGNORECASE)
 _IDENTITY_BEFORE = re.compile(rf"\b(?:{'|'.join(IDENTITY_CUES)})\w{{0,6}}\W{{0,4}}(?:is|no|number|nr)?\W{{0,3}}$", re.IGNORECASE)
-_TITLE_BEFORE = re.compile(rf"\b(?:{'|'.join(TITLES)})\.?\s$")
+_TITLE_BEFORE = re.compile(rf"\b{_TITLE}(?:\.\s{{0,2}}|\s{{1,2}})$")
 _HEX = re.compile(r"[0-9a-fA-F-]+")
 
 LABELERS = ("pattern_key", "pattern_number", "pattern_plain", "pattern_digits", "gazetteer_prefix", "gazetteer_name", "context_secret", "context_identity", "context_title")
@@ -127,17 +130,19 @@ def candidates(text: str, taken: list[Span]) -> list[tuple[int, int, int, int]]:
     busy = sorted((s, e) for _, s, e in taken)
     out = []
     for match in CANDIDATE.finditer(text):
-        start, end = match.span("value") if match["value"] else match.span()
+        start, end = match.span("value" if match["value"] else "name" if match["name"] else 0)
         while end > start and text[end - 1] in ".,;!?)":
             end -= 1
-        if end - start < 4 or any(s < end and start < e for s, e in busy):
+        # after a title, short words are names too
+        if end - start < 4 and not match["name"] or any(s < end and start < e for s, e in busy):
             continue
         value, before = text[start:end], text[max(0, start - 32) : start]
         digits = sum(c.isdigit() for c in value)
         letters = sum(c.isalpha() for c in value)
         secret, identity = bool(_SECRET_BEFORE.search(before)), bool(_IDENTITY_BEFORE.search(before))
         prefix = value.startswith(KEY_PREFIXES)
-        name = match["name"] is not None or match["known"] is not None
+        known = match["known"] is not None or match["name"] is not None and value.split()[0] in _FIRST
+        name = match["name"] is not None or known
         entropy = _entropy(value)
         hexadecimal = len(value) >= 16 and _HEX.fullmatch(value) is not None and 0 < digits < len(value)
         keyed = hexadecimal or (len(value) >= 16 and digits >= 3 and letters >= 6 and entropy >= 3.2)
@@ -148,7 +153,7 @@ def candidates(text: str, taken: list[Span]) -> list[tuple[int, int, int, int]]:
             2 if plain else 0,
             2 if digits == len(value) and not identity else 0,
             1 if prefix else 0,
-            1 if match["known"] is not None else 2 if plain else 0,
+            1 if known else 2 if plain else 0,
             1 if secret else 2 if plain else 0,
             1 if identity else 0,
             1 if name and _TITLE_BEFORE.search(before) else 0,

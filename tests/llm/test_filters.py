@@ -119,6 +119,27 @@ def test_classifier_adds_secrets(spark):
     assert cleaned[0] == 'the token = "[other]" and password=[other] here' and cleaned[-1] == texts[-1]
 
 
+def test_names_after_every_title():
+    for title in pii.TITLES:
+        for sign in (" ", ". ", "."):
+            for name in ("Smith", "Ng", "Weber-Krüger", "Ángel Brown"):
+                text = f"then {title}{sign}{name} spoke"
+                assert [text[a:b] for a, b, _, _ in pii.candidates(text, [])] == [name]
+    assert [s[:2] for s in pii.candidates("Frau Prof. Dr. Weber said", [])] == [(15, 20)]
+    assert pii.candidates("a Dr. Prof. was there", []) == []
+
+
+def test_names_and_long_secrets_are_redacted(spark):
+    secret = lambda i: "".join(hashlib.sha1(f"{i} {k}".encode()).hexdigest() for k in range(12))
+    texts = [f"a letter of Dr. Smith{i}son and of Mrs. Walker to Herr Klein" for i in range(30)]
+    texts += [f'the token = "{secret(i)}" here' for i in range(30)]
+    texts += ["plain text about nothing: something else = nothingness"] * 60
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    cleaned = [r.text for r in pii.redact(docs).orderBy("doc_id").collect()]
+    assert set(cleaned[:30]) == {"a letter of Dr. [other] and of Mrs. [other] to Herr [other]"}
+    assert set(cleaned[30:60]) == {'the token = "[other]" here'} and cleaned[60:] == texts[60:]
+
+
 def test_reliabilities():
     votes = np.array([[1, 1, 0], [1, 0, 0], [2, 2, 1], [2, 2, 0], [0, 0, 1]])
     model = pii.aggregate_votes(votes, np.array([50.0, 20.0, 10.0, 200.0, 5.0]))
