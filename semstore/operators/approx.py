@@ -85,6 +85,21 @@ def approx_search(
         if tables < 1:
             raise RecordError("at least one hash table is needed")
         hashed = hashed.withColumn("_buckets", F.slice("_buckets", 1, tables))
+    return in_buckets(index, hashed, queries, k, metric, score_threshold, id_col, vector_col)
+
+
+def in_buckets(
+    index: DataFrame,
+    hashed: DataFrame,
+    queries: DataFrame,
+    k: int,
+    metric: str,
+    score_threshold: float | None,
+    id_col: str,
+    vector_col: str,
+    broadcast_bytes: int = sizing.QUERY_BROADCAST_BYTES,
+) -> DataFrame:
+    """The nearest records to every query among those in its ``_buckets``; ``index`` has bucket, id and vector."""
     n, dim = hashed.agg(F.count(F.lit(1)), F.max(F.size("vector"))).first()
     workspace.ship_package(index.sparkSession)
     types = {**dict(index.dtypes), "query_id": dict(queries.dtypes)["query_id"]}
@@ -92,7 +107,7 @@ def approx_search(
     if n == 0:
         return index.sparkSession.createDataFrame([], schema + ", rank int")
 
-    way = _broadcast_queries if n * dim * 8 <= sizing.QUERY_BROADCAST_BYTES else _meet_in_buckets
+    way = _broadcast_queries if n * dim * 8 <= broadcast_bytes else _meet_in_buckets
     found = way(index, hashed, metric, k, id_col, vector_col, schema)
     ranked = ranking.best_per_query(found, k, metric, id_col, sizing.scan_tasks(index), repeated=True)
     if score_threshold is not None:

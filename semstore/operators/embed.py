@@ -6,13 +6,13 @@ Arrow batches (:class:`PythonProvider`). The texts are checked first; one bad te
 
 from __future__ import annotations
 
+import hashlib
+import math
+import re
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import IDF, CountVectorizerModel, Normalizer
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,8 +26,7 @@ from semstore.plans import sizing, workspace
 class Provider:
     """Turns the text column of a DataFrame into ``vector``, and ``error`` where that failed.
 
-    ``sound`` says that every text gets a vector of finite numbers. It saves the check, which would put the whole
-    expression of a native vector into every later filter on ``error``.
+    ``sound`` says that every vector made is one of finite numbers, which saves the check.
     """
 
     sound = False
@@ -50,53 +49,123 @@ class ColumnProvider(Provider):
 
     def apply(self, df: DataFrame, text_col: str) -> DataFrame:
         vector = F.when(F.col("error").isNull(), self.column(F.col(text_col)))
-        return df.withColumn("vector", vector)
+        # Filters are not pushed through a generator: the vector is computed once, whatever is asked of it later.
+        return df.select("*", F.explode(F.array(vector)).alias("vector"))
 
 
-#: What a word is made of, in the regular expressions of both Java and RE2.
-WORD_GAP = r"[^\p{L}\p{N}]+"
 NO_WORDS = "text_without_known_words"
+#: Texts to vectors: a matrix with a row per text, and the errors of the texts that have no vector.
+Model = Callable[[Sequence[str]], tuple[list | np.ndarray, list[str | None]]]
+
+
+def _in_arrow(df: DataFrame, text_col: str, load: Callable[[], Model], batch_size: int) -> DataFrame:
+    """Add what a model makes of the texts without an error; it is loaded once per task."""
+    workspace.ship_package(df.sparkSession)
+    names = [c for c in df.columns if c != "error"]
+    schema = T.StructType(
+        [df.schema[c] for c in names]
+        + [T.StructField("vector", T.ArrayType(T.DoubleType())), T.StructField("error", T.StringType())]
+    )
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = None
+        for batch in batches:
+            model = load() if model is None else model
+            texts = batch.column(batch.schema.get_field_index(text_col))
+            errors = batch.column(batch.schema.get_field_index("error")).to_pylist()
+            made: list = [None] * len(texts)
+            open_ = [i for i, error in enumerate(errors) if error is None]
+            for start in range(0, len(open_), batch_size):
+                part = open_[start : start + batch_size]
+                vectors_, failed = model(texts.take(pa.array(part)).to_pylist())
+                for i, vector, error in zip(part, vectors_, failed, strict=True):
+                    made[i], errors[i] = vector if error is None else None, error
+            columns = [batch.column(batch.schema.get_field_index(c)) for c in names]
+            columns += [pa.array(made, pa.list_(pa.float64())), pa.array(errors, pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, names=[*names, "vector", "error"])
+
+    return df.select(*names, "error").mapInArrow(work, schema)
+
+
+#: Words that a worker remembers the places of.
+_REMEMBERED = 1 << 18
+_WORD = re.compile(r"[^\W_]+")
+
+
+class _Places(dict):
+    """The place of every word met so far: a number from its MD5, modulo the dimension."""
+
+    def __init__(self, dim: int) -> None:
+        super().__init__()
+        self.dim = dim
+
+    def __missing__(self, word: str) -> int:
+        place = int(hashlib.md5(word.encode(errors="replace"), usedforsecurity=False).hexdigest()[:8], 16) % self.dim
+        if len(word) <= 64:
+            if len(self) >= _REMEMBERED:
+                self.clear()
+            self[word] = place
+        return place
+
+    def counts(self, text: str) -> np.ndarray:
+        """How many words of a text fall on each place."""
+        words = _WORD.findall(text.lower())
+        return np.bincount(np.fromiter(map(self.__getitem__, words), dtype=np.int64, count=len(words)), minlength=self.dim)
 
 
 class HashingProvider(Provider):
     """Hashed bag of all words of a text, weighted by inverse document frequency and normalised; needs no outside model.
 
-    The place of a word is the number in the first eight hexadecimal digits of its MD5, modulo the dimension. A text
-    whose vector would be zero (no word, or only words that every document has) gets an error instead.
+    The place of a word is the number in the first eight hexadecimal digits of its MD5, modulo the dimension; a worker
+    works it out once per word. A text whose vector would be zero (no word, or only words that every document has) gets
+    an error instead.
     """
 
     sound = True
 
-    def __init__(self, model: PipelineModel, dim: int) -> None:
-        self._model = model
-        self.dim = dim
+    def __init__(self, weights: Sequence[float]) -> None:
+        self.weights = np.asarray(weights, dtype=np.float64)
+        self.dim = len(self.weights)
 
     @classmethod
     def fit(cls, df: DataFrame, text_col: str = "text", dim: int = 256) -> HashingProvider:
         """Learn the weights of the places from a corpus, in one pass over it."""
         if dim < 1:
             raise EmbeddingError("dimensions must be a positive number")
-        counted = CountVectorizerModel.from_vocabulary(list(map(str, range(dim))), inputCol="_places", outputCol="_counts")
-        stages = [
-            counted,
-            IDF(inputCol="_counts", outputCol="_weighted"),
-            Normalizer(inputCol="_weighted", outputCol="_unit"),
-        ]
-        docs = sizing.spread(df.select(text_col))
-        return cls(Pipeline(stages=stages).fit(docs.select(_places(F.col(text_col), dim).alias("_places"))), dim)
+        workspace.ship_package(df.sparkSession)
+
+        def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            places, found = _Places(dim), np.zeros(dim + 1, dtype=np.int64)
+            for batch in batches:
+                found[dim] += batch.num_rows
+                for start in range(0, batch.num_rows, 256):
+                    for text in batch.column(0).slice(start, 256).to_pylist():
+                        if text:
+                            found[:dim] += places.counts(text) > 0
+            # a row per place and task
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(dim + 1)), pa.array(found)], names=["place", "n"])
+
+        docs = sizing.spread(df.select(F.col(text_col).cast("string").alias("text")))
+        counted = docs.mapInArrow(count, "place long, n long").groupBy("place").agg(F.sum("n").alias("n")).collect()
+        found = {r["place"]: r["n"] for r in counted}
+        total = found.get(dim, 0)
+        return cls([math.log((total + 1) / (found.get(i, 0) + 1)) for i in range(dim)])
 
     def apply(self, df: DataFrame, text_col: str) -> DataFrame:
-        made = self._model.transform(df.withColumn("_places", _places(F.col(text_col), self.dim)))
-        vector = vector_to_array("_unit")
-        empty = F.when(~F.exists(vector, lambda x: x != 0), F.lit(NO_WORDS))
-        made = made.withColumn("error", F.coalesce("error", empty))
-        return made.withColumn("vector", F.when(F.col("error").isNull(), vector)).drop("_places", "_counts", "_weighted", "_unit")
+        weights = self.weights
+
+        def load() -> Model:
+            places = _Places(len(weights))
 
+            def embed_all(texts: Sequence[str]) -> tuple[np.ndarray, list[str | None]]:
+                made = np.array([places.counts(t) for t in texts], dtype=np.float64).reshape(len(texts), -1) * weights
+                norms = np.sqrt((made**2).sum(axis=1))
+                unit = np.divide(made, norms[:, None], out=made, where=norms[:, None] > 0)
+                return unit, [None if n > 0 else NO_WORDS for n in norms]
 
-def _places(text: Column, dim: int) -> Column:
-    """The places of all words of a text, as text."""
-    words = F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), WORD_GAP), lambda w: w != "")
-    return F.transform(words, lambda w: (F.conv(F.substring(F.md5(w), 1, 8), 16, 10).cast("long") % dim).cast("string"))
+            return embed_all
+
+        return _in_arrow(df, text_col, load, 256)
 
 
 class PythonProvider(Provider):
@@ -109,31 +178,13 @@ class PythonProvider(Provider):
         self._batch_size = batch_size
 
     def apply(self, df: DataFrame, text_col: str) -> DataFrame:
-        workspace.ship_package(df.sparkSession)
-        load, batch_size = self._load, self._batch_size
-        names = [c for c in df.columns if c != "error"]
-        schema = T.StructType(
-            [df.schema[c] for c in names]
-            + [T.StructField("vector", T.ArrayType(T.DoubleType())), T.StructField("error", T.StringType())]
-        )
-
-        def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            model = None
-            for batch in batches:
-                model = load() if model is None else model
-                texts = batch.column(batch.schema.get_field_index(text_col)).to_pylist()
-                errors = batch.column(batch.schema.get_field_index("error")).to_pylist()
-                made: list = [None] * len(texts)
-                open_ = [i for i, error in enumerate(errors) if error is None]
-                for start in range(0, len(open_), batch_size):
-                    part = open_[start : start + batch_size]
-                    for i, (vector, error) in zip(part, _attempt(model, [texts[i] for i in part]), strict=True):
-                        made[i], errors[i] = vector, error
-                columns = [batch.column(batch.schema.get_field_index(c)) for c in names]
-                columns += [pa.array(made, pa.list_(pa.float64())), pa.array(errors, pa.string())]
-                yield pa.RecordBatch.from_arrays(columns, names=[*names, "vector", "error"])
-
-        return df.select(*names, "error").mapInArrow(work, schema)
+        load = self._load
+
+        def careful() -> Model:
+            model = load()
+            return lambda texts: tuple(zip(*_attempt(model, list(texts)), strict=True))
+
+        return _in_arrow(df, text_col, careful, self._batch_size)
 
 
 def _attempt(model: Callable, texts: list[str]) -> list[tuple[list[float] | None, str | None]]:

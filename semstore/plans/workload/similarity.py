@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from semstore.functions import vectors
-from semstore.operators import approx, counts, knn, pairs, quantize, recommend, search
+from semstore.operators import approx, cells, counts, knn, pairs, quantize, recommend, search, similarity_join
+from semstore.plans import workspace
 from semstore.plans.workload.registry import register, table
 
 NAMES = {"id_col": "vec_id", "vector_col": "embedding"}
@@ -363,3 +364,74 @@ def approx_recall(spark, folder):
     near = approx_search(spark, folder).select("query_id", "vec_id", F.lit(1).alias("found"))
     both = exact.join(near, ["query_id", "vec_id"], "left")
     return both.agg(F.count(F.lit(1)).alias("wanted"), F.count("found").alias("found"))
+
+
+_REPRESENTED = "SELECT min(vec_id) AS vec_id, embedding::DOUBLE[] AS e FROM embeddings GROUP BY embedding"
+_PAIRS = f"""
+c AS ({_REPRESENTED}),
+p AS (SELECT a.vec_id AS id_a, b.vec_id AS id_b, list_cosine_similarity(a.e, b.e) AS raw FROM c a JOIN c b ON a.vec_id < b.vec_id)
+"""
+#: Share of the pairs at the threshold that the registered joins may miss.
+MISS = 1e-7
+
+
+@register(f"WITH {_PAIRS} SELECT id_a, id_b, round(raw, 6) AS score FROM p WHERE raw >= 0.4")
+def similar_pairs(spark, folder):
+    """All pairs of different vectors whose cosine similarity is at least 0.4."""
+    return _rounded(similarity_join.similar_pairs(_embeddings(spark, folder), 0.4, miss=MISS, **NAMES))
+
+
+@register(
+    f"""
+    WITH {_PAIRS}, l AS (SELECT unnest([id_a, id_b]) AS class FROM p WHERE raw >= 0.4),
+    n AS (SELECT class, count(*) AS links FROM l GROUP BY class),
+    m AS (SELECT vec_id, min(vec_id) OVER (PARTITION BY embedding) AS class FROM embeddings)
+    SELECT vec_id, class, coalesce(links, 0) AS links FROM m LEFT JOIN n USING (class)
+    """
+)
+def similar_groups(spark, folder):
+    """The class of equal vectors of every record, and how many other classes are similar to it."""
+    return similarity_join.similar_groups(_embeddings(spark, folder), 0.4, miss=MISS, **NAMES)
+
+
+def _cell_index(coll: DataFrame, metric: str) -> tuple[DataFrame, cells.Cells]:
+    made = cells.Cells.fit(coll, metric=metric, **NAMES)
+    return workspace.staged(cells.assign(coll, made, vector_col="embedding"), "cell-index"), made
+
+
+@register(_BATCH.format(score=COSINE, where="", order="DESC", threshold=""))
+def search_cells_exact(spark, folder):
+    """The five nearest records to every record, by cells that bounds cannot rule out."""
+    coll = _embeddings(spark, folder)
+    index, made = _cell_index(coll, "cosine")
+    return _rounded(cells.search_exact(index, _queries(coll), made, 5, **NAMES))
+
+
+@register(_BATCH.format(score=DISTANCE, where="", order="ASC", threshold=""))
+def search_cells_exact_euclidean(spark, folder):
+    coll = _embeddings(spark, folder)
+    index, made = _cell_index(coll, "euclidean")
+    return _rounded(cells.search_exact(index, _queries(coll), made, 5, **NAMES))
+
+
+@register(_BATCH.format(score=COSINE, where="", order="DESC", threshold=""))
+def search_cells_all(spark, folder):
+    """With the effort of all cells, approximate search by cells is exact."""
+    coll = _embeddings(spark, folder)
+    index, made = _cell_index(coll, "cosine")
+    return _rounded(cells.search(index, _queries(coll), made, 5, effort=len(made.centres), **NAMES))
+
+
+@register()
+def search_cells_recall(spark, folder):
+    """How many of the exact ten nearest records are found, by effort (cells read), over all queries."""
+    coll = _embeddings(spark, folder)
+    index, made = _cell_index(coll, "cosine")
+    exact = workspace.staged(knn.search_batch(coll, _queries(coll), 10, **NAMES).select("query_id", "vec_id"), "exact")
+    out = None
+    for effort in (1, max(1, len(made.centres) // 4), max(1, len(made.centres) // 2)):
+        near = cells.search(index, _queries(coll), made, 10, effort=effort, **NAMES).select("query_id", "vec_id", F.lit(1).alias("found"))
+        both = exact.join(near, ["query_id", "vec_id"], "left").agg(F.count(F.lit(1)).alias("wanted"), F.count("found").alias("found"))
+        one = both.select(F.lit(effort).alias("effort"), "wanted", "found")
+        out = one if out is None else out.unionByName(one)
+    return out

@@ -8,7 +8,7 @@ import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from semstore.errors import RecordError
 
@@ -33,6 +33,13 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """Write a table to the shared folder and read it: it is computed once, and a lost executor costs no more than a read."""
+    path = new_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder through the file system that holds it; one that does not exist is passed over."""
     place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

@@ -121,3 +121,37 @@ def test_provider_arguments():
         WaveProvider(0)
     with pytest.raises(EmbeddingError):
         embed.PythonProvider(load, batch_size=0)
+
+
+def test_a_native_vector_is_computed_once(docs):
+    """However the result is filtered, the expression stands in the plan once."""
+    made = embed.embed(docs, WaveProvider(20)).where("error IS NULL").where("vector[0] > -2").select("id", "vector")
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.upper().count("SIN(") == 1
+    assert sorted(r["id"] for r in made.collect()) == [1, 2, 3, 6, 7]
+
+
+def test_hashing_embeds_once_and_equals_its_definition(spark):
+    texts = ["The cat, the dog_and the bird", "a cat", "ÉTÉ été 12 ½ x²", "...", "", None, "the"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    provider = embed.HashingProvider.fit(df, dim=32)
+    made = embed.embed(df, provider).where("error IS NULL")
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+    place = lambda w: int(hashlib.md5(w.encode()).hexdigest()[:8], 16) % 32
+    words = [["the", "cat", "the", "dog", "and", "the", "bird"], ["a", "cat"], ["été", "été", "12", "½", "x²"], [], [], [], ["the"]]
+    seen = [sum(any(place(w) == p for w in own) for own in words) for p in range(32)]
+    weights = [math.log((len(texts) + 1) / (n + 1)) for n in seen]
+    assert provider.weights.tolist() == pytest.approx(weights)
+    got = {r["id"]: r["vector"] for r in made.collect()}
+    for i, own in enumerate(words):
+        vector = np.zeros(32)
+        for w in own:
+            vector[place(w)] += weights[place(w)]
+        if vector.any():
+            assert got.pop(i) == pytest.approx((vector / np.linalg.norm(vector)).tolist())
+    assert got == {}
+    errors = {r["id"]: r["error"] for r in embed.embed(df, provider).collect()}
+    assert errors[3] == embed.NO_WORDS and errors[4] == errors[5] == "text_blank"
+    empty = embed.HashingProvider.fit(df.where("false"), dim=4)
+    assert empty.weights.tolist() == [0.0] * 4
