@@ -27,9 +27,16 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: that with the smallest id."""
-    first = near_duplicates(docs).where("kept").select(F.col("doc_id").alias("_first")).distinct()
-    return docs.join(first, docs["doc_id"].eqNullSafe(first["_first"]), "left_semi")
+    """One document of each group of near duplicates: that with the smallest id, one without an id only if none has one.
+
+    Rows get a number first, so repeated and missing ids neither lose a text nor keep a copy.
+    """
+    rows = staged(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    groups = near_duplicates(rows.select("_row", "text"), id_col="_row").select(F.col("doc_id").alias("_of"), "component_id")
+    named = groups.join(rows.select("_row", "doc_id"), F.col("_of") == F.col("_row"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row"))
+    kept = named.groupBy("component_id").agg(first.alias("first")).select(F.col("first._row").alias("_row"))
+    return rows.join(kept, "_row", "left_semi").select(*docs.columns)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
