@@ -26,6 +26,18 @@ def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
 
+def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, text, and `id`, `content`, which tell rows with different texts apart and order them.
+
+    Rows with an id are told apart by it and 64 bits of their text, rows without one by 126 bits; the latter come after
+    all ids below 2**62.
+    """
+    text = F.col("text")
+    last = F.lit(1 << 62) + F.xxhash64(F.lit("row"), text).bitwiseAND((1 << 62) - 1)
+    content = F.when(F.col("doc_id").isNull(), F.xxhash64(F.lit("no id"), text)).otherwise(F.xxhash64(text))
+    return id_and_text(docs, id_col, text_col).select("doc_id", F.coalesce("doc_id", last).alias("id"), content.alias("content"), "text")
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write a table to the shared folder and read it: cuts the lineage, survives lost executors."""
     path = new_path(df.sparkSession, name)

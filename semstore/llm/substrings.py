@@ -12,8 +12,8 @@ and all but the first of each are covered. Minimizers with very many different s
 share, each with its own surroundings) are cut into single strings before that, so that equal ones meet by their hash.
 
 Defined cases: null and empty texts have no bytes; texts of any length are read whole; matches never cross documents.
-Rows without an id come last. Rows with the same id are ordered by a hash of their text; those with the same id and text
-are one document, returned as often as they occur.
+Rows without an id come after all ids below 2**62. Rows with the same id are ordered by a hash of their text; those with
+the same id and text are one document, returned as often as they occur.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from semstore.llm.common import bytes_of, id_and_text, mix, slices, staged
+from semstore.llm.common import bytes_of, keyed, mix, slices, staged
 from semstore.llm.induced import suffix_array
 
 LENGTH, GRAM = 100, 20
@@ -82,12 +82,7 @@ def _sliding_minimum(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(made[:n], made[width - have : width - have + n])
 
 
-def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    source = id_and_text(docs, id_col, text_col)
-    return source.select("doc_id", F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("id"), F.hash("text").alias("content"), "text")
-
-
-def minimizer_counts(keyed: DataFrame, length: int) -> DataFrame:
+def minimizer_counts(docs: DataFrame, length: int) -> DataFrame:
     """Minimizers that occur more than once."""
 
     def run(batches):
@@ -97,11 +92,11 @@ def minimizer_counts(keyed: DataFrame, length: int) -> DataFrame:
                 kinds, n = np.unique(np.concatenate(found), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(kinds.view(np.int64)), pa.array(n)], names=["minimizer", "n"])
 
-    counted = keyed.select("text").mapInArrow(run, "minimizer long, n long")
+    counted = docs.select("text").mapInArrow(run, "minimizer long, n long")
     return counted.groupBy("minimizer").agg(F.sum("n").alias("n")).where("n > 1").select("minimizer")
 
 
-def segments(keyed: DataFrame, length: int) -> DataFrame:
+def segments(docs: DataFrame, length: int) -> DataFrame:
     """minimizer, id, content, start, last (starts of the first and last string) and digest of every segment."""
 
     def run(batches):
@@ -126,13 +121,13 @@ def segments(keyed: DataFrame, length: int) -> DataFrame:
                     names=["minimizer", "id", "content", "start", "last", "digest"],
                 )
 
-    return keyed.select("id", "content", "text").mapInArrow(run, SEGMENT)
+    return docs.select("id", "content", "text").mapInArrow(run, SEGMENT)
 
 
-SEGMENT = "minimizer long, id long, content int, start int, last int, digest long"
+SEGMENT = "minimizer long, id long, content long, start int, last int, digest long"
 
 
-def single_strings(rows: DataFrame, keyed: DataFrame, length: int) -> DataFrame:
+def single_strings(rows: DataFrame, docs: DataFrame, length: int) -> DataFrame:
     """Each string of the segments as a segment of its own."""
 
     def cut(text: bytes, part: dict) -> list[tuple]:
@@ -156,20 +151,20 @@ def single_strings(rows: DataFrame, keyed: DataFrame, length: int) -> DataFrame:
                         names=["minimizer", "id", "content", "start", "last", "digest"],
                     )
 
-    return _with_texts(rows, keyed).mapInArrow(run, SEGMENT)
+    return _with_texts(rows, docs).mapInArrow(run, SEGMENT)
 
 
-def _with_texts(rows: DataFrame, keyed: DataFrame) -> DataFrame:
+def _with_texts(rows: DataFrame, docs: DataFrame) -> DataFrame:
     """id, content, text and parts (start, last, minimizer) of the documents that hold the segments.
 
     Rows with the same id and text are one document: it comes once.
     """
     parts = rows.groupBy("id", "content").agg(F.collect_list(F.struct("start", "last", "minimizer")).alias("parts"))
-    joined = keyed.select("id", "content", "text").join(parts, ["id", "content"])
+    joined = docs.select("id", "content", "text").join(parts, ["id", "content"])
     return joined.dropDuplicates(["id", "content"])
 
 
-def repeated_in_shards(different: DataFrame, keyed: DataFrame, length: int) -> DataFrame:
+def repeated_in_shards(different: DataFrame, docs: DataFrame, length: int) -> DataFrame:
     """Covered stretches (id, content, begin, end) among segments of one minimizer that differ, by suffix arrays."""
     total = different.agg(F.coalesce(F.sum(F.col("last") - F.col("start") + length), F.lit(0))).first()[0]
     shards = max(1, math.ceil(total / SHARD_BYTES))
@@ -196,8 +191,8 @@ def repeated_in_shards(different: DataFrame, keyed: DataFrame, length: int) -> D
         columns = {"id": frame["id"].to_numpy()[which], "content": frame["content"].to_numpy()[which], "begin": begin, "end": begin + length}
         return type(frame)(columns)
 
-    cuts = _with_texts(different, keyed).mapInArrow(cut, "shard int, id long, content int, start int, bytes binary")
-    return cuts.groupBy("shard").applyInPandas(sort, "id long, content int, begin int, end int")
+    cuts = _with_texts(different, docs).mapInArrow(cut, "shard int, id long, content long, start int, bytes binary")
+    return cuts.groupBy("shard").applyInPandas(sort, "id long, content long, begin int, end int")
 
 
 def repeated_strings(parts: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -232,25 +227,25 @@ def remove_repeated(docs: DataFrame, *, length: int = LENGTH, id_col: str = "doc
     """doc_id, n_bytes, n_removed, n_spans and kept (the bytes left) of every row."""
     if length < GRAM + 2:
         raise ValueError(f"strings of fewer than {GRAM + 2} bytes have no minimizer")
-    keyed = _keyed(docs, id_col, text_col)
+    rows_of = keyed(docs, id_col, text_col)
     # tables that are joined are written first: Spark can then split the large partitions of a frequent key
-    shared = staged(minimizer_counts(keyed, length), "minimizers")
-    rows = staged(segments(keyed, length).join(shared, "minimizer", "left_semi"), "segments")
+    shared = staged(minimizer_counts(rows_of, length), "minimizers")
+    rows = staged(segments(rows_of, length).join(shared, "minimizer", "left_semi"), "segments")
     covered = []
     first = staged(_first_of_equal(rows), "first-segments")
     covered.append(_copies(rows, first, length))
     kinds = staged(first.groupBy("minimizer").agg(F.count("*").alias("kinds")).where("kinds > 1"), "kinds")
     several = staged(first.join(kinds, "minimizer"), "different-segments")
-    covered.append(repeated_in_shards(several.where(F.col("kinds") <= MANY), keyed, length))
+    covered.append(repeated_in_shards(several.where(F.col("kinds") <= MANY), rows_of, length))
     crowded = several.where(F.col("kinds") > MANY)
     if not crowded.isEmpty():
-        strings = staged(single_strings(crowded, keyed, length), "single-strings")
+        strings = staged(single_strings(crowded, rows_of, length), "single-strings")
         covered.append(_copies(strings, staged(_first_of_equal(strings), "first-strings"), length))
     marks = covered[0]
     for more in covered[1:]:
         marks = marks.unionByName(more)
     marks = marks.groupBy("id", "content").agg(F.collect_list(F.struct("begin", "end")).alias("marks"))
-    marked = keyed.join(staged(marks, "marks"), ["id", "content"], "left").select("doc_id", "text", "marks")
+    marked = rows_of.join(staged(marks, "marks"), ["id", "content"], "left").select("doc_id", "text", "marks")
     return marked.mapInArrow(_cut_out, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
 
 
