@@ -12,14 +12,12 @@ that begins there ends 20 to 27 words later, and cuts are alike up to the 43rd w
 are the cut sentences at its edges, at most 2 * WINDOW - 1 words each. In scripts without spaces a character is a word.
 
 Defined cases: null and empty texts have no sentences; texts of any length are cut whole; sentences of punctuation only
-belong to the one before. Rows without an id come last in the order. Rows with the same id and the same text are one
-document, returned as often as they occur; rows with the same id and different texts are ordered by a hash of the text.
+belong to the one before. Rows without an id come after all ids below 2**62. Rows with the same id and text are one document, returned as often as they occur; rows with the same id and different texts are ordered by a hash of the text.
 """
 
 from __future__ import annotations
 
 import re
-import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from semstore.llm.common import id_and_text, mix, slices, staged, texts_of
+from semstore.llm.common import keyed, mix, slices, staged, texts_of
 
 RUN, LEAST_WORDS = 3, 20
 #: Of so many words in a row, at least one ends a sentence or is cut after.
@@ -47,115 +45,146 @@ _INVERSE = pow(_BASE, -1, 1 << 64)
 
 
 class _Hashes(dict):
-    """By word with what follows it: 0 for one that ends a sentence, else 1 and up."""
+    """By word with what follows it: a hash whose lowest bit is 1 for one that ends a sentence."""
 
     def __missing__(self, word: str) -> int:
-        if len(self) >= REMEMBERED:
-            self.clear()
         # of line breaks, only those after the word are ends
-        found = 0 if _END.search(word.lstrip()) else (zlib.crc32(word.strip().lower().encode(errors="replace")) >> 2) + 1
-        self[word] = found
+        ends = _END.search(word.lstrip()) is not None
+        found = xxhash.xxh3_64_intdigest(word.strip().lower().encode(errors="replace")) & ~1 | ends
+        if len(word) <= 64:
+            if len(self) >= REMEMBERED:
+                self.clear()
+            self[word] = found
         return found
 
 
 _hashes = _Hashes()
 
 
-def pieces(text: str) -> list[str]:
-    """Sentences, long ones cut further; together they are the text."""
+class _Powers:
+    """Powers of the base of spans' hashes and of its inverse, as many as were asked for."""
+
+    def __init__(self) -> None:
+        self.up = self.down = np.ones(1, dtype=np.uint64)
+
+    def of(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        if n > len(self.up):
+            size = max(n, 4096)
+            with np.errstate(over="ignore"):
+                self.up, self.down = (np.cumprod(np.r_[np.uint64(1), np.full(size - 1, b, dtype=np.uint64)]) for b in (_BASE, _INVERSE))
+        return self.up, self.down
+
+
+_powers = _Powers()
+
+
+def cut(text: str) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Words, their hashes, and the numbers of words up to the end of each sentence, long ones cut further."""
     words = _WORD.findall(text)
-    if not words:
-        return [text] if text else []
     n = len(words)
     value = np.fromiter(map(_hashes.__getitem__, words), dtype=np.uint64, count=n)
-    cut = value == 0
+    if not n:
+        return words, value, np.empty(0, dtype=np.int64)
+    ends = (value & np.uint64(1)).astype(bool)
     if n >= WINDOW:
-        # the last of equal words
-        least = (value << np.uint64(33)) | np.arange(n - 1, -1, -1, dtype=np.uint64)
+        # an end is the smallest; of equal words the last
+        small = np.where(ends, np.uint64(0), (value >> np.uint64(34)) + np.uint64(1))
+        least = (small << np.uint64(33)) | np.arange(n - 1, -1, -1, dtype=np.uint64)
         have = 1
         while have < WINDOW:
             step = min(have, WINDOW - have)
             least = np.minimum(least[:-step], least[step:])
             have += step
-        cut[n - 1 - (least & np.uint64((1 << 33) - 1)).astype(np.int64)] = True
-    cut[-1] = True
-    ends = np.cumsum(np.fromiter(map(len, words), dtype=np.int64, count=n))[cut].tolist()
-    return [text[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+        ends[n - 1 - (least & np.uint64((1 << 33) - 1)).astype(np.int64)] = True
+    ends[-1] = True
+    return words, value, np.flatnonzero(ends) + 1
 
 
-def words_of(piece: str) -> list[str]:
-    small = piece.lower()
-    return small.split() if small.isascii() else [w.strip() for w in _WORD.findall(small)]
+def pieces(text: str) -> list[str]:
+    """Sentences, long ones cut further; together they are the text."""
+    words, _, ends = cut(text)
+    if not words:
+        return [text] if text else []
+    at = np.cumsum(np.fromiter(map(len, words), dtype=np.int64, count=len(words)))[ends - 1].tolist()
+    return [text[a:b] for a, b in zip([0, *at], at, strict=False)]
 
 
-def spans(parts: list[str], run: int = RUN, least_words: int = LEAST_WORDS) -> np.ndarray:
-    """Rows (hash, first sentence, end) of the shortest spans that begin, and that end, at each sentence."""
-    words = [words_of(p) for p in parts]
-    sizes = np.cumsum([0, *map(len, words)])
-    own = np.array([xxhash.xxh3_64_intdigest(" ".join(w).encode(errors="replace")) for w in words], dtype=np.uint64)
-    every = np.arange(len(parts))
+def spans(value: np.ndarray, sizes: np.ndarray, run: int = RUN, least_words: int = LEAST_WORDS) -> np.ndarray:
+    """Rows (hash, first sentence, end) of the shortest spans that begin, and that end, at each sentence.
+
+    From the hashes of the words, and the numbers of words up to the end of each sentence.
+    """
+    n = len(sizes)
+    sizes = np.r_[0, sizes]
+    every = np.arange(n)
     ends = np.maximum(every + run, np.searchsorted(sizes, sizes[:-1] + least_words))
     starts = np.minimum(every + 1 - run, np.searchsorted(sizes, sizes[1:] - least_words, side="right") - 1)
-    forward, backward = ends <= len(parts), starts >= 0
+    forward, backward = ends <= n, starts >= 0
     # as one number each, start first
     both = np.unique(np.concatenate([(every << 32 | ends)[forward], (starts << 32 | every + 1)[backward]]))
     start, end = both >> 32, both & 0xFFFFFFFF
     # sums of the hashes times powers of a base; those before a span are taken off and the power of its start is divided out
+    up, down = _powers.of(len(value) + 1)
     with np.errstate(over="ignore"):
-        powers = np.cumprod(np.r_[np.uint64(1), np.full(len(parts), _BASE, dtype=np.uint64)])
-        back = np.cumprod(np.r_[np.uint64(1), np.full(len(parts), _INVERSE, dtype=np.uint64)])
-        before = np.cumsum(np.r_[np.uint64(0), own * powers[:-1]], dtype=np.uint64)
-        hashes = mix((before[end] - before[start]) * back[start])
+        before = np.zeros(len(value) + 1, dtype=np.uint64)
+        np.cumsum((value | np.uint64(1)) * up[: len(value)], out=before[1:])
+        hashes = mix((before[sizes[end]] - before[sizes[start]]) * down[sizes[start]])
     return np.column_stack([hashes.view(np.int64), start, end])
 
 
-def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    source = id_and_text(docs, id_col, text_col)
-    return source.select(
-        F.struct(F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("id"), F.hash("text").alias("content")).alias("key"), "doc_id", "text"
-    )
-
-
-def hashed_spans(keyed: DataFrame, run: int, least_words: int) -> DataFrame:
+def hashed_spans(docs: DataFrame, run: int, least_words: int) -> DataFrame:
     def work(batches):
         for batch in batches:
             for part in slices(batch):
-                keys = part.column("key")
-                found = [spans(pieces(t), run, least_words) for t in texts_of(part.column("text"))]
-                owner = keys.take(pa.array(np.repeat(np.arange(len(found)), [len(f) for f in found])))
+                found, sizes = [], []
+                for text in texts_of(part.column("text")):
+                    _, value, ends = cut(text)
+                    found.append(spans(value, ends, run, least_words))
+                    sizes.append(len(ends))
+                rows = np.repeat(np.arange(len(found)), [len(f) for f in found])
                 table = np.concatenate(found)
+                # after the spans, a row without a hash for each text: how many sentences it has
+                owner = pa.array(np.r_[rows, np.arange(len(found))])
+                counted = np.r_[table[:, 2], np.array(sizes, dtype=np.int64)].astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(table[:, 0]), owner.field("id"), owner.field("content"), pa.array(table[:, 1].astype(np.int32)), pa.array(table[:, 2].astype(np.int32))],
+                    [
+                        pa.array(np.r_[table[:, 0], np.zeros(len(found), dtype=np.int64)], mask=np.r_[np.zeros(len(table), bool), np.ones(len(found), bool)]),
+                        part.column("id").take(owner), part.column("content").take(owner),
+                        pa.array(np.r_[table[:, 1], np.zeros(len(found), dtype=np.int64)].astype(np.int32)), pa.array(counted),
+                    ],
                     names=["span", "id", "content", "start", "end"],
-                )
+                )
 
-    return keyed.select("key", "text").mapInArrow(work, "span long, id long, content int, start int, end int")
+    return docs.select("id", "content", "text").mapInArrow(work, "span long, id long, content long, start int, end int")
 
 
 def remove_repeated(
     docs: DataFrame, *, run: int = RUN, least_words: int = LEAST_WORDS, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """doc_id, n_sentences, n_removed, n_removed_words, kept_text of every row."""
-    keyed = _keyed(docs, id_col, text_col)
-    found = staged(hashed_spans(keyed, run, least_words), "spans")
+    rows_of = keyed(docs, id_col, text_col)
+    cut_once = staged(hashed_spans(rows_of, run, least_words), "spans")
+    found = cut_once.where(F.col("span").isNotNull())
     place = F.struct("id", "content", "start")
     # tables that are joined are written first: Spark can then split the large partitions of a frequent span
     often = staged(found.groupBy("span").agg(F.count("*").alias("n")).where("n > 1").select("span"), "often")
     again = staged(found.join(often, "span", "left_semi"), "repeated-spans")
     first = staged(again.groupBy("span").agg(F.min(place).alias("first")), "first-spans")
     later = again.join(first, "span").where(place != F.col("first"))
-    marks = later.groupBy("id", "content").agg(F.collect_set(F.struct("start", "end")).alias("marks"))
-    marked = keyed.select("doc_id", "text", "key.id", "key.content").join(marks, ["id", "content"], "left")
+    sizes = cut_once.where(F.col("span").isNull()).select("id", "content", F.lit(None).cast("int").alias("start"), "end")
+    mark = F.when(F.col("start").isNotNull(), F.struct("start", "end"))
+    size = F.max(F.when(F.col("start").isNull(), F.col("end")))
+    marks = later.select("id", "content", "start", "end").unionByName(sizes).groupBy("id", "content")
+    marks = marks.agg(F.collect_set(mark).alias("marks"), size.alias("size"))
+    marked = rows_of.join(marks, ["id", "content"], "left")
 
     def work(batches):
         for batch in batches:
             for part in slices(batch):
                 rows = []
-                for text, own in zip(texts_of(part.column("text")), part.column("marks").to_pylist(), strict=True):
-                    parts = pieces(text)
-                    gone = {i for m in own or () for i in range(m["start"], m["end"])}
-                    kept = "".join(p for i, p in enumerate(parts) if i not in gone)
-                    rows.append((len(parts), len(gone), sum(len(words_of(parts[i])) for i in gone), kept))
+                columns = (part.column(c).to_pylist() for c in ("marks", "size"))
+                for text, own, size in zip(texts_of(part.column("text")), *columns, strict=True):
+                    rows.append(_without(text, own) if own else (size, 0, 0, text))
                 columns = list(zip(*rows, strict=True))
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), *(pa.array(c, pa.int64()) for c in columns[:3]), pa.array(columns[3], pa.string())],
@@ -163,7 +192,18 @@ def remove_repeated(
                 )
 
     schema = "doc_id long, n_sentences long, n_removed long, n_removed_words long, kept_text string"
-    return marked.select("doc_id", "text", "marks").mapInArrow(work, schema)
+    return marked.select("doc_id", "text", "marks", "size").mapInArrow(work, schema)
+
+
+def _without(text: str, marks: list[dict]) -> tuple[int, int, int, str]:
+    """Number of sentences, of those in any mark and of their words, and the text without them."""
+    words, _, ends = cut(text)
+    gone = np.zeros(len(ends), dtype=bool)
+    for mark in marks:
+        gone[mark["start"] : mark["end"]] = True
+    counts = np.diff(ends, prepend=0)
+    kept = "".join(w for w, out in zip(words, np.repeat(gone, counts).tolist(), strict=True) if not out)
+    return len(ends), int(gone.sum()), int(counts[gone].sum()), kept
 
 
 def report(found: DataFrame) -> DataFrame:

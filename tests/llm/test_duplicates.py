@@ -68,7 +68,8 @@ def sentence_marks(docs, run=3, least=20):
     for i, text in sorted(docs):
         parts = sentences.pieces(text or "")
         assert "".join(parts) == (text or "")
-        own, gone = [tuple(p.lower().split()) for p in parts], set()
+        words, _, ends = sentences.cut(text or "")
+        own, gone = [tuple(w.strip().lower() for w in words[a:b]) for a, b in zip([0, *ends], ends, strict=False)], set()
         fits = lambda a, b: b - a >= run and sum(map(len, own[a:b])) >= least  # noqa: E731, B023
         size = len(parts)
         bounds = {(a, next((b for b in range(a, size + 1) if fits(a, b)), None)) for a in range(size)}
@@ -105,11 +106,13 @@ def test_any_51_words_hold_a_span(space, marks):
         word = lambda: "".join(rng.choices("abcdefgh", k=5)) if space else chr(rng.randint(0x4E00, 0x9FFF))  # noqa: E731, B023
         words = lambda n: [word() + ("." if marks and rng.random() < 1 / marks else "") for _ in range(n)]  # noqa: E731, B023
         passage = words(51)
-        one, two = (sentences.pieces(space.join([*words(rng.randint(1, 40)), *passage, *words(rng.randint(1, 40))])) for _ in range(2))
-        known = set(sentences.spans(one)[:, 0].tolist())
-        gone = {i for h, a, b in sentences.spans(two).tolist() if h in known for i in range(a, b)}
-        assert sum(len(sentences.words_of(two[i])) for i in gone) >= 51 - 2 * (2 * sentences.WINDOW - 1)
-        assert set("".join(two[i] for i in gone)) <= set(space.join(["", *passage, ""]))
+        one, two = (space.join([*words(rng.randint(1, 40)), *passage, *words(rng.randint(1, 40))]) for _ in range(2))
+        known = set(sentences.spans(*sentences.cut(one)[1:])[:, 0].tolist())
+        marks = [{"start": a, "end": b} for h, a, b in sentences.spans(*sentences.cut(two)[1:]).tolist() if h in known]
+        _, _, n_words, kept = sentences._without(two, marks)
+        assert n_words >= 51 - 2 * (2 * sentences.WINDOW - 1)
+        head, tail = two[: len(two) - len(kept)], two[len(kept) :]
+        assert kept != two and any(two[:i] + two[i + len(two) - len(kept) :] == kept for i in range(len(kept) + 1)) and head and tail
 
 
 def test_sentence_spans_of_odd_rows(odd, nothing):
@@ -120,6 +123,27 @@ def test_sentence_spans_of_odd_rows(odd, nothing):
     assert sentences.remove_repeated(nothing).count() == 0
 
 
+@pytest.fixture(scope="module")
+def twins(spark):
+    """Two texts of equal length whose 32-bit hashes agree."""
+    tail = " and so on, with words enough for a sentence; a second one: a third one, which is no copy of any."
+    made = spark.range(200_000).selectExpr(f"concat('text ', lpad(id, 8, '0'), '{tail * 2}') AS text").selectExpr("text", "hash(text) AS h")
+    pair = made.groupBy("h").agg({"text": "collect_list"}).toDF("h", "t").where("size(t) > 1").first()
+    return pair.t[:2]
+
+
+def test_rows_without_an_id_are_told_apart(spark, twins):
+    """Texts without an id whose 32-bit hashes agree: only the one that holds the repeated passage loses it."""
+    passage = twins[0][: len(twins[0])]
+    docs = spark.createDataFrame([(1, passage), (None, twins[0]), (None, twins[1][:13] + "x" * 200 + "y")], "doc_id long, text string")
+    rows = substrings.remove_repeated(docs).collect()
+    assert sorted((r.n_bytes, r.n_removed) for r in rows if r.doc_id is None) == sorted([(214, 0), (len(twins[0]), len(twins[0]))])
+    both = spark.createDataFrame([(1, twins[0]), (None, twins[0]), (None, twins[1])], "doc_id long, text string")
+    keys = sentences.keyed(both).select("id", "content").distinct().count()
+    assert keys == 3 and len(sentences.remove_repeated(both).collect()) == 3
+    assert {r.n_removed for r in sentences.remove_repeated(both).collect() if r.doc_id == 1} == {0}
+
+
 def naive(text):
     text = list(text)
     return sorted(range(len(text)), key=lambda i: text[i:])
