@@ -9,12 +9,13 @@ A logistic span classifier is then trained on the candidates' features with thes
 Votes and features are small numbers, so the corpus reaches the driver as counts of their patterns only, at most
 2**(2 * labelers + features) of them in theory, and MAX_PATTERNS by check.
 
-Defined cases: null is an empty text; texts of any length are searched whole; rows are handled one by one, so repeated
+Defined cases: null is an empty text; texts of any length are searched whole, in time proportional to it; rows are handled one by one, so repeated
 rows and ids stay; without any candidate only the patterns' spans are returned.
 """
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import math
 import re
@@ -47,45 +48,65 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
-#: Around an `@`, the characters an address can be made of: the pattern can match nowhere else.
-_AROUND_AT = re.compile(r"[A-Za-z0-9._%+@-]*@[A-Za-z0-9._%+@-]*")
 #: Runs of characters that hold every match of the card pattern with 13 digits or more.
 _DIGIT_RUN = re.compile(r"[0-9](?:[\x20-]?[0-9]){12,}")
+#: Numbers joined by single dots: every address lies in one, and the addresses in it are its numbers four by four.
+_DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+)*")
+_DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
+_LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 
 
 def base_spans(text: str) -> list[Span]:
-    """Matches of the fixed patterns, by kind, then start; offsets in code points, the end exclusive."""
-    found: list[Span] = []
-    at = text.find("@")
-    if at >= 0:
-        # an address never crosses a character outside the class, so each run around an @ can be searched by itself
-        done = 0
-        while at >= 0:
-            start = at
-            while start > done and _in_address(text[start - 1]):
-                start -= 1
-            end = at + 1
-            while end < len(text) and _in_address(text[end]):
-                end += 1
-            found += [("email", start + m.start(), start + m.end()) for m in EMAIL.finditer(text[start:end])]
-            done = end
-            at = text.find("@", end)
-    found += [("ip", m.start(), m.end()) for m in IP.finditer(text) if _is_ip(m[0])]
+    """Matches of the fixed patterns, by kind, then start; offsets in code points, the end exclusive.
+
+    The work is in proportion to the text whatever it holds: where a pattern tried at each place would read a long run
+    again and again, the run is read once.
+    """
+    found = _emails(text)
+    if text.count(".") >= 3:
+        found += _addresses(text)
     found += [("card", m.start(), m.end()) for m in _DIGIT_RUN.finditer(text) if _is_card(m[0])]
     if "+" in text:
         found += [("phone", m.start(), m.end()) for m in PHONE.finditer(text) if 9 <= sum(c.isdigit() for c in m[0]) <= 15]
     return found
 
 
-_ADDRESS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-@")
+def _emails(text: str) -> list[Span]:
+    """Matches of EMAIL: a domain behind an `@`, and all that can be its user before it."""
+    found, done = [], 0
+    at = text.find("@")
+    while at >= 0:
+        domain = _DOMAIN.match(text, at + 1)
+        if domain:
+            start = at
+            while start > done and text[start - 1] in _LOCAL:
+                start -= 1
+            if start < at:
+                found.append(("email", start, domain.end()))
+                done = domain.end()
+        done = max(done, at + 1)
+        at = text.find("@", done)
+    return found
 
 
-def _in_address(char: str) -> bool:
-    return char in _ADDRESS
+def _addresses(text: str) -> list[Span]:
+    """Matches of IP whose parts are at most 255."""
+    found = []
+    for match in _DOTTED.finditer(text):
+        numbers = match[0].split(".")
+        at = match.start()
+        for i in range(0, len(numbers) - 3, 4):
+            four = numbers[i : i + 4]
+            end = at + sum(map(len, four)) + 3
+            if all(_at_most_255(number) for number in four):
+                found.append(("ip", at, end))
+            at = end + 1
+    return found
 
 
-def _is_ip(match: str) -> bool:
-    return all(int(part) <= 255 for part in match.split("."))
+def _at_most_255(number: str) -> bool:
+    short = number.lstrip("0")
+    return len(short) < 3 or len(short) == 3 and short <= "255"
 
 
 def _is_card(match: str) -> bool:
@@ -93,28 +114,50 @@ def _is_card(match: str) -> bool:
     return 13 <= len(digits) <= 19 and luhn(digits)
 
 
-#: Words that announce a secret or an identity, titles before names, and first names: small gazetteers.
-SECRET_CUES = ("password", "passwd", "pwd", "secret", "token", "api_key", "apikey", "key", "credential", "passphrase")
-IDENTITY_CUES = ("ssn", "iban", "passport", "account", "phone", "tel", "mobile", "fax", "call", "licence", "insurance", "birth", "born")
-TITLES = ("Mr", "Mrs", "Ms", "Dr", "Prof", "Herr", "Frau", "Monsieur", "Madame", "Señor", "Señora")
+#: Words that announce a secret or an identity, titles before names, and first names: fixed gazetteers.
+SECRET_CUES = (
+    "password passwd pwd passcode secret token api_key apikey access_key key credential credentials passphrase "
+    "bearer signature session_id"
+).split()
+IDENTITY_CUES = (
+    "ssn social iban bic swift passport account phone tel telephone mobile fax call licence license insurance birth born dob "
+    "tax vat national patient customer member"
+).split()
+TITLES = (
+    "Mr Mrs Ms Miss Mx Dr Prof Professor Sir Madam Rev Hon Herr Frau Doktor Monsieur Madame Mademoiselle Maître "
+    "Señor Señora Señorita Don Doña Signor Signora"
+).split()
 FIRST_NAMES = (
-    "James Mary Robert Patricia John Jennifer Michael Linda David Elizabeth William Barbara Thomas Susan Anna Peter Maria "
-    "Hans Klaus Sabine Pierre Marie Jean Sophie Carlos Carmen José Lucía Antonio Ana"
+    "James Mary Robert Patricia John Jennifer Michael Linda David Elizabeth William Barbara Richard Susan Joseph Jessica Thomas "
+    "Sarah Charles Karen Christopher Lisa Daniel Nancy Matthew Betty Anthony Margaret Mark Sandra Donald Ashley Steven Kimberly "
+    "Paul Emily Andrew Donna Joshua Michelle Kenneth Carol Kevin Amanda Brian Melissa George Deborah Anna Peter Maria Hans Klaus "
+    "Sabine Jürgen Wolfgang Ursula Monika Petra Stefan Andreas Heike Birgit Uwe Dieter Helga Ingrid Matthias Katharina Pierre "
+    "Marie Jean Sophie Nicolas Camille François Françoise Jacques Nathalie Isabelle Laurent Julien Chloé Thierry Sylvie Carlos "
+    "Carmen José Lucía Antonio Ana Manuel Josefa Francisco Isabel Javier Pilar Miguel Dolores Alejandro Teresa Fernando Rosa "
+    "Sergio Elena"
 ).split()
 _FIRST = frozenset(FIRST_NAMES)
 #: Prefixes that issuers give their keys.
 KEY_PREFIXES = ("AKIA", "ASIA", "ghp_", "gho_", "xoxb-", "xoxp-", "sk_live_", "sk_test_", "AIza", "eyJ")
 
-_CUE = "|".join((*SECRET_CUES, *IDENTITY_CUES))
-_TITLE = f"(?:{'|'.join(TITLES)})"
+
+
+def _one_of(words: list[str]) -> str:
+    """A pattern for any of the words, by first letter: one comparison settles most places of a text."""
+    letters = sorted({w[0] for w in words})
+    longest_first = lambda c: sorted((w[1:] for w in words if w[0] == c), key=len, reverse=True)
+    return "(?:" + "|".join(f"{c}(?:{'|'.join(longest_first(c))})" for c in letters) + ")"
+
+
+_TITLE = _one_of(TITLES)
 _NAME = r"[A-ZÀ-ÖØ-Þ][\w-]+"
 CANDIDATE = re.compile(
     r"(?P<key>(?<![\w-])(?=[\w-]*[0-9])[A-Za-z0-9_-]{16,}(?![\w-]))"
     rf"|(?P<cued>(?<=[=:])\s?[\"']?(?P<value>[^\s\"'=:]{{6,}}))"
     r"|(?P<ssn>(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-]))"
     r"|(?P<iban>(?<!\w)[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){3,7}(?!\w))"
-    rf"|\b(?:{_TITLE}(?:\.\s{{0,2}}|\s{{1,2}}))+(?P<name>(?!{_TITLE}\b){_NAME}(?:\s{_NAME})?)"
-    rf"|(?P<known>\b(?:{'|'.join(FIRST_NAMES)})\s{_NAME})"
+    rf"|\b(?:{_TITLE}(?:\.\s{{0,2}}|\s{{1,2}})){{1,4}}(?P<name>(?!{_TITLE}\b){_NAME}(?:\s{_NAME})?)"
+    rf"|(?P<known>\b{_one_of(FIRST_NAMES)}\s{_NAME})"
 )
 _SECRET_BEFORE = re.compile(rf"(?:{'|'.join(SECRET_CUES)})[\"']?\s{{0,2}}[=:]?\s{{0,2}}[\"']?$", re.IGNORECASE)
 _IDENTITY_BEFORE = re.compile(rf"\b(?:{'|'.join(IDENTITY_CUES)})\w{{0,6}}\W{{0,4}}(?:is|no|number|nr)?\W{{0,3}}$", re.IGNORECASE)
@@ -127,14 +170,17 @@ FEATURES = ("digits", "mixed_case", "long", "high_entropy", "after_sign", "quote
 
 def candidates(text: str, taken: list[Span]) -> list[tuple[int, int, int, int]]:
     """Start, end, votes (two bits a labeler: 1 yes, 2 no) and features (one bit each) of the candidate spans."""
-    busy = sorted((s, e) for _, s, e in taken)
+    begins, ends = _merged(taken)
     out = []
     for match in CANDIDATE.finditer(text):
         start, end = match.span("value" if match["value"] else "name" if match["name"] else 0)
         while end > start and text[end - 1] in ".,;!?)":
             end -= 1
         # after a title, short words are names too
-        if end - start < 4 and not match["name"] or any(s < end and start < e for s, e in busy):
+        if end - start < 4 and not match["name"]:
+            continue
+        last = bisect.bisect_left(begins, end) - 1  # of what begins before the end, only the last can reach over the start
+        if last >= 0 and ends[last] > start:
             continue
         value, before = text[start:end], text[max(0, start - 32) : start]
         digits = sum(c.isdigit() for c in value)
@@ -166,6 +212,19 @@ def candidates(text: str, taken: list[Span]) -> list[tuple[int, int, int, int]]:
     return out
 
 
+def _merged(spans: list[Span]) -> tuple[list[int], list[int]]:
+    """Begins and ends of the stretches that spans cover, in order."""
+    begins: list[int] = []
+    ends: list[int] = []
+    for _, start, end in sorted(spans, key=lambda s: s[1]):
+        if ends and start <= ends[-1]:
+            ends[-1] = max(ends[-1], end)
+        else:
+            begins.append(start)
+            ends.append(end)
+    return begins, ends
+
+
 def _entropy(value: str) -> float:
     counts = np.unique(np.frombuffer(value.encode("utf-32-le"), dtype=np.uint32), return_counts=True)[1] / len(value)
     return float(-(counts * np.log2(counts)).sum())
@@ -345,8 +404,9 @@ def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
     def run(batches):
         accepted: dict[int, bool] = {}
         for batch in batches:
-            texts = [None if t is None else redacted(t, sum(find_all(t, model.value, accepted), [])) for t in batch.column(place).to_pylist()]
-            columns = [pa.array(texts, pa.string()) if i == place else c for i, c in enumerate(batch.columns)]
-            yield pa.RecordBatch.from_arrays(columns, names=names)
+            for part in slices(batch, text_col):
+                texts = [None if t is None else redacted(t, sum(find_all(t, model.value, accepted), [])) for t in part.column(place).to_pylist()]
+                columns = [pa.array(texts, pa.string()) if i == place else c for i, c in enumerate(part.columns)]
+                yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return docs.mapInArrow(run, docs.schema)

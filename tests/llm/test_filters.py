@@ -154,3 +154,58 @@ def test_personal_data_of_odd_rows(odd, nothing):
     assert pii.find_personal_data(nothing).count() == 0
     kept = pii.redact(odd)
     assert kept.columns == odd.columns and kept.where("doc_id = 2").first().text is None
+
+
+def plain_base(text):
+    found = [("email", *m.span()) for m in pii.EMAIL.finditer(text)]
+    found += [("ip", *m.span()) for m in pii.IP.finditer(text) if all(int(p.lstrip("0")[:9] or 0) <= 255 for p in m[0].split("."))]
+    found += [("card", *m.span()) for m in pii.CARD.finditer(text) if pii._is_card(m[0])]
+    return found + [("phone", *m.span()) for m in pii.PHONE.finditer(text) if 9 <= sum(c.isdigit() for c in m[0]) <= 15]
+
+
+def test_patterns_in_odd_places():
+    parts = ["@", ".", "a", "b1", "1", "25", "256", "0255", ".", "-", "+", "(", "0", "%", " ", "é", "@x.y", "4111 1111 1111 1111", "1.2.3." + "4" * 5000]
+    drawn = random.Random(1)
+    for _ in range(5000):
+        text = "".join(drawn.choice(parts[:-1] if drawn.random() < 0.99 else parts) for _ in range(drawn.randint(0, 40)))
+        assert pii.base_spans(text) == plain_base(text)
+
+
+@pytest.mark.parametrize("unit", ["1", "1.", "1.2.3.4", "a", "a@", "@", "+1(((((", "1 ", "Mr. ", "a@b.c ", "x-", "....", "DE12 ABCD ", "key=a1 "])
+def test_a_megabyte_of_one_thing(unit):
+    """Work in proportion to the text: ten times the text takes no more than about ten times as long."""
+    import time
+
+    def seconds(n):
+        text = "a.b 1.2.3." + unit * (n // len(unit)) + "@b 1"
+        start = time.process_time()
+        pii.candidates(text, pii.base_spans(text))
+        return time.process_time() - start
+
+    short = seconds(100_000)
+    assert seconds(1_000_000) < 30 * max(short, 0.05)
+
+
+def spans_by_hand(text, model):
+    """Base spans, then every candidate that touches none of them and that the classifier takes for personal data."""
+    base = plain_base(text)
+    weights, out = model.weights, list(base)
+    for start, end, _, features in pii.candidates(text, []):
+        if any(s < end and start < e for _, s, e in base):
+            continue
+        # features that look at a base span do not exist: the same candidate has the same ones
+        total = weights[-1] + sum(w for i, w in enumerate(weights[:-1]) if features >> i & 1)
+        if 1 / (1 + np.exp(-total)) >= model.threshold:
+            out.append(("other", start, end))
+    return ",".join(f"{k}:{a}:{b}" for k, a, b in out)
+
+
+def test_spans_match_brute_force(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = pii.fit(docs.select("doc_id", "text"))
+    assert model.weights is not None
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    found = pii.find_personal_data(docs).collect()
+    assert any(r.n_other for r in found)
+    for r in found:
+        assert r.spans == spans_by_hand(texts[r.doc_id], model)
