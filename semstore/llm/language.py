@@ -101,9 +101,10 @@ def gram_counts(training: DataFrame) -> DataFrame:
 def learn(training: DataFrame, size: int = PROFILE) -> Profiles:
     """Profiles from rows of lang and text."""
     first = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
-    top = gram_counts(training).withColumn("rank", F.row_number().over(first) - 1).where(F.col("rank") < size)
+    # compared as it is, Spark cuts each task's rows to `size` a language before they meet
+    top = gram_counts(training).withColumn("place", F.row_number().over(first)).where(F.col("place") <= size)
     ranks: dict[str, dict[int, int]] = {}
-    for lang, gram, rank in top.select("lang", "gram", "rank").toLocalIterator():
+    for lang, gram, rank in top.select("lang", "gram", F.col("place") - 1).toLocalIterator():
         ranks.setdefault(lang, {})[gram] = rank
         if len(ranks) > MAX_LANGUAGES:
             raise ValueError(f"more than {MAX_LANGUAGES} languages")
