@@ -43,7 +43,8 @@ def row_digest(values: Sequence[Column]) -> Column:
 
 
 def numbered(rows: DataFrame, group: str | None, order: Sequence[str], name: str) -> DataFrame:
-    """`rows` (narrow ones) with `tree`, the number of their group, and `at`, theirs within it; both from 0, nulls first.
+    """`rows` (narrow ones) with `tree`, the number of their group, `at`, theirs within it (both from 0, nulls first), and
+    `of`, the number of rows in the group.
 
     Rows that agree in all of `order` should be equal: which of them comes first is left open.
     """
@@ -58,23 +59,24 @@ def numbered(rows: DataFrame, group: str | None, order: Sequence[str], name: str
     # a row per range and group: a group's rows here are at most the ranges
     before = Window.partitionBy("_group").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     shift = F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")
-    parts = staged(parts.select("_group", F.col("_part").alias("_of"), shift.alias("_shift")), f"{name}-parts")
+    total = F.sum("_n").over(Window.partitionBy("_group")).alias("of")
+    parts = staged(parts.select("_group", F.col("_part").alias("_range"), shift.alias("_shift"), total), f"{name}-parts")
     if group:
         trees = numbered(parts.select(F.col("_group").alias("_named")).distinct(), None, ["_named"], f"{name}-groups")
         trees = trees.select("_named", F.col("at").alias("tree"))
         parts = parts.join(trees, F.col("_group").eqNullSafe(F.col("_named"))).drop("_named")
     else:
         parts = parts.withColumn("tree", F.lit(0).cast("long"))
-    met = dealt.join(parts, (F.col("_part") == F.col("_of")) & own.eqNullSafe(F.col("_group")))
-    return met.select(*[dealt[c] for c in rows.columns], "tree", (F.col("_place") + F.col("_shift")).alias("at"))
+    met = dealt.join(parts, (F.col("_part") == F.col("_range")) & own.eqNullSafe(F.col("_group")))
+    return met.select(*[dealt[c] for c in rows.columns], "tree", (F.col("_place") + F.col("_shift")).alias("at"), "of")
 
 
 @dataclass
 class Trees:
     """Trees over numbered leaves: the leaves, the runs of siblings at each level (leaves' first), the roots.
 
-    leaves: tree, at, digest and more; runs: tree, run, members (slot, digest and, of leaves, more), digest of the
-    parent; roots: tree, digest, height (0 for a lone leaf).
+    leaves: tree, at, of, digest and more; runs: tree, run, of, members (slot, digest and, of leaves, more), digest
+    of the parent; roots: tree, digest, height (0 for a lone leaf).
     """
 
     leaves: DataFrame
@@ -85,24 +87,28 @@ class Trees:
 
 
 def grow(leaves: DataFrame, fan_out: int = FAN_OUT, more: Sequence[str] = ()) -> Trees:
-    """All levels over leaves with tree (long), at (0, 1, 2 ... in each tree), digest, and the columns `more`."""
+    """All levels over leaves with tree (long), at (0, 1, 2 ... in each tree), of (how many there are), digest and `more`."""
     if fan_out < 2:
         raise ValueError("a node has two children at least")
-    leaves = staged(leaves.select("tree", "at", "digest", *more), "leaves")
+    leaves = staged(leaves.select("tree", "at", "of", "digest", *more), "leaves")
     nodes, levels = leaves, []
-    roots = leaves.where("false").select("tree", "digest", F.lit(0).alias("height"))
-    while True:
-        sizes = nodes.groupBy("tree").agg(F.max("at").alias("last"))
-        largest = sizes.agg(F.max("last")).first()[0]
-        lone = sizes.where("last = 0").select("tree")
-        done = nodes.join(lone, "tree", "left_semi").select("tree", "digest", F.lit(len(levels)).alias("height"))
-        roots = roots.unionByName(done)
-        if not largest:
-            return Trees(leaves, levels, staged(roots, "roots"), fan_out, tuple(more))
-        # a lone node has no siblings left; in other trees every run gives a parent, even one of a single node
-        growing = nodes.join(lone, "tree", "left_anti")
-        levels.append(staged(_runs(growing, fan_out, () if levels else more), f"level-{len(levels)}"))
-        nodes = levels[-1].select("tree", F.col("run").alias("at"), "digest")
+    largest = leaves.agg(F.max("of")).first()[0] or 0
+    # every node knows how many there are on its level of its tree, so a large tree is never brought together to see
+    done = [_roots(leaves, 0)]
+    while largest > 1:
+        levels.append(staged(_runs(nodes.where("of > 1"), fan_out, () if levels else more), f"level-{len(levels)}"))
+        nodes = levels[-1].select("tree", F.col("run").alias("at"), F.ceil(F.col("of") / fan_out).cast("long").alias("of"), "digest")
+        done.append(_roots(nodes, len(levels)))
+        largest = -(-largest // fan_out)
+    roots = done[0]
+    for some in done[1:]:
+        roots = roots.unionByName(some)
+    return Trees(leaves, levels, staged(roots, "roots"), fan_out, tuple(more))
+
+
+def _roots(nodes: DataFrame, height: int) -> DataFrame:
+    """The nodes without siblings; in other trees every run gives a parent, even one of a single node."""
+    return nodes.where("of = 1").select("tree", "digest", F.lit(height).alias("height"))
 
 
 def _runs(nodes: DataFrame, fan_out: int, more: Sequence[str]) -> DataFrame:
@@ -112,9 +118,9 @@ def _runs(nodes: DataFrame, fan_out: int, more: Sequence[str]) -> DataFrame:
     asked = zero.select("_tree", "_zero", slot.alias("slot")).withColumn("_at", F.col("_zero") + F.col("slot"))
     met = nodes.join(asked, (F.col("tree") == F.col("_tree")) & (F.col("at") == F.col("_at")))
     members = F.sort_array(F.collect_list(F.struct("slot", "digest", *more)))
-    runs = met.groupBy("tree", "_zero").agg(members.alias("members"))
+    runs = met.groupBy("tree", "_zero").agg(members.alias("members"), F.max("of").alias("of"))
     parent = digest(F.array_join(F.transform("members", lambda m: m["digest"]), ""))
-    return runs.select("tree", (F.col("_zero") / fan_out).cast("long").alias("run"), "members", parent.alias("digest"))
+    return runs.select("tree", (F.col("_zero") / fan_out).cast("long").alias("run"), "of", "members", parent.alias("digest"))
 
 
 NO_PATH = "array<struct<left:string,right:string>>"
@@ -137,7 +143,7 @@ def paths(trees: Trees, above: DataFrame | None = None, carried: Sequence[str] =
         below = _below(trees.levels[level], known, trees.fan_out, carried, () if level else ("digest", *trees.more))
         if level:
             below = staged(below, f"paths-{level}")
-    lone = trees.leaves.join(tops.where("height = 0").drop("at", "height"), "tree")
+    lone = trees.leaves.where("of = 1").join(tops.where("height = 0").drop("at", "height"), "tree")
     names = [*keys, "digest", *trees.more]
     return lone.select(*names).unionByName(below.select(*names)) if trees.levels else lone.select(*names)
 
@@ -145,7 +151,7 @@ def paths(trees: Trees, above: DataFrame | None = None, carried: Sequence[str] =
 def _below(runs: DataFrame, known: DataFrame, fan_out: int, carried: Sequence[str], wanted: Sequence[str]) -> DataFrame:
     """The paths of the members of all runs, from those of their parents."""
     known = known.withColumnsRenamed({"tree": "_tree", "at": "_at", "path": "_path"})
-    met = runs.drop("digest").join(known, (F.col("tree") == F.col("_tree")) & (F.col("run") == F.col("_at")))
+    met = runs.drop("digest", "of").join(known, (F.col("tree") == F.col("_tree")) & (F.col("run") == F.col("_at")))
     digests = F.transform("members", lambda m: m["digest"])
     each = met.select("tree", "run", "_path", *carried, digests.alias("_all"), F.explode("members").alias("own"))
     slot = F.col("own.slot")
@@ -196,8 +202,8 @@ def build(
     )
     sources = grow(numbered(leaves, "source", ["id", "digest"], "leaves"), fan_out, ("source", "id", *more))
     # the trees are numbered in the order of their sources
-    tops = sources.roots.select(F.lit(0).cast("long").alias("tree"), F.col("tree").alias("at"), "digest")
-    whole = grow(tops, fan_out)
+    of = F.lit(sources.roots.count()).cast("long")
+    whole = grow(sources.roots.select(F.lit(0).cast("long").alias("tree"), F.col("tree").alias("at"), of.alias("of"), "digest"), fan_out)
     root = whole.roots.first()
     return Manifest(sources, whole, root["digest"] if root else None)
 

@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import zlib
 from collections import defaultdict
 
 SPACE = re.compile("[^\x20\x09-\x0d]+")
@@ -108,3 +109,85 @@ def repeated_bytes(docs, length=100):
         runs = sum(covered[k] and (k == 0 or not covered[k - 1]) for k in range(len(own)))
         out[i] = (len(own), sum(covered), int(runs), sha(bytes(x for x, c in zip(own, covered, strict=True) if not c)))
     return out
+
+
+_LETTERS = re.compile("[A-Za-z\u00c0-\u00ff]+")
+
+
+def variants(docs, dropped=199):
+    counts = defaultdict(int)
+    for i, text in docs:
+        for run in _LETTERS.findall(text or ""):
+            word = lower(run)
+            h = zlib.crc32(f"{'' if i is None else i}:{word}".encode())
+            if dropped and h % dropped == 0:
+                at = h % len(word)
+                word = word[:at] + word[at + 1 :]
+            counts[word] += 1
+    return group_variants({w: n for w, n in counts.items() if len(w) >= 6 and n >= 5})
+
+
+def group_variants(counts):
+    letters = {c for w in counts for c in w}
+    forms, out = {}, {}
+    for word, n in counts.items():
+        edits = {word[:i] + word[i + 1 :] for i in range(len(word))}
+        edits |= {word[:i] + c + word[i + 1 :] for i in range(len(word)) for c in letters}
+        edits |= {word[:i] + c + word[i:] for i in range(len(word) + 1) for c in letters}
+        near = sorted((edits - {word}) & counts.keys(), key=lambda w: (-counts[w], w))
+        form = near[0] if near and counts[near[0]] >= 5 * n else None
+        forms[word] = form
+        out[word] = [form, None, n, len(near), counts[form] if form else None]
+    for word, row in out.items():
+        root = word
+        while forms[root]:
+            root = forms[root]
+        row[1] = root
+    return {w: tuple(r) for w, r in out.items()}
+
+
+def merkle(rows, fan_out=16):
+    """Rows of (doc_id, source, lang, n_chars, text) to sorted rows of the audit."""
+
+    def leaf(row):
+        return sha("".join("-" if v is None else f"{len(str(v).encode())}:{v}" for v in row))
+
+    def tree(leaves):
+        """Root, and for each leaf its siblings (left, right) at each level."""
+        steps = [[] for _ in leaves]
+        nodes, below = list(leaves), [[i] for i in range(len(leaves))]
+        while len(nodes) > 1:
+            higher, wider = [], []
+            for a in range(0, len(nodes), fan_out):
+                run = nodes[a : a + fan_out]
+                for j in range(len(run)):
+                    for i in below[a + j]:
+                        steps[i].append(("".join(run[:j]), "".join(run[j + 1 :])))
+                higher.append(sha("".join(run)))
+                wider.append([i for own in below[a : a + fan_out] for i in own])
+            nodes, below = higher, wider
+        return nodes[0], steps
+
+    first = lambda v: (v is not None, v if v is not None else 0)
+    groups = defaultdict(list)
+    for row in rows:
+        groups[row[1]].append(row)
+    names = sorted(groups, key=lambda s: (s is not None, (s or "").encode()))
+    trees = {s: (own := sorted(groups[s], key=lambda r: (first(r[0]), leaf(r))), *tree([leaf(r) for r in own])) for s in names}
+    if not names:
+        return []
+    root, above = tree([trees[s][1] for s in names])
+    out = []
+    for s, higher in zip(names, above, strict=True):
+        own, subroot, steps = trees[s]
+        for row, step in zip(own, steps, strict=True):
+            path = step + higher
+            node = row
+            if row[0] is not None and zlib.crc32(str(row[0]).encode()) % 5 == 0 and row[4] is not None:
+                node = (*row[:4], lower(row[4]))
+            node = leaf(node)
+            for left, right in path:
+                node = sha(left + node + right)
+            proof = sha("".join(left + right for left, right in path))
+            out.append((row[0], leaf(row), subroot, root, proof, node, node == root))
+    return out

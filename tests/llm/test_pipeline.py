@@ -14,7 +14,7 @@ from tests.llm import brute
 
 
 def test_registered():
-    assert {f"op{n}_" for n in range(1, 11)} == {q.split("_")[0] + "_" for q in QUERIES if q.startswith("op")}
+    assert {f"op{n}_" for n in range(1, 14)} == {q.split("_")[0] + "_" for q in QUERIES if q.startswith("op")}
     assert QUERIES.items() <= __spark_entry__.queries().items() and "pipeline" in QUERIES
     assert [len(s) for s in corpus_pipeline.STAGES] == [2] * 5
 
@@ -28,7 +28,7 @@ def test_sql_gives_the_same_rows(spark, sf_dir):
         cursor = connection.execute(sql)
         columns = [d[0] for d in cursor.description]
         assert sorted(columns) == sorted(found.columns)
-        assert sorted(cursor.fetchall()) == sorted(map(tuple, found.select(*columns).collect()))
+        assert sorted(cursor.fetchall(), key=repr) == sorted(map(tuple, found.select(*columns).collect()), key=repr)
 
 
 def test_pipeline(spark, sf_dir, documents, pairs):
@@ -56,3 +56,20 @@ def test_stages_keep_the_columns(spark, sf_dir, documents):
     for _, stage in corpus_pipeline.STAGES[:-1]:
         docs = stage(spark, docs, sf_dir)
         assert docs.columns == documents.columns and docs.dtypes == documents.dtypes
+
+
+def test_one_row_of_each_group_stays(spark):
+    """Rows are told apart by themselves: repeated and missing ids neither lose a text nor keep a copy."""
+    words = [f"w{i}" for i in range(100)]
+    base, near = " ".join(words), " ".join(["other", *words[1:]])
+    rows = [
+        (5, base), (3, near), (3, "a text of its own that shares an id with a near copy"), (7, base), (7, base),
+        (None, base), (None, "without an id"), (None, "without an id"), (None, "without an id too"), (None, ""), (None, None),
+    ]
+    docs = spark.createDataFrame([(i, t, "en", "a", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    left = corpus_pipeline.near_duplicates_out(spark, docs, "")
+    assert left.columns == docs.columns
+    kept = sorted(((r.doc_id, r.text) for r in left.collect()), key=repr)
+    want = [(3, near), (3, rows[2][1]), (None, "without an id"), (None, "without an id too"), (None, ""), (None, None)]
+    assert kept == sorted(want, key=repr)
+    assert corpus_pipeline.near_duplicates_out(spark, docs.where("false"), "").count() == 0
