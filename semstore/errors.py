@@ -13,6 +13,10 @@ class EmbeddingError(SemstoreError, ValueError):
     """A text or a vector cannot be used for embedding."""
 
 
+class ConflictError(SemstoreError, RuntimeError):
+    """Other writers committed again and again while a change was being made."""
+
+
 class FilterError(SemstoreError, ValueError):
     """A payload filter is malformed."""
 

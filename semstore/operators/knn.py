@@ -357,6 +357,7 @@ def search_batch(
     metric: str = "cosine",
     score_threshold: float | None = None,
     payload: Sequence[str] = (),
+    with_vector: bool = False,
     id_col: str = "id",
     vector_col: str = "vector",
     broadcast_bytes: int = sizing.QUERY_BROADCAST_BYTES,
@@ -364,8 +365,9 @@ def search_batch(
 ) -> DataFrame:
     """The nearest records to every query: ``query_id, id, score, rank`` and the payload columns asked for.
 
-    ``queries`` has ``query_id`` and ``vector``, and may have ``top_k`` (its own number of results) and
-    ``filter_name`` (its own filter, by name from ``filters``). ``where`` holds for all of them.
+    ``queries`` has ``query_id`` and ``vector``, and may have ``top_k`` (its own number of results),
+    ``score_threshold`` (its own, beside the one for all) and ``filter_name`` (its own filter, by name from
+    ``filters``). ``where`` holds for all of them.
     """
     k = arguments.top_k(top_k)
     metric = vectors.check_metric(metric)
@@ -420,7 +422,12 @@ def search_batch(
         own = F.coalesce(F.nullif(F.col("top_k"), F.lit(0)), F.lit(arguments.DEFAULT_TOP_K))
         own = asked.select("query_id", own.alias("_own"))
         ranked = ranked.join(F.broadcast(own) if few else own, "query_id").where(F.col("rank") <= F.col("_own"))
+    if "score_threshold" in queries.columns:
+        own = queries.where("score_threshold IS NOT NULL").select("query_id", F.col("score_threshold").cast("double").alias("_least"))
+        ranked = ranked.join(F.broadcast(own) if few else own, "query_id", "left")
+        ranked = ranked.where(F.col("_least").isNull() | ranking.beyond(metric, F.col("_least")))
     ranked = ranked.select("query_id", id_col, "score", "rank")
+    payload = [*payload, *([vector_col] if with_vector and vector_col not in payload else [])]
     if payload:
         # The number of results is known beforehand: few of them go to the payload, which stays where it is.
         ranked = coll.select(id_col, *payload).join(F.broadcast(ranked) if few else ranked, id_col)

@@ -16,7 +16,7 @@ def _order(metric: str, id_col: str) -> list[Column]:
     return [score, F.col(id_col).asc()]
 
 
-def beyond(metric: str, threshold: float) -> Column:
+def beyond(metric: str, threshold: float | Column) -> Column:
     """Scores at least as good as a threshold."""
     return F.col("score") <= threshold if metric in ASCENDING else F.col("score") >= threshold
 

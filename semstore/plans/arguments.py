@@ -78,3 +78,10 @@ def filter_dict(value: Any) -> Mapping | None:
     if value is not None and not isinstance(value, Mapping):
         raise RecordError("a filter must be a dict")
     return value
+
+
+def effort(value: Any) -> int:
+    """How many cells a search reads."""
+    if isinstance(value, bool) or not isinstance(value, int) or value < 1:
+        raise RecordError("the effort is the number of cells to read, at least 1")
+    return value

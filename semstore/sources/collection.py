@@ -1,32 +1,42 @@
 """A collection as a table in the Spark catalog: a base in Parquet, and the changes since it was last rewritten.
 
 A change costs as much as the change: upserts and deletions are written next to the base, each into a directory of
-its own, and the table properties name the directories that count. Setting that one property is the commit, so a
-writer that dies leaves nothing half done. Reading puts the newest change of an id in place of its base record;
-``compact`` rewrites the base; many changes are folded into one now and then. One writer at a time is assumed.
+its own. A commit, a small file, names the directories that count; making it is one step, so a writer that dies leaves
+nothing half done. Of two writers one makes the next commit and the other tries again: what it has written is put after
+the other's if it does not depend on what was there, else it is made anew. Reading puts the newest change of an id in
+place of its base record; ``compact`` rewrites the base; many changes are folded into one now and then.
+
+Newest means committed last, or, if the collection names a ``version`` field, the greatest version: then changes may
+arrive in any order, in one batch or over many. Deletions remove what was committed before them.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import replace
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from semstore.errors import RecordError
+from semstore.errors import ConflictError, RecordError
 from semstore.functions import text as texts
 from semstore.functions import vectors
-from semstore.operators import counts, quality, recommend, records, search, store
+from semstore.operators import cells, counts, quality, recommend, records, search, store
 from semstore.operators.embed import Provider
 from semstore.operators.knn import search_batch
 from semstore.operators.filters import predicate
 from semstore.plans import arguments, sizing, workspace
+from semstore.sources.commits import Commits, State
 
 _PROPERTY = "semstore."
-_NORM = "_norm"
+_NORM, _CELL, _REACH = "_norm", "_cell", "_reach"
+_HIDDEN = (_NORM, _CELL, _REACH)
+#: How often a change is tried when others commit in between.
+_ATTEMPTS = 20
 
 
 class Collection:
@@ -42,6 +52,9 @@ class Collection:
         self.metric = properties["metric"]
         self.root = properties["root"]
         self.compact_after = int(properties["compact_after"])
+        self.version = properties.get("version") or None
+        self._commits = Commits(spark, self.root)
+        self._known_cells: tuple[str, cells.Cells] | None = None
         self.schema = spark.table(self._quoted).schema
 
     # --- lifecycle
@@ -57,8 +70,12 @@ class Collection:
         payload: T.StructType | str | None = None,
         root: str | None = None,
         compact_after: int = 50,
+        version: str | None = None,
     ) -> Collection:
-        """Make an empty collection. ``payload`` declares typed fields; all others go into a VARIANT column."""
+        """Make an empty collection. ``payload`` declares typed fields; all others go into a VARIANT column.
+
+        ``version`` names the declared field whose greatest value is the newest version of a record.
+        """
         if not name:
             raise RecordError("a collection needs a name")
         if isinstance(size, bool) or not isinstance(size, int) or size <= 0:
@@ -71,11 +88,16 @@ class Collection:
             [T.StructField("id", T.StringType()), T.StructField("vector", T.ArrayType(T.DoubleType()))]
             + [f for f in declared.fields if f.name != "payload"]
             + [T.StructField("payload", T.VariantType()), T.StructField(_NORM, T.DoubleType())]
+            + [T.StructField(_CELL, T.IntegerType()), T.StructField(_REACH, T.DoubleType())]
         )
+        if version is not None and version not in declared.names:
+            raise RecordError(f"the version {version!r} is not a declared payload field")
         root = root or workspace.new_path(spark, name)
         base = f"{root}/base-{uuid.uuid4().hex[:8]}"
         spark.createDataFrame([], schema).write.parquet(base)
-        properties = {"dim": size, "metric": metric, "root": root, "base": base, "changes": "", "compact_after": compact_after}
+        if not Commits(spark, root).publish(State(base), 1):
+            raise RecordError(f"there is a collection at {root} already")
+        properties = {"dim": size, "metric": metric, "root": root, "compact_after": compact_after, "version": version or ""}
         pairs = ", ".join(f"'{_PROPERTY}{k}' = '{_escaped(v)}'" for k, v in properties.items())
         fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
         spark.sql(
@@ -92,7 +114,7 @@ class Collection:
     def drop(spark: SparkSession, name: str) -> None:
         """Forget a collection and delete its files; one that does not exist is an error."""
         coll = Collection(spark, name)
-        paths = coll._files()
+        paths = [*coll._files(coll._state()), coll._commits.folder]
         spark.sql(f"DROP TABLE {_quote(name)}")
         for path in paths:
             workspace.remove(spark, path)
@@ -108,93 +130,172 @@ class Collection:
         rows = self.spark.sql(f"SHOW TBLPROPERTIES {self._quoted}").collect()
         return {r["key"].removeprefix(_PROPERTY): r["value"] for r in rows if r["key"].startswith(_PROPERTY)}
 
-    def _set(self, **properties: Any) -> None:
-        pairs = ", ".join(f"'{_PROPERTY}{k}' = '{_escaped(v)}'" for k, v in properties.items())
-        self.spark.sql(f"ALTER TABLE {self._quoted} SET TBLPROPERTIES ({pairs})")
-
     # --- reading
 
+    def _state(self) -> State:
+        return self._commits.last()
+
+    def done(self, name: str) -> str | None:
+        """A property that was committed together with a change, such as the last batch of a stream."""
+        return self._state().properties.get(name)
+
     def _change_names(self) -> list[str]:
-        """The changes that count, oldest first, as ``<number>-<bytes of ids>-<folder>``."""
-        return [n for n in self._properties()["changes"].split(",") if n]
+        """The folders of the changes that count, oldest first."""
+        return self._state().folders
 
     def _base_path(self) -> str:
-        return self._properties()["base"]
+        return self._state().base
 
     def _change_path(self, folder: str) -> str:
         return f"{self.root}/change-{folder}"
 
-    def _changes(self, names: Sequence[str]) -> DataFrame:
-        extra = [T.StructField("_seq", T.LongType()), T.StructField("_deleted", T.BooleanType())]
-        reader = self.spark.read.schema(T.StructType([*self.schema.fields, *extra]))
-        return reader.parquet(*[self._change_path(n.split("-")[2]) for n in names])
-
-    def _current(self) -> DataFrame:
-        base, names = self.spark.table(self._quoted), self._change_names()
-        if not names:
+    def _base(self, state: State) -> DataFrame:
+        return self.spark.read.schema(self.schema).parquet(state.base)
+
+    def _changes(self, folders: Sequence[str]) -> DataFrame:
+        """The rows of changes, with ``_deleted`` and the place of their change (``_seq``, from 1)."""
+        reader = self.spark.read.schema(T.StructType([*self.schema.fields, T.StructField("_deleted", T.BooleanType())]))
+        rows = reader.parquet(*map(self._change_path, folders))
+        number = F.create_map(*[F.lit(x) for i, folder in enumerate(folders, 1) for x in (folder, i)])
+        name = F.regexp_extract(F.col("_metadata.file_path"), "/change-([0-9a-f]+)/[^/]*$", 1)
+        return rows.select("*", F.element_at(number, name).alias("_seq"))
+
+    def _current(self, state: State | None = None) -> DataFrame:
+        state = state or self._state()
+        base = self._base(state)
+        if not state.changes:
             return base
-        changes = self._changes(names)
-        newest = records.latest(changes, [F.col("_seq").desc()])
+        changes = self._changes(state.folders)
         # The size of the changed ids was measured when they were written: up to a limit they go to the base.
         ids = changes.select("id").distinct()
-        small = sum(int(n.split("-")[1]) for n in names) <= sizing.RESULT_BROADCAST_BYTES
-        untouched = base.join(F.broadcast(ids) if small else ids, "id", "left_anti")
-        return untouched.unionByName(newest.where(~F.col("_deleted")).drop("_seq", "_deleted"))
+        ids = F.broadcast(ids) if state.change_bytes <= sizing.RESULT_BROADCAST_BYTES else ids
+        untouched = base.join(ids, "id", "left_anti")
+        if self.version:
+            before = base.join(ids, "id", "left_semi").withColumns({"_deleted": F.lit(False), "_seq": F.lit(0)})
+            newest = self._newest(before.unionByName(changes))
+        else:
+            newest = records.latest(changes, [F.col("_seq").desc()]).where(~F.col("_deleted"))
+        return untouched.unionByName(newest.select(*self.schema.names))
+
+    def _newest(self, rows: DataFrame) -> DataFrame:
+        """Of the records committed after the last deletion of their id, the one with the greatest version."""
+        gone = F.max(F.when(F.col("_deleted"), F.col("_seq"))).over(Window.partitionBy("id"))
+        alive = rows.withColumn("_gone", gone).where(~F.col("_deleted") & (F.col("_seq") > F.coalesce("_gone", F.lit(-1))))
+        return records.latest(alive, [F.col(f"`{self.version}`").desc_nulls_last(), F.col("_seq").desc()])
 
     def read(self) -> DataFrame:
         """The records as they are now."""
-        return self._current().drop(_NORM)
+        return self._current().drop(*_HIDDEN)
 
     # --- writing
 
-    def _commit(self, change: DataFrame, **properties: Any) -> None:
-        """Write a change (with ``_deleted``) to a directory of its own, then let it count."""
-        names = self._change_names()
-        last = int(names[-1].split("-")[0]) if names else 0
-        aligned = [F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema.fields if f.name in change.columns]
+    def _commit(self, change: DataFrame | Callable[[DataFrame], DataFrame], **properties: Any) -> None:
+        """Write a change (with ``_deleted``) to a directory of its own, then let it count.
+
+        A change given as a function of the current records is made anew if others commit in between.
+        """
+        written = None
+        for _ in range(_ATTEMPTS):
+            state = self._state()
+            if written is None or written[2] != state.cells or callable(change):
+                rows = change(self._current(state)) if callable(change) else change
+                written = (*self._written(rows, state), state.cells)
+            folder, size, _ = written
+            if not size and not properties:
+                return
+            if self._commits.publish(state.with_change(folder, size, properties), state.number + 1):
+                break
+        else:
+            raise ConflictError(f"other writers kept changing {self.name!r}")
+        if len(state.changes) + 1 >= self.compact_after:
+            self.compact() if self.version else self._fold()
+
+    def _written(self, change: DataFrame, state: State) -> tuple[str, int]:
+        """Write the rows of a change; its folder, and the bytes of its ids (0: no rows)."""
+        aligned = [F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in self.schema.fields if f.name in change.columns]
         missing = [F.lit(None).cast(f.dataType).alias(f.name) for f in self.schema.fields if f.name not in change.columns]
-        rows = change.select(*aligned, *missing, F.lit(last + 1).cast("bigint").alias("_seq"), "_deleted")
+        rows = change.select(*aligned, *missing, "_deleted")
+        if state.cells and "vector" in change.columns:
+            rows = self._in_cells(rows, state)
         folder = uuid.uuid4().hex[:8]
-        rows.select(*self.schema.names, "_seq", "_deleted").write.parquet(self._change_path(folder))
+        rows.select(*self.schema.names, "_deleted").write.parquet(self._change_path(folder))
         ids = self.spark.read.schema("id string").parquet(self._change_path(folder))
-        size = ids.agg(F.coalesce(F.sum(F.octet_length("id") + 32), F.lit(0))).first()[0]
-        if size:
-            names = [*names, f"{last + 1}-{size}-{folder}"]
-        if size or properties:
-            self._set(changes=",".join(names), **properties)
-        if len(names) >= self.compact_after:
-            self._fold()
+        return folder, ids.agg(F.coalesce(F.sum(F.octet_length("id") + 32), F.lit(0))).first()[0]
+
+    def _replace(self, make: Callable[[State], tuple[tuple, dict]]) -> State:
+        """Commit other files in place of those of a state; what others commit meanwhile stays."""
+        seen = self._state()
+        changes, values = make(seen)
+        for _ in range(_ATTEMPTS):
+            state = self._state()
+            if state.base != seen.base:
+                raise ConflictError(f"{self.name!r} was rewritten by another writer")
+            merged = state.instead_of(seen, changes, **values)
+            if self._commits.publish(merged, state.number + 1):
+                return seen
+        raise ConflictError(f"other writers kept changing {self.name!r}")
 
     def _fold(self) -> None:
         """Put the newest change of every id into one change; the base and what has been read stay as they are."""
-        names = self._change_names()
-        last, size = int(names[-1].split("-")[0]), sum(int(n.split("-")[1]) for n in names)
-        folder = uuid.uuid4().hex[:8]
-        records.latest(self._changes(names), [F.col("_seq").desc()]).write.parquet(self._change_path(folder))
-        old = [*self._old(), *(n.split("-")[2] for n in names)]
-        self._set(changes=f"{last}-{size}-{folder}", old=",".join(old))
 
-    def _old(self) -> list[str]:
-        """Changes that no longer count but still lie beside the base."""
-        return [n for n in self._properties().get("old", "").split(",") if n]
+        def make(seen: State) -> tuple[tuple, dict]:
+            folder = uuid.uuid4().hex[:8]
+            folded = records.latest(self._changes(seen.folders), [F.col("_seq").desc()])
+            folded.drop("_seq").write.parquet(self._change_path(folder))
+            return ((folder, seen.change_bytes),), {"old": (*seen.old, *seen.folders)}
+
+        self._replace(make)
 
-    def _files(self) -> list[str]:
-        folders = [*self._old(), *(n.split("-")[2] for n in self._change_names())]
-        return [self._base_path(), *map(self._change_path, folders)]
+    def _files(self, state: State) -> list[str]:
+        cells_ = [state.cells] if state.cells else []
+        return [state.base, *map(self._change_path, [*state.old, *state.folders]), *cells_]
 
     def compact(self) -> None:
         """Write the current records as the new base, ordered by id, and delete what it replaces.
 
-        A crash half-way changes no result. Results read before are gone with their files.
+        A crash half-way changes no result. Results read before are gone with their files. Once the collection has
+        cells, records are ordered by cell first.
         """
-        replaced = self._files()
-        base = f"{self.root}/base-{uuid.uuid4().hex[:8]}"
-        self._current().repartitionByRange("id").sortWithinPartitions("id").write.parquet(base)
-        self.spark.sql(f"ALTER TABLE {self._quoted} SET LOCATION '{_escaped(base)}'")
-        self._set(changes="", old="", base=base)
+        self._rewrite(lambda state: (self._current(state), state.cells))
+
+    def _rewrite(self, make: Callable[[State], tuple[DataFrame, str | None]]) -> None:
+        made = {}
+
+        def write(seen: State) -> tuple[tuple, dict]:
+            made["base"] = f"{self.root}/base-{uuid.uuid4().hex[:8]}"
+            rows, made["cells"] = make(seen)
+            order = [_CELL, "id"] if made["cells"] else ["id"]
+            rows.select(*self.schema.names).repartitionByRange(*order).sortWithinPartitions(*order).write.parquet(made["base"])
+            return (), {"old": (), "base": made["base"], "cells": made["cells"]}
+
+        seen = self._replace(write)
+        self.spark.sql(f"ALTER TABLE {self._quoted} SET LOCATION '{_escaped(made['base'])}'")
         self.spark.catalog.refreshTable(self._quoted)
-        for path in replaced:
-            workspace.remove(self.spark, path)
+        self._commits.forget_before(seen.number)
+        for path in self._files(seen):
+            if path != made["cells"]:
+                workspace.remove(self.spark, path)
+
+    # --- cells
+
+    def _cells(self, state: State) -> cells.Cells:
+        if not state.cells:
+            raise RecordError(f"{self.name!r} has no cells: call index_cells first")
+        if self._known_cells is None or self._known_cells[0] != state.cells:
+            self._known_cells = (state.cells, cells.Cells.load(self.spark, state.cells, self.metric))
+        return self._known_cells[1]
+
+    def _in_cells(self, rows: DataFrame, state: State) -> DataFrame:
+        placed = cells.assign(rows.drop(_CELL, _REACH), self._cells(state))
+        return placed.withColumnsRenamed({cells.CELL: _CELL, cells.REACH: _REACH})
+
+    def index_cells(self, n_cells: int | None = None, *, sample_rows: int = cells.SAMPLE_ROWS) -> None:
+        """Learn cells from the records, and rewrite the base in their order; later records are put into them too."""
+        fitted = cells.Cells.fit(self._current(), n_cells, metric=self.metric, sample_rows=sample_rows)
+        path = f"{self.root}/cells-{uuid.uuid4().hex[:8]}"
+        fitted.save(self.spark, path)
+        self._known_cells = (path, fitted)
+        self._rewrite(lambda state: (self._in_cells(self._current(state), replace(state, cells=path)), path))
 
     def _shaped(self, batch: DataFrame) -> DataFrame:
         """A batch in the columns of the collection; undeclared fields are packed into the VARIANT payload."""
@@ -212,7 +313,8 @@ class Collection:
         The batch is staged first. With ``strict``, one bad record keeps all of them out; otherwise the bad ones are
         left out. They are returned, with the reason.
         """
-        staged = self._staged(batch.withColumn("_order", F.struct(*order_by)) if order_by else batch)
+        order = list(order_by) or ([F.col(f"`{self.version}`")] if self.version in batch.columns else [])
+        staged = self._staged(batch.withColumn("_order", F.struct(*order)) if order else batch)
         reason = quality.record_reason(dim=self.dim)
         return self._apply(staged, reason, strict, properties)
 
@@ -244,30 +346,47 @@ class Collection:
 
     def store_texts(self, docs: DataFrame, provider: Provider, *, strict: bool = True, **columns) -> DataFrame:
         """Embed texts and upsert them; returns what was rejected."""
-        staged = self._staged(store.store_texts(docs, provider, **columns))
+        staged = self._staged(store.store_texts(docs, provider, **self._ordered(docs, columns)))
         return self._apply_stored(staged, strict, {})
 
-    def _apply_stored(self, staged: DataFrame, strict: bool, properties: Mapping) -> DataFrame:
+    def _ordered(self, docs: DataFrame, columns: dict) -> dict:
+        """By default, the version decides within a batch too."""
+        return {"order_by": [F.col(f"`{self.version}`")], **columns} if self.version in docs.columns else columns
+
+    def _apply_stored(self, staged: DataFrame, strict: bool, properties: Mapping, rejects_to: str | None = None) -> DataFrame:
         reason = F.coalesce(quality.REASON, quality.record_reason(dim=self.dim))
         valid, rejects = quality.split_valid(staged.withColumn("_reason", reason).drop(quality.REASON), F.col("_reason"))
         if strict:
             quality.require_valid(rejects)
+        if rejects_to:
+            # before the commit: a batch that counts has its rejects written
+            rejects.drop("_reason").write.mode("overwrite").parquet(rejects_to)
         if not valid.isEmpty():
             self._apply(valid.drop("_reason"), quality.record_reason(dim=self.dim), True, properties)
         elif properties:
-            self._set(**properties)
+            self._commit(self.spark.createDataFrame([], self.schema).withColumn("_deleted", F.lit(False)), **properties)
         return rejects.drop("_reason")
 
     def store_memories(
-        self, docs: DataFrame, provider: Provider, *, strict: bool = True, properties: Mapping | None = None, **columns
+        self,
+        docs: DataFrame,
+        provider: Provider,
+        *,
+        strict: bool = True,
+        properties: Mapping | None = None,
+        rejects_to: str | None = None,
+        **columns,
     ) -> tuple[DataFrame, DataFrame]:
-        """Enrich, embed and upsert texts; returns the report of what was stored, and the rejects."""
+        """Enrich, embed and upsert texts; returns the report of what was stored, and the rejects.
+
+        The rejects are also written to the folder ``rejects_to``, if one is given.
+        """
         # staged before the flags are added, which read it twice: each text is embedded once
-        staged = self._staged(store.store_memories(docs, provider, **columns))
+        staged = self._staged(store.store_memories(docs, provider, **self._ordered(docs, columns)))
         staged = records.existing_flags(staged, self._current())
         staged = self._staged(staged)
         accepted = staged.where(F.col(quality.REASON).isNull())
-        rejects = self._apply_stored(staged.drop("was_update"), strict, properties or {})
+        rejects = self._apply_stored(staged.drop("was_update"), strict, properties or {}, rejects_to)
         return store.store_report(accepted), rejects
 
     def delete(self, ids: records.Ids) -> DataFrame:
@@ -286,17 +405,30 @@ class Collection:
 
     def delete_where(self, where: Mapping) -> None:
         """Delete the records that match a filter."""
-        match = predicate(self._current(), records._needed(where))
-        self._commit(self._current().where(match).select("id", F.lit(True).alias("_deleted")))
+        needed = records._needed(where)
+        gone = F.lit(True).alias("_deleted")
+        self._commit(lambda current: current.where(predicate(current, needed)).select("id", gone))
 
     def update_where(self, where: Mapping, values: Mapping[str, Any]) -> None:
-        """Set declared payload fields on the records that match a filter."""
-        unknown = [c for c in values if c not in self.schema.names or c in ("id", "vector", _NORM)]
-        if unknown:
-            raise RecordError(f"not a declared payload field: {', '.join(unknown)}")
-        current = self._current()
-        changed = records.update_payload(current.where(predicate(current, records._needed(where))), where, values)
-        self._commit(changed.withColumn("_deleted", F.lit(False)))
+        """Set payload fields on the records that match a filter; undeclared ones are set in the VARIANT payload."""
+        if not values:
+            raise RecordError("there is nothing to set")
+        needed = records._needed(where)
+        wrong = [c for c in values if c in ("id", "vector", "payload", *_HIDDEN) or not isinstance(c, str) or not c.strip()]
+        if wrong:
+            raise RecordError(f"not a payload field: {', '.join(map(str, wrong))}")
+        declared = {k: v for k, v in values.items() if k in self.schema.names}
+        other = {k: v for k, v in values.items() if k not in declared}
+
+        def changed(current: DataFrame) -> DataFrame:
+            rows = current.where(predicate(current, needed))
+            types = {f.name: f.dataType for f in self.schema.fields}
+            new = {k: F.lit(v).cast(types[k]) for k, v in declared.items()}
+            if other:
+                new["payload"] = _with_fields(F.col("payload"), other)
+            return rows.withColumns({**new, "_deleted": F.lit(False)})
+
+        self._commit(changed)
 
     # --- queries
 
@@ -318,27 +450,76 @@ class Collection:
         if not isinstance(query, DataFrame):
             vectors.check_same_dim(self.dim, len(vectors.as_vector(query)))
 
-    def search(self, query: search.Query, top_k: int | None = None, **options) -> DataFrame:
+    def _read_by(self, query: search.Query, effort: int | None) -> DataFrame:
+        """All records, or those in the ``effort`` cells nearest to a query."""
+        state = self._state()
+        current = self._current(state)
+        if effort is None:
+            return current.drop(_CELL, _REACH)
+        arguments.effort(effort)
+        vector = query.first()[0] if isinstance(query, DataFrame) else query
+        chosen = cells.near(self._cells(state), vector, effort)
+        return current.where(cells.in_cells(chosen, F.col(_CELL))).drop(_CELL, _REACH)
+
+    def search(self, query: search.Query, top_k: int | None = None, *, effort: int | None = None, **options) -> DataFrame:
+        """The nearest records; with ``effort``, only those in so many cells are looked at (see ``index_cells``)."""
         self._check_query(query)
-        return search.search(self._current(), query, top_k, metric=self.metric, norm_col=_NORM, **options)
+        return search.search(self._read_by(query, effort), query, top_k, metric=self.metric, norm_col=_NORM, **options)
 
-    def search_text(self, text: str, provider: Provider, top_k: int | None = None, **options) -> DataFrame:
-        return search.search_text(
-            self._current(), text, provider, top_k, metric=self.metric, norm_col=_NORM, **options
-        )
+    def search_text(self, text: str, provider: Provider, top_k: int | None = None, *, effort: int | None = None, **options) -> DataFrame:
+        query = provider.embed_one(self.spark, arguments.query_text(text))
+        return search.search(self._read_by(query, effort), query, top_k, metric=self.metric, norm_col=_NORM, **options)
 
     def search_memory(self, query: str, provider: Provider, top_k: int | None = None, where=None) -> DataFrame:
         return search.search_memory(
-            self._current(), query, provider, top_k, where, metric=self.metric, norm_col=_NORM
+            self._current().drop(_CELL, _REACH), query, provider, top_k, where, metric=self.metric, norm_col=_NORM
         )
 
-    def search_batch(self, queries: DataFrame, top_k: int | None = None, **options) -> DataFrame:
-        return search_batch(self.read(), queries, top_k, metric=self.metric, **options)
+    def search_batch(
+        self,
+        queries: DataFrame,
+        top_k: int | None = None,
+        *,
+        effort: int | None = None,
+        prune: bool = False,
+        where: Mapping | None = None,
+        payload: Sequence[str] = (),
+        score_threshold: float | None = None,
+        **options,
+    ) -> DataFrame:
+        """The nearest records to every query: of all records, or of those in the ``effort`` cells nearest to each.
+
+        With ``prune``, the results are those of all records, but cells that can hold none of them are not read.
+        """
+        if effort is None and not prune:
+            options |= {"where": where, "payload": payload, "score_threshold": score_threshold}
+            return search_batch(self.read(), queries, top_k, metric=self.metric, **options)
+        if options or effort is not None and prune:
+            raise RecordError(f"not together with cells: {', '.join(options) or 'effort and prune'}")
+        state = self._state()
+        index = self._current(state).withColumnsRenamed({_CELL: cells.CELL, _REACH: cells.REACH})
+        chosen = index.where(predicate(index, where)) if where else index
+        if prune:
+            found = cells.search_exact(chosen, queries, self._cells(state), top_k, score_threshold=score_threshold)
+        else:
+            found = cells.search(chosen, queries, self._cells(state), top_k, effort=arguments.effort(effort), score_threshold=score_threshold)
+        return found.join(index.select("id", *payload), "id").select(*found.columns, *payload) if payload else found
 
     def recommend(self, positive, negative=None, top_k: int | None = None, **options) -> DataFrame:
         return recommend.recommend(self.read(), positive, negative, top_k, metric=self.metric, **options)
 
 
+def _with_fields(payload: Column, values: Mapping[str, Any]) -> Column:
+    """A VARIANT object with fields set; one that is missing becomes an object of these fields."""
+    rest = F.map_filter(payload.cast("map<string,variant>"), lambda k, _: ~k.isin(list(values)))
+    new = F.create_map(*[c for k, v in values.items() for c in (F.lit(k), _as_variant(v))])
+    return F.to_variant_object(F.map_concat(F.coalesce(rest, F.create_map().cast("map<string,variant>")), new))
+
+
+def _as_variant(value: Any) -> Column:
+    return F.parse_json(F.lit(json.dumps(value)))
+
+
 def _quote(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 

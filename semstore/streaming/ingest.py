@@ -26,19 +26,22 @@ def store_stream(
     stream: str = "texts",
     available_now: bool = True,
     every: str | None = None,
+    rejects: str | None = None,
     **columns,
 ) -> StreamingQuery:
-    """Start storing a stream of texts; bad texts are left out.
+    """Start storing a stream of texts; bad texts are left out, and written with the reason below ``rejects``.
 
     The number of the batch is committed together with its records, so a batch that Spark replays after a failure
-    is stored once. Give ``every`` (a processing interval) for a stream that goes on.
+    is stored once. Give ``every`` (a processing interval) for a stream that goes on. Where versions of a record may
+    arrive in any order, make the collection with ``version``: it then ends up as if they had come in order.
     """
     done = f"stream_{stream}"
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        if batch_id <= int(collection._properties().get(done, -1)) or batch.isEmpty():
+        if batch_id <= int(collection.done(done) or -1) or batch.isEmpty():
             return
-        collection.store_memories(batch, provider, strict=False, properties={done: batch_id}, **columns)
+        folder = f"{rejects.rstrip('/')}/batch={batch_id}" if rejects else None
+        collection.store_memories(batch, provider, strict=False, properties={done: batch_id}, rejects_to=folder, **columns)
 
     writer = docs.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
     trigger = {"processingTime": every} if every else {"availableNow": available_now}
