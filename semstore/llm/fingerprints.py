@@ -1,9 +1,9 @@
-"""Fingerprints of documents: a Merkle tree over phrases, paragraphs and sections.
+"""Fingerprints of documents: a Merkle tree over paragraphs and sections.
 
-A paragraph is a line; a section ends at a blank line, and after about one paragraph in eight, chosen by its digest. So
-that edits within a paragraph can be located too, paragraphs are cut into phrases: at the ends of sentences, and after a
-pair of words whose hash is the smallest among its neighbours, which depends on the words around the cut only. Digests of
-phrases make those of paragraphs, these make those of sections, and these the root.
+A paragraph is a line; a section ends at a blank line, and after about one paragraph in eight, chosen by its digest. The
+digests of paragraphs make those of sections, and these make the root. So that edits within a paragraph can be located
+too, a paragraph also has short hashes of its phrases: it is cut at the ends of sentences, and after a pair of words
+whose hash is the smallest among its neighbours, which depends on the words around the cut only.
 
 The fingerprint holds the root (128 bits, equal for equal texts only), the sections (64 bits), the paragraphs (48) and
 the phrases (24), in that order and nested: `root/section;paragraph:phrases;paragraph:phrases/section...`. Two
@@ -22,20 +22,19 @@ first, so a single document is its own next one. An empty table gives an empty r
 
 from __future__ import annotations
 
-import base64
 import bisect
 import hashlib
 import re
-import zlib
 from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from semstore.llm.common import id_and_text, slices, staged, texts_of
+from semstore.llm.common import id_and_text, mix, slices, staged, texts_of
 
 #: A phrase ends after a pair of words whose hash is the smallest of so many before and after it.
 REACH = 2
@@ -44,18 +43,22 @@ SECTION = 8
 #: Bytes of text in a range, and the most ranges.
 RANGE_BYTES, MOST_RANGES = 4 << 20, 1 << 20
 #: Hashes of words that a worker remembers.
-REMEMBERED = 1 << 18
+REMEMBERED = 1 << 19
 
-_WORD = re.compile(r"\S+\s*|\s+")
+_WORD = re.compile(r"\S+[^\S\n]*\n?|[^\S\n]+\n?|\n")
 _PARAGRAPH = re.compile(r"[^\n]*\n|[^\n]+")
-_END = re.compile(r"[.!?。！？][\"')\]]*\s+$|\n$")
+_STOPS, _CLOSING = (".", "!", "?", "\u3002", "\uff01", "\uff1f"), "\"')]"
+_DIGITS = np.frombuffer(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_", dtype=np.uint8)
 
 
 class _Hashes(dict):
-    """By word with what follows it: the lowest bit is 1 for one that ends a sentence."""
+    """By word with what follows it: a hash, then a bit for the end of a line, then one for the end of a sentence."""
 
     def __missing__(self, word: str) -> int:
-        found = zlib.crc32(word.strip().encode(errors="replace")) << 1 | (_END.search(word) is not None)
+        bare = word.strip()
+        line = word[-1] == "\n"
+        end = line or len(bare) < len(word) and bare.rstrip(_CLOSING).endswith(_STOPS)
+        found = xxhash.xxh3_64_intdigest(bare.encode(errors="replace")) & ~3 | line << 1 | end
         if len(word) <= 64:
             if len(self) >= REMEMBERED:
                 self.clear()
@@ -66,27 +69,34 @@ class _Hashes(dict):
 _hashes = _Hashes()
 
 
-def phrases(paragraph: str) -> list[str]:
-    """Consecutive phrases that together are the paragraph."""
-    words = _WORD.findall(paragraph)
+def _cut(lines: list[str]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+    """Words of lines (all but the last end with a line break), their hashes, phrases' ends and lines as word numbers."""
+    words = _WORD.findall("".join(lines))
     n = len(words)
-    if n <= 1:
-        return [paragraph] if paragraph else []
     value = np.fromiter(map(_hashes.__getitem__, words), dtype=np.uint64, count=n)
     cut = (value & np.uint64(1)).astype(bool)
     cut[-1] = True
+    breaks = (value >> np.uint64(1) & np.uint64(1)).astype(np.int64)
+    line = np.cumsum(breaks) - breaks
     if n > 2 * REACH + 1:
         with np.errstate(over="ignore"):
-            pair = (value[1:] >> np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15) + (value[:-1] >> np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93)
+            pair = value[1:] * np.uint64(0x9E3779B97F4A7C15) + value[:-1] * np.uint64(0xD6E8FEB86659FD93)
         pair ^= pair >> np.uint64(31)
         inner = pair[REACH : n - 1 - REACH]
-        least = np.ones(len(inner), dtype=bool)
+        least = line[: n - 1 - 2 * REACH] == line[2 * REACH + 1 :]  # neighbours in the same line only
         for i in range(1, REACH + 1):
             # of equal ones the last
             least &= (inner <= pair[REACH - i : REACH - i + len(inner)]) & (inner < pair[REACH + i : REACH + i + len(inner)])
         cut[REACH + 1 : n - REACH] |= least
-    ends = np.cumsum(np.fromiter(map(len, words), dtype=np.int64, count=n))[cut].tolist()
-    return [paragraph[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+    return words, value, np.flatnonzero(cut) + 1, line
+
+
+def phrases(paragraph: str) -> list[str]:
+    """Consecutive phrases that together are the paragraph."""
+    if not paragraph:
+        return []
+    words, _, ends, _ = _cut([paragraph])
+    return ["".join(words[a:b]) for a, b in zip([0, *ends.tolist()], ends.tolist(), strict=False)]
 
 
 def _digest(data: bytes) -> bytes:
@@ -99,10 +109,19 @@ class Paragraph:
     phrases: str  # four characters each
 
 
-def _paragraph(text: str) -> Paragraph:
-    parts = [_digest(p.encode(errors="replace")) for p in phrases(text)]
-    short = b"".join(p[:3] for p in parts)
-    return Paragraph(_digest(b"".join(parts)), base64.urlsafe_b64encode(short).decode())
+def _paragraphs(lines: list[str]) -> list[Paragraph]:
+    _, value, ends, line = _cut(lines)
+    sizes = np.diff(ends, prepend=0)
+    starts = ends - sizes
+    place = np.arange(1, len(value) + 1, dtype=np.uint64) - np.repeat(starts, sizes).astype(np.uint64)
+    with np.errstate(over="ignore"):
+        mixed = (value >> np.uint64(2)) * np.uint64(0x9E3779B97F4A7C15) ^ place * np.uint64(0xD6E8FEB86659FD93)
+        mixed = (mixed ^ mixed >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9)
+        short = mix(np.add.reduceat(mixed, starts)) >> np.uint64(40)
+    shifts = np.array([18, 12, 6, 0], dtype=np.uint64)
+    text = _DIGITS[(short[:, None] >> shifts & np.uint64(63)).astype(np.int64)].tobytes().decode()
+    last = (4 * np.cumsum(np.bincount(line[ends - 1], minlength=len(lines)))).tolist()
+    return [Paragraph(_digest(t.encode(errors="replace")), text[a:b]) for t, a, b in zip(lines, [0, *last], last, strict=False)]
 
 
 def fingerprint(text: str, known: dict[str, Paragraph] | None = None) -> str:
@@ -117,10 +136,14 @@ def fingerprint(text: str, known: dict[str, Paragraph] | None = None) -> str:
         sections.append((made, f"/{made[:8].hex()}{body}"))
         own.clear()
 
-    for line in _PARAGRAPH.findall(text):
-        made = known.get(line)
-        if made is None:
-            made = known[line] = _paragraph(line)
+    lines = _PARAGRAPH.findall(text)
+    unknown = [line for line in dict.fromkeys(lines) if line not in known]
+    if unknown:
+        # only the last line of the text can lack its break
+        unknown.sort(key=lambda line: line[-1] != "\n")
+        known.update(zip(unknown, _paragraphs(unknown), strict=True))
+    for line in lines:
+        made = known[line]
         own.append(made)
         if made.digest[15] % SECTION == 0 or not line.strip():
             end_section()
@@ -138,7 +161,7 @@ def likeness(a: str, b: str) -> float:
     total = sum(n * _size(s) for side in (left, right) for s, n in side.items())
     equal = left & right
     common = sum(n * _size(s) for s, n in equal.items())
-    left, right = _paragraphs(left - equal), _paragraphs(right - equal)
+    left, right = _below(left - equal), _below(right - equal)
     equal = left & right
     common += sum(n * len(_phrases(p)) for p, n in equal.items())
     left, right = (Counter(c for p in side.elements() for c in _phrases(p)) for side in (left - equal, right - equal))
@@ -150,7 +173,7 @@ def _size(section: str) -> int:
     return sum(len(p) - 13 for p in section.split(";")[1:]) // 4
 
 
-def _paragraphs(sections: Counter) -> Counter:
+def _below(sections: Counter) -> Counter:
     return Counter(p for s in sections.elements() for p in s.split(";")[1:])
 
 
