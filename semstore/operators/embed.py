@@ -217,3 +217,36 @@ def embed(
     )
     made = made.withColumn("error", F.coalesce("error", broken))
     return made.withColumn("vector", F.when(F.col("error").isNull(), v))
+
+
+def embed_once(
+    df: DataFrame, provider: Provider, store: str, text_col: str = "text", *, max_length: int | None = None
+) -> DataFrame:
+    """Like ``embed``, but every distinct text is embedded once, over all batches that share the folder ``store``.
+
+    Texts are told apart by their SHA-256. The vectors of new texts are added to the store; those of texts that failed
+    are not, so that they are tried again. Two batches at a time may embed a text twice, which changes no result.
+    A store belongs to one provider.
+    """
+    key = F.unhex(F.sha2(F.col(text_col).cast("binary"), 256)).alias("_key")
+    hashed = workspace.staged(df.select("*", key), "hashed-texts")
+    # one row per text and task before anything is shuffled, however often a text occurs
+    texts = hashed.where(F.col("_key").isNotNull()).groupBy("_key").agg(F.first(text_col).alias("text"))
+    known = _stored(df.sparkSession, store)
+    made = embed(texts.join(known.select("_key"), "_key", "left_anti"), provider, "text", spread=False, max_length=max_length)
+    made = workspace.staged(made.select("_key", "vector", "error"), "new-vectors")
+    good = made.where(F.col("error").isNull()).select("_key", "vector")
+    good.sortWithinPartitions("_key").write.mode("append").option("parquet.bloom.filter.enabled#_key", "true").parquet(store)
+    wanted = _stored(df.sparkSession, store).join(hashed.select("_key").distinct(), "_key", "left_semi").dropDuplicates(["_key"])
+    # written before the join, so that the many rows of a frequent text can be split
+    found = wanted.select("_key", "vector", F.lit(None).cast("string").alias("error"))
+    found = workspace.staged(found.unionByName(made.where(F.col("error").isNotNull())), "vectors-of-batch")
+    joined = hashed.join(found, "_key", "left")
+    reason = F.coalesce("error", F.when(F.col("_key").isNull(), text_reason(F.col(text_col), max_length)))
+    return joined.select(*[f"`{c}`" for c in df.columns], "vector", reason.alias("error"))
+
+
+def _stored(spark: SparkSession, store: str) -> DataFrame:
+    """The vectors of a store; none before the first batch."""
+    schema = "_key binary, vector array<double>"
+    return spark.read.schema(schema).parquet(store) if workspace.exists(spark, store) else spark.createDataFrame([], schema)

@@ -297,10 +297,45 @@ def _condition(types: Mapping, payload: str | None, condition: tuple) -> Column:
             return _variant_leaf(field, kind, argument)
         return _typed_leaf(field, data_type, kind, argument)
     if payload is not None:
-        return _variant_leaf(F.try_variant_get(F.col(payload), _path(key), "variant"), kind, argument)
+        leaf = _variant_leaf(F.try_variant_get(F.col(payload), _path(key), "variant"), kind, argument)
+        return _promoted_leaf(key, kind, argument, leaf) if promoted("rest", key) in types else leaf
     return F.lit(False)
 
 
+def promoted(kind: str, key: str) -> str:
+    """The column that holds the values of one kind of a promoted payload field."""
+    return f"_{kind}_of_{key}"
+
+
+def _promoted_leaf(key: str, kind: str, argument: Any, leaf: Column) -> Column:
+    """A test on the columns of a promoted field, and on the payload (``leaf``) for rows that they leave open.
+
+    Written as two conditions, of which the first is on columns only: it reaches the scan.
+    """
+    field = lambda family: F.col(f"`{promoted(family, key)}`")
+    open_ = field("rest").isNull()
+    if kind in ("match", "one_of"):
+        typed = []
+        for value in [argument] if kind == "match" else argument:
+            family = _family_of_value(value)
+            typed.append((family, F.lit(float(value) if family == "number" else value)))
+        tests = []
+        for family, column in (("string", "text"), ("number", "number"), ("boolean", "boolean")):
+            values = [v for f, v in typed if f == family]
+            if values:
+                same = field(column) == values[0] if len(values) == 1 else field(column).isin(values)
+                tests.append(field(column).isNotNull() & same)
+        test = reduce(lambda a, b: a | b, tests) if tests else F.lit(False)
+        open_ = open_ | field("rest")
+    elif kind == "range":
+        # a promoted number is never NaN, which the scan could not be asked about
+        test = field("number").isNotNull() & _all([_compare(field("number"), name, bound) for name, bound in argument.items()])
+    else:
+        return leaf
+    # as a second OR, the optimizer would merge the two, and nothing would reach the scan
+    return (test | open_) & F.when(test, True).otherwise(leaf)
+
+
 def _family(data_type: T.DataType) -> str | None:
     if isinstance(data_type, T.NumericType):
         return "number"

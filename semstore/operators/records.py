@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import or_
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, Window
@@ -14,6 +16,8 @@ from semstore.operators.filters import is_empty, predicate
 from semstore.plans import arguments, sizing
 
 Ids = Sequence | DataFrame
+#: Ids that a filter of the scan compares one by one.
+_FEW = 10
 
 
 def latest(batch: DataFrame, newest_first: Sequence[Column], id_col: str = "id") -> DataFrame:
@@ -50,7 +54,12 @@ def select_ids(df: DataFrame, ids: Ids, *, id_col: str = "id", keep: bool = True
     if len(wanted) > sizing.LITERAL_IDS:
         table = df.sparkSession.createDataFrame([(v,) for v in wanted], T.StructType([df.schema[id_col]]))
         return select_ids(df, table, id_col=id_col, keep=keep)
-    found = F.col(id_col).isin(wanted) if wanted else F.lit(False)
+    field = F.col(id_col)
+    found = field.isin(wanted) if wanted else F.lit(False)
+    if keep and len(wanted) > _FEW:
+        # The scan is told of longer lists only from where to where they reach, of short ones every id.
+        wanted = sorted(wanted)
+        found = found & reduce(or_, [field.isin(wanted[i : i + _FEW]) for i in range(0, len(wanted), _FEW)])
     return df.where(found if keep else ~found)
 
 

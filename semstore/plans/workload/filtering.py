@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from semstore.operators import counts, filters, records
+from semstore.operators import counts, filters, records, shred
 from semstore.operators.filters import new_filter
+from semstore.plans import workspace
 from semstore.plans.workload.registry import register, table
 
 
@@ -136,6 +137,15 @@ def filter_json_payload(spark, folder):
     return _where(events, flt, "event_id")
 
 
+@register(f"SELECT event_id FROM events WHERE {_K} = 42 OR {_K} >= 90")
+def filter_promoted_payload(spark, folder):
+    """The same on a payload field that has columns of its own, written and read again."""
+    events = _events(spark, folder).withColumn("payload", F.parse_json("props"))
+    stored = workspace.staged(shred.promote(events, ["k"]), "promoted")
+    flt = filters.any_of({"k": 42}, {"k": "7"}, filters.value_range("k", 90), {"absent": 1})
+    return _where(stored, flt, "event_id")
+
+
 @register(f"SELECT event_id FROM events WHERE {_K} NOT IN (1, 2, 3)")
 def filter_json_negated(spark, folder):
     events = _events(spark, folder).withColumn("payload", F.parse_json("props"))

@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from semstore.operators import counts, filters, quality, records
-from semstore.operators.embed import HashingProvider
+from semstore.operators.embed import HashingProvider, PythonProvider, embed_once
 from semstore.plans import workspace
 from semstore.plans.workload.registry import register, table
 from semstore.plans.workload.texts import hashed
@@ -325,3 +325,92 @@ def count_after_delete(spark, folder):
     docs = _documents(spark, folder).select("doc_id", "lang")
     left = records.delete_by_ids(docs, table(spark, folder, "labels").select("doc_id"), "doc_id")
     return counts.count_records(left, filters.none_of({"lang": "fr"}))
+
+
+def _load_lengths():
+    """A stand-in for a model: the length of a text and its spaces."""
+    return lambda texts: [[float(len(t)), 1.0 + t.count(" ")] for t in texts]
+
+
+@register(
+    """
+    SELECT conv_id::VARCHAR AS id, turn, length(text)::DOUBLE AS first_element FROM conversations
+    QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) = 1
+    """
+)
+def stream_out_of_order(spark, folder):
+    """Turns of conversations that arrive latest first, in several micro-batches: the last turn stays."""
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "text")
+    arriving = workspace.new_path(spark, "turns")
+    for rest in (2, 1, 0):
+        turns.where(F.col("turn") % 3 == rest).write.mode("append").parquet(arriving)
+    coll = _new_collection(spark, "turns", 2, payload="turn long", version="turn")
+    docs = ingest.text_stream(spark, arriving, turns.schema, files_per_batch=1)
+    query = ingest.store_stream(
+        docs, coll, PythonProvider(_load_lengths), checkpoint=workspace.new_path(spark, "stream"), id_col="conv_id", payload=["turn"],
+        rejects=workspace.new_path(spark, "rejects"),
+    )
+    query.awaitTermination()
+    return coll.read().select("id", "turn", F.element_at("vector", 1).alias("first_element"))
+
+
+@register(
+    """
+    SELECT doc_id, length(text)::DOUBLE AS first_element, (1 + length(text) - length(replace(text, ' ', '')))::DOUBLE AS second
+    FROM documents WHERE regexp_matches(text, '\\S')
+    """
+)
+def embed_once_over_batches(spark, folder):
+    """The documents in two batches that overlap; the second one finds the vectors of the first."""
+    docs = _documents(spark, folder).select("doc_id", "text")
+    store, provider = workspace.new_path(spark, "vectors"), PythonProvider(_load_lengths)
+    embed_once(docs.where(F.col("doc_id") % 2 == 0), provider, store)
+    made = embed_once(docs, provider, store).where(F.col("error").isNull())
+    return made.select("doc_id", F.element_at("vector", 1).alias("first_element"), F.element_at("vector", 2).alias("second"))
+
+
+def _stored_embeddings(spark, folder, name: str) -> Collection:
+    coll = _new_collection(spark, name, 64, payload="label int")
+    coll.upsert(table(spark, folder, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"), "label"))
+    return coll
+
+
+@register(
+    """
+    SELECT vec_id::VARCHAR AS id, label FROM embeddings WHERE vec_id::VARCHAR > '2' AND label <> 3 ORDER BY vec_id::VARCHAR LIMIT 60
+    """
+)
+def collection_scroll(spark, folder):
+    """Three pages of a rewritten collection, one after the other, with deletions since."""
+    coll = _stored_embeddings(spark, folder, "paged")
+    coll.compact()
+    coll.delete_where({"label": 3})
+    offset, pages = "2", None
+    for _ in range(3):
+        page = coll.scroll(limit=20, offset=offset).select("id", "label")
+        pages = page if pages is None else pages.unionByName(page)
+        # the last id of a page is where the next one begins
+        offset = page.agg(F.max("id")).first()[0] or offset
+    return pages
+
+
+@register(
+    """
+    WITH s AS (
+      SELECT q.vec_id AS query_id, e.vec_id::VARCHAR AS id, e.label, list_cosine_similarity(e.embedding::DOUBLE[], q.embedding::DOUBLE[]) AS raw
+      FROM embeddings q CROSS JOIN embeddings e WHERE e.label <> 4),
+    r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY raw DESC, id) AS n FROM s)
+    SELECT query_id, id, round(raw, 6) AS score, n::INTEGER AS rank, label FROM r WHERE n <= 3
+    """
+)
+def collection_cells(spark, folder):
+    """A collection with cells, changed since: every record's three nearest, by cells that bounds cannot rule out."""
+    rows = table(spark, folder, "embeddings")
+    coll = _stored_embeddings(spark, folder, "celled")
+    coll.index_cells()
+    again = rows.where(F.col("label") >= 5).select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"), "label")
+    coll.upsert(again)
+    coll.delete_where({"label": 4})
+    queries = rows.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector"))
+    found = coll.search_batch(queries, 3, prune=True, payload=["label"])
+    return found.withColumn("score", F.round("score", 6))

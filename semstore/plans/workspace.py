@@ -40,6 +40,12 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder, in the file system that holds the path."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder through the file system that holds it; one that does not exist is passed over."""
     place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

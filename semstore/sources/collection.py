@@ -18,17 +18,17 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import replace
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from semstore.errors import ConflictError, RecordError
 from semstore.functions import text as texts
 from semstore.functions import vectors
-from semstore.operators import cells, counts, quality, recommend, records, search, store
+from semstore.operators import cells, counts, quality, recommend, records, search, shred, store
 from semstore.operators.embed import Provider
 from semstore.operators.knn import search_batch
-from semstore.operators.filters import predicate
+from semstore.operators.filters import is_empty, predicate
 from semstore.plans import arguments, sizing, workspace
 from semstore.sources.commits import Commits, State
 
@@ -149,23 +149,32 @@ class Collection:
     def _change_path(self, folder: str) -> str:
         return f"{self.root}/change-{folder}"
 
-    def _base(self, state: State) -> DataFrame:
-        return self.spark.read.schema(self.schema).parquet(state.base)
+    def _fields(self, state: State) -> list[T.StructField]:
+        """The columns of the files: those of the table, and those of promoted payload fields."""
+        return [*self.schema.fields, *shred.schema(state.promoted)]
 
-    def _changes(self, folders: Sequence[str]) -> DataFrame:
-        """The rows of changes, with ``_deleted`` and the place of their change (``_seq``, from 1)."""
-        reader = self.spark.read.schema(T.StructType([*self.schema.fields, T.StructField("_deleted", T.BooleanType())]))
+    def _base(self, state: State, files: Sequence[str] | None = None) -> DataFrame:
+        """The base, or some files of it."""
+        paths = [state.base] if files is None else [f"{state.base}/{name}" for name in files]
+        reader = self.spark.read.schema(T.StructType(self._fields(state)))
+        return reader.parquet(*paths) if paths else self.spark.createDataFrame([], T.StructType(self._fields(state)))
+
+    def _changes(self, state: State) -> DataFrame:
+        """The rows of the changes, with ``_deleted`` and the place of their change (``_seq``, from 1)."""
+        folders = state.folders
+        reader = self.spark.read.schema(T.StructType([*self._fields(state), T.StructField("_deleted", T.BooleanType())]))
         rows = reader.parquet(*map(self._change_path, folders))
         number = F.create_map(*[F.lit(x) for i, folder in enumerate(folders, 1) for x in (folder, i)])
         name = F.regexp_extract(F.col("_metadata.file_path"), "/change-([0-9a-f]+)/[^/]*$", 1)
         return rows.select("*", F.element_at(number, name).alias("_seq"))
 
-    def _current(self, state: State | None = None) -> DataFrame:
+    def _current(self, state: State | None = None, files: Sequence[str] | None = None) -> DataFrame:
+        """The records with all columns; of the base, only those in some files if they are given."""
         state = state or self._state()
-        base = self._base(state)
+        base = self._base(state, files)
         if not state.changes:
             return base
-        changes = self._changes(state.folders)
+        changes = self._changes(state)
         # The size of the changed ids was measured when they were written: up to a limit they go to the base.
         ids = changes.select("id").distinct()
         ids = F.broadcast(ids) if state.change_bytes <= sizing.RESULT_BROADCAST_BYTES else ids
@@ -175,7 +184,7 @@ class Collection:
             newest = self._newest(before.unionByName(changes))
         else:
             newest = records.latest(changes, [F.col("_seq").desc()]).where(~F.col("_deleted"))
-        return untouched.unionByName(newest.select(*self.schema.names))
+        return untouched.unionByName(newest.select(*base.columns))
 
     def _newest(self, rows: DataFrame) -> DataFrame:
         """Of the records committed after the last deletion of their id, the one with the greatest version."""
@@ -185,7 +194,11 @@ class Collection:
 
     def read(self) -> DataFrame:
         """The records as they are now."""
-        return self._current().drop(*_HIDDEN)
+        return self._shown(self._current())
+
+    def _shown(self, rows: DataFrame, *kept: str) -> DataFrame:
+        """Records without the hidden columns."""
+        return rows.select(*[f"`{c}`" for c in rows.columns if c in kept or c in self.schema.names and c not in _HIDDEN])
 
     # --- writing
 
@@ -197,9 +210,10 @@ class Collection:
         written = None
         for _ in range(_ATTEMPTS):
             state = self._state()
-            if written is None or written[2] != state.cells or callable(change):
+            made_for = (state.cells, state.promoted)
+            if written is None or written[2] != made_for or callable(change):
                 rows = change(self._current(state)) if callable(change) else change
-                written = (*self._written(rows, state), state.cells)
+                written = (*self._written(rows, state), made_for)
             folder, size, _ = written
             if not size and not properties:
                 return
@@ -217,8 +231,9 @@ class Collection:
         rows = change.select(*aligned, *missing, "_deleted")
         if state.cells and "vector" in change.columns:
             rows = self._in_cells(rows, state)
+        rows = rows.withColumns(shred.columns(state.promoted)) if state.promoted else rows
         folder = uuid.uuid4().hex[:8]
-        rows.select(*self.schema.names, "_deleted").write.parquet(self._change_path(folder))
+        rows.select(*[f.name for f in self._fields(state)], "_deleted").write.parquet(self._change_path(folder))
         ids = self.spark.read.schema("id string").parquet(self._change_path(folder))
         return folder, ids.agg(F.coalesce(F.sum(F.octet_length("id") + 32), F.lit(0))).first()[0]
 
@@ -240,15 +255,15 @@ class Collection:
 
         def make(seen: State) -> tuple[tuple, dict]:
             folder = uuid.uuid4().hex[:8]
-            folded = records.latest(self._changes(seen.folders), [F.col("_seq").desc()])
+            folded = records.latest(self._changes(seen), [F.col("_seq").desc()])
             folded.drop("_seq").write.parquet(self._change_path(folder))
             return ((folder, seen.change_bytes),), {"old": (*seen.old, *seen.folders)}
 
         self._replace(make)
 
     def _files(self, state: State) -> list[str]:
-        cells_ = [state.cells] if state.cells else []
-        return [state.base, *map(self._change_path, [*state.old, *state.folders]), *cells_]
+        other = [path for path in (state.cells, state.ranges) if path]
+        return [state.base, *map(self._change_path, [*state.old, *state.folders]), *other]
 
     def compact(self) -> None:
         """Write the current records as the new base, ordered by id, and delete what it replaces.
@@ -256,17 +271,33 @@ class Collection:
         A crash half-way changes no result. Results read before are gone with their files. Once the collection has
         cells, records are ordered by cell first.
         """
-        self._rewrite(lambda state: (self._current(state), state.cells))
+        self._rewrite(lambda state: (self._current(state), state))
+
+    def promote(self, *fields: str) -> None:
+        """Give undeclared payload fields columns of their own, and rewrite the base: filters on them reach the scan."""
+        names = shred.check_fields(fields)
+        if taken := [n for n in names if n in self.schema.names]:
+            raise RecordError(f"declared already: {', '.join(taken)}")
 
-    def _rewrite(self, make: Callable[[State], tuple[DataFrame, str | None]]) -> None:
+        def promoted(state: State) -> tuple[DataFrame, State]:
+            every = tuple(dict.fromkeys((*state.promoted, *names)))
+            return self._current(state).withColumns(shred.columns(every)), replace(state, promoted=every)
+
+        self._rewrite(promoted)
+
+    def _rewrite(self, make: Callable[[State], tuple[DataFrame, State]]) -> None:
+        """Write a new base; ``make`` gives its rows and a state with the cells and promoted fields it is written for."""
         made = {}
 
         def write(seen: State) -> tuple[tuple, dict]:
             made["base"] = f"{self.root}/base-{uuid.uuid4().hex[:8]}"
-            rows, made["cells"] = make(seen)
-            order = [_CELL, "id"] if made["cells"] else ["id"]
-            rows.select(*self.schema.names).repartitionByRange(*order).sortWithinPartitions(*order).write.parquet(made["base"])
-            return (), {"old": (), "base": made["base"], "cells": made["cells"]}
+            rows, wanted = make(seen)
+            made["cells"] = wanted.cells
+            order = [_CELL, "id"] if wanted.cells else ["id"]
+            rows = rows.select(*[f.name for f in self._fields(wanted)]).repartitionByRange(*order).sortWithinPartitions(*order)
+            _with_id_filters(rows).parquet(made["base"])
+            ranges = None if wanted.cells else self._write_ranges(made["base"])
+            return (), {"old": (), "base": made["base"], "cells": wanted.cells, "promoted": wanted.promoted, "ranges": ranges}
 
         seen = self._replace(write)
         self.spark.sql(f"ALTER TABLE {self._quoted} SET LOCATION '{_escaped(made['base'])}'")
@@ -276,6 +307,13 @@ class Collection:
             if path != made["cells"]:
                 workspace.remove(self.spark, path)
 
+    def _write_ranges(self, base: str) -> str:
+        """Write which ids each file of a base holds: file, first, last and n."""
+        path = f"{self.root}/ranges-{uuid.uuid4().hex[:8]}"
+        rows = self.spark.read.schema("id string").parquet(base).select("id", F.col("_metadata.file_name").alias("file"))
+        rows.groupBy("file").agg(F.min("id").alias("first"), F.max("id").alias("last"), F.count(F.lit(1)).alias("n")).coalesce(1).write.parquet(path)
+        return path
+
     # --- cells
 
     def _cells(self, state: State) -> cells.Cells:
@@ -295,7 +333,12 @@ class Collection:
         path = f"{self.root}/cells-{uuid.uuid4().hex[:8]}"
         fitted.save(self.spark, path)
         self._known_cells = (path, fitted)
-        self._rewrite(lambda state: (self._in_cells(self._current(state), replace(state, cells=path)), path))
+
+        def placed(state: State) -> tuple[DataFrame, State]:
+            wanted = replace(state, cells=path)
+            return self._in_cells(self._current(state), wanted), wanted
+
+        self._rewrite(placed)
 
     def _shaped(self, batch: DataFrame) -> DataFrame:
         """A batch in the columns of the collection; undeclared fields are packed into the VARIANT payload."""
@@ -435,16 +478,38 @@ class Collection:
     def get(self, ids: records.Ids, **options) -> DataFrame:
         return records.get_by_ids(self.read(), ids, **options)
 
-    def scroll(self, **options) -> DataFrame:
-        return records.scroll(self.read(), **options)
+    def scroll(self, *, limit: int | None = None, offset: str | None = None, where: Mapping | None = None, **options) -> DataFrame:
+        """One page in id order, after the id ``offset``: of the base, the files from there on that the page needs."""
+        state, size = self._state(), arguments.top_k(limit)
+        if not state.ranges:
+            rows = self._current(state)
+            rows = rows if is_empty(where) else rows.where(predicate(rows, where))
+            return records.scroll(self._shown(rows), limit=size, offset=offset, **options)
+        ranges = self.spark.read.parquet(state.ranges)
+        ranges = ranges if offset is None else ranges.where(F.col("last") > F.lit(offset))
+        n_files = 1
+        while True:
+            # n_files rows reach the driver, and twice as many the next time
+            files = ranges.orderBy("first").limit(n_files + 1).collect()
+            whole = len(files) <= n_files
+            files = files[:n_files]
+            rows = self._current(state, [r["file"] for r in files])
+            if not whole:
+                rows = rows.where(F.col("id") <= F.lit(files[-1]["last"]))
+            rows = rows if is_empty(where) else rows.where(predicate(rows, where))
+            page = records.scroll(self._shown(rows), limit=size, offset=offset, **options)
+            enough = sum(r["n"] for r in files) >= size
+            if whole or enough and page.select("id").count() >= size:
+                return page
+            n_files *= 2
 
     def count(self, where: Mapping | None = None, *, exact: bool = True) -> int:
         """The number of records; an inexact count estimates it from a sketch of the ids."""
-        return counts.count_records(self.read(), where, exact=exact).first()["count"]
+        return counts.count_records(self._current(), where, exact=exact).first()["count"]
 
     def count_memory(self, where: Mapping | None = None, *, exact: bool = False) -> DataFrame:
         """The count with checked arguments and the name of this collection."""
-        return counts.count_memory(self.read(), where, exact=exact, collection=self.name)
+        return counts.count_memory(self._current(), where, exact=exact, collection=self.name)
 
     def _check_query(self, query: search.Query) -> None:
         if not isinstance(query, DataFrame):
@@ -455,25 +520,35 @@ class Collection:
         state = self._state()
         current = self._current(state)
         if effort is None:
-            return current.drop(_CELL, _REACH)
+            return current
         arguments.effort(effort)
         vector = query.first()[0] if isinstance(query, DataFrame) else query
         chosen = cells.near(self._cells(state), vector, effort)
-        return current.where(cells.in_cells(chosen, F.col(_CELL))).drop(_CELL, _REACH)
+        return current.where(cells.in_cells(chosen, F.col(_CELL)))
 
     def search(self, query: search.Query, top_k: int | None = None, *, effort: int | None = None, **options) -> DataFrame:
         """The nearest records; with ``effort``, only those in so many cells are looked at (see ``index_cells``)."""
         self._check_query(query)
-        return search.search(self._read_by(query, effort), query, top_k, metric=self.metric, norm_col=_NORM, **options)
+        return self._searched(query, top_k, effort, options)
+
+    def _searched(self, query: search.Query, top_k: int | None, effort: int | None, options: Mapping) -> DataFrame:
+        rows = self._read_by(query, effort)
+        where = options.get("where")
+        # the filter may need columns that are not shown
+        rows = rows.where(predicate(rows, where)) if where else rows
+        options = {**options, "where": None}
+        return search.search(self._shown(rows, _NORM), query, top_k, metric=self.metric, norm_col=_NORM, **options)
 
     def search_text(self, text: str, provider: Provider, top_k: int | None = None, *, effort: int | None = None, **options) -> DataFrame:
         query = provider.embed_one(self.spark, arguments.query_text(text))
-        return search.search(self._read_by(query, effort), query, top_k, metric=self.metric, norm_col=_NORM, **options)
+        return self._searched(query, top_k, effort, options)
 
     def search_memory(self, query: str, provider: Provider, top_k: int | None = None, where=None) -> DataFrame:
-        return search.search_memory(
-            self._current().drop(_CELL, _REACH), query, provider, top_k, where, metric=self.metric, norm_col=_NORM
-        )
+        rows = self._current()
+        checked = arguments.filter_dict(where)
+        rows = rows.where(predicate(rows, checked)) if checked else rows
+        found = search.search_memory(self._shown(rows, _NORM), query, provider, top_k, metric=self.metric, norm_col=_NORM)
+        return found.withColumn("has_filter", F.lit(not is_empty(checked)))
 
     def search_batch(
         self,
@@ -492,8 +567,10 @@ class Collection:
         With ``prune``, the results are those of all records, but cells that can hold none of them are not read.
         """
         if effort is None and not prune:
-            options |= {"where": where, "payload": payload, "score_threshold": score_threshold}
-            return search_batch(self.read(), queries, top_k, metric=self.metric, **options)
+            rows = self._current()
+            rows = rows.where(predicate(rows, where)) if where else rows
+            options |= {"payload": payload, "score_threshold": score_threshold}
+            return search_batch(rows, queries, top_k, metric=self.metric, **options)
         if options or effort is not None and prune:
             raise RecordError(f"not together with cells: {', '.join(options) or 'effort and prune'}")
         state = self._state()
@@ -509,6 +586,11 @@ class Collection:
         return recommend.recommend(self.read(), positive, negative, top_k, metric=self.metric, **options)
 
 
+def _with_id_filters(rows: DataFrame) -> DataFrameWriter:
+    """A writer whose files can tell which ids they do not hold."""
+    return rows.write.option("parquet.bloom.filter.enabled#id", "true")
+
+
 def _with_fields(payload: Column, values: Mapping[str, Any]) -> Column:
     """A VARIANT object with fields set; one that is missing becomes an object of these fields."""
     rest = F.map_filter(payload.cast("map<string,variant>"), lambda k, _: ~k.isin(list(values)))

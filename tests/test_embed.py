@@ -155,3 +155,29 @@ def test_hashing_embeds_once_and_equals_its_definition(spark):
     assert errors[3] == embed.NO_WORDS and errors[4] == errors[5] == "text_blank"
     empty = embed.HashingProvider.fit(df.where("false"), dim=4)
     assert empty.weights.tolist() == [0.0] * 4
+
+
+def test_a_text_is_embedded_once_over_batches(spark, tmp_path):
+    calls = spark.sparkContext.accumulator(0)
+
+    def load():
+        def model(texts):
+            calls.add(len(texts))
+            if any("bad" in t for t in texts):
+                raise ValueError("refused")
+            return [[float(len(t)), 1.0] for t in texts]
+
+        return model
+
+    provider, store = embed.PythonProvider(load, batch_size=1), str(tmp_path / "store")
+    first = [(i, f"text {i % 3}") for i in range(300)] + [(300, "bad"), (301, None), (302, " ")]
+    one = embed.embed_once(spark.createDataFrame(first, "id int, text string").repartition(5), provider, store)
+    rows = {r["id"]: (r["vector"], r["error"]) for r in one.collect()}
+    assert len(rows) == 303 and rows[299] == ([6.0, 1.0], None) and rows[300] == (None, "refused")
+    assert rows[301] == rows[302] == (None, "text_blank") and calls.value == 4
+    two = embed.embed_once(spark.createDataFrame([(1, "text 1"), (2, "a new one"), (3, "bad")], "id int, text string"), provider, store)
+    assert {r["id"]: r["vector"] for r in two.collect()} == {1: [6.0, 1.0], 2: [9.0, 1.0], 3: None}
+    assert calls.value == 6 and spark.read.parquet(store).count() == 4
+    assert embed.embed_once(two.select("id", "text").where("false"), provider, store).count() == 0
+    plain = embed.embed(spark.createDataFrame(first, "id int, text string"), provider).collect()
+    assert {r["id"]: (r["vector"], r["error"]) for r in plain} == rows

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from semstore import Collection, RecordError
 from semstore.errors import ConflictError
-from semstore.operators import knn
+from semstore.operators import knn, shred
+from semstore.operators.filters import predicate
 from semstore.sources.commits import Commits, State
 from semstore.streaming import ingest
 from stand_ins import WaveProvider
@@ -57,8 +58,8 @@ def test_a_commit_is_made_once(spark, tmp_path):
     commits = Commits(spark, str(tmp_path / "root"))
     assert commits.publish(State("a"), 1) and not commits.publish(State("b"), 1)
     assert commits.last() == State("a", number=1)
-    assert commits.publish(State("c", (("x", 5),), ("y",), "z", {"k": "v"}), 2)
-    assert Commits(spark, str(tmp_path / "root")).last() == State("c", (("x", 5),), ("y",), "z", {"k": "v"}, 2)
+    assert commits.publish(State("c", (("x", 5),), ("y",), "z", ("f",), "r", {"k": "v"}), 2)
+    assert Commits(spark, str(tmp_path / "root")).last() == State("c", (("x", 5),), ("y",), "z", ("f",), "r", {"k": "v"}, 2)
     commits.forget_before(2)
     assert sorted(f.name for f in (tmp_path / "root" / "_commits").iterdir() if f.name[0] != ".") == [f"{2:020d}"]
 
@@ -197,3 +198,85 @@ def test_each_search_of_a_batch_has_its_own_options(spark):
     assert len(by_query["d"]) == 10 and all(r.vector == [float(r.n), 1.0] for r in rows)
     near = knn.search_batch(coll, queries.drop("top_k"), 4, metric="euclidean").collect()
     assert {r.id for r in near if r.query_id == "c"} == {"k0"} and len([r for r in near if r.query_id == "a"]) == 4
+
+
+def test_promoted_fields_reach_the_scan(spark, new):
+    rows = [(f"k{i:02d}", [1.0], f'{{"colour": "{"red" if i % 3 else "blue"}", "size": {i}, "on": {str(i % 2 == 0).lower()}}}') for i in range(40)]
+    rows += [("t", [1.0], '{"colour": ["red", 7], "size": "12", "on": "true"}'), ("u", [1.0], '{"colour": null, "size": 2.5}'), ("v", [1.0], None)]
+    batch = spark.createDataFrame(rows, f"{VECTORS}, j string").select("id", "vector", F.try_parse_json("j").alias("payload"))
+    coll = new()
+    coll.upsert(batch)
+    wheres = [
+        {"colour": "red"}, {"colour": ["blue", 7]}, {"size": {"gte": 30}}, {"size": "12"}, {"size": 12}, {"size": {"lt": 3, "gte": 2}},
+        {"on": True}, {"on": "true"}, {"must_not": [{"match": {"key": "colour", "value": "red"}}]}, {"colour": "red", "size": {"lt": 9}},
+        {"colour": [True, "blue"]}, {"missing": 1},
+    ]
+    want = [ids(coll.read().where(predicate(coll.read(), w))) for w in wheres]
+    assert [r.field for r in shred.frequent_fields(coll.read()).limit(3).collect()] == ["colour", "size", "on"]
+    coll.promote("colour", "size", "on")
+    assert coll.read().columns == ["id", "vector", "payload"]
+    found = lambda: [ids(coll._current().where(predicate(coll._current(), w))) for w in wheres]
+    assert found() == want and want[0] and want[6]
+    # later changes have the columns too, and a change that came without them is asked by its payload
+    coll.upsert(batch.where("id < 'k05'"))
+    assert found() == want and coll.count({"size": {"gte": 30}}) == len(want[2])
+    coll.compact()
+    rows_ = coll._current()
+    text, number = (rows_.where(predicate(rows_, w))._jdf.queryExecution().executedPlan().toString() for w in (wheres[0], wheres[2]))
+    assert "EqualTo(_text_of_colour,red)" in text and "GreaterThanOrEqual(_number_of_size,3" in number
+    older = rows_.withColumn("_rest_of_colour", F.lit(None).cast("boolean")).withColumn("_text_of_colour", F.lit(None).cast("string"))
+    assert ids(older.where(predicate(older, wheres[0]))) == want[0]
+    coll.update_where({"colour": "blue"}, {"colour": "green"})
+    assert coll.count({"colour": "green"}) == 14 and coll.count({"colour": "blue"}) == 0
+    with pytest.raises(RecordError):
+        coll.promote("a b")
+
+
+def test_pages_read_the_files_they_need(spark, new):
+    coll = new(payload="n int", compact_after=50)
+    rows = spark.range(400).selectExpr("concat('k', lpad(id, 4, '0')) AS id", "array(1D) AS vector", "cast(id AS int) AS n")
+    coll.upsert(rows)
+    with_changes = [f"k{i:04d}" for i in range(400)]
+
+    def pages(limit, **options):
+        out, offset = [], None
+        while page := coll.scroll(limit=limit, offset=offset, **options).collect():
+            assert [r["id"] for r in page] == sorted(r["id"] for r in page) and len(page) <= limit
+            out += [r["id"] for r in page]
+            offset = page[-1]["id"]
+        return out
+
+    assert pages(150) == with_changes
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "20")
+    try:
+        coll.compact()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    files = len(coll._base(coll._state()).inputFiles())
+    first, later = coll.scroll(limit=10), coll.scroll(limit=10, offset="k0200")
+    assert files >= 15 and len(first.inputFiles()) <= 4 and len(later.inputFiles()) <= 5
+    assert pages(150) == with_changes
+    coll.delete_where({"n": {"gte": 30, "lt": 330}})
+    coll.upsert(rows.where("id = 'k0100'").union(spark.createDataFrame([("a", [1.0], 0), ("z", [1.0], 0), ("k0010x", [1.0], 0)], rows.schema)))
+    left = sorted(["a", "z", "k0010x", "k0100", *(f"k{i:04d}" for i in range(400) if not 30 <= i < 330)])
+    assert pages(37) == left
+    assert pages(20, where={"n": {"lt": 20}}) == [i for i in left if i in ("a", "z", "k0010x") or i < "k0020"]
+    assert coll.scroll(limit=5, offset="zz").collect() == []
+
+
+def test_a_get_of_many_ids_names_them_to_the_scan(spark, new):
+    coll = new()
+    coll.upsert(spark.range(3000).selectExpr("concat('k', id) AS id", "array(1D) AS vector"))
+    coll.compact()
+    wanted = [f"k{i}" for i in range(0, 3000, 100)]
+    found = coll.get(wanted)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "100000")
+    try:
+        plan = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    pushed = plan[plan.index("PushedFilters") :]
+    assert "Or(" in pushed and pushed.count("In(id, [") >= 3
+    assert ids(found) == sorted(wanted)
