@@ -196,7 +196,43 @@ def repeated_in_shards(different: DataFrame, docs: DataFrame, length: int) -> Da
 
 
 def repeated_strings(parts: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray]:
-    """Part and offset of every string of `length` bytes that also starts in an earlier part, or earlier in the same."""
+    """Part and offset of every string of `length` bytes that also starts in an earlier part, or earlier in the same.
+
+    Strings whose hash occurs once are left out before anything is sorted; what is equal is decided by the sorting.
+    """
+    owner, begin, stretches = _may_repeat(parts, length)
+    if not stretches:
+        return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
+    which, offset = _sorted_repeats(stretches, length)
+    return owner[which], begin[which] + offset
+
+
+def _may_repeat(parts: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """Stretches of the parts, in order, that hold all strings whose hash occurs more than once: part, offset, bytes."""
+    sizes = np.array([len(p) for p in parts], dtype=np.int64)
+    starts = np.cumsum(sizes) - sizes
+    flat = np.frombuffer(b"".join(parts), dtype=np.uint8)
+    if len(flat) < length:
+        return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64), []
+    hashes = _gram_hashes(flat, length)
+    part = np.searchsorted(starts, np.arange(len(hashes)), side="right") - 1
+    inside = np.flatnonzero(np.arange(len(hashes)) + length <= (starts + sizes)[part])
+    order = inside[np.argsort(hashes[inside], kind="stable")]
+    same = hashes[order[1:]] == hashes[order[:-1]]
+    often = np.zeros(len(hashes) + 1, dtype=bool)
+    often[order[1:][same]] = often[order[:-1][same]] = True
+    at = np.flatnonzero(often)
+    if not len(at):
+        return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64), []
+    new = np.flatnonzero(np.r_[True, (np.diff(at) > 1) | (part[at[1:]] != part[at[:-1]])])
+    first, last = at[new], at[np.r_[new[1:] - 1, len(at) - 1]]
+    data = flat.tobytes()
+    stretches = [data[a : b + length] for a, b in zip(first.tolist(), last.tolist(), strict=True)]
+    return part[first], first - starts[part[first]], stretches
+
+
+def _sorted_repeats(parts: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Part and offset of every string that also starts earlier, by the suffix array of all parts."""
     sizes = np.array([len(p) for p in parts], dtype=np.int64)
     starts = np.cumsum(sizes + 1) - sizes - 1
     flat = np.frombuffer(b"\0".join(parts) + b"\0", dtype=np.uint8)
