@@ -2,6 +2,7 @@
 
 import math
 import random
+import re
 import zlib
 from collections import Counter
 
@@ -148,6 +149,68 @@ def test_licences(spark):
     assert all(not rows[i] for i, _ in filler)
 
 
+HEADERS = {
+    "agpl-3.0": "Licensed under the GNU Affero General\nPublic License, version 3",
+    "mit": "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation "
+    'files (the "Software"), to deal\nin the Software without restriction, including without limitation the rights\nto use it.',
+    "mpl-2.0": " * This Source Code Form is subject to the terms of the Mozilla Public\n * License, v. 2.0. If a copy of the MPL was not\n * distributed",
+    "gpl-3.0": "# This program is free software: you can redistribute it and/or modify\n# it under the terms of the GNU General Public License as "
+    "published by\n# the Free Software Foundation, either version 3 of the License, or\n# (at your option) any later version.",
+    "gpl-2.0": "// This program is free software; you can redistribute it and/or modify\n// it under the terms of the GNU General Public License as "
+    "published by\n// the Free Software Foundation; either version 2 of the License, or\n// (at your option) any later version.",
+    "apache-2.0": "// SPDX-License-Identifier: Apache-2.0",
+    "lgpl": "SPDX-License-Identifier: LGPL-2.1-or-later",
+    "cc-by-nc": "This work is licensed under a Creative Commons\nAttribution-NonCommercial 4.0 International License.",
+}
+
+
+def test_wrapped_and_commented_notices(spark):
+    plain = "Nothing here is said about the terms of the work, and you may read it as you like"
+    rows = [(i, f"/*\n{t}\n */\nint main;") for i, t in enumerate(HEADERS.values())]
+    rows += [(100 + i, f"{plain} {w}.\nIt goes on over\nlines about a licence to {w}") for i, w in enumerate("sing print drive marry go".split())]
+    rows += [(200, "word " * 5_000 + "Licensed under the MIT\nLicense " + "word " * 5_000)]
+    found = {r.doc_id: r.families for r in licences.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [found[i] for i in range(len(HEADERS))] == list(HEADERS)
+    assert found[200] == "mit" and not any(f for i, f in found.items() if 100 <= i < 200)
+
+
+def shares(text):
+    """By plain Python: for each family the largest share of a notice's word pairs that a passage holds."""
+    def tokens(t):
+        own = [w for w in re.split(r"[^a-z0-9.+-]+", t.lower()) if re.sub(r"[.+-]", "", w)]
+        return [re.sub(r"^[.+-]+|[.+-]+$", "", w) for w in own]
+
+    pairs = lambda t: set(zip(t, t[1:], strict=False))
+    bare = re.sub(licences._COMMENT, "", text or "")
+    cut = re.split(r"\n+|(?<=[.!?])\s+", bare)
+    cut += [re.sub(r"\s*\n\s*", " ", p) for p in re.split(r"\n[ \t]*\n\s*|(?<=[.!?])\s+", bare) if "\n" in p.strip(" ")]
+    best = {}
+    for passage in cut:
+        if any(c in passage.lower() for c in licences.CUES):
+            own = pairs(tokens(passage))
+            for family, notices in licences.NOTICES.items():
+                for notice in notices:
+                    wanted = pairs(tokens(notice))
+                    best[family] = max(best.get(family, 0), len(wanted & own) / len(wanted))
+    return best
+
+
+def test_licences_match_brute_force(spark):
+    """Whatever a notice is held by word for word is found, and nothing that no notice confirms."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    found = {r.doc_id: set(r.families.split(",")) - {""} for r in licences.scan(docs).collect()}
+    some = 0
+    for i, text in texts.items():
+        best = shares(text)
+        whole = {f for f, s in best.items() if s == 1}
+        # a notice that is part of another family's does not count against it
+        assert found[i] <= {f for f, s in best.items() if s >= licences.SHARE}
+        assert len(found[i]) >= min(1, len(whole)) and (len(whole) != 1 or whole <= found[i])
+        some += bool(whole)
+    assert some >= 10
+
+
 def test_licences_are_native(spark, sf_dir, documents):
     plan = licences.scan(documents)._jdf.queryExecution().executedPlan().toString()
     assert not any(w in plan for w in ("Python", "Pandas", "Arrow"))
