@@ -42,6 +42,7 @@ _END = re.compile(rf"[{_ENDS}]\s*$|\n")
 #: Odd multiplier of the hashes of spans, and its inverse modulo 2**64.
 _BASE = 0x9E3779B97F4A7C17
 _INVERSE = pow(_BASE, -1, 1 << 64)
+_LAST = 0x632BE59BD9B4E018
 
 
 class _Hashes(dict):
@@ -127,7 +128,10 @@ def spans(value: np.ndarray, sizes: np.ndarray, run: int = RUN, least_words: int
     up, down = _powers.of(len(value) + 1)
     with np.errstate(over="ignore"):
         before = np.zeros(len(value) + 1, dtype=np.uint64)
-        np.cumsum((value | np.uint64(1)) * up[: len(value)], out=before[1:])
+        # equal spans are cut alike: the last word of a sentence is another one than the same word inside
+        own = value | np.uint64(1)
+        own[sizes[1:] - 1] ^= np.uint64(_LAST)
+        np.cumsum(own * up[: len(value)], out=before[1:])
         hashes = mix((before[sizes[end]] - before[sizes[start]]) * down[sizes[start]])
     return np.column_stack([hashes.view(np.int64), start, end])
 

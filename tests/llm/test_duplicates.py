@@ -68,8 +68,7 @@ def sentence_marks(docs, run=3, least=20):
     for i, text in sorted(docs):
         parts = sentences.pieces(text or "")
         assert "".join(parts) == (text or "")
-        words, _, ends = sentences.cut(text or "")
-        own, gone = [tuple(w.strip().lower() for w in words[a:b]) for a, b in zip([0, *ends], ends, strict=False)], set()
+        own, gone = [tuple(p.lower().split()) for p in parts], set()
         fits = lambda a, b: b - a >= run and sum(map(len, own[a:b])) >= least  # noqa: E731, B023
         size = len(parts)
         bounds = {(a, next((b for b in range(a, size + 1) if fits(a, b)), None)) for a in range(size)}
@@ -108,8 +107,8 @@ def test_any_51_words_hold_a_span(space, marks):
         passage = words(51)
         one, two = (space.join([*words(rng.randint(1, 40)), *passage, *words(rng.randint(1, 40))]) for _ in range(2))
         known = set(sentences.spans(*sentences.cut(one)[1:])[:, 0].tolist())
-        marks = [{"start": a, "end": b} for h, a, b in sentences.spans(*sentences.cut(two)[1:]).tolist() if h in known]
-        _, _, n_words, kept = sentences._without(two, marks)
+        repeated = [{"start": a, "end": b} for h, a, b in sentences.spans(*sentences.cut(two)[1:]).tolist() if h in known]
+        _, _, n_words, kept = sentences._without(two, repeated)
         assert n_words >= 51 - 2 * (2 * sentences.WINDOW - 1)
         head, tail = two[: len(two) - len(kept)], two[len(kept) :]
         assert kept != two and any(two[:i] + two[i + len(two) - len(kept) :] == kept for i in range(len(kept) + 1)) and head and tail
