@@ -29,13 +29,16 @@ def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, text, and `id`, `content`, which tell rows with different texts apart and order them.
 
-    Rows with an id are told apart by it and 64 bits of their text, rows without one by 126 bits; the latter come after
-    all ids below 2**62.
+    Rows with an id are told apart by it, and by 64 bits of their text where any id has several texts (else `content` is
+    0, which costs nothing to carry). Rows without an id are told apart by 126 bits; they come after all ids below 2**62.
     """
-    text = F.col("text")
+    source, text = id_and_text(docs, id_col, text_col), F.col("text")
+    own = F.xxhash64(text)
+    texts = source.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min(own).alias("a"), F.max(own).alias("b"))
+    named = F.lit(0).cast("long") if texts.where("a <> b").isEmpty() else own
     last = F.lit(1 << 62) + F.xxhash64(F.lit("row"), text).bitwiseAND((1 << 62) - 1)
-    content = F.when(F.col("doc_id").isNull(), F.xxhash64(F.lit("no id"), text)).otherwise(F.xxhash64(text))
-    return id_and_text(docs, id_col, text_col).select("doc_id", F.coalesce("doc_id", last).alias("id"), content.alias("content"), "text")
+    content = F.when(F.col("doc_id").isNull(), F.xxhash64(F.lit("no id"), text)).otherwise(named)
+    return source.select("doc_id", F.coalesce("doc_id", last).alias("id"), content.alias("content"), "text")
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
