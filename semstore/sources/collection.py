@@ -262,8 +262,8 @@ class Collection:
         self._replace(make)
 
     def _files(self, state: State) -> list[str]:
-        other = [path for path in (state.cells, state.ranges) if path]
-        return [state.base, *map(self._change_path, [*state.old, *state.folders]), *other]
+        cells_ = [state.cells] if state.cells else []
+        return [state.base, *map(self._change_path, [*state.old, *state.folders]), *cells_]
 
     def compact(self) -> None:
         """Write the current records as the new base, ordered by id, and delete what it replaces.
@@ -309,7 +309,7 @@ class Collection:
 
     def _write_ranges(self, base: str) -> str:
         """Write which ids each file of a base holds: file, first, last and n."""
-        path = f"{self.root}/ranges-{uuid.uuid4().hex[:8]}"
+        path = f"{base}/_ranges"  # out of the way of those who read the base, and deleted with it
         rows = self.spark.read.schema("id string").parquet(base).select("id", F.col("_metadata.file_name").alias("file"))
         rows.groupBy("file").agg(F.min("id").alias("first"), F.max("id").alias("last"), F.count(F.lit(1)).alias("n")).coalesce(1).write.parquet(path)
         return path
