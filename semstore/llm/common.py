@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import hashlib
 from collections.abc import Iterator
 
@@ -10,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from semstore.plans.workspace import new_path, ship_package
+from semstore.plans.workspace import new_path, remove, ship_package
 
 #: A slice of a batch that is worked on at once holds about so many bytes of text.
 SLICE_BYTES = 4 << 20
@@ -45,7 +46,21 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     """Write a table to the shared folder and read it: cuts the lineage, survives lost executors."""
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    read = df.sparkSession.read.schema(df.schema).parquet(path)
+    read.staged_path = path
+    return read
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete staged tables that nothing reads any more, and let Spark's cleaner drop the shuffles that made them.
+
+    What was made from them must be written already: then nothing is ever computed from them again.
+    """
+    for table_ in tables:
+        remove(table_.sparkSession, table_.staged_path)
+    # shuffle files go once the driver has collected the plans that refer to them, which a small driver heap rarely does
+    gc.collect()
+    tables[0].sparkSession.sparkContext._jvm.System.gc()
 
 
 def slices(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from semstore.llm.common import keyed, mix, slices, staged, texts_of
+from semstore.llm.common import keyed, mix, release, slices, staged, texts_of
 
 RUN, LEAST_WORDS = 3, 20
 #: Of so many words in a row, at least one ends a sentence or is cut after.
@@ -173,13 +173,16 @@ def remove_repeated(
     # tables that are joined are written first: Spark can then split the large partitions of a frequent span
     often = staged(found.groupBy("span").agg(F.count("*").alias("n")).where("n > 1").select("span"), "often")
     again = staged(found.join(often, "span", "left_semi"), "repeated-spans")
+    sizes = cut_once.where(F.col("span").isNull()).select("id", "content", F.lit(None).cast("int").alias("start"), "end")
+    sizes = staged(sizes, "sentences")
+    release(cut_once, often)
     first = staged(again.groupBy("span").agg(F.min(place).alias("first")), "first-spans")
     later = again.join(first, "span").where(place != F.col("first"))
-    sizes = cut_once.where(F.col("span").isNull()).select("id", "content", F.lit(None).cast("int").alias("start"), "end")
     mark = F.when(F.col("start").isNotNull(), F.struct("start", "end"))
     size = F.max(F.when(F.col("start").isNull(), F.col("end")))
     marks = later.select("id", "content", "start", "end").unionByName(sizes).groupBy("id", "content")
-    marks = marks.agg(F.collect_set(mark).alias("marks"), size.alias("size"))
+    marks = staged(marks.agg(F.collect_set(mark).alias("marks"), size.alias("size")), "marks")
+    release(again, first, sizes)
     marked = rows_of.join(marks, ["id", "content"], "left")
 
     def work(batches):

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from semstore.llm.common import bytes_of, keyed, mix, slices, staged
+from semstore.llm.common import bytes_of, keyed, mix, release, slices, staged
 from semstore.llm.induced import suffix_array
 
 LENGTH, GRAM = 100, 20
@@ -267,21 +267,28 @@ def remove_repeated(docs: DataFrame, *, length: int = LENGTH, id_col: str = "doc
     # tables that are joined are written first: Spark can then split the large partitions of a frequent key
     shared = staged(minimizer_counts(rows_of, length), "minimizers")
     rows = staged(segments(rows_of, length).join(shared, "minimizer", "left_semi"), "segments")
-    covered = []
+    release(shared)
     first = staged(_first_of_equal(rows), "first-segments")
-    covered.append(_copies(rows, first, length))
+    covered = [staged(_copies(rows, first, length), "copies")]
+    release(rows)
     kinds = staged(first.groupBy("minimizer").agg(F.count("*").alias("kinds")).where("kinds > 1"), "kinds")
     several = staged(first.join(kinds, "minimizer"), "different-segments")
-    covered.append(repeated_in_shards(several.where(F.col("kinds") <= MANY), rows_of, length))
+    release(first, kinds)
+    covered.append(staged(repeated_in_shards(several.where(F.col("kinds") <= MANY), rows_of, length), "repeated"))
     crowded = several.where(F.col("kinds") > MANY)
     if not crowded.isEmpty():
         strings = staged(single_strings(crowded, rows_of, length), "single-strings")
-        covered.append(_copies(strings, staged(_first_of_equal(strings), "first-strings"), length))
+        first = staged(_first_of_equal(strings), "first-strings")
+        covered.append(staged(_copies(strings, first, length), "repeated-strings"))
+        release(strings, first)
+    release(several)
     marks = covered[0]
     for more in covered[1:]:
         marks = marks.unionByName(more)
     marks = marks.groupBy("id", "content").agg(F.collect_list(F.struct("begin", "end")).alias("marks"))
-    marked = rows_of.join(staged(marks, "marks"), ["id", "content"], "left").select("doc_id", "text", "marks")
+    marks = staged(marks, "marks")
+    release(*covered)
+    marked = rows_of.join(marks, ["id", "content"], "left").select("doc_id", "text", "marks")
     return marked.mapInArrow(_cut_out, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
 
 
