@@ -9,14 +9,15 @@ task should hold, are worked off in blocks of that size, one pass over the recor
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator, Mapping, Sequence
-from dataclasses import dataclass, field
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from semstore.errors import EmbeddingError, RecordError
 from semstore.functions import vectors
@@ -26,7 +27,7 @@ from semstore.plans import arguments, sizing, workspace
 
 _TILE = 2 * 1024 * 1024  # scores held at a time
 _WINNER_BYTES = 64  # one result row
-_BLOCK_WINNERS = 4_000_000  # results of one block of queries that a task may hold
+_BLOCK_WINNERS = 500_000  # results of one block of queries that a task may hold
 _FLAG = "filter:"
 _LARGE = 1e100  # norms below this have finite squares and products
 
@@ -50,7 +51,8 @@ class Queries:
     keys: pa.Array
     vectors: np.ndarray
     limits: np.ndarray
-    groups: dict = field(default_factory=dict)  # filter name or bucket -> indexes of queries
+    groups: Mapping = field(default_factory=dict)  # filter name or bucket -> indexes of queries
+    bounds: np.ndarray | None = None  # what a choice of buckets goes by, beside the vectors
 
     @property
     def k(self) -> int:
@@ -281,35 +283,71 @@ def _whole(column) -> pa.Array:
     return column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
 
 
-def per_task(rows: DataFrame, queries: Queries, metric: str, flags: list[str], id_col: str, schema: str) -> DataFrame:
-    """The winners of every task, the queries being broadcast. Columns of ``rows``: id, vector, flags or bucket."""
+def plain(df: DataFrame, name: str) -> Column:
+    """A vector column as it is where it holds floats or doubles, which `matrix` takes alike; else as doubles."""
+    return F.col(name) if dict(df.dtypes)[name] in ("array<float>", "array<double>") else vectors.as_double(F.col(name))
+
+
+def per_task(
+    rows: DataFrame, queries: Queries, metric: str, flags: list[str], id_col: str, schema: str, choose: Callable[[Queries], Mapping] | None = None
+) -> DataFrame:
+    """The winners of every task, the queries being broadcast. Columns of ``rows``: id, vector, flags or bucket.
+
+    With ``choose``, the tasks themselves work out which queries look at which buckets.
+    """
     workspace.ship_package(rows.sparkSession)
     shared = rows.sparkSession.sparkContext.broadcast(queries)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        winners = Winners(shared.value, metric)
+        known = winners = None
         for batch in batches:
-            _offer(winners, shared.value, batch, flags)
-        found = winners.batch(id_col)
+            if winners is None:
+                known = replace(shared.value, groups=choose(shared.value)) if choose else shared.value
+                winners = Winners(known, metric)
+            _offer(winners, known, batch, flags)
+        found = winners.batch(id_col) if winners else None
         if found is not None:
             yield from found.to_batches(max_chunksize=65_536)
 
     return rows.mapInArrow(work, schema)
 
 
+def blocks_of(asked: DataFrame, n_blocks: int) -> Iterator[pa.Table]:
+    """The queries in blocks of about equal size; the driver sees one after the other."""
+    if n_blocks <= 1:
+        yield asked.toArrow()
+        return
+    spark = asked.sparkSession
+    path = workspace.new_path(spark, "query-blocks")
+    dealt = asked.withColumn("_block", F.pmod(F.xxhash64("query_id", "vector"), F.lit(n_blocks)).cast("int"))
+    dealt.repartition("_block").write.partitionBy("_block").parquet(path)
+    kept = spark.read.schema(T.StructType([*asked.schema.fields, T.StructField("_block", T.IntegerType())])).parquet(path)
+    for i in range(n_blocks):
+        yield kept.where(F.col("_block") == i).drop("_block").toArrow()
+
+
 def in_passes(
-    rows: DataFrame, queries: DataFrame, n_blocks: int, metric: str, k: int, flags: list[str], id_col: str, schema: str
+    rows: DataFrame,
+    queries: DataFrame,
+    n_blocks: int,
+    metric: str,
+    k: int,
+    flags: list[str],
+    id_col: str,
+    schema: str,
+    choose: Callable[[Queries], Mapping] | None = None,
 ) -> DataFrame:
     """The winners of every task, for one block of queries after the other: the records are scanned, never shuffled."""
-    block = F.pmod(F.xxhash64("query_id"), F.lit(n_blocks))
+    # every block reads the records: what they are made by is run once
+    rows = workspace.staged(rows, "records")
     found = None
-    for i in range(n_blocks):
-        part = queries.where(block == i).toArrow()
+    for part in blocks_of(queries, n_blocks):
         if len(part):
             made = _queries(part, k)
             used = [name for name in flags if name in made.groups]
-            one = per_task(rows.select(id_col, "vector", *used), made, metric, used, id_col, schema)
-            found = one if found is None else found.unionByName(one)
+            bucket = ["bucket"] if "bucket" in rows.columns else []
+            one = per_task(rows.select(id_col, "vector", *used, *bucket), made, metric, used, id_col, schema, choose)
+            found = one if found is None else found.union(one)
     return found
 
 
@@ -344,7 +382,20 @@ def _queries(table: pa.Table, k: int) -> Queries:
     if "filter_name" in table.column_names:
         names = np.array(table["filter_name"].to_pylist(), dtype=object)
         groups = {name: np.flatnonzero(names == name) for name in set(names.tolist())}
-    return Queries(keys, matrix(table["vector"]), limits, groups)
+    if "_buckets" in table.column_names:
+        lists = _whole(table["_buckets"])
+        asking = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
+        buckets = lists.flatten().to_numpy()
+        order = np.argsort(buckets, kind="stable")
+        values, starts = np.unique(buckets[order], return_index=True)
+        groups = dict(zip(values.tolist(), np.split(asking[order], starts[1:]), strict=True)) if len(values) else {None: np.empty(0, dtype=np.int64)}
+    bounds = table["_last"].to_numpy() if "_last" in table.column_names else None
+    return Queries(keys, matrix(table["vector"]), limits, groups, bounds)
+
+
+def block_count(n: int, size: int, k: int, broadcast_bytes: int, block_winners: int = _BLOCK_WINNERS) -> int:
+    """Into how many blocks n queries of so many bytes are cut."""
+    return max(1, min(n, math.ceil(max(n * size / max(broadcast_bytes, 1), n * k / block_winners))))
 
 
 def search_batch(
@@ -373,7 +424,7 @@ def search_batch(
     metric = vectors.check_metric(metric)
     own_filter = "filter_name" in queries.columns
     wanted = ["query_id", "vector", *[c for c in ("top_k", "filter_name") if c in queries.columns]]
-    asked = queries.select(*wanted).withColumn("vector", vectors.as_double(F.col("vector")))
+    asked = queries.select(*wanted).withColumn("vector", plain(queries, "vector"))
     known = {_FLAG: {}, **{_FLAG + name: flt for name, flt in (filters or {}).items()}}
     if own_filter:
         # A query without a filter looks at every record.
@@ -398,7 +449,7 @@ def search_batch(
     if tests:
         chosen = chosen.where(_either(list(tests.values())))
     rows = chosen.select(
-        id_col, vectors.as_double(F.col(vector_col)).alias("vector"), *[t.alias(n) for n, t in tests.items()]
+        id_col, plain(coll, vector_col).alias("vector"), *[t.alias(n) for n, t in tests.items()]
     )
     types = {**dict(coll.dtypes), "query_id": dict(queries.dtypes)["query_id"]}
     schema = f"query_id {types['query_id']}, `{id_col}` {types[id_col]}, score double"
@@ -407,7 +458,7 @@ def search_batch(
     few = n_queries * k * _WINNER_BYTES <= sizing.RESULT_BROADCAST_BYTES
     if n_queries == 0:
         found = coll.sparkSession.createDataFrame([], schema)
-    elif (n_blocks := math.ceil(max(n_queries * dim * 8 / broadcast_bytes, n_queries * k / block_winners))) <= 1:
+    elif (n_blocks := block_count(n_queries, dim * 8, k, broadcast_bytes, block_winners)) <= 1:
         fewer = sizing.winner_tasks(coll.sparkSession, tasks, n_queries * k * _WINNER_BYTES)
         if fewer < tasks:
             tasks, rows = fewer, rows.coalesce(fewer)

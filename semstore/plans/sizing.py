@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-#: Most bytes of query vectors sent to every executor; more queries take the shuffled route.
-QUERY_BROADCAST_BYTES = 64 * 1024 * 1024
+#: Most bytes of query vectors sent to every executor at a time; more queries are worked off in blocks of that size.
+QUERY_BROADCAST_BYTES = 8 * 1024 * 1024
 #: Most bytes of search results, or of ids, sent to every executor; larger ones are joined by shuffling.
 RESULT_BROADCAST_BYTES = 64 * 1024 * 1024
 #: Least bytes of input per task when few splits are dealt out to many cores.

@@ -293,3 +293,31 @@ def test_dimensions(spark):
         counts.require_one_dimension(df)
     counts.require_one_dimension(df.where("id < 3"))
     counts.require_one_dimension(df.limit(0))
+
+
+def test_many_queries_travel_in_small_blocks(spark, monkeypatch):
+    """A task holds a block of the queries, however many there are, and what the records are made by runs once."""
+    blocks, whole = [], knn.per_task
+    monkeypatch.setattr(knn, "per_task", lambda rows, queries, *more: blocks.append((rows, queries)) or whole(rows, queries, *more))
+    random = F.transform(F.sequence(F.lit(1), F.lit(64)), lambda i: F.xxhash64("id", i).cast("double"))
+    queries = spark.range(40_000).select(F.col("id").alias("query_id"), random.alias("vector"))
+    coll = spark.range(30).select("id", random.alias("vector"))
+    found = knn.search_batch(coll, queries, 2)
+    assert found.count() == 80_000
+    assert len(blocks) > 1 and sum(len(q.keys) for _, q in blocks) == 40_000
+    assert max(q.vectors.nbytes for _, q in blocks) < 12 << 20
+    assert all("Range" not in rows._jdf.queryExecution().optimizedPlan().toString() for rows, _ in blocks)
+
+
+def test_queries_of_large_buckets_are_not_shuffled(spark, coll, data, monkeypatch):
+    """Where each record would be sent to many blocks of queries, the queries come to the records in blocks."""
+    model = approx.fit_hashes(coll)
+    index = approx.build_index(coll, model)
+    whole = approx.approx_search(index, asked(spark, data), model, 5)
+    types = (5, "cosine", None, "id", "vector", 1_000)
+    hashed = approx._buckets(asked(spark, data), model, "vector")
+    monkeypatch.setattr(approx, "QUERIES_PER_BLOCK", 1)
+    blocks = approx.in_buckets(index, hashed, asked(spark, data), *types)
+    assert "CoGroup" not in blocks._jdf.queryExecution().optimizedPlan().toString()
+    key = lambda df: sorted((r["query_id"], r["rank"], r["id"]) for r in df.collect())
+    assert key(blocks) == key(whole)
