@@ -8,8 +8,10 @@ cell: each vector is stored once, and new records are assigned to the same centr
 
 *Exact* search reads cells in two steps. The nearest cells give every query a distance that its k-th neighbour cannot
 exceed; by the triangle inequality a cell whose centre is further away than that and its radius together holds none of
-the neighbours and is skipped. Queries travel to the cells, by broadcast while they are few, else by a shuffle in which
-large cells are cut into blocks; the driver sees the centres, their radii and counts, never a large set of queries.
+the neighbours and is skipped.
+
+Queries travel to the records in blocks of ``sizing.QUERY_BROADCAST_BYTES``, without the lists of cells they look at: the
+tasks work these out from the centres, so neither the driver nor a file ever holds a (query, cell) pair.
 
 Cosine similarity is searched as the distance of unit vectors. Products have no triangle inequality: for them the exact
 search is `knn.search_batch`.
@@ -31,7 +33,7 @@ from pyspark.sql import types as T
 
 from semstore.errors import RecordError
 from semstore.functions import vectors
-from semstore.operators import approx, ranking
+from semstore.operators import knn, ranking
 from semstore.operators.knn import matrix
 from semstore.plans import arguments, sizing, workspace
 
@@ -43,6 +45,10 @@ CENTRE_BYTES = 32 * 1024 * 1024
 #: Relative size of the rounding errors that bounds allow for.
 SLACK = 1e-9
 _TILE = 4 * 1024 * 1024
+#: (Query, cell) marks of a block of queries, a byte each.
+_MARKS = 16 * 1024 * 1024
+#: Queries whose distances from all centres are held at a time.
+_STEP = 1_024
 
 
 @dataclass
@@ -173,16 +179,20 @@ def _with_cells(asked: DataFrame, choose, more: tuple[str, ...] = ()) -> DataFra
     return asked.mapInArrow(work, f"{kinds}, _buckets array<bigint>")
 
 
-def probes(queries: DataFrame, cells: Cells, effort: int) -> DataFrame:
-    """query_id, vector and ``_buckets``: the ``effort`` cells nearest to each query."""
+def _check_effort(effort: int) -> None:
     if isinstance(effort, bool) or not isinstance(effort, int) or effort < 1:
         raise RecordError("the effort is the number of cells to read, at least 1")
+
+
+def probes(queries: DataFrame, cells: Cells, effort: int) -> DataFrame:
+    """query_id, vector and ``_buckets``: the ``effort`` cells nearest to each query."""
+    _check_effort(effort)
     shared = queries.sparkSession.sparkContext.broadcast(cells)
     return _with_cells(_asked(queries), lambda x: shared.value.nearest(x, effort).tolist())
 
 
 def _buckets_of(index: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    return index.select(F.col(CELL).cast("bigint").alias("bucket"), id_col, vector_col)
+    return index.select(F.col(CELL).cast("bigint").alias("bucket"), id_col, knn.plain(index, vector_col).alias("vector"))
 
 
 def near(cells: Cells, vector, effort: int) -> list[int]:
@@ -198,6 +208,94 @@ def in_cells(chosen: list[int], cell: Column) -> Column:
     return test
 
 
+def _plain(queries: DataFrame) -> DataFrame:
+    return queries.select("query_id", knn.plain(queries, "vector").alias("vector"))
+
+
+class Looked:
+    """Which queries look at which cells: a row of marks per cell."""
+
+    def __init__(self, marks: np.ndarray) -> None:
+        self.marks = marks
+
+    def __len__(self) -> int:
+        return len(self.marks)
+
+    def get(self, cell: int) -> np.ndarray | None:
+        who = np.flatnonzero(self.marks[cell])
+        return who if len(who) else None
+
+
+@dataclass
+class Chooser:
+    """The cells that queries look at: the nearest, those that hold enough together, or those that bounds leave open."""
+
+    cells: Cells
+    how: str
+    number: int
+    radius: np.ndarray | None = None
+    count: np.ndarray | None = None
+
+    def marks(self, x: np.ndarray, last: np.ndarray | None = None) -> np.ndarray:
+        """A row of marks per query."""
+        out = np.zeros((len(x), len(self.cells.centres)), dtype=bool)
+        for start in range(0, len(x), _STEP):
+            part = slice(start, start + _STEP)
+            getattr(self, self.how)(out[part], x[part], None if last is None else last[part])
+        return out
+
+    def __call__(self, queries: knn.Queries) -> Looked:
+        return Looked(np.ascontiguousarray(self.marks(queries.vectors, queries.bounds).T))
+
+    def _nearest(self, out: np.ndarray, x: np.ndarray, last: None) -> None:
+        np.put_along_axis(out, self.cells.nearest(x, self.number), True, axis=1)
+
+    def _enough(self, out: np.ndarray, x: np.ndarray, last: None) -> None:
+        """The nearest cells that hold so many records together."""
+        order = self.cells.distances(x).argsort(axis=1, kind="stable")
+        held = np.cumsum(self.count[order], axis=1)
+        np.put_along_axis(out, order, (held - self.count[order] < self.number) & (self.count[order] > 0), axis=1)
+
+    def _open(self, out: np.ndarray, x: np.ndarray, last: np.ndarray) -> None:
+        """The cells that may hold a record not beyond the bound; all, where there is none."""
+        far = self.cells.distances(x)
+        reach = np.asarray(last, dtype=np.float64)
+        if self.cells.metric == "cosine":
+            reach = np.sqrt(np.maximum(2 - 2 * reach, 0) + 16 * SLACK)
+        reach = np.where(np.isnan(reach), np.inf, reach)
+        least = far - self.radius[None, :]
+        # distances from centres come from an expanded square: their error is that of its largest term
+        size = np.sqrt((self.cells._placed(x) ** 2).sum(axis=1))[:, None] + np.sqrt((self.cells.centres**2).sum(axis=1))[None, :]
+        out[:] = (least <= reach[:, None] + 1e-6 * size + SLACK) & (self.count > 0)
+
+
+def _found(
+    rows: DataFrame, asked: DataFrame, cells: Cells, how: str, number: int, k: int, id_col: str, broadcast_bytes: int, sizes: tuple = ()
+) -> DataFrame:
+    """The winners of every task among the cells that the tasks choose; ``rows`` has bucket, id and vector."""
+    types = {**dict(rows.dtypes), "query_id": dict(asked.dtypes)["query_id"]}
+    schema = f"query_id {types['query_id']}, `{id_col}` {types[id_col]}, score double"
+    n, dim = asked.agg(F.count(F.lit(1)), F.max(F.size("vector"))).first()
+    if n == 0:
+        return rows.sparkSession.createDataFrame([], schema)
+    shared = rows.sparkSession.sparkContext.broadcast(Chooser(cells, how, number, *sizes))
+    choose = lambda queries: shared.value(queries)
+    rows = rows.where("bucket IS NOT NULL").select(id_col, knn.plain(rows, "vector").alias("vector"), "bucket")
+    n_cells = len(cells.centres)
+    n_blocks = max(knn.block_count(n, dim * 8, k, broadcast_bytes), min(n, math.ceil(n * n_cells / _MARKS)))
+    if n_blocks > 1:
+        # side by side in a batch, the records of a cell are one product
+        rows = rows.repartitionByRange("bucket", F.xxhash64(id_col)).sortWithinPartitions("bucket")
+        return knn.in_passes(rows, asked, n_blocks, cells.metric, k, [], id_col, schema, choose)
+    block = knn._queries(asked.toArrow(), k)
+    if n * n_cells <= _MARKS // 16:
+        # few cells go into the scan as literals
+        used = np.flatnonzero(Chooser(cells, how, number, *sizes).marks(block.vectors, block.bounds).any(axis=0))
+        if len(used) <= sizing.LITERAL_IDS:
+            rows = rows.where(F.col("bucket").isin(used.tolist()))
+    return knn.per_task(rows, block, cells.metric, [], id_col, schema, choose)
+
+
 def search(
     index: DataFrame,
     queries: DataFrame,
@@ -208,11 +306,16 @@ def search(
     score_threshold: float | None = None,
     id_col: str = "id",
     vector_col: str = "vector",
+    broadcast_bytes: int = sizing.QUERY_BROADCAST_BYTES,
 ) -> DataFrame:
     """``query_id, id, score, rank`` of the nearest records in the ``effort`` nearest cells of each query."""
-    hashed = probes(queries, cells, effort)
+    _check_effort(effort)
     rows = _buckets_of(index, id_col, vector_col)
-    return approx.in_buckets(rows, hashed, queries, arguments.top_k(top_k), cells.metric, score_threshold, id_col, vector_col)
+    found = _found(rows, _plain(queries), cells, "_nearest", effort, arguments.top_k(top_k), id_col, broadcast_bytes)
+    ranked = ranking.best_per_query(found, arguments.top_k(top_k), cells.metric, id_col, sizing.scan_tasks(index), repeated=True)
+    if score_threshold is not None:
+        ranked = ranked.where(ranking.beyond(cells.metric, score_threshold))
+    return ranked.select("query_id", id_col, "score", "rank")
 
 
 def search_exact(
@@ -230,52 +333,46 @@ def search_exact(
     k = arguments.top_k(top_k)
     rows = _buckets_of(index, id_col, vector_col)
     options = (k, cells.metric, None, id_col, vector_col, broadcast_bytes)
-    first, bounded = bounds(index, rows, queries, cells, options)
-    rest = bounded.where(F.size("_buckets") > 0).select("query_id", "vector", "_buckets")
-    found = first.unionByName(approx.in_buckets(rows, rest, queries, *options))
-    ranked = ranking.best_per_query(found.drop("rank"), k, cells.metric, id_col, sizing.scan_tasks(index), repeated=True)
+    first, bounded, sizes = _begun(index, rows, queries, cells, options)
+    # a record of the first step is met again, with the same score
+    rest = _found(rows, bounded, cells, "_open", k, k, id_col, broadcast_bytes, sizes)
+    found = first.drop("rank").unionByName(rest)
+    ranked = ranking.best_per_query(found, k, cells.metric, id_col, sizing.scan_tasks(index), repeated=True)
     if score_threshold is not None:
         ranked = ranked.where(ranking.beyond(cells.metric, score_threshold))
     return ranked.select("query_id", id_col, "score", "rank")
 
 
-def bounds(index: DataFrame, rows: DataFrame, queries: DataFrame, cells: Cells, options: tuple) -> tuple[DataFrame, DataFrame]:
-    """What the first step finds, and the queries with the cells (``_buckets``) that may hold more.
+def _begun(index: DataFrame, rows: DataFrame, queries: DataFrame, cells: Cells, options: tuple) -> tuple[DataFrame, DataFrame, tuple]:
+    """What the first step finds, the queries with the score of their k-th neighbour (``_last``), radii and counts.
 
     The first step reads the nearest cells that hold k records together. A query that finds fewer has no bound.
     """
     if cells.metric == "dot":
         raise RecordError("products have no triangle inequality: use search_batch")
-    k, metric = options[0], cells.metric
-    sizes = {r[CELL]: (r["radius"], r["n"]) for r in measure(index).collect()}
-    radius = np.array([sizes.get(i, (-np.inf, 0))[0] for i in range(len(cells.centres))])
-    count = np.array([sizes.get(i, (0.0, 0))[1] for i in range(len(cells.centres))])
-    shared = queries.sparkSession.sparkContext.broadcast((cells, radius, count))
-
-    def begin(x: np.ndarray) -> list[list[int]]:
-        known, _, n = shared.value
-        order = known.distances(x).argsort(axis=1, kind="stable")
-        enough = (np.cumsum(n[order], axis=1) < k).sum(axis=1) + 1
-        return [[c for c in row[:e].tolist() if n[c]] for row, e in zip(order, enough, strict=True)]
-
-    started = workspace.staged(_with_cells(_asked(queries), begin), "first-cells")
-    first = workspace.staged(approx.in_buckets(rows, started, queries, *options), "first-neighbours")
+    k, metric, _, id_col, _, broadcast_bytes = options
+    held = {r[CELL]: (r["radius"], r["n"]) for r in measure(index).collect()}
+    radius = np.array([held.get(i, (-np.inf, 0))[0] for i in range(len(cells.centres))])
+    count = np.array([held.get(i, (0.0, 0))[1] for i in range(len(cells.centres))])
+    asked = _plain(queries)
+    found = _found(rows, asked, cells, "_enough", k, k, id_col, broadcast_bytes, (radius, count))
+    first = ranking.best_per_query(found, k, metric, id_col, sizing.scan_tasks(index), repeated=True)
+    first = workspace.staged(first.select("query_id", id_col, "score", "rank"), "first-neighbours")
     last = F.max("score") if metric in vectors.ASCENDING else F.min("score")
     known = first.groupBy("query_id").agg(last.alias("_last"), F.count(F.lit(1)).alias("_found"))
-    bounded = started.withColumnRenamed("_buckets", "_seen").join(known, "query_id", "left")
-    bounded = bounded.select("query_id", "vector", "_seen", F.when(F.col("_found") >= k, F.col("_last")).alias("_last"))
+    bounded = asked.join(known, "query_id", "left")
+    bounded = bounded.select("query_id", "vector", F.when(F.col("_found") >= k, F.col("_last")).alias("_last"))
+    return first, workspace.staged(bounded, "bounded-queries"), (radius, count)
+
+
+def bounds(index: DataFrame, rows: DataFrame, queries: DataFrame, cells: Cells, options: tuple) -> tuple[DataFrame, DataFrame]:
+    """What the first step finds, and the queries with the cells it reads (``_seen``) and the others to read (``_buckets``)."""
+    first, bounded, sizes = _begun(index, rows, queries, cells, options)
+    shared = queries.sparkSession.sparkContext.broadcast([Chooser(cells, how, options[0], *sizes) for how in ("_enough", "_open")])
+    listed = lambda marks: [np.flatnonzero(row).tolist() for row in marks]
+    seen = _with_cells(bounded, lambda x: listed(shared.value[0].marks(x))).withColumnRenamed("_buckets", "_seen")
 
     def more(x: np.ndarray, seen: np.ndarray, last: np.ndarray) -> list[list[int]]:
-        cells_, radii, n = shared.value
-        far = cells_.distances(x)
-        reach = np.asarray(last, dtype=np.float64)
-        if metric == "cosine":
-            reach = np.sqrt(np.maximum(2 - 2 * reach, 0) + 16 * SLACK)
-        reach = np.where(np.isnan(reach), np.inf, reach)
-        least = far - radii[None, :]
-        # distances from centres come from an expanded square: their error is that of its largest term
-        size = np.sqrt((cells_._placed(x) ** 2).sum(axis=1))[:, None] + np.sqrt((cells_.centres**2).sum(axis=1))[None, :]
-        open_ = (least <= reach[:, None] + 1e-6 * size + SLACK) & (n > 0)
-        return [sorted(set(np.flatnonzero(o).tolist()) - set(s)) for o, s in zip(open_, seen, strict=True)]
+        return [sorted(set(o) - set(s)) for o, s in zip(listed(shared.value[1].marks(x, last)), seen, strict=True)]
 
-    return first, workspace.staged(_with_cells(bounded, more, ("_seen", "_last")), "other-cells")
+    return first, _with_cells(seen, more, ("_seen", "_last"))

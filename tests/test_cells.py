@@ -123,3 +123,19 @@ def test_assignment_and_refusals(spark, coll):
     dot = cells.Cells(made.centres, "dot")
     with pytest.raises(RecordError):
         cells.search_exact(got, coll.withColumnRenamed("id", "query_id"), dot, 3)
+
+
+@pytest.mark.parametrize("broadcast_bytes", [1 << 26, 2_000])
+def test_no_pair_of_query_and_cell_leaves_a_task(spark, coll, queries, monkeypatch, broadcast_bytes):
+    """Queries travel with their vectors only, however many cells they look at."""
+    sent, whole = [], knn.per_task
+    monkeypatch.setattr(knn, "per_task", lambda rows, asked, *more: sent.append(asked) or whole(rows, asked, *more))
+    index, made = indexed(coll, "cosine")
+    want = rows(knn.search_batch(coll, queries, 4))
+    sent.clear()
+    found = cells.search(index, queries, made, 4, effort=GROUPS, broadcast_bytes=broadcast_bytes)
+    assert rows(found) == want
+    exact = cells.search_exact(index, queries, made, 4, broadcast_bytes=broadcast_bytes)
+    assert rows(exact) == want
+    assert sent and all(not asked.groups for asked in sent)
+    assert "CoGroup" not in exact._jdf.queryExecution().optimizedPlan().toString()
