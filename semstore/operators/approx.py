@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import numpy as np
+import math
+
 from pyspark.ml.feature import BucketedRandomProjectionLSH, BucketedRandomProjectionLSHModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
@@ -15,6 +16,8 @@ from semstore.plans import arguments, sizing, workspace
 
 ROWS_PER_BLOCK = 100_000
 QUERIES_PER_BLOCK = 20_000
+#: How often a row may be shuffled in the mean; beyond that, the queries go to the records in blocks.
+_MOST_MOVED = 2
 
 
 def fit_hashes(
@@ -80,7 +83,7 @@ def approx_search(
     """
     k = arguments.top_k(top_k)
     metric = vectors.check_metric(metric)
-    hashed = _buckets(queries.select("query_id", vectors.as_double(F.col("vector")).alias("vector")), model, "vector")
+    hashed = _buckets(queries.select("query_id", knn.plain(queries, "vector").alias("vector")), model, "vector")
     if tables is not None:
         if tables < 1:
             raise RecordError("at least one hash table is needed")
@@ -100,15 +103,25 @@ def in_buckets(
     broadcast_bytes: int = sizing.QUERY_BROADCAST_BYTES,
 ) -> DataFrame:
     """The nearest records to every query among those in its ``_buckets``; ``index`` has bucket, id and vector."""
-    n, dim = hashed.agg(F.count(F.lit(1)), F.max(F.size("vector"))).first()
+    hashed = hashed.select("query_id", knn.plain(hashed, "vector").alias("vector"), F.array_distinct("_buckets").alias("_buckets"))
+    n, dim, lists = hashed.agg(F.count(F.lit(1)), F.max(F.size("vector")), F.sum(F.size("_buckets"))).first()
     workspace.ship_package(index.sparkSession)
     types = {**dict(index.dtypes), "query_id": dict(queries.dtypes)["query_id"]}
     schema = f"query_id {types['query_id']}, `{id_col}` {types[id_col]}, score double"
     if n == 0:
         return index.sparkSession.createDataFrame([], schema + ", rank int")
 
-    way = _broadcast_queries if n * dim * 8 <= broadcast_bytes else _meet_in_buckets
-    found = way(index, hashed, metric, k, id_col, vector_col, schema)
+    n_blocks = knn.block_count(n, dim * 8 + math.ceil((lists or 0) / n) * 8, k, broadcast_bytes)
+    if n_blocks == 1:
+        found = _broadcast_queries(index, hashed, metric, k, id_col, vector_col, schema)
+    else:
+        index = workspace.staged(index.select("bucket", id_col, knn.plain(index, vector_col).alias(vector_col)), "index-rows")
+        hashed = workspace.staged(hashed, "hashed-queries")
+        if _meeting_moves(index, hashed) <= _MOST_MOVED:
+            found = _meet_in_buckets(index, hashed, metric, k, id_col, vector_col, schema)
+        else:
+            rows = index.select(id_col, F.col(vector_col).alias("vector"), "bucket")
+            found = knn.in_passes(rows, hashed, n_blocks, metric, k, [], id_col, schema)
     ranked = ranking.best_per_query(found, k, metric, id_col, sizing.scan_tasks(index), repeated=True)
     if score_threshold is not None:
         ranked = ranked.where(ranking.beyond(metric, score_threshold))
@@ -118,31 +131,34 @@ def in_buckets(
 def _broadcast_queries(
     index: DataFrame, hashed: DataFrame, metric: str, k: int, id_col: str, vector_col: str, schema: str
 ) -> DataFrame:
-    table = hashed.toArrow()
-    block = knn._queries(table.select(["query_id", "vector"]), k)
-    asking: dict[int, list[int]] = {}
-    for i, buckets in enumerate(table["_buckets"].to_pylist()):
-        for bucket in buckets:
-            asking.setdefault(bucket, []).append(i)
-    block.groups = {bucket: np.array(who) for bucket, who in asking.items()}
-    rows = index.select(id_col, vectors.as_double(F.col(vector_col)).alias("vector"), "bucket")
+    block = knn._queries(hashed.toArrow(), k)
+    rows = index.select(id_col, knn.plain(index, vector_col).alias("vector"), "bucket")
     # Few buckets go into the scan as literals; for more, the tasks do the look-up.
-    if len(asking) <= sizing.LITERAL_IDS:
-        rows = rows.where(F.col("bucket").isin(list(asking)))
+    if len(block.groups) <= sizing.LITERAL_IDS:
+        rows = rows.where(F.col("bucket").isin([b for b in block.groups if b is not None]))
     return knn.per_task(rows, block, metric, [], id_col, schema)
 
 
+def _meeting_moves(index: DataFrame, hashed: DataFrame) -> float:
+    """How often a row is moved, in the mean, if records and queries are shuffled to their buckets, large ones in blocks."""
+    asked = hashed.select(F.explode("_buckets").alias("bucket")).groupBy("bucket").agg(F.count(F.lit(1)).alias("q"))
+    held = index.groupBy("bucket").agg(F.count(F.lit(1)).alias("r")).join(asked, "bucket")
+    sent = F.col("r") * F.ceil(F.col("q") / QUERIES_PER_BLOCK) + F.col("q") * F.ceil(F.col("r") / ROWS_PER_BLOCK)
+    moved, rows = held.agg(F.sum(sent), F.sum(F.col("r") + F.col("q"))).first()
+    return (moved or 0) / (rows or 1)
+
+
 def _meet_in_buckets(
     index: DataFrame, hashed: DataFrame, metric: str, k: int, id_col: str, vector_col: str, schema: str
 ) -> DataFrame:
-    """For more queries than one broadcast holds: records and queries are shuffled to their buckets.
+    """For more queries than one broadcast holds, and buckets that are small: records and queries are shuffled to them.
 
     A bucket with many records, many queries or both is cut into blocks by a hash of the ids, every block of records
     meeting every block of queries, so that no task gets more than about one block of each.
     """
-    asked = hashed.select(F.explode(F.array_distinct("_buckets")).alias("bucket"), "query_id", "vector")
+    asked = hashed.select(F.explode("_buckets").alias("bucket"), "query_id", "vector")
     wanted = asked.select("bucket").distinct()
-    rows = index.select("bucket", id_col, vectors.as_double(F.col(vector_col)).alias("vector"))
+    rows = index.select("bucket", id_col, F.col(vector_col).alias("vector"))
     rows = rows.join(wanted, "bucket", "left_semi")
     pieces = lambda df, name, most: df.groupBy("bucket").agg(
         F.ceil(F.count(F.lit(1)) / most).cast("int").alias(name)
