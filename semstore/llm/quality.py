@@ -2,7 +2,7 @@
 
 A forest is grown in numpy for each group of statistics, from random splits of small subsamples; a document that few
 splits set apart has a short path and a high anomaly score. The score of each forest above which a document is rejected
-is calibrated on labelled rows; a forest whose anomalies are no worse than other documents rejects nothing.
+is calibrated on all labelled rows; a forest whose anomalies are no worse than other documents rejects nothing.
 
 Defined cases: null and empty texts have no words, so they fail the base rule; texts of any length are read whole;
 repeated rows and ids are judged row by row; with an empty table the result is empty; with too few labelled rows of
@@ -170,13 +170,22 @@ def average_path(n: int) -> float:
     return 2 * (math.log(n - 1) + 0.5772156649) - 2 * (n - 1) / n if n > 2 else 1.0
 
 
-def threshold(good: np.ndarray, bad: np.ndarray, max_loss: float) -> float:
-    """The lowest score above which at most `max_loss` of the good rows lie; infinite where that catches hardly any bad row."""
-    if len(good) < 20 or len(bad) < 20:
-        return math.inf
-    ordered = np.sort(good)
-    at = float(ordered[len(ordered) - 1 - math.floor(max_loss * len(ordered))])
-    return at if (bad > at).mean() > max(0.01, 10 * (good > at).mean()) else math.inf
+def thresholds(scored: DataFrame, names: list[str], max_loss: float) -> list[float]:
+    """For each column of scores the lowest above which at most `max_loss` of the good rows lie, by all labelled rows.
+
+    Infinite where that catches hardly any bad row, or with fewer than 20 rows of either kind. `scored` has _quality.
+    """
+    good, bad = F.col("_quality") == 1, F.col("_quality") == 0
+    n_good, n_bad = scored.agg(F.count_if(good), F.count_if(bad)).first()
+    if n_good < 20 or n_bad < 20:
+        return [math.inf] * len(names)
+    most = math.floor(max_loss * n_good)
+    # the score of rank `most` from above, in the order of all good rows
+    highest = [scored.where(good).select(name).orderBy(F.desc(name)).limit(most + 1).agg(F.min(name)).first()[0] for name in names]
+    above = [F.count_if(kind & (F.col(name) > at)) for name, at in zip(names, highest, strict=True) for kind in (good, bad)]
+    counts = scored.agg(*above).first()
+    shares = [(lost / n_good, caught / n_bad) for lost, caught in zip(counts[::2], counts[1::2], strict=True)]
+    return [at if caught > max(0.01, 10 * lost) else math.inf for at, (lost, caught) in zip(highest, shares, strict=True)]
 
 
 @dataclass
@@ -201,15 +210,14 @@ def fit(
     *,
     trees: int = 100,
     sample: int = 64,
-    max_labelled: int = 20_000,
     max_loss: float = 0.0005,
     quality_col: str = "quality",
 ) -> QualityModel:
     """Grow the forests and calibrate their thresholds.
 
     The forests see `trees * sample` rows at most, chosen by hash among all that pass the base rule: subsampling is
-    what the method does. `max_labelled` bounds the labelled rows, chosen by hash of their id. `max_loss` is the share
-    of good labelled rows that a forest may reject.
+    what the method does. All labelled rows are scored where they are; `max_loss` is the share of the good ones that a
+    forest may reject.
     """
     usable = statistics.where(~base_failed())
     columns = [F.col(c) for c in (*BASE, *EXTRA)]
@@ -217,19 +225,24 @@ def fit(
     marked = labels.where(F.col(quality_col).isNotNull()).select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col(quality_col).cast("int").alias("_quality")
     )
-    chosen = marked.orderBy(F.xxhash64("doc_id"), "doc_id", "_quality").limit(max_labelled)
-    pairs = usable.join(F.broadcast(chosen), "doc_id").select(*columns, "_quality")
-    known = pairs.orderBy(F.xxhash64(*columns)).limit(2 * max_labelled).toPandas().to_numpy()
-    if len(rows) < 2 or not len(known):
+    if len(rows) < 2:
         return QualityModel([])
-    features, marks = features_of(known[:, :-1]), known[:, -1]
     grown = features_of(rows)
-    parts = []
-    for group in GROUPS.values():
-        forest = IsolationForest.grow(grown[:, group], trees, sample)
-        scores = forest.score(features[:, group])
-        parts.append((group, forest, threshold(scores[marks == 1], scores[marks == 0], max_loss)))
-    return QualityModel(parts)
+    forests = [IsolationForest.grow(grown[:, group], trees, sample) for group in GROUPS.values()]
+    grouped = list(zip(GROUPS.values(), forests, strict=True))
+    shared = statistics.sparkSession.sparkContext.broadcast(grouped)
+    names = [f"_score{i}" for i in range(len(forests))]
+
+    def run(batches):
+        for batch in batches:
+            features = features_of(np.column_stack([batch.column(c).to_numpy(zero_copy_only=False) for c in (*BASE, *EXTRA)]))
+            scores = [pa.array(forest.score(features[:, group])) for group, forest in shared.value]
+            yield pa.RecordBatch.from_arrays([batch.column("_quality"), *scores], names=["_quality", *names])
+
+    labelled = usable.join(marked, "doc_id").select(*columns, "_quality")
+    scored = labelled.mapInArrow(run, f"_quality int, {', '.join(f'{n} double' for n in names)}")
+    limits = thresholds(staged(scored, "labelled-scores"), names, max_loss)
+    return QualityModel([(*part, at) for part, at in zip(grouped, limits, strict=True)])
 
 
 def base_failed():

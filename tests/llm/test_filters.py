@@ -6,6 +6,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from semstore.llm import decontaminate, pii, quality
 from tests.llm import brute
@@ -43,6 +44,24 @@ def test_path_lengths_set_outliers_apart():
     assert score.argmax() == 500 and score[500] > 0.6 > np.median(score)
 
 
+def test_thresholds_come_from_all_labelled_rows(spark):
+    """More labelled rows than a driver should hold: the thresholds are those of all of them."""
+    n, noise = 30_000, lambda i: F.pmod(F.xxhash64("doc_id", F.lit(i)), F.lit(1_000))
+    words = F.lit(200) + noise(1)
+    made = {"n_words": words, "word_chars": words * 5 + noise(2), "n_symbols": F.when(F.col("doc_id") % 50 == 0, 90).otherwise(noise(3) / 300),
+            "n_dup_lines": noise(4) / 200, "n_repeat_words": noise(5) / 100, "n_lines": 20 + noise(6) / 100, "n_distinct": words - noise(7) / 8}
+    statistics = spark.range(n).withColumnRenamed("id", "doc_id").withColumns({c: v.cast("long") for c, v in made.items()})
+    labels = statistics.select("doc_id", (F.col("doc_id") % 50 != 0).cast("int").alias("quality"))
+    model = quality.fit(statistics, labels, max_loss=0.01)
+    table = statistics.select("doc_id", *quality.BASE, *quality.EXTRA).toPandas().to_numpy()
+    features, good = quality.features_of(table[:, 1:]), table[:, 0] % 50 != 0
+    assert len(model.parts) == len(quality.GROUPS) and any(np.isfinite(at) for _, _, at in model.parts)
+    for group, forest, at in model.parts:
+        if np.isfinite(at):
+            score = np.sort(forest.score(features[good][:, group]))
+            assert at == score[len(score) - 1 - int(0.01 * len(score))]
+
+
 def test_quality_of_odd_rows(spark, odd, nothing):
     labels = spark.createDataFrame([(1, 1), (None, 0), (2, None)], "doc_id long, quality int")
     rows = quality.quality(odd, labels).collect()
