@@ -3,7 +3,7 @@
 Comment marks are taken off the beginnings of lines. A text is cut into lines, and these at sentence ends; sentences that
 go on over line breaks within a paragraph (up to a blank line) are passages too, with their lines joined. A multinomial
 logistic regression with an L1 penalty over words and word pairs is trained on notices of each family, as their
-publishers word them, and on passages of the corpus that are none (samples of `max_negatives` by hash). A passage gets
+publishers word them, and on all passages of the corpus that are none. A passage gets
 the most probable family if that probability passes the calibrated threshold, and is unknown otherwise; the prediction
 counts if the passage also holds `share` of the word pairs of one of the family's notices. As every notice has a word of
 licensing (CUES), passages without one cannot be confirmed and are not classified.
@@ -122,7 +122,7 @@ UNKNOWN = "unknown"
 CUES = ("licen", "copyright", "rights reserved", "public domain", "hereby granted", "redistribution")
 
 FAMILIES = (UNKNOWN, *sorted(NOTICES))
-MAX_NEGATIVES, LEAST, SHARE = 2_000, 0.5, 0.7
+NEGATIVE_WEIGHT, LEAST, SHARE = 2_000, 0.5, 0.7
 #: A probability that passes any threshold: single odd passages must not shut out notices word for word.
 CERTAIN = 0.95
 #: Words of a window of a longer passage; windows overlap by half.
@@ -191,13 +191,27 @@ class LicenceModel:
         return scored.withColumn("family", family).drop("features", "rawPrediction", "prediction", "chances")
 
 
+def known_grams(rows: DataFrame, vocabulary: list[str]) -> DataFrame:
+    """grams: of the words and pairs of neighbours of each passage those in the vocabulary, each once and in order."""
+    tokens = F.filter(F.transform(F.split(F.lower("passage"), r"[^a-z0-9.+-]+"), lambda w: F.btrim(w, F.lit(".+-"))), lambda w: w != "")
+    # pairs are made of neighbours that both occur in the vocabulary, other words only keep them apart
+    parts = sorted({w for gram in vocabulary for w in gram.split(" ")})
+    # a column of its own, so that it is worked out once
+    marked = rows.select(F.transform(tokens, lambda w: F.when(w.isin(parts), w)).alias("m"))
+    both = F.arrays_zip(F.col("m").alias("a"), F.slice("m", 2, F.greatest(F.size("m"), F.lit(1))).alias("b"))
+    paired = F.transform(both, lambda x: F.when(x["a"].isNotNull() & x["b"].isNotNull(), F.concat(x["a"], F.lit(" "), x["b"])))
+    return marked.select(F.array_sort(F.array_distinct(F.filter(F.concat("m", paired), lambda g: g.isin(vocabulary)))).alias("grams"))
+
+
 def fit(
-    spark: SparkSession, corpus: DataFrame, cued: DataFrame, *, max_negatives: int = MAX_NEGATIVES, least: float = LEAST, exceeded: float = 0.001
+    spark: SparkSession, corpus: DataFrame, cued: DataFrame, *, weight: float = NEGATIVE_WEIGHT, least: float = LEAST, exceeded: float = 0.001
 ) -> LicenceModel:
     """Train on notices (whole, and in a sentence's company) and negatives; calibrate the threshold.
 
-    Negatives are passages of `corpus` without a cue, and one half of those with a cue (`cued`) that hold no notice; of
-    the other half, the share `exceeded` may pass the threshold.
+    Negatives are all passages of `corpus` without a cue, and one half of those with a cue (`cued`) that hold no notice; of
+    the other half, the share `exceeded` may pass the threshold. Negatives of either kind weigh `weight` together at most,
+    so that notices count the same in a corpus of any size. Passages without a cue that the model cannot tell apart, having
+    the same words and pairs of the notices, are one row.
     """
     own = notices(spark)
     shorter = own.select("label", F.concat_ws(" ", F.slice(words(F.col("passage")), 1, 12)).alias("passage"))
@@ -207,17 +221,21 @@ def fit(
     positives = own.unionByName(shorter).unionByName(longer)
     # words of notices without a notice: the second half of the hash order has them one by one
     singles = own.select(F.explode(words(F.col("passage"))).alias("passage")).distinct()
-    by_hash = (F.xxhash64("passage"), F.col("passage"))
-    plain = corpus.where(~has_cue(F.col("passage"))).select("passage").orderBy(*by_hash).limit(max_negatives)
-    none = cued.where(~holds_any()).select("passage").distinct().orderBy(*by_hash).limit(2 * max_negatives)
-    none = staged(none.withColumn("held_out", F.pmod(F.xxhash64("passage", F.lit("half")), F.lit(2)) == 1), "cued-negatives")
-    negatives = plain.unionByName(singles).unionByName(none.where("NOT held_out").select("passage"))
-    negatives = staged(negatives.select(F.lit(0.0).alias("label"), "passage"), "negatives")
-    training = positives.unionByName(negatives).withColumn("grams", grams(words(F.col("passage"))))
     vectorizer = CountVectorizer(inputCol="grams", outputCol="features", binary=True, vocabSize=20_000).fit(
         positives.withColumn("grams", grams(words(F.col("passage"))))
     )
-    weighted = vectorizer.transform(training).withColumn("weight", F.when(F.col("label") == 0, 1.0).otherwise(20.0))
+    plain = known_grams(corpus.where(~has_cue(F.col("passage"))), vectorizer.vocabulary).groupBy("grams").agg(F.count(F.lit(1)).alias("n"))
+    plain = staged(plain, "plain-negatives")
+    none = cued.where(~holds_any()).select("passage").distinct()
+    none = staged(none.withColumn("held_out", F.pmod(F.xxhash64("passage", F.lit("half")), F.lit(2)) == 1), "cued-negatives")
+    own_grams = grams(words(F.col("passage")))
+    training = positives.select("label", own_grams.alias("grams"), F.lit(20.0).alias("weight"))
+    training = training.unionByName(singles.select(F.lit(0.0).alias("label"), own_grams.alias("grams"), F.lit(1.0).alias("weight")))
+    learned = none.where("NOT held_out").select(own_grams.alias("grams"), F.lit(1).alias("n"))
+    for rows in (plain, learned):
+        each = min(1.0, weight / (rows.agg(F.sum("n")).first()[0] or 1))
+        training = training.unionByName(rows.select(F.lit(0.0).alias("label"), "grams", (F.col("n") * each).alias("weight")))
+    weighted = staged(vectorizer.transform(training).select("label", "features", "weight"), "licence-training")
     regression = LogisticRegression(
         family="multinomial", regParam=1e-4, elasticNetParam=0.5, maxIter=60, weightCol="weight", probabilityCol="probability"
     ).fit(weighted)

@@ -10,6 +10,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
+from pyspark.sql import functions as F
 
 from semstore.llm import bilinear, language, licences, pieces
 from tests.llm import brute
@@ -220,3 +221,31 @@ def test_licences_of_odd_rows(odd, nothing):
     rows = licences.scan(odd).collect()
     assert len(rows) == odd.count() and all(r.n_licensed == 0 and r.families == "" for r in rows)
     assert licences.scan(nothing).count() == 0
+
+
+def test_known_grams_are_those_of_the_notices(spark):
+    """What all passages are learned from says the same as their words and pairs, cut to the vocabulary."""
+    texts = ["Licensed under the -Apache- License, Version 2.0.", "the the .. the license", "", "a+ --", "of ++ the Terms of"]
+    vocabulary = ["the", "license", "the license", "under the", "of the", "terms of", "version 2.0", "2.0", "apache"]
+    rows = spark.createDataFrame([(t,) for t in texts], "passage string").coalesce(1)
+    own = rows.select(licences.grams(licences.words(F.col("passage")))).collect()
+    known = [r.grams for r in licences.known_grams(rows, vocabulary).collect()]
+    assert known == [sorted(set(r[0]) & set(vocabulary)) for r in own]
+
+
+def test_a_licence_model_learns_from_all_passages(spark):
+    """Beyond any number of passages, the last one counts as much as the first."""
+    docs = spark.range(9_000).select(F.col("id").alias("doc_id"), F.col("id").alias("content"), F.concat(F.lit("the work number "), F.col("id")).alias("passage"))
+    odd = spark.range(1_000).select((F.col("id") + 9_000).alias("doc_id"), F.col("id").alias("content"), F.lit("public terms of the foundation").alias("passage"))
+    seen = []
+    whole = licences.staged
+    try:
+        licences.staged = lambda df, name: seen.append((name, whole(df, name))) or seen[-1][1]
+        licences.fit(spark, docs.unionByName(odd), docs.limit(0))
+    finally:
+        licences.staged = whole
+    (plain,) = (df for name, df in seen if name == "plain-negatives")
+    assert plain.agg(F.sum("n")).first()[0] == 10_000
+    (training,) = (df for name, df in seen if name == "licence-training")
+    weights = sorted(r.weight for r in training.where("label = 0").collect())
+    assert weights[-1] == pytest.approx(0.9 * licences.NEGATIVE_WEIGHT, rel=0.02) and weights[-2] == pytest.approx(0.1 * licences.NEGATIVE_WEIGHT)
