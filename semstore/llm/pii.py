@@ -152,7 +152,7 @@ def _one_of(words: list[str]) -> str:
 _TITLE = _one_of(TITLES)
 _NAME = r"[A-ZÀ-ÖØ-Þ][\w-]+"
 CANDIDATE = re.compile(
-    r"(?P<key>(?<![\w-])(?=[\w-]*[0-9])[A-Za-z0-9_-]{16,}(?![\w-]))"
+    r"(?P<key>(?<![\w-])(?=[A-Za-z0-9_-]{16})(?=[\w-]*[0-9])[A-Za-z0-9_-]{16,}(?![\w-]))"
     rf"|(?P<cued>(?<=[=:])\s?[\"']?(?P<value>[^\s\"'=:]{{6,}}))"
     r"|(?P<ssn>(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-]))"
     r"|(?P<iban>(?<!\w)[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){3,7}(?!\w))"
