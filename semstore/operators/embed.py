@@ -59,7 +59,10 @@ Model = Callable[[Sequence[str]], tuple[list | np.ndarray, list[str | None]]]
 
 
 def _in_arrow(df: DataFrame, text_col: str, load: Callable[[], Model], batch_size: int) -> DataFrame:
-    """Add what a model makes of the texts without an error; it is loaded once per task."""
+    """Add what a model makes of the texts without an error; it is loaded once per task.
+
+    Rows go on as soon as the model has seen ``batch_size`` texts, so a task holds no more results than that.
+    """
     workspace.ship_package(df.sparkSession)
     names = [c for c in df.columns if c != "error"]
     schema = T.StructType(
@@ -73,16 +76,20 @@ def _in_arrow(df: DataFrame, text_col: str, load: Callable[[], Model], batch_siz
             model = load() if model is None else model
             texts = batch.column(batch.schema.get_field_index(text_col))
             errors = batch.column(batch.schema.get_field_index("error")).to_pylist()
-            made: list = [None] * len(texts)
             open_ = [i for i, error in enumerate(errors) if error is None]
-            for start in range(0, len(open_), batch_size):
+            done = 0
+            for start in range(0, max(1, len(open_)), batch_size):
                 part = open_[start : start + batch_size]
-                vectors_, failed = model(texts.take(pa.array(part)).to_pylist())
+                end = open_[start + batch_size] if start + batch_size < len(open_) else batch.num_rows
+                made: list = [None] * (end - done)
+                vectors_, failed = model(texts.take(pa.array(part)).to_pylist()) if part else ([], [])
                 for i, vector, error in zip(part, vectors_, failed, strict=True):
-                    made[i], errors[i] = vector if error is None else None, error
-            columns = [batch.column(batch.schema.get_field_index(c)) for c in names]
-            columns += [pa.array(made, pa.list_(pa.float64())), pa.array(errors, pa.string())]
-            yield pa.RecordBatch.from_arrays(columns, names=[*names, "vector", "error"])
+                    made[i - done], errors[i] = vector if error is None else None, error
+                rows = batch.slice(done, end - done)
+                columns = [rows.column(batch.schema.get_field_index(c)) for c in names]
+                columns += [pa.array(made, pa.list_(pa.float64())), pa.array(errors[done:end], pa.string())]
+                yield pa.RecordBatch.from_arrays(columns, names=[*names, "vector", "error"])
+                done = end
 
     return df.select(*names, "error").mapInArrow(work, schema)
 

@@ -115,8 +115,8 @@ def store_memories(
         *_order_column(order_by),
         store_reason(F.col(id_col), F.col(text_col), given).alias(REASON),
     )
-    enriched = enrich(marked, text_col="_source", payload=payload, stored_at=stored_at)
-    made = embed(enriched, provider, "_source", spread=False)
+    # enriched behind the provider, which so gets each text once and none of what is measured of it
+    made = enrich(embed(marked, provider, "_source", spread=False), text_col="_source", payload=payload, stored_at=stored_at)
     names = [c for c in payload if c not in ("id", "text")]
     return made.select(
         texts.trim(F.col("id")).alias("id"),

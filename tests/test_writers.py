@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from semstore import Collection, RecordError
 from semstore.errors import ConflictError
-from semstore.operators import knn, shred
+from semstore.operators import embed, knn, shred, store
 from semstore.operators.filters import predicate
 from semstore.sources.commits import Commits, State
 from semstore.streaming import ingest
@@ -280,3 +280,32 @@ def test_a_get_of_many_ids_names_them_to_the_scan(spark, new):
     pushed = plan[plan.index("PushedFilters") :]
     assert "Or(" in pushed and pushed.count("In(id, [") >= 3
     assert ids(found) == sorted(wanted)
+
+
+def test_python_gets_a_text_once_and_no_measures(spark):
+    docs = spark.createDataFrame([("1", "one two", "en")], "id string, text string, lang string")
+    made = store.store_memories(docs, embed.HashingProvider([1.0] * 4), payload=["lang"])
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    (line,) = [line for line in plan.splitlines() if "MapInArrow" in line]
+    assert "_source" in line and "_analysis" not in line and "text#" not in line
+    row = made.first()
+    assert (row["text"], row["_word_count"], row["_analysis"]["word_count"], row["reject_reason"]) == ("one two", 2, 2, None)
+
+
+def test_the_model_gets_as_many_texts_as_it_wants_and_rows_stay_in_order(spark):
+    texts = ["a", None, "bb", "", "ccc", "dddd", None, "eeeee", "bad", "f"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "n int, text string").coalesce(1)
+
+    def load():
+        def model(given):
+            if "bad" in given:
+                raise ValueError("no")
+            return [[float(len(t)), float(len(given))] for t in given]
+
+        return model
+
+    got = [(r["n"], r["vector"], r["error"]) for r in embed.embed(docs, embed.PythonProvider(load, 3), spread=False).orderBy("n").collect()]
+    blank = "text_blank"
+    # of the second three texts the last is bad: halves are tried, dddd alone, then eeeee and bad, then each of them
+    want = [[1.0, 3.0], blank, [2.0, 3.0], blank, [3.0, 3.0], [4.0, 1.0], blank, [5.0, 1.0], "no", [1.0, 1.0]]
+    assert got == [(n, None, w) if isinstance(w, str) else (n, w, None) for n, w in enumerate(want)]
