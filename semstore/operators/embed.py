@@ -7,8 +7,10 @@ Arrow batches (:class:`PythonProvider`). The texts are checked first; one bad te
 from __future__ import annotations
 
 import hashlib
+import itertools
 import math
 import re
+import sys
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -95,8 +97,13 @@ def _in_arrow(df: DataFrame, text_col: str, load: Callable[[], Model], batch_siz
 
 
 #: Words that a worker remembers the places of.
-_REMEMBERED = 1 << 18
+_REMEMBERED = 1 << 17
+#: Texts hashed together.
+_TEXTS = 1_024
+#: About how many characters are cut into words together.
+_TOGETHER = 1 << 21
 _WORD = re.compile(r"[^\W_]+")
+_GAP = re.compile(r"[\W_]")
 
 
 class _Places(dict):
@@ -105,19 +112,78 @@ class _Places(dict):
     def __init__(self, dim: int) -> None:
         super().__init__()
         self.dim = dim
+        self._in_word = np.zeros(sys.maxunicode + 1, dtype=np.int8)  # of a character: 1 or -1 once it is known
 
     def __missing__(self, word: str) -> int:
-        place = int(hashlib.md5(word.encode(errors="replace"), usedforsecurity=False).hexdigest()[:8], 16) % self.dim
+        place = int.from_bytes(hashlib.md5(word.encode(errors="replace"), usedforsecurity=False).digest()[:4]) % self.dim
         if len(word) <= 64:
             if len(self) >= _REMEMBERED:
                 self.clear()
             self[word] = place
         return place
 
-    def counts(self, text: str) -> np.ndarray:
-        """How many words of a text fall on each place."""
-        words = _WORD.findall(text.lower())
-        return np.bincount(np.fromiter(map(self.__getitem__, words), dtype=np.int64, count=len(words)), minlength=self.dim)
+    def counts(self, texts: Sequence[str]) -> np.ndarray:
+        """How many words of each text fall on each place, a row per text."""
+        found = np.zeros((len(texts), self.dim), dtype=np.int64)
+        rows: list[int] = []
+        pieces: list[str] = []
+        size = 0
+        for row, text in enumerate(texts):
+            for piece in _pieces(text.lower()):
+                if pieces and size + len(piece) > _TOGETHER:
+                    self._add(found, rows, pieces)
+                    rows, pieces, size = [], [], 0
+                rows.append(row)
+                pieces.append(piece)
+                size += len(piece)
+        if pieces:
+            self._add(found, rows, pieces)
+        return found
+
+    def _add(self, found: np.ndarray, rows: list[int], pieces: list[str]) -> None:
+        """Add the words of pieces of texts, whose rows do not descend; each distinct word is looked up once."""
+        joined = "\n".join(pieces)
+        try:
+            codec, unit = "latin-1", np.uint8
+            chars = np.frombuffer(joined.encode(codec), dtype=unit)
+        except UnicodeEncodeError:
+            codec, unit = "utf-32-le", np.uint32
+            chars = np.frombuffer(joined.encode(codec, "surrogatepass"), dtype=unit)
+        inside = self._inside(chars)
+        edges = np.flatnonzero(np.diff(inside, prepend=False, append=False))
+        starts, lengths = edges[::2], edges[1::2] - edges[::2]
+        if not len(starts):
+            return
+        kept = chars[inside]
+        ends = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64) * kept.itemsize
+        words = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(ends), pa.py_buffer(kept)]).dictionary_encode()
+        _, offsets, content = words.dictionary.buffers()
+        bounds = (np.frombuffer(offsets, dtype=np.int64, count=len(words.dictionary) + 1) // kept.itemsize).tolist()
+        distinct = content.to_pybytes().decode(codec, "surrogatepass")
+        places = np.array([self[distinct[i:j]] for i, j in itertools.pairwise(bounds)], dtype=np.int64)
+        # a piece and the line feed behind it
+        piece = np.searchsorted(np.cumsum([len(p) + 1 for p in pieces]), starts, side="right")
+        first, last = rows[0], rows[-1]
+        cells = (np.asarray(rows)[piece] - first) * self.dim + places[words.indices.to_numpy()]
+        found[first : last + 1] += np.bincount(cells, minlength=(last - first + 1) * self.dim).reshape(-1, self.dim)
+
+    def _inside(self, chars: np.ndarray) -> np.ndarray:
+        """Which characters belong to words; the pattern of a word is asked once per character."""
+        known = self._in_word[chars]
+        for char in np.unique(chars[known == 0]).tolist():
+            self._in_word[char] = 1 if _WORD.match(chr(char)) else -1
+        return self._in_word[chars] > 0
+
+
+def _pieces(text: str) -> Iterator[str]:
+    """A text in pieces of some length that end between words."""
+    start = 0
+    while len(text) - start > _TOGETHER:
+        gap = _GAP.search(text, start + _TOGETHER)
+        end = gap.start() if gap else len(text)
+        yield text[start:end]
+        start = end
+    yield text[start:] if start else text
 
 
 class HashingProvider(Provider):
@@ -145,10 +211,9 @@ class HashingProvider(Provider):
             places, found = _Places(dim), np.zeros(dim + 1, dtype=np.int64)
             for batch in batches:
                 found[dim] += batch.num_rows
-                for start in range(0, batch.num_rows, 256):
-                    for text in batch.column(0).slice(start, 256).to_pylist():
-                        if text:
-                            found[:dim] += places.counts(text) > 0
+                for start in range(0, batch.num_rows, _TEXTS):
+                    texts = batch.column(0).slice(start, _TEXTS).drop_null().to_pylist()
+                    found[:dim] += (places.counts(texts) > 0).sum(axis=0)
             # a row per place and task
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(dim + 1)), pa.array(found)], names=["place", "n"])
 
@@ -165,14 +230,14 @@ class HashingProvider(Provider):
             places = _Places(len(weights))
 
             def embed_all(texts: Sequence[str]) -> tuple[np.ndarray, list[str | None]]:
-                made = np.array([places.counts(t) for t in texts], dtype=np.float64).reshape(len(texts), -1) * weights
+                made = places.counts(texts) * weights
                 norms = np.sqrt((made**2).sum(axis=1))
                 unit = np.divide(made, norms[:, None], out=made, where=norms[:, None] > 0)
                 return unit, [None if n > 0 else NO_WORDS for n in norms]
 
             return embed_all
 
-        return _in_arrow(df, text_col, load, 256)
+        return _in_arrow(df, text_col, load, _TEXTS)
 
 
 class PythonProvider(Provider):

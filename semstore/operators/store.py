@@ -130,13 +130,13 @@ def store_memories(
 
 
 def store_report(records: DataFrame, flag: str = "was_update") -> DataFrame:
-    """What is reported per stored text."""
+    """What is reported per stored text, with the flag if the records have it already."""
     inner = ("id", "vector", flag, REASON, ORDER)
     keys = payload_keys(records, [c for c in records.columns if c not in inner])
     return records.select(
         "id",
         F.size("vector").alias("vector_dimensions"),
-        flag,
+        *[c for c in (flag,) if c in records.columns],
         F.col("_text_length").alias("text_length"),
         keys.alias("payload_keys"),
     )

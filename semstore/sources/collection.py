@@ -426,11 +426,12 @@ class Collection:
         """
         # staged before the flags are added, which read it twice: each text is embedded once
         staged = self._staged(store.store_memories(docs, provider, **self._ordered(docs, columns)))
-        staged = records.existing_flags(staged, self._current())
-        staged = self._staged(staged)
-        accepted = staged.where(F.col(quality.REASON).isNull())
-        rejects = self._apply_stored(staged.drop("was_update"), strict, properties or {}, rejects_to)
-        return store.store_report(accepted), rejects
+        # the flags tell of the records before the change; only what is reported of a text meets them, not the text
+        accepted = store.store_report(staged.where(F.col(quality.REASON).isNull()))
+        flagged = records.existing_flags(accepted, self._current())
+        report = self._staged(flagged.select("id", "vector_dimensions", "was_update", "text_length", "payload_keys"))
+        rejects = self._apply_stored(staged, strict, properties or {}, rejects_to)
+        return report, rejects
 
     def delete(self, ids: records.Ids) -> DataFrame:
         """Delete by id and return ``id, found``; unknown ids do nothing."""

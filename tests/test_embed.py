@@ -1,5 +1,7 @@
 import hashlib
 import math
+import random
+import re
 import sys
 
 import numpy as np
@@ -181,3 +183,19 @@ def test_a_text_is_embedded_once_over_batches(spark, tmp_path):
     assert embed.embed_once(two.select("id", "text").where("false"), provider, store).count() == 0
     plain = embed.embed(spark.createDataFrame(first, "id int, text string"), provider).collect()
     assert {r["id"]: (r["vector"], r["error"]) for r in plain} == rows
+
+
+def test_words_are_counted_on_their_places_however_texts_are_cut(monkeypatch):
+    def defined(text):
+        found = [0] * 13
+        for word in re.findall(r"[^\W_]+", text.lower()):
+            found[int(hashlib.md5(word.encode(errors="replace")).hexdigest()[:8], 16) % 13] += 1
+        return found
+
+    draw = random.Random(5)
+    letters = list("abcé Σςİ_ \n²½文٣𝒳😀\u0301\u200b\ud800") + [" ", "a", "b"] * 10
+    texts = ["".join(draw.choices(letters, k=draw.randint(0, 60))) for _ in range(300)] + ["", "_", "ΑΣ", "a" * 100]
+    for size in (1, 7, 500, 1 << 21):
+        monkeypatch.setattr(embed, "_TOGETHER", size)
+        assert embed._Places(13).counts(texts).tolist() == [defined(t) for t in texts]
+    assert embed._Places(13).counts([]).shape == (0, 13)

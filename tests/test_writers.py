@@ -309,3 +309,14 @@ def test_the_model_gets_as_many_texts_as_it_wants_and_rows_stay_in_order(spark):
     # of the second three texts the last is bad: halves are tried, dddd alone, then eeeee and bad, then each of them
     want = [[1.0, 3.0], blank, [2.0, 3.0], blank, [3.0, 3.0], [4.0, 1.0], blank, [5.0, 1.0], "no", [1.0, 1.0]]
     assert got == [(n, None, w) if isinstance(w, str) else (n, w, None) for n, w in enumerate(want)]
+
+
+def test_the_flags_meet_the_report_and_not_the_texts(spark, new):
+    coll = new(4, payload="text string")
+    docs = spark.createDataFrame([("1", "one"), ("2", "two"), ("3", None)], "id string, text string")
+    provider = embed.HashingProvider([1.0] * 4)
+    coll.store_memories(docs.where("id = '1'"), provider)
+    report, rejects = coll.store_memories(docs, provider, strict=False)
+    assert {(r["id"], r["was_update"], r["text_length"]) for r in report.collect()} == {("1", True, 3), ("2", False, 3)}
+    assert spark.read.parquet(*report.inputFiles()).columns == ["id", "vector_dimensions", "was_update", "text_length", "payload_keys"]
+    assert [(r["id"], r["reject_reason"]) for r in rejects.collect()] == [("3", "text_blank")]
